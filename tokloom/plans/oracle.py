@@ -205,3 +205,89 @@ SQL = {
         || '<fim_suffix>' || substr(text, floor(length(text) / 2)::BIGINT + 1) || '<fim_middle>' AS prompt
         FROM benchmark""",
 }
+
+SAMPLES = """samples AS (SELECT d.source AS task_id, l.doc_id AS sample_id, l.quality = 1 AS passed
+                    FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+PER_TASK = f"""{SAMPLES}, per AS (SELECT task_id, count(*)::BIGINT AS n_samples,
+                       sum(passed::INTEGER)::BIGINT AS n_correct FROM samples GROUP BY 1)"""
+PASSK = """CASE WHEN n_samples - n_correct < k THEN 1.0
+          ELSE 1.0 - exp(list_sum(list_transform(range(k), lambda i: ln(n_samples - n_correct - i) - ln(n_samples - i)))) END"""
+
+NEXT_PAIRS = f"""{STREAM},
+cut AS (SELECT n - greatest(1, floor(n * {VAL_RATIO})::BIGINT) AS n_train FROM ntok),
+pairs AS (SELECT t2.pos, t1.id AS ctx, t2.id AS nxt FROM tok t1 JOIN tok t2 ON t2.pos = t1.pos + 1),
+counts AS (SELECT ctx, nxt, count(*)::BIGINT AS n FROM pairs, cut WHERE pos < n_train GROUP BY 1, 2),
+totals AS (SELECT ctx, sum(n) AS t FROM counts GROUP BY 1),
+tl AS (SELECT p.pos, -ln((coalesce(c.n, 0) + 1.0) / (coalesce(tt.t, 0) + 1.0 * 30100)) AS loss,
+              (p.pos - cut.n_train - 1) // 64 AS batch_id
+       FROM pairs p CROSS JOIN cut LEFT JOIN counts c ON c.ctx = p.ctx AND c.nxt = p.nxt
+       LEFT JOIN totals tt ON tt.ctx = p.ctx WHERE p.pos > cut.n_train)"""
+
+CANDS = """cands AS (SELECT l_suppkey AS ctx, l_partkey AS token, sum(l_quantity - 25) / 10 AS logit
+                  FROM lineitem GROUP BY 1, 2)"""
+
+
+def _softmax(src: str, out: str) -> str:
+    return f"""SELECT *, e / sum(e) OVER (PARTITION BY ctx) AS {out}
+        FROM (SELECT *, exp(logit - max(logit) OVER (PARTITION BY ctx)) AS e FROM {src}) z"""
+
+
+PRUNED = f"""{CANDS},
+tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY logit DESC) AS rk FROM cands) r WHERE rk <= 50),
+tkp AS (SELECT *, exp(logit - max(logit) OVER (PARTITION BY ctx)) AS e FROM tk),
+tkq AS (SELECT *, e / sum(e) OVER (PARTITION BY ctx) AS p FROM tkp),
+nuc AS (SELECT ctx, token, logit FROM (SELECT *, coalesce(sum(p) OVER (PARTITION BY ctx ORDER BY logit DESC, token
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM tkq) z WHERE before <= 0.9),
+nuce AS (SELECT *, exp(logit - max(logit) OVER (PARTITION BY ctx)) AS e FROM nuc),
+pruned AS (SELECT ctx, token, logit, e / sum(e) OVER (PARTITION BY ctx) AS prob FROM nuce)"""
+
+RUNLOG = """runlog AS (SELECT event_type AS run_id, event_id AS raw_step, ts, value / 100 AS loss,
+                   2048::BIGINT AS tokens FROM events)"""
+
+SQL.update({
+    "correct_per_task": f"WITH {PER_TASK} SELECT * FROM per",
+    "pass_at_k": f"""WITH {PER_TASK}, kk AS (SELECT unnest([1, 5, 10]) AS k)
+        SELECT k, round(avg({PASSK}), 6) AS pass_at_k, count(*)::BIGINT AS n_tasks
+        FROM per, kk WHERE k <= n_samples GROUP BY k""",
+    "completions": """SELECT u.conv_id, u.turn, split_part(a.text, chr(10) || chr(10), 1) AS completion,
+          length(u.text || split_part(a.text, chr(10) || chr(10), 1)) AS full_len
+        FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+        WHERE u.role = 'user' AND a.role = 'assistant'""",
+    "ngram_counts": f"WITH {NEXT_PAIRS} SELECT ctx, nxt, n FROM counts",
+    "val_loss_batch": f"""WITH {NEXT_PAIRS}, mb AS (SELECT unnest([20, 50]) AS max_batches),
+        per AS (SELECT max_batches, batch_id, avg(loss) AS bl FROM tl, mb WHERE batch_id < max_batches GROUP BY 1, 2)
+        SELECT max_batches, round(avg(bl), 6) AS loss, count(*)::BIGINT AS n FROM per GROUP BY 1""",
+    "val_loss_token": f"""WITH {NEXT_PAIRS}, mb AS (SELECT unnest([20, 50]) AS max_batches)
+        SELECT max_batches, round(avg(loss), 6) AS loss, count(*)::BIGINT AS n
+        FROM tl, mb WHERE batch_id < max_batches GROUP BY 1""",
+    "perplexity": """WITH l AS (SELECT event_type, 'mean_scaled' AS measure, avg(value) / 100 AS loss FROM events GROUP BY 1
+          UNION ALL SELECT event_type, 'max_raw', max(value) FROM events GROUP BY 1)
+        SELECT event_type, measure, round(loss, 6) AS loss,
+          CASE WHEN loss < 300 THEN round(exp(loss), 6) ELSE 'inf'::DOUBLE END AS perplexity FROM l""",
+    "softmax": f"WITH {CANDS}, s AS ({_softmax('cands', 'prob')}) SELECT ctx, token, round(prob, 6) AS prob FROM s",
+    "topk_ties": f"""WITH {CANDS} SELECT ctx, token, logit FROM
+        (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY logit DESC) AS rk FROM cands) r WHERE rk <= 3""",
+    "nucleus": f"WITH {PRUNED} SELECT ctx, token, round(prob, 6) AS prob FROM pruned",
+    "penalised": f"""WITH {CANDS}, seen AS (SELECT DISTINCT l_suppkey AS ctx, l_partkey AS token FROM lineitem WHERE l_returnflag = 'R')
+        SELECT c.ctx, c.token,
+          round(CASE WHEN s.ctx IS NOT NULL THEN c.logit / 1.3 ELSE c.logit END / 0.7, 6) AS logit_divide,
+          round(CASE WHEN s.ctx IS NOT NULL THEN (CASE WHEN c.logit > 0 THEN c.logit / 1.3 ELSE c.logit * 1.3 END)
+                ELSE c.logit END / 0.7, 6) AS logit_signed
+        FROM cands c LEFT JOIN seen s ON s.ctx = c.ctx AND s.token = c.token""",
+    "sample_next": f"""WITH {PRUNED}
+        SELECT ctx, arg_max(token, ln(prob) - ln(-ln(({h32('7', 'ctx', 'token')} + 0.5) / 4294967296.0))) AS token
+        FROM pruned GROUP BY ctx""",
+    "step_rollup": f"""WITH {RUNLOG}
+        SELECT run_id, raw_step // 16 AS step, round(arg_max(loss, raw_step), 6) AS loss,
+               count(*)::BIGINT AS n_micro, sum(tokens)::BIGINT AS tokens
+        FROM runlog GROUP BY 1, 2 HAVING (raw_step // 16) % 10 = 0""",
+    "throughput": f"""WITH {RUNLOG},
+        c AS (SELECT run_id, raw_step, sum(tokens) OVER (PARTITION BY run_id ORDER BY raw_step
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS tokens_so_far,
+                 (epoch_us(ts) - epoch_us(min(ts) OVER (PARTITION BY run_id))) / 1e6 AS el FROM runlog)
+        SELECT run_id, raw_step, tokens_so_far, round(el, 6) AS elapsed_s,
+               round(CASE WHEN el > 0 THEN tokens_so_far / el END, 6) AS tok_per_s FROM c""",
+    "retention": f"""WITH {RUNLOG}, m AS (SELECT run_id, printf('step_%07d', raw_step) AS name, raw_step::INTEGER AS step FROM runlog)
+        SELECT run_id, name, step FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS rn FROM m) z
+        WHERE rn <= 3""",
+})
