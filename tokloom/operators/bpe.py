@@ -65,6 +65,26 @@ def _pair_counts(words: DataFrame) -> DataFrame:
             .agg(F.sum("freq").alias("c")))
 
 
+def _round_stats(words: DataFrame, n: int):
+    """One job per round: the ``n`` best pairs (count desc, ids asc) and,
+    for every symbol, its largest count as a left and as a right member.
+    The per-symbol rows are bounded by the vocabulary size."""
+    pc = _pair_counts(words)
+    top = (pc.orderBy(F.desc("c"), "l", "r").limit(n)
+           .select(F.lit("T").alias("kind"), "l", "r", "c"))
+    roles = pc.select(F.explode(F.array(
+        F.struct(F.lit("L").alias("kind"), F.col("l").alias("s"), F.col("c")),
+        F.struct(F.lit("R").alias("kind"), F.col("r").alias("s"), F.col("c")))).alias("x"))
+    per_sym = (roles.groupBy(F.col("x.kind").alias("kind"), F.col("x.s").alias("l"))
+               .agg(F.max("x.c").alias("c"))
+               .select("kind", "l", F.lit(None).cast("int").alias("r"), "c"))
+    rows = top.unionByName(per_sym).collect()
+    cand = sorted((r for r in rows if r["kind"] == "T"), key=lambda r: (-r["c"], r["l"], r["r"]))
+    after_r = {r["l"]: r["c"] for r in rows if r["kind"] == "L"}   # max_y c(s, y)
+    before_l = {r["l"]: r["c"] for r in rows if r["kind"] == "R"}  # max_x c(x, s)
+    return cand, after_r, before_l
+
+
 @dataclass
 class BpeModel:
     """Learned vocabulary: id -> token (byte-level string) and the ordered
@@ -111,6 +131,19 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
     prefix is exactly what one-merge-per-round would choose.
     """
     spark = words.sparkSession
+    # Rounds are small aggregate-only jobs (partial aggregation, no joins):
+    # adaptive re-planning only adds fixed latency to each of them.
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return _train_rounds(spark, words, vocab_size, min_freq, specials,
+                             batch_candidates, checkpoint_every, max_rounds)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+
+
+def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates,
+                  checkpoint_every, max_rounds) -> BpeModel:
     model = base_model(specials)
     first = model.n_special
     token_id = {t: i for i, t in enumerate(model.tokens)}
@@ -126,14 +159,7 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
         if max_rounds is not None and rounds >= max_rounds:
             break
         rounds += 1
-        pc = _pair_counts(cur)
-        top = pc.orderBy(F.desc("c"), "l", "r").limit(batch_candidates)
-        lm = pc.groupBy("l").agg(F.max("c").alias("ml")).withColumnRenamed("l", "k1")
-        rm = pc.groupBy("r").agg(F.max("c").alias("mr")).withColumnRenamed("r", "k2")
-        cand = (top.join(lm, top.r == lm.k1, "left").join(rm, top.l == rm.k2, "left")
-                .select("l", "r", "c", F.coalesce("ml", F.lit(0)).alias("after_r"),
-                        F.coalesce("mr", F.lit(0)).alias("before_l"))
-                .orderBy(F.desc("c"), "l", "r").collect())
+        cand, after_r, before_l = _round_stats(cur, batch_candidates)
         if not cand or cand[0]["c"] < min_freq:
             break
         accepted, lefts, rights, bound, new_tokens = [], set(), set(), -1, set()
@@ -159,7 +185,7 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
             accepted.append((a, b, new_id))
             lefts.add(a)
             rights.add(b)
-            bound = max(bound, row["after_r"], row["before_l"])
+            bound = max(bound, after_r.get(b, 0), before_l.get(a, 0))
             if collides:
                 break
         syms = F.col("syms")

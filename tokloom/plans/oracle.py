@@ -291,3 +291,18 @@ SQL.update({
         SELECT run_id, name, step FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY step DESC) AS rn FROM m) z
         WHERE rn <= 3""",
 })
+
+_BYTES = "list_transform(range(strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::INTEGER)"
+
+SQL.update({
+    "pair_counts": f"""WITH {words_cte()},
+        b AS (SELECT {_BYTES} AS bs, n FROM hist),
+        p AS (SELECT bs[i] AS left_byte, bs[i + 1] AS right_byte, n
+              FROM (SELECT bs, n, unnest(range(1, len(bs))) AS i FROM b) z)
+        SELECT left_byte, right_byte, sum(n)::BIGINT AS n FROM p GROUP BY 1, 2""",
+    "alphabet": f"""WITH {words_cte()},
+        b AS (SELECT unnest({_BYTES}) AS byte, n FROM hist)
+        SELECT byte, sum(n)::BIGINT AS n FROM b GROUP BY 1""",
+    "bpe_roundtrip": f"""SELECT doc_id, {strip('text')} AS text FROM documents
+        WHERE length({strip('text')}) > 0""",
+})

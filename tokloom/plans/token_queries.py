@@ -5,15 +5,60 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokloom.operators import bpe as B
+from tokloom.operators import encode as EN
 from tokloom.sources.tables import load
 
+# merges learned by the catalogue's BPE queries (vocabulary = 15 specials
+# + 256 bytes + these merges)
+BPE_MERGES = 300
+
 
 def q_word_histogram(spark, sf):
     return B.word_histogram(load(spark, sf, "documents"), "text")
 
 
+def q_pair_counts(spark, sf):
+    return B.byte_pair_counts(B.word_histogram(load(spark, sf, "documents"), "text"))
+
+
+def q_alphabet(spark, sf):
+    return B.byte_histogram(B.word_histogram(load(spark, sf, "documents"), "text"))
+
+
+_MODELS: dict = {}
+
+
+def learned_model(spark, sf):
+    """BPE model learned from the corpus (memoised per session and input)."""
+    key = (id(spark), sf)
+    if key not in _MODELS:
+        docs = load(spark, sf, "documents").select("text")
+        _MODELS[key] = B.learn_vocab(docs, 15 + 256 + BPE_MERGES)
+    return _MODELS[key]
+
+
+def q_bpe_merges(spark, sf):
+    return learned_model(spark, sf).merges_df(spark)
+
+
+def q_bpe_encode(spark, sf):
+    m = learned_model(spark, sf)
+    enc = EN.encode_docs(load(spark, sf, "documents").select("doc_id", "text"), m)
+    return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+def q_bpe_roundtrip(spark, sf):
+    """decode(encode(text)) for every document; equals the stripped text."""
+    m = learned_model(spark, sf)
+    enc = EN.encode_docs(load(spark, sf, "documents").select("doc_id", "text"), m)
+    return EN.decode_ids(enc, m.vocab_df(spark)).select("doc_id", "text")
+
+
 QUERIES = {
     "word_histogram": q_word_histogram,
+    "pair_counts": q_pair_counts,
+    "alphabet": q_alphabet,
+    "bpe_merges": q_bpe_merges,
+    "bpe_encode": q_bpe_encode,
+    "bpe_roundtrip": q_bpe_roundtrip,
 }
-
-_ = F
