@@ -306,3 +306,9 @@ SQL.update({
     "bpe_roundtrip": f"""SELECT doc_id, {strip('text')} AS text FROM documents
         WHERE length({strip('text')}) > 0""",
 })
+
+SQL.update({
+    "ingest_available_now": SQL["quota_files"],
+    "ingest_counts": f"""SELECT lang, count(*)::BIGINT AS n_rows, sum(strlen(t))::BIGINT AS n_bytes
+        FROM (SELECT lang, {strip('text')} AS t FROM documents) d WHERE length(t) > 0 GROUP BY lang""",
+})
