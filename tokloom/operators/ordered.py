@@ -10,6 +10,7 @@ holds one range partition; the only small table is one row per partition
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +35,14 @@ def running_sums(df: DataFrame, order: list, values: dict[str, Column],
     group = list(group)
     n = _parts(df, parts)
     vals = {f"_v_{k}": v for k, v in values.items()}
-    keyed = (df.select("*", *[v.alias(k) for k, v in vals.items()])
-             .repartitionByRange(n, *group, *order)
+    # the range partitioner samples its input in a job of its own; keep the
+    # input so that job and the checkpoint do not both recompute it
+    src = df.select("*", *[v.alias(k) for k, v in vals.items()]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    keyed = (src.repartitionByRange(n, *group, *order)
              .withColumn(_PID, F.spark_partition_id()))
     keyed = cut_lineage(keyed)
+    src.unpersist()
 
     totals = keyed.groupBy(_PID, *group).agg(
         *[F.sum(k).alias(f"_t{k}") for k in vals])

@@ -33,8 +33,28 @@ META_SCHEMA = T.StructType([
 ])
 
 
+# text-heavy tables and their row keys: per-row work on them (regex,
+# hashing, tokenising) is CPU-bound, so they must span all cores
+TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
+                   "benchmark": "item_id"}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition on ``key`` only when the scan yields fewer splits
+    than the cluster has cores (e.g. one large row group).  A scan of many
+    files is left alone, so no extra shuffle appears at scale.  Checking
+    the split count plans the scan; it runs no job."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = TEXT_TABLE_KEYS.get(name)
+    return spread(df, key) if key else df
 
 
 def lang_ext(lang_col="lang"):
