@@ -116,3 +116,34 @@ def missing_tokens(wanted: DataFrame, vocab: DataFrame) -> DataFrame:
 def ordered_files(files: DataFrame) -> DataFrame:
     """O1: path order compares path parts, not raw strings."""
     return files.orderBy(path_parts("path"))
+
+
+def row_index(df: DataFrame, order: list, group: list[str] = ()) -> DataFrame:
+    """Dense 0-based index in source order (per group), computed with
+    the distributed running count, never with a single-task window."""
+    return running_sums(df, order, {"idx": F.lit(1).cast("long")}, group=group)
+
+
+def special_tokens(core=None, extra=None, drop=None) -> list[str]:
+    """Ordered union of core and extra specials (first occurrence
+    wins), minus ``drop``; the list is a configuration value."""
+    from tokloom.config import CORE_SPECIALS, EXTRA_SPECIALS
+    seen, out = set(drop or ()), []
+    for t in list(core or CORE_SPECIALS) + list(extra or EXTRA_SPECIALS):
+        if t not in seen:
+            seen.add(t)
+            out.append(t)
+    return out
+
+
+def resolve_id(explicit, vocab_id, default: int = 0):
+    """Explicit id, else the vocabulary's id, else the default (an
+    explicit 0 also falls through, as a falsy value)."""
+    from pyspark.sql import Column
+    def lit(x):
+        return x if isinstance(x, Column) else F.lit(x)
+    e = lit(explicit) if explicit is not None else F.lit(None)
+    v = lit(vocab_id) if vocab_id is not None else F.lit(None)
+    pick_e = F.when(e.isNotNull() & (e != 0), e)
+    pick_v = F.when(v.isNotNull() & (v != 0), v)
+    return F.coalesce(pick_e, pick_v, F.lit(default)).cast("int")

@@ -89,3 +89,21 @@ def mean_loss(losses: DataFrame, max_batches: int | None, weight: str = "batch",
 def with_perplexity(df: DataFrame, loss_col: str = "loss") -> DataFrame:
     """exp(loss), infinity from loss 300 on."""
     return df.withColumn("perplexity", perplexity(F.col(loss_col)))
+
+
+def expand_samples(problems: DataFrame, n_samples: int, task: str = "task_id") -> DataFrame:
+    """One row per (problem, sample index)."""
+    return problems.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_samples - 1)))
+                           .alias("sample_id"))
+
+
+def progress(per_task: DataFrame, order: str = "task_id") -> DataFrame:
+    """Position of each problem among all (1-based), the total, and its
+    pass@1.  Position comes from the distributed running count; the total
+    is one aggregate."""
+    from tokloom.operators.ordered import running_sums
+    total = per_task.count()
+    ranked = running_sums(per_task, [order], {"position": F.lit(1).cast("long")},
+                          inclusive=True)
+    return ranked.withColumn("total", F.lit(total).cast("long")).withColumn(
+        "pass_at_1", pass_at_k(F.col("n_samples"), F.col("n_correct"), F.lit(1)))

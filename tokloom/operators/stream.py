@@ -145,7 +145,7 @@ def shuffled_batches(samples: DataFrame, batch_size: int, seed: int,
     ``batch_size`` and drop the last partial batch."""
     parts = [seed, F.col(key)] if epoch is None else [seed, epoch, F.col(key)]
     s = samples.withColumn("_h", phash(*parts))
-    order = ["_h", key] if epoch is None else ["_h", key]
+    order = ["_h", key] if epoch is None else [epoch, "_h", key]
     ranked = running_sums(s, order, {"_rank": F.lit(1).cast("long")})
     out = ranked.withColumn("batch_id", F.floor(F.col("_rank") / batch_size)) \
         .withColumn("row", (F.col("_rank") % batch_size).cast("int"))
@@ -160,3 +160,10 @@ def sequential_batches(samples: DataFrame, batch_size: int, key: str = "win_id")
     """T8 (val): dense window ids in order; the last batch is kept."""
     return samples.withColumn("batch_id", F.floor(F.col(key) / batch_size)) \
         .withColumn("row", (F.col(key) % batch_size).cast("int"))
+
+
+def epochs(samples: DataFrame, n_epochs: int) -> DataFrame:
+    """Cycle the samples ``n_epochs`` times; the epoch joins the
+    shuffle key so each epoch has its own order (see shuffled_batches)."""
+    return samples.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1)))
+                          .alias("epoch"))

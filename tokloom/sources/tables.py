@@ -157,3 +157,16 @@ def union_sources(frames: dict[str, DataFrame]) -> DataFrame:
     """Union by name, a ``dataset`` column naming each source."""
     tagged = [df.withColumn("dataset", F.lit(name)) for name, df in frames.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+
+
+def read_function_pairs(spark: SparkSession, path: str, fmt: str = "parquet",
+                        doc_col: str = "func_documentation_string",
+                        code_col: str = "whole_func_string") -> DataFrame:
+    """function/docstring pairs composed into one document (P9); a
+    missing value reads as ''."""
+    from tokloom.functions.text import compose_doc
+    df = spark.read.format(fmt).load(path)
+    d = F.coalesce(F.col(doc_col), F.lit(""))
+    c = F.coalesce(F.col(code_col), F.lit(""))
+    cols = [x for x in df.columns if x not in (doc_col, code_col)]
+    return df.select(*cols, compose_doc(d, c).alias("content"))
