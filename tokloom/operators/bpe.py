@@ -11,6 +11,7 @@ cut with reliable checkpoints in the cluster's checkpoint folder.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -95,6 +96,7 @@ class BpeModel:
     n_special: int
     merges: list[tuple[int, int, int]] = field(default_factory=list)  # (left, right, new)
     rounds: int = 0
+    timings: list = field(default_factory=list)
 
     def vocab_df(self, spark: SparkSession) -> DataFrame:
         rows = [(i, t, i < self.n_special, None if i < self.n_special else token_hex(t))
@@ -115,7 +117,7 @@ def base_model(specials=SPECIALS) -> BpeModel:
 
 def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
               specials=SPECIALS, batch_candidates: int = 256,
-              checkpoint_every: int = 25, max_rounds: int | None = None) -> BpeModel:
+              checkpoint_every: int = 10, max_rounds: int | None = None) -> BpeModel:
     """Learn merges from a (word, n) histogram.
 
     Greedy rule: the pair with the highest weighted count, ties to the
@@ -159,7 +161,9 @@ def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates
         if max_rounds is not None and rounds >= max_rounds:
             break
         rounds += 1
+        t0 = time.time()
         cand, after_r, before_l = _round_stats(cur, batch_candidates)
+        model.timings.append(time.time() - t0)
         if not cand or cand[0]["c"] < min_freq:
             break
         accepted, lefts, rights, bound, new_tokens = [], set(), set(), -1, set()
@@ -194,16 +198,16 @@ def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates
         nxt = cur.select(syms.alias("syms"), "freq").where(F.col("syms").contains(" "))
         if rounds % checkpoint_every == 0:
             nxt = cut_lineage(nxt)
-            for h in held:
+            # release newest first: unpersisting a frame that others were
+            # cached on top of would make Spark re-cache those from lineage
+            for h in reversed(held):
                 h.unpersist()
             held = []
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            for h in held[:-1]:
-                h.unpersist()
-            held = held[-1:] + [nxt]
+            held.append(nxt)
         cur = nxt
-    for h in held:
+    for h in reversed(held):
         h.unpersist()
     model.rounds = rounds
     return model
