@@ -52,8 +52,14 @@ def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
                                             "_bb": F.col(size_col).cast("long")},
                               group=group)
         if prior is not None:
-            ranked = ranked.join(F.broadcast(prior), group, "left") if group else \
-                ranked.join(F.broadcast(prior), how="left")
+            if group:
+                # one row per group already written; an equi-join, so AQE
+                # picks broadcast only from the measured size
+                ranked = ranked.join(prior, group, "left")
+            else:
+                row = prior.first()
+                ranked = ranked.withColumn("_pf", F.lit(row["_pf"] or 0)) \
+                    .withColumn("_pb", F.lit(row["_pb"] or 0))
             ranked = ranked.withColumn("_fb", F.col("_fb") + F.coalesce("_pf", F.lit(0))) \
                 .withColumn("_bb", F.col("_bb") + F.coalesce("_pb", F.lit(0))) \
                 .drop("_pf", "_pb")
