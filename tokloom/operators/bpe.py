@@ -134,14 +134,18 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
     """
     spark = words.sparkSession
     # Rounds are small aggregate-only jobs (partial aggregation, no joins):
-    # adaptive re-planning only adds fixed latency to each of them.
-    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    # adaptive re-planning only adds fixed latency to each of them, so it is
+    # off inside the loop, and the round shuffles are sized like the
+    # distinct-word table they read (see _train_rounds).
+    saved = {k: spark.conf.get(k) for k in
+             ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         return _train_rounds(spark, words, vocab_size, min_freq, specials,
                              batch_candidates, checkpoint_every, max_rounds)
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        for k, v in saved.items():
+            spark.conf.set(k, v)
 
 
 def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates,
@@ -154,7 +158,12 @@ def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates
     cur = (words.select(F.array_join(utf8_byte_ids(F.col("word"), first).cast("array<string>"), " ")
                         .alias("syms"), F.col("n").cast("long").alias("freq"))
            .where(F.col("syms").contains(" ")))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     cur = cut_lineage(cur)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    # the checkpointed word table carries its (adaptively coalesced) split
+    # count; pair tables are a small multiple of it
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(1, cur.rdd.getNumPartitions())))
     held: list[DataFrame] = []  # persisted rounds still feeding the lineage
     rounds = 0
     while size < vocab_size:

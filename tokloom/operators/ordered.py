@@ -19,12 +19,6 @@ from tokloom.session import cut_lineage
 _PID = "_rp"
 
 
-def _parts(df: DataFrame, parts: int | None) -> int:
-    if parts:
-        return parts
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def running_sums(df: DataFrame, order: list, values: dict[str, Column],
                  group: list[str] = (), parts: int | None = None,
                  inclusive: bool = False) -> DataFrame:
@@ -33,14 +27,16 @@ def running_sums(df: DataFrame, order: list, values: dict[str, Column],
     when ``inclusive``).  ``order`` must be a total order inside a group.
     """
     group = list(group)
-    n = _parts(df, parts)
     vals = {f"_v_{k}": v for k, v in values.items()}
     # the range partitioner samples its input in a job of its own; keep the
     # input so that job and the checkpoint do not both recompute it
     src = df.select("*", *[v.alias(k) for k, v in vals.items()]).persist(
         StorageLevel.MEMORY_AND_DISK)
-    keyed = (src.repartitionByRange(n, *group, *order)
-             .withColumn(_PID, F.spark_partition_id()))
+    # without an explicit count AQE may merge *adjacent* range partitions,
+    # which keeps them ordered; the checkpoint then freezes the assignment
+    ranged = (src.repartitionByRange(parts, *group, *order) if parts
+              else src.repartitionByRange(*group, *order))
+    keyed = ranged.withColumn(_PID, F.spark_partition_id())
     keyed = cut_lineage(keyed)
     src.unpersist()
 
