@@ -84,3 +84,13 @@ def test_penalty_modes(spark):
     s = {r.token: r.logit for r in SC.penalise(df, hist, 2.0, 0.5, "signed").collect()}
     assert d == {1: 2.0, 2: -2.0, 3: 2.0}
     assert s == {1: 2.0, 2: -8.0, 3: 2.0}
+
+
+def test_mean_loss_multi_matches_single(spark):
+    rows = [(b, float(b % 7) + i / 10) for b in range(30) for i in range(1 + b % 3)]
+    df = spark.createDataFrame(rows, "batch_id long, loss double")
+    for w in ("batch", "token"):
+        multi = {r.max_batches: (r.loss, r.n) for r in E.mean_loss_multi(df, [5, 20, 0], w).collect()}
+        for mb in (5, 20, 0):
+            one = E.mean_loss(df, mb, w).first()
+            assert abs(multi[mb][0] - one.loss) < 1e-12 and multi[mb][1] == one.n

@@ -107,3 +107,21 @@ def progress(per_task: DataFrame, order: str = "task_id") -> DataFrame:
                           inclusive=True)
     return ranked.withColumn("total", F.lit(total).cast("long")).withColumn(
         "pass_at_1", pass_at_k(F.col("n_samples"), F.col("n_correct"), F.lit(1)))
+
+
+def mean_loss_multi(losses: DataFrame, max_batches: list[int], weight: str = "batch",
+                    batch_col: str = "batch_id", loss_col: str = "loss") -> DataFrame:
+    """A10 for several ``max_batches`` values in one pass: per-batch sums
+    and counts are aggregated once (partial/final), then each limit reads
+    that per-batch table (one row per batch)."""
+    per = losses.groupBy(batch_col).agg(F.sum(loss_col).alias("_s"),
+                                        F.count(F.lit(1)).alias("_c"))
+    lim = per.select("*", F.explode(F.array(*[F.lit(m) for m in max_batches])).alias("max_batches"))
+    lim = lim.where((F.col("max_batches") <= 0) | (F.col(batch_col) < F.col("max_batches")))
+    if weight == "token":
+        val = F.sum("_s") / F.sum("_c")
+        n = F.sum("_c")
+    else:
+        val = F.avg(F.col("_s") / F.col("_c"))
+        n = F.count(F.lit(1))
+    return lim.groupBy("max_batches").agg(val.alias("loss"), n.cast("long").alias("n"))

@@ -75,12 +75,8 @@ def _val_losses(spark, sf):
 
 def _val_loss(spark, sf, weight):
     tl = _val_losses(spark, sf)
-    out = None
-    for mb in (20, 50):
-        r = E.mean_loss(tl, mb, weight).select(
-            F.lit(mb).alias("max_batches"), F.round("loss", 6).alias("loss"), "n")
-        out = r if out is None else out.unionByName(r)
-    return out
+    return E.mean_loss_multi(tl, [20, 50], weight).select(
+        "max_batches", F.round("loss", 6).alias("loss"), "n")
 
 
 def q_val_loss_batch(spark, sf):
