@@ -96,3 +96,15 @@ def test_min_freq_stops(spark):
     assert model.merges == []
     assert len(base_model().tokens) == 271
     assert F is not None
+
+
+def test_incremental_mode_identical(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet") \
+        .orderBy("doc_id").limit(30).select("text")
+    hist = word_histogram(docs).cache()
+    a = train_bpe(hist, 15 + 256 + 80)
+    b = train_bpe(hist, 15 + 256 + 80, incremental=True, checkpoint_every=4)
+    assert a.merges == b.merges and a.tokens == b.tokens
+    texts = [r.text.strip() for r in docs.collect()]
+    _, lib, _ = library_bpe(texts, 15 + 256 + 80)
+    assert ours(b) == lib

@@ -70,7 +70,20 @@ def _round_stats(words: DataFrame, n: int):
     """One job per round: the ``n`` best pairs (count desc, ids asc) and,
     for every symbol, its largest count as a left and as a right member.
     The per-symbol rows are bounded by the vocabulary size."""
-    pc = _pair_counts(words)
+    return _stats_from_pairs(_pair_counts(words), n)
+
+
+def _signed_pairs(words: DataFrame) -> DataFrame:
+    """Adjacent pairs weighted by ``freq`` (which may be negative)."""
+    s = F.split("syms", " ")
+    pairs = F.zip_with(s, F.slice(s, 2, F.size(s) - 1),
+                       lambda x, y: F.struct(x.alias("l"), y.alias("r")))
+    return (words.select(F.explode(pairs).alias("p"), F.col("freq").alias("c"))
+            .where(F.col("p.r").isNotNull())
+            .select(F.col("p.l").cast("int").alias("l"), F.col("p.r").cast("int").alias("r"), "c"))
+
+
+def _stats_from_pairs(pc: DataFrame, n: int):
     top = (pc.orderBy(F.desc("c"), "l", "r").limit(n)
            .select(F.lit("T").alias("kind"), "l", "r", "c"))
     roles = pc.select(F.explode(F.array(
@@ -117,7 +130,8 @@ def base_model(specials=SPECIALS) -> BpeModel:
 
 def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
               specials=SPECIALS, batch_candidates: int = 256,
-              checkpoint_every: int = 10, max_rounds: int | None = None) -> BpeModel:
+              checkpoint_every: int = 10, max_rounds: int | None = None,
+              incremental: bool = False) -> BpeModel:
     """Learn merges from a (word, n) histogram.
 
     Greedy rule: the pair with the highest weighted count, ties to the
@@ -131,6 +145,12 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
     not collide, and its count is strictly above every count a pair created
     by the accepted merges could reach (c(b, y) and c(x, a) maxima).  That
     prefix is exactly what one-merge-per-round would choose.
+
+    ``incremental=True`` keeps the pair-count table between rounds and
+    rewrites only the words that hold an accepted pair, updating the counts
+    by a delta (new pairs minus old pairs).  Results are identical; it
+    touches far fewer rows per round on very large word tables, at the cost
+    of a second persisted table and checkpoint.
     """
     spark = words.sparkSession
     # Rounds are small aggregate-only jobs (partial aggregation, no joins):
@@ -140,30 +160,68 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
     saved = {k: spark.conf.get(k) for k in
              ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    loop = _train_rounds_incremental if incremental else _train_rounds
     try:
-        return _train_rounds(spark, words, vocab_size, min_freq, specials,
-                             batch_candidates, checkpoint_every, max_rounds)
+        return loop(spark, words, vocab_size, min_freq, specials,
+                    batch_candidates, checkpoint_every, max_rounds)
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
 
 
-def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates,
-                  checkpoint_every, max_rounds) -> BpeModel:
-    model = base_model(specials)
-    first = model.n_special
-    token_id = {t: i for i, t in enumerate(model.tokens)}
-    size = len(model.tokens)
+def _select_batch(model, token_id, cand, after_r, before_l, size, vocab_size, min_freq):
+    """Accept the longest prefix of the sorted candidates that equals
+    one-merge-at-a-time greedy selection; registers the new tokens."""
+    accepted, lefts, rights, bound, new_tokens = [], set(), set(), -1, set()
+    for row in cand:
+        a, b, c = row["l"], row["r"], row["c"]
+        if c < min_freq or size >= vocab_size:
+            break
+        tok = model.tokens[a] + model.tokens[b]
+        collides = tok in token_id or tok in new_tokens
+        # occurrences of (a, b) can overlap an accepted (x, y) only when
+        # b == x or a == y; shared left (or shared right) symbols cannot
+        if accepted and (a in rights or b in lefts or c <= bound or collides):
+            break
+        if collides:
+            new_id = token_id[tok]
+        else:
+            new_id = size
+            model.tokens.append(tok)
+            token_id[tok] = new_id
+            new_tokens.add(tok)
+            size += 1
+        model.merges.append((a, b, new_id))
+        accepted.append((a, b, new_id))
+        lefts.add(a)
+        rights.add(b)
+        bound = max(bound, after_r.get(b, 0), before_l.get(a, 0))
+        if collides:
+            break
+    return accepted, size
 
+
+def _initial_words(spark, words: DataFrame, first: int) -> DataFrame:
+    """(syms, freq): each word as space-separated alphabet ids; one-symbol
+    words never form a pair and are left out.  Checkpointed; the round
+    shuffles are then sized like this table (its adaptively coalesced split
+    count), since pair tables are a small multiple of it."""
     cur = (words.select(F.array_join(utf8_byte_ids(F.col("word"), first).cast("array<string>"), " ")
                         .alias("syms"), F.col("n").cast("long").alias("freq"))
            .where(F.col("syms").contains(" ")))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     cur = cut_lineage(cur)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    # the checkpointed word table carries its (adaptively coalesced) split
-    # count; pair tables are a small multiple of it
     spark.conf.set("spark.sql.shuffle.partitions", str(max(1, cur.rdd.getNumPartitions())))
+    return cur
+
+
+def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates,
+                  checkpoint_every, max_rounds) -> BpeModel:
+    model = base_model(specials)
+    token_id = {t: i for i, t in enumerate(model.tokens)}
+    size = len(model.tokens)
+    cur = _initial_words(spark, words, model.n_special)
     held: list[DataFrame] = []  # persisted rounds still feeding the lineage
     rounds = 0
     while size < vocab_size:
@@ -175,32 +233,8 @@ def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates
         model.timings.append(time.time() - t0)
         if not cand or cand[0]["c"] < min_freq:
             break
-        accepted, lefts, rights, bound, new_tokens = [], set(), set(), -1, set()
-        for row in cand:
-            a, b, c = row["l"], row["r"], row["c"]
-            if c < min_freq or size >= vocab_size:
-                break
-            tok = model.tokens[a] + model.tokens[b]
-            collides = tok in token_id or tok in new_tokens
-            # occurrences of (a, b) can overlap an accepted (x, y) only when
-            # b == x or a == y; shared left (or shared right) symbols cannot
-            if accepted and (a in rights or b in lefts or c <= bound or collides):
-                break
-            if collides:
-                new_id = token_id[tok]
-            else:
-                new_id = size
-                model.tokens.append(tok)
-                token_id[tok] = new_id
-                new_tokens.add(tok)
-                size += 1
-            model.merges.append((a, b, new_id))
-            accepted.append((a, b, new_id))
-            lefts.add(a)
-            rights.add(b)
-            bound = max(bound, after_r.get(b, 0), before_l.get(a, 0))
-            if collides:
-                break
+        accepted, size = _select_batch(model, token_id, cand, after_r, before_l,
+                                       size, vocab_size, min_freq)
         syms = F.col("syms")
         for a, b, m in accepted:
             syms = F.regexp_replace(syms, rf"(^| ){a} {b}(?= |$)", rf"$1{m}")
@@ -222,6 +256,59 @@ def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates
     return model
 
 
+def _train_rounds_incremental(spark, words, vocab_size, min_freq, specials,
+                              batch_candidates, checkpoint_every, max_rounds) -> BpeModel:
+    model = base_model(specials)
+    token_id = {t: i for i, t in enumerate(model.tokens)}
+    size = len(model.tokens)
+    cur = _initial_words(spark, words, model.n_special)
+    pc = cut_lineage(_pair_counts(cur))
+    held: list[DataFrame] = []
+    rounds = 0
+    while size < vocab_size:
+        if max_rounds is not None and rounds >= max_rounds:
+            break
+        rounds += 1
+        t0 = time.time()
+        cand, after_r, before_l = _stats_from_pairs(pc, batch_candidates)
+        model.timings.append(time.time() - t0)
+        if not cand or cand[0]["c"] < min_freq:
+            break
+        accepted, size = _select_batch(model, token_id, cand, after_r, before_l,
+                                       size, vocab_size, min_freq)
+        hit = "|".join(f"{a} {b}" for a, b, _ in accepted)
+        touched = F.col("syms").rlike(f"(^| )(?:{hit})( |$)")
+        syms = F.col("syms")
+        for a, b, m in accepted:
+            syms = F.regexp_replace(syms, rf"(^| ){a} {b}(?= |$)", rf"$1{m}")
+        # each frame reads the previous round's tables exactly once, so the
+        # logical plan grows linearly between checkpoints
+        changed = cur.where(touched).select(F.explode(F.array(
+            F.struct(F.col("syms").alias("syms"), (-F.col("freq")).alias("freq")),
+            F.struct(syms.alias("syms"), F.col("freq").alias("freq")))).alias("w")) \
+            .select("w.syms", "w.freq")
+        pc_next = (pc.select("l", "r", "c").unionByName(_signed_pairs(changed))
+                   .groupBy("l", "r").agg(F.sum("c").alias("c"))
+                   .where(F.col("c") != 0))
+        nxt = (cur.select(F.when(touched, syms).otherwise(F.col("syms")).alias("syms"), "freq")
+               .where(F.col("syms").contains(" ")))
+        if rounds % checkpoint_every == 0:
+            pc_next = cut_lineage(pc_next)
+            nxt = cut_lineage(nxt)
+            for h in reversed(held):
+                h.unpersist()
+            held = []
+        else:
+            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
+            pc_next = pc_next.persist(StorageLevel.MEMORY_AND_DISK)
+            held += [nxt, pc_next]
+        cur, pc = nxt, pc_next
+    for h in reversed(held):
+        h.unpersist()
+    model.rounds = rounds
+    return model
+
+
 def learn_vocab(docs: DataFrame, vocab_size: int, text_col: str = "text",
                 min_freq: int = MIN_FREQ, **kw) -> BpeModel:
     """T1 -> A4 -> T2."""
