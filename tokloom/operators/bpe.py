@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokloom.config import MIN_FREQ, PRETOKENIZE_RE, SPECIALS
-from tokloom.functions.bytelevel import (ALPHABET, byte_ids, token_hex,
+from tokloom.functions.bytelevel import (ALPHABET, token_hex,
                                          utf8_byte_ids, utf8_byte_values)
 from tokloom.functions.text import py_strip
 from tokloom.session import cut_lineage
@@ -313,6 +313,3 @@ def learn_vocab(docs: DataFrame, vocab_size: int, text_col: str = "text",
                 min_freq: int = MIN_FREQ, **kw) -> BpeModel:
     """T1 -> A4 -> T2."""
     return train_bpe(word_histogram(docs, text_col), vocab_size, min_freq, **kw)
-
-
-_ = byte_ids

@@ -16,7 +16,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokloom.config import SPECIALS
 from tokloom.functions.bytelevel import byte_ids, hex_to_text
 from tokloom.functions.text import py_strip
 from tokloom.operators.bpe import BpeModel, pretokenize
@@ -142,6 +141,3 @@ def prompt_ids(prompt: Column, encoded: Column, bos: int, eos: int) -> Column:
 def new_tokens(ids: Column, prompt_len: Column) -> Column:
     """The ids generated after the prompt."""
     return F.slice(ids, prompt_len + 1, F.greatest(F.size(ids) - prompt_len, F.lit(0)))
-
-
-_ = SPECIALS

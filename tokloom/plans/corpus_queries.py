@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tokloom.config import CorpusConfig, EXTRA_SPECIALS, SPECIALS
+from tokloom.config import CorpusConfig, SPECIALS
 from tokloom.functions.text import padded_name, path_parts, py_strip
 from tokloom.operators import corpus as C
 from tokloom.sources.files import file_filter
@@ -115,5 +115,3 @@ QUERIES = {
     "tag_lookup": q_tag_lookup,
     "missing_specials": q_missing_specials,
 }
-
-_ = EXTRA_SPECIALS

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tokloom.config import (EOT_ID, SPECIALS, TRAIN_SHUFFLE_SEED, VAL_RATIO,
+from tokloom.config import (EOT_ID, TRAIN_SHUFFLE_SEED, VAL_RATIO,
                             special_id)
 from tokloom.functions.text import path_parts, py_strip, storage_dtype
 from tokloom.operators import corpus as C
@@ -151,5 +151,3 @@ QUERIES = {
     "collated_batches": q_collated_batches,
     "fim_prompt": q_fim_prompt,
 }
-
-_ = SPECIALS
