@@ -312,3 +312,13 @@ SQL.update({
     "ingest_counts": f"""SELECT lang, count(*)::BIGINT AS n_rows, sum(strlen(t))::BIGINT AS n_bytes
         FROM (SELECT lang, {strip('text')} AS t FROM documents) d WHERE length(t) > 0 GROUP BY lang""",
 })
+
+SQL.update({
+    "train_epochs": f"""WITH {STREAM}, {packed(61)},
+        ep AS (SELECT win_id, unnest([0, 1]) AS epoch FROM packed),
+        r AS (SELECT epoch, win_id,
+                row_number() OVER (ORDER BY epoch, {h32(str(TRAIN_SHUFFLE_SEED), 'epoch', 'win_id')}, win_id) - 1 AS rk,
+                count(*) OVER () AS nw FROM ep)
+        SELECT epoch, win_id, (rk // 8)::BIGINT AS batch_id, (rk % 8)::INTEGER AS "row" FROM r
+        WHERE rk < (nw // 8) * 8""",
+})

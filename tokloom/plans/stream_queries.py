@@ -107,6 +107,14 @@ def q_train_batches(spark, sf):
     return S.shuffled_batches(w, BATCH, TRAIN_SHUFFLE_SEED)
 
 
+def q_train_epochs(spark, sf):
+    """U3 + O5 + T8: two passes over the training windows, each epoch in
+    its own shuffled order, numbered into batches across the cycle."""
+    w = S.epochs(_fim_windows(spark, sf).select("win_id"), 2)
+    return S.shuffled_batches(w, BATCH, TRAIN_SHUFFLE_SEED, epoch=F.col("epoch")) \
+        .select("epoch", "win_id", "batch_id", "row")
+
+
 def q_val_batches(spark, sf):
     w = _fim_windows(spark, sf).select("win_id", "x", "y")
     b = S.sequential_batches(w, BATCH)
@@ -146,6 +154,7 @@ QUERIES = {
     "windows_packed": q_windows_packed,
     "windows_stride": q_windows_stride,
     "train_batches": q_train_batches,
+    "train_epochs": q_train_epochs,
     "val_batches": q_val_batches,
     "fim_samples": q_fim_samples,
     "collated_batches": q_collated_batches,
