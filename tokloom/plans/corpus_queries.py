@@ -101,6 +101,12 @@ def q_missing_specials(spark, sf):
     return C.missing_tokens(wanted, words)
 
 
+def q_doc_index(spark, sf):
+    """W1 + O1: dense 0-based index of every discovered file in path order."""
+    f = discovered(spark, sf).select("doc_id", "path", path_parts("path").alias("_k"))
+    return C.row_index(f, ["_k"]).select("doc_id", "idx")
+
+
 QUERIES = {
     "discover_filtered": q_discover_filtered,
     "discover_glob": q_discover_glob,
@@ -109,6 +115,7 @@ QUERIES = {
     "strip_nonempty": q_strip_nonempty,
     "compose_pairs": q_compose_pairs,
     "file_names": q_file_names,
+    "doc_index": q_doc_index,
     "quota_files": q_quota_files,
     "quota_bytes": q_quota_bytes,
     "union_sources": q_union_sources,

@@ -38,6 +38,12 @@ def q_pass_at_k(spark, sf):
     return m.select("k", F.round("pass_at_k", 6).alias("pass_at_k"), "n_tasks")
 
 
+def q_task_progress(spark, sf):
+    """Each task's position among all tasks, the total, and its pass@1."""
+    pr = E.progress(E.correct_per_task(samples(spark, sf)))
+    return pr.select("task_id", "position", "total", F.round("pass_at_1", 6).alias("pass_at_1"))
+
+
 def q_syntax_rate(spark, sf):
     d = load(spark, sf, "documents").select("lang", "text")
     return E.validity_rate(d, "text", ["lang"])
@@ -169,6 +175,7 @@ def q_retention(spark, sf):
 QUERIES = {
     "correct_per_task": q_correct_per_task,
     "pass_at_k": q_pass_at_k,
+    "task_progress": q_task_progress,
     "syntax_rate": q_syntax_rate,
     "completions": q_completions,
     "ngram_counts": q_ngram_counts,

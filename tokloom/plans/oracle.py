@@ -322,3 +322,14 @@ SQL.update({
         SELECT epoch, win_id, (rk // 8)::BIGINT AS batch_id, (rk % 8)::INTEGER AS "row" FROM r
         WHERE rk < (nw // 8) * 8""",
 })
+
+SQL.update({
+    "task_progress": f"""WITH {PER_TASK}
+        SELECT task_id, row_number() OVER (ORDER BY task_id)::BIGINT AS position,
+               count(*) OVER ()::BIGINT AS total,
+               round(CASE WHEN n_samples - n_correct < 1 THEN 1.0
+                     ELSE 1.0 - exp(ln(n_samples - n_correct) - ln(n_samples)) END, 6) AS pass_at_1
+        FROM per""",
+    "doc_index": f"""WITH {discovered()}
+        SELECT doc_id, (row_number() OVER (ORDER BY string_split(path, '/')) - 1)::BIGINT AS idx FROM disc""",
+})
