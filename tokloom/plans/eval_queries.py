@@ -44,6 +44,13 @@ def q_task_progress(spark, sf):
     return pr.select("task_id", "position", "total", F.round("pass_at_1", 6).alias("pass_at_1"))
 
 
+def q_sample_grid(spark, sf):
+    """Every benchmark problem expanded to its 20 sample slots."""
+    from tokloom.config import N_SAMPLES
+    probs = load(spark, sf, "benchmark").select(F.col("item_id").alias("task_id"))
+    return E.expand_samples(probs, N_SAMPLES).select("task_id", "sample_id")
+
+
 def q_syntax_rate(spark, sf):
     d = load(spark, sf, "documents").select("lang", "text")
     return E.validity_rate(d, "text", ["lang"])
@@ -176,6 +183,7 @@ QUERIES = {
     "correct_per_task": q_correct_per_task,
     "pass_at_k": q_pass_at_k,
     "task_progress": q_task_progress,
+    "sample_grid": q_sample_grid,
     "syntax_rate": q_syntax_rate,
     "completions": q_completions,
     "ngram_counts": q_ngram_counts,

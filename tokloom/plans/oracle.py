@@ -333,3 +333,7 @@ SQL.update({
     "doc_index": f"""WITH {discovered()}
         SELECT doc_id, (row_number() OVER (ORDER BY string_split(path, '/')) - 1)::BIGINT AS idx FROM disc""",
 })
+
+SQL.update({
+    "sample_grid": """SELECT item_id AS task_id, unnest(range(20))::INTEGER AS sample_id FROM benchmark""",
+})
