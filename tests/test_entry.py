@@ -11,7 +11,7 @@ def test_oracle_keys_subset():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     no_sql = set(q) - set(s)
-    assert no_sql <= {"syntax_rate", "bpe_merges", "bpe_encode"}
+    assert no_sql <= {"syntax_rate", "bpe_merges", "bpe_encode", "prompt_encode"}
 
 
 def test_cheap_queries_run_small(spark):

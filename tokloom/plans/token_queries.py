@@ -54,6 +54,20 @@ def q_bpe_roundtrip(spark, sf):
     return EN.decode_ids(enc, m.vocab_df(spark)).select("doc_id", "text")
 
 
+def q_prompt_encode(spark, sf):
+    """T3c + P16: benchmark prompts as <bos> ids <eos> with the learned
+    vocabulary (a blank prompt would be the single id <bos>)."""
+    from tokloom.config import special_id
+    m = learned_model(spark, sf)
+    b = load(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    enc = EN.encode_docs(b, m)
+    j = b.join(enc, "doc_id", "left")
+    ids = F.coalesce(F.col("ids"), F.array().cast("array<int>"))
+    return j.select(F.col("doc_id").alias("item_id"),
+                    EN.prompt_ids(F.col("text"), ids, special_id("<bos>"), special_id("<eos>"))
+                    .alias("ids"))
+
+
 QUERIES = {
     "word_histogram": q_word_histogram,
     "pair_counts": q_pair_counts,
@@ -61,4 +75,5 @@ QUERIES = {
     "bpe_merges": q_bpe_merges,
     "bpe_encode": q_bpe_encode,
     "bpe_roundtrip": q_bpe_roundtrip,
+    "prompt_encode": q_prompt_encode,
 }
