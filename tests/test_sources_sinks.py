@@ -103,3 +103,30 @@ def test_small_helpers(spark):
     ep = S.epochs(spark.range(3).withColumnRenamed("id", "win_id"), 2)
     assert ep.count() == 6
     assert CorpusConfig().min_bytes == 64 and F is not None
+
+
+def test_table_sources_and_meta(spark):
+    d = tempfile.mkdtemp(prefix="tokloom-tab-")
+    spark.createDataFrame([("Python", "print(1)", None), ("Go", None, "package x"), ("Go", None, None)],
+                          "language string, code string, content string").write.parquet(d + "/multi")
+    langs = spark.createDataFrame([("Python", ".py"), ("Go", ".go")], "language string, ext string")
+    rows = sorted((r.language, r.content, r.ext) for r in T.read_multilang(spark, d + "/multi", langs).collect())
+    assert rows == [("Go", "", ".go"), ("Go", "package x", ".go"), ("Python", "print(1)", ".py")]
+    spark.createDataFrame([("doc", "def f(): pass"), ("", "x = 1"), (None, "y = 2")],
+                          "func_documentation_string string, whole_func_string string") \
+        .write.parquet(d + "/funcs")
+    got = sorted(r.content for r in T.read_function_pairs(spark, d + "/funcs").collect())
+    assert got == ['"""\ndoc\n"""\ndef f(): pass', "x = 1", "y = 2"]
+    assert T.first_readable(spark, [d + "/missing", d + "/funcs"]).count() == 3
+    assert T.first_readable(spark, [d + "/missing"]) is None
+    meta = spark.createDataFrame(
+        [(1000, 50, 45, 5, 0.1, "uint16", "tok", 3, 1, {".py": 2})],
+        "vocab_size long, total_tokens long, train_tokens long, val_tokens long, val_ratio double, "
+        "dtype string, tokenizer string, total_files long, skipped_files long, ext_counts map<string,bigint>")
+    K.write_meta(meta, d + "/meta")
+    back = T.read_meta(spark, d + "/meta").first()
+    assert back.train_tokens == 45 and back.ext_counts == {".py": 2}
+    from tokloom.operators.bpe import base_model
+    m = base_model()
+    K.write_tokenizer(m.vocab_df(spark), m.merges_df(spark), d + "/tok")
+    assert spark.read.parquet(d + "/tok/vocab").count() == 271
