@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from tokloom.llm import exact_dedup, mixing
+from tokloom.llm import chat, exact_dedup, mixing, pii
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
+    "op5_chat": chat.op5_chat,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_mixing": mixing.op10_mixing,
 }
 
 ORACLE = {
+    "op1_pii": pii.SQL,
+    "op5_chat": chat.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op10_mixing": mixing.SQL,
 }
