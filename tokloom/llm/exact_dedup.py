@@ -10,12 +10,13 @@ is free of collisions.
 
 Numbers are dealt without a global sort: distinct keys are hash-partitioned
 and sorted inside each partition, a name is the partition's number followed
-by the place in it.  Names of a round go back to the occurrences through an
-equi-join, whose skewed side (a block that many documents share) adaptive
-execution splits; the distinct side holds each key once.  Each round's small
-table (document, place, name) is written to the shared folder, which ends
-the lineage.  Text travels twice: once to be made distinct, once to meet its
-name.  DataFrame functions only.
+by the place in it.  The table of names is written to the shared folder and
+joined back to the occurrences; as both sides of that join come straight
+from their shuffles, adaptive execution splits the side of a block that many
+documents share.  Only the distinct blocks travel as text: the occurrences
+look their name up by a digest, after a check over all distinct blocks that
+the digest tells them apart (else the next longer digest is taken, and
+without one the operator fails rather than guess).  DataFrame functions only.
 
 Defined cases: a null text counts as empty and equals the empty text (one
 empty block); of equal texts the row with the largest id stays, a null id
@@ -33,11 +34,26 @@ from tokloom.llm.common import documents, staged
 BLOCK = 4096
 
 
+#: Digests of a block, tried in turn.
+DIGESTS = (F.md5, lambda c: F.sha2(c, 256), lambda c: F.sha2(c, 512))
+
+
 def _named(distinct: DataFrame, keys: list[str]) -> DataFrame:
     return (distinct.sortWithinPartitions(*keys)
             .withColumn("name", F.monotonically_increasing_id()))
 
 
+def _block_names(blocks: DataFrame):
+    """(names, digest): a table (h, name) of the distinct blocks and the
+    digest that proved to be one to one on them."""
+    for digest in DIGESTS:
+        names = staged(_named(blocks.select("blk").distinct(), ["blk"])
+                       .select(digest(F.col("blk")).alias("h"), "name"), "names")
+        if names.groupBy("h").count().where("count > 1").isEmpty():
+            return names, digest
+    raise ValueError("no digest tells all distinct blocks apart")
+
+
 def name_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                block: int = BLOCK) -> DataFrame:
     """One row per input row: rid (the row's number in this result), doc_id,
@@ -57,8 +73,9 @@ def name_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       F.when(F.col("i") == 0, F.col("n_bytes")).alias("n_bytes"),
                       F.when(F.col("i") == 0, F.col("sha")).alias("text_sha256"),
                       F.substring("bytes", F.col("i") * block + 1, F.lit(block)).alias("blk")))
-    names = _named(blocks.select("blk").distinct(), ["blk"])
-    first = staged(blocks.join(names, "blk").drop("blk"), "blocks")
+    names, digest = _block_names(blocks)
+    looked_up = blocks.withColumn("h", digest(F.col("blk"))).drop("blk")
+    first = staged(looked_up.join(names, "h").drop("h"), "blocks")
 
     def ended(frame: DataFrame, level: int) -> DataFrame:
         return frame.where("nb = 1").select("rid", F.lit(level).alias("level"), "name")
@@ -73,7 +90,7 @@ def name_texts(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  .groupBy("rid", F.shiftright("i", 1).alias("i"))
                  .agg(F.max("nb").alias("nb"), F.max(F.when(even, F.col("name"))).alias("a"),
                       F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("b")))
-        named = _named(pairs.select("a", "b").distinct(), ["a", "b"])
+        named = staged(_named(pairs.select("a", "b").distinct(), ["a", "b"]), "pair-names")
         current = staged(pairs.join(named, ["a", "b"]).select(
             "rid", "i", F.ceil(F.col("nb") / 2).cast("int").alias("nb"), "name"), "pairs")
         done = done.unionByName(ended(current, level))
@@ -86,8 +103,8 @@ def exact_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  block: int = BLOCK) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
     named = staged(name_texts(df, doc_id, text, block), "names")
-    groups = named.groupBy("level", "name").agg(
-        F.max(F.struct("doc_id", "rid")).alias("top"), F.count("*").alias("group_size"))
+    groups = staged(named.groupBy("level", "name").agg(
+        F.max(F.struct("doc_id", "rid")).alias("top"), F.count("*").alias("group_size")), "groups")
     return named.join(groups, ["level", "name"]).select(
         "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("top.rid")).alias("kept"), "text_sha256")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tokloom.llm import chat, exact_dedup, mixing, pii
+from tokloom.llm import chat, exact_dedup, mixing, packing, pii, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_packing": packing.op3_packing,
     "op5_chat": chat.op5_chat,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_mixing": mixing.op10_mixing,
