@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tokloom.llm import chat, exact_dedup, mixing, ngram_join, packing, pii, toxicity
+from tokloom.llm import chat, exact_dedup, line_dedup, mixing, ngram_join, packing, pii, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_toxicity": toxicity.op2_toxicity,
     "op3_packing": packing.op3_packing,
+    "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_chat": chat.op5_chat,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_ngram_join": ngram_join.op9_ngram_join,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_pii": pii.SQL,
+    "op4_line_dedup": line_dedup.SQL,
     "op5_chat": chat.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op10_mixing": mixing.SQL,
