@@ -28,7 +28,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     every consumer sees the same rows."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tokloom-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
