@@ -22,10 +22,10 @@ an empty table gives no rows.  Other columns are carried along untouched by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokloom.llm.common import WORD, join_by_size, staged
+from tokloom.llm.common import WORD, documents, join_by_size, staged
 from tokloom.operators.ordered import running_sums
 
 WEIGHTS = (5, 2, 1)
@@ -70,7 +70,7 @@ def source_rates(sized: DataFrame, weights=WEIGHTS, share: float = SHARE,
     out = ranked.select("source", "source_size", target.alias("target"))
     rate = F.when(F.col("source_size") > 0,
                   F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return out.withColumn("rate", rate)
+    return staged(out.withColumn("rate", rate), "rates")
 
 
 def copies(rate: Column, u: Column) -> Column:
@@ -105,7 +105,6 @@ def emit_mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CA
 
 
 def op10_mixing(spark, sf_dir: str) -> DataFrame:
-    from tokloom.llm.common import documents
     return mix_plan(documents(spark, sf_dir, "doc_id", "text", "source"))
 
 

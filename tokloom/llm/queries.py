@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tokloom.llm import chat, exact_dedup, line_dedup, lm_score, mixing, ngram_join, packing, pii, toxicity
+from tokloom.llm import chat, exact_dedup, fingerprint, line_dedup, lm_score, mixing, ngram_join, packing, pii, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_chat": chat.op5_chat,
+    "op6_fingerprint": fingerprint.op6_fingerprint,
     "op7_lm_score": lm_score.op7_lm_score,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_ngram_join": ngram_join.op9_ngram_join,
