@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tokloom.functions.stats import pass_at_k, pass_at_k_py, perplexity
+from tokloom.functions.stats import pass_at_k, perplexity
 from tokloom.operators import evals as E
 from tokloom.operators import scoring as SC
 
@@ -12,7 +12,7 @@ def test_pass_at_k_values(spark):
     df = spark.createDataFrame([c[:3] for c in cases], "n int, c int, k int")
     got = [r.p for r in df.select(pass_at_k("n", "c", "k").alias("p")).collect()]
     for (n, c, k, exp), g in zip(cases, got):
-        assert abs(g - exp) < 1e-6 and abs(g - pass_at_k_py(n, c, k)) < 1e-12
+        assert abs(g - exp) < 1e-6 and abs(g - (1 - math.comb(n - c, k) / math.comb(n, k))) < 1e-12
 
 
 def test_pass_at_k_skips_large_k(spark):
@@ -94,3 +94,29 @@ def test_mean_loss_multi_matches_single(spark):
         for mb in (5, 20, 0):
             one = E.mean_loss(df, mb, w).first()
             assert abs(multi[mb][0] - one.loss) < 1e-12 and multi[mb][1] == one.n
+
+
+def test_step_rollup_counts_micro_batches_from_one(spark):
+    from tokloom.operators import runlog as R
+    # run a: 40 micro-batches with gaps in their ids, steps 1 and 2 whole, 8 left over
+    rows = [("a", 3 * i + 7, float(i), 10) for i in range(40)] + [("b", i, float(i), 10) for i in range(15)]
+    log = spark.createDataFrame(rows, "run_id string, raw_step long, loss double, tokens long")
+    got = sorted(tuple(r) for r in R.step_rollup(log, accum=16, log_every=1).select(
+        "run_id", "step", "loss", "n_micro", "tokens").collect())
+    assert got == [("a", 1, 15.0, 16, 160), ("a", 2, 31.0, 16, 160)]
+    assert [r.step for r in R.step_rollup(log, 16, 2).collect()] == [2]
+
+
+def test_validity_rate_counts_null_as_not_valid(spark):
+    df = spark.createDataFrame([("x", True), ("x", None), ("x", False), ("y", True)], "g string, ok boolean")
+    got = {r.g: (r.n_total, r.n_valid, r.pass_rate) for r in E.validity_rate(df, "ok", ["g"]).collect()}
+    assert got == {"x": (3, 1, 1 / 3), "y": (1, 1, 1.0)}
+
+
+def test_nucleus_running_mass(spark):
+    rows = [("c", t, math.log(p)) for t, p in enumerate([0.5, 0.3, 0.15, 0.05])]
+    df = spark.createDataFrame(rows, "ctx string, token int, logit double")
+    assert {r.token for r in SC.nucleus(df, 0.79).collect()} == {0, 1}
+    assert {r.token for r in SC.nucleus(df, 0.9).collect()} == {0, 1, 2}
+    plan = SC.prune(df, 3, 0.9)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

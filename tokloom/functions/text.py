@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokloom.config import PY_SPACE_CLASS
+from tokloom.config import PY_SPACE_CLASS, STORAGE_WIDTH_LIMIT
 
 
 def _c(x) -> Column:
@@ -108,7 +108,7 @@ def padded_name(idx, ext) -> Column:
 
 
 def storage_dtype(vocab_size) -> Column:
-    return F.when(_c(vocab_size) < 65535, F.lit("uint16")).otherwise(F.lit("uint32"))
+    return F.when(_c(vocab_size) < STORAGE_WIDTH_LIMIT, F.lit("uint16")).otherwise(F.lit("uint32"))
 
 
 def cut_at_blank_line(text) -> Column:

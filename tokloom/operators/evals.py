@@ -1,4 +1,4 @@
-"""Evaluation statistics.
+"""Evaluation statistics.
 
 Samples arrive as a flat table (task_id, sample_id, completion, passed);
 nesting happens only at a sink.  Nothing is executed: pass/fail is data.
@@ -6,12 +6,8 @@ nesting happens only at a sink.  Nothing is executed: pass/fail is data.
 
 from __future__ import annotations
 
-import ast
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tokloom.config import PASS_AT_K
 from tokloom.functions.stats import pass_at_k, perplexity
@@ -48,27 +44,13 @@ def completion_text(prompt, completion):
     return cut, F.concat(prompt if not isinstance(prompt, str) else F.col(prompt), cut)
 
 
-@F.pandas_udf(T.BooleanType())
-def syntax_ok(code: pd.Series) -> pd.Series:
-    """The text parses as Python (vectorised batch, one call per row)."""
-    def ok(s):
-        if s is None:
-            return False
-        try:
-            ast.parse(s)
-            return True
-        except (SyntaxError, ValueError, RecursionError, MemoryError):
-            return False
-    return code.map(ok)
-
-
-def validity_rate(df: DataFrame, code_col: str, group: list[str]) -> DataFrame:
-    """X2 + A7: share of parseable texts per group (0.0 when empty)."""
-    return (df.withColumn("_ok", syntax_ok(F.col(code_col)))
-            .groupBy(*group)
-            .agg(F.count(F.lit(1)).cast("long").alias("n_total"),
-                 F.sum(F.col("_ok").cast("int")).cast("long").alias("n_valid"),
-                 F.coalesce(F.avg(F.col("_ok").cast("double")), F.lit(0.0)).alias("pass_rate")))
+def validity_rate(df: DataFrame, ok_col: str, group: list[str]) -> DataFrame:
+    """Share of rows whose verdict is true per group (a null verdict is
+    not; 0.0 when there is none)."""
+    ok = F.coalesce(F.col(ok_col), F.lit(False)).cast("int")
+    return df.groupBy(*group).agg(
+        F.count(F.lit(1)).cast("long").alias("n_total"), F.sum(ok).cast("long").alias("n_valid"),
+        F.coalesce(F.avg(ok.cast("double")), F.lit(0.0)).alias("pass_rate"))
 
 
 def mean_loss(losses: DataFrame, max_batches: int | None, weight: str = "batch",

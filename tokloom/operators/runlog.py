@@ -10,14 +10,17 @@ from tokloom.operators.ordered import running_sums
 
 def step_rollup(log: DataFrame, accum: int, log_every: int, run: str = "run_id",
                 raw_step: str = "raw_step") -> DataFrame:
-    """``accum`` micro-batches make one optimizer step; report every
-    ``log_every`` steps the last micro-batch's loss and the step's tokens."""
-    s = log.withColumn("step", F.floor(F.col(raw_step) / accum))
+    """Micro-batches are counted from 1 in each run and ``accum`` of them
+    make one optimizer step; report, every ``log_every`` whole steps, the last
+    micro-batch's loss and the step's tokens."""
+    nth = running_sums(log, [raw_step], {"_nth": F.lit(1).cast("long")}, group=[run],
+                       inclusive=True)
+    s = nth.withColumn("step", F.ceil(F.col("_nth") / accum))
     g = s.groupBy(run, "step").agg(
         F.max_by("loss", raw_step).alias("loss"),
         F.count(F.lit(1)).cast("long").alias("n_micro"),
         F.sum("tokens").cast("long").alias("tokens"))
-    return g.where(F.col("step") % log_every == 0)
+    return g.where((F.col("n_micro") == accum) & (F.col("step") % log_every == 0))
 
 
 def throughput(log: DataFrame, run: str = "run_id", raw_step: str = "raw_step") -> DataFrame:

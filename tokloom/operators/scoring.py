@@ -1,30 +1,29 @@
 """Candidate scoring and pruning.
 
-Candidates are rows (ctx, token, logit).  Per-context maxima and sums are
-grouped aggregates joined back (partial aggregation, so a hot context is
-combined map-side); top-k uses ``rank`` so Catalyst inserts a partial
-group limit before the shuffle; the nucleus's ordered running sum is the
-range-partitioned running sum, so no context has to fit in one task.
+Candidates are rows (ctx, token, logit), one for each token at most, so a
+context has no more rows than the vocabulary has tokens: that bound is what
+lets maxima, sums, ranks and running mass be windows over one partitioning
+by context (one exchange for the whole chain).  Running mass in a fixed
+order inside one task also makes the nucleus edge independent of the
+partitioning.  Top-k uses ``rank``, so Catalyst cuts groups before the
+shuffle as well.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokloom.config import TEMPERATURE_FLOOR
 from tokloom.functions.hashing import phash
-from tokloom.operators.ordered import running_sums
 
 
 def softmax(df: DataFrame, ctx: str = "ctx", logit: str = "logit",
             out: str = "prob") -> DataFrame:
     """exp(l - max) / sum(exp(l - max)) per context."""
-    m = df.groupBy(ctx).agg(F.max(logit).alias("_mx"))
-    j = df.join(m, ctx)
-    j = j.withColumn("_e", F.exp(F.col(logit) - F.col("_mx")))
-    s = j.groupBy(ctx).agg(F.sum("_e").alias("_se"))
-    return j.join(s, ctx).withColumn(out, F.col("_e") / F.col("_se")).drop("_mx", "_e", "_se")
+    w = Window.partitionBy(ctx)
+    e = df.withColumn("_e", F.exp(F.col(logit) - F.max(logit).over(w)))
+    return e.withColumn(out, F.col("_e") / F.sum("_e").over(w)).drop("_e")
 
 
 def penalise(scores: DataFrame, history: DataFrame, penalty: float,
@@ -35,15 +34,27 @@ def penalise(scores: DataFrame, history: DataFrame, penalty: float,
 
     mode="divide" divides whatever the sign (so negative logits rise);
     mode="signed" divides positive logits and multiplies negative ones."""
+    j = with_seen(scores, history, ctx, token)
+    return j.withColumn(logit, penalised_logit(logit, penalty, temperature, mode)).drop("_seen")
+
+
+def with_seen(scores: DataFrame, history: DataFrame, ctx: str = "ctx",
+              token: str = "token") -> DataFrame:
+    """Scores with ``_seen``, null unless the context's history holds the
+    token."""
     seen = history.select(ctx, token).distinct().withColumn("_seen", F.lit(True))
-    j = scores.join(seen, [ctx, token], "left")
+    return scores.join(seen, [ctx, token], "left")
+
+
+def penalised_logit(logit: str, penalty: float, temperature: float, mode: str) -> Column:
+    """T10 on a row of ``with_seen``."""
     l = F.col(logit)
     if mode == "signed":
         pen = F.when(l > 0, l / penalty).otherwise(l * penalty)
     else:
         pen = l / penalty
     l2 = F.when(F.col("_seen").isNotNull() & F.lit(penalty != 1.0), pen).otherwise(l)
-    return j.withColumn(logit, l2 / F.lit(max(temperature, TEMPERATURE_FLOOR))).drop("_seen")
+    return l2 / F.lit(max(temperature, TEMPERATURE_FLOOR))
 
 
 def top_k(df: DataFrame, k: int, ctx: str = "ctx", logit: str = "logit") -> DataFrame:
@@ -61,10 +72,11 @@ def nucleus(df: DataFrame, top_p: float, ctx: str = "ctx", token: str = "token",
     *before* it exceeds top_p (the first row always stays); 1.0 disables."""
     if top_p >= 1.0:
         return df
+    before = (Window.partitionBy(ctx).orderBy(F.desc(logit), token)
+              .rowsBetween(Window.unboundedPreceding, -1))
     p = softmax(df, ctx, logit, "_p")
-    p = p.withColumn("_neg", -F.col(logit))
-    cum = running_sums(p, ["_neg", token], {"_before": F.col("_p")}, group=[ctx])
-    return cum.where(F.col("_before") <= top_p).drop("_p", "_neg", "_before")
+    cum = p.withColumn("_before", F.coalesce(F.sum("_p").over(before), F.lit(0.0)))
+    return cum.where(F.col("_before") <= top_p).drop("_p", "_before")
 
 
 def prune(df: DataFrame, top_k_: int, top_p: float, ctx: str = "ctx",

@@ -16,6 +16,7 @@ from tokloom.sources.tables import load
 HASH_VOCAB = 30100
 ALPHA = 1.0
 LOSS_BATCH = 64
+MAX_BATCHES = [20, 50, 0]  # 0: the whole validation split
 TOKENS_PER_MICRO = 2048
 
 
@@ -51,9 +52,10 @@ def q_sample_grid(spark, sf):
     return E.expand_samples(probs, N_SAMPLES).select("task_id", "sample_id")
 
 
-def q_syntax_rate(spark, sf):
-    d = load(spark, sf, "documents").select("lang", "text")
-    return E.validity_rate(d, "text", ["lang"])
+def q_validity_rate(spark, sf):
+    """A7 over the quality verdicts of the labelled documents, per source."""
+    return E.validity_rate(samples(spark, sf), "passed", ["task_id"]).withColumn(
+        "pass_rate", F.round("pass_rate", 6))
 
 
 def q_completions(spark, sf):
@@ -88,7 +90,7 @@ def _val_losses(spark, sf):
 
 def _val_loss(spark, sf, weight):
     tl = _val_losses(spark, sf)
-    return E.mean_loss_multi(tl, [20, 50], weight).select(
+    return E.mean_loss_multi(tl, MAX_BATCHES, weight).select(
         "max_batches", F.round("loss", 6).alias("loss"), "n")
 
 
@@ -140,11 +142,10 @@ def q_penalised(spark, sf):
     c = candidates(spark, sf)
     hist = load(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select(
         F.col("l_suppkey").alias("ctx"), F.col("l_partkey").alias("token"))
-    d = SC.penalise(c, hist, 1.3, 0.7, "divide").select(
-        "ctx", "token", F.round("logit", 6).alias("logit_divide"))
-    s = SC.penalise(c, hist, 1.3, 0.7, "signed").select(
-        "ctx", "token", F.round("logit", 6).alias("logit_signed"))
-    return d.join(s, ["ctx", "token"])
+    seen = SC.with_seen(c, hist)
+    return seen.select("ctx", "token", *[
+        F.round(SC.penalised_logit("logit", 1.3, 0.7, m), 6).alias(f"logit_{m}")
+        for m in ("divide", "signed")])
 
 
 def q_sample_next(spark, sf):
@@ -184,7 +185,7 @@ QUERIES = {
     "pass_at_k": q_pass_at_k,
     "task_progress": q_task_progress,
     "sample_grid": q_sample_grid,
-    "syntax_rate": q_syntax_rate,
+    "validity_rate": q_validity_rate,
     "completions": q_completions,
     "ngram_counts": q_ngram_counts,
     "val_loss_batch": q_val_loss_batch,

@@ -3,8 +3,11 @@ checkpoint folder used to cut lineage in iterative operators."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,8 +35,10 @@ def local_session(cores: int | str = "*", partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder.
 
-    Read from the running context or ``spark.checkpoint.dir``; only when
-    neither is set (local tests) a private folder is created.
+    Read from the running context or ``spark.checkpoint.dir``.  Only a
+    local master may go without: a private folder is then created, and
+    removed when the process ends.  On a cluster it would lie on one
+    machine, so there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,11 +47,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         conf = tempfile.mkdtemp(prefix="tokloom-ckpt-")
+        atexit.register(shutil.rmtree, conf, ignore_errors=True)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
