@@ -1,7 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
-
 from tokloom.operators import stream as S
 from tokloom.operators.fim import collate, fim_samples
 
@@ -57,14 +55,32 @@ def test_windows_against_brute_force(spark):
 
 def test_shuffle_is_partition_independent(spark):
     w = spark.range(0, 203).withColumnRenamed("id", "win_id")
-    a = {r.win_id: (r.batch_id, r.row) for r in S.shuffled_batches(w, 8, 1337).collect()}
+    a = {r.win_id: (r.batch_id, r.row) for r in S.shuffled_batches(w, 8, 1337, 203).collect()}
     b = {r.win_id: (r.batch_id, r.row)
-         for r in S.shuffled_batches(w.repartition(5), 8, 1337).collect()}
+         for r in S.shuffled_batches(w.repartition(5), 8, 1337, 203).collect()}
     assert a == b
     assert len(a) == (203 // 8) * 8
     assert sorted(a.values()) == [(i // 8, i % 8) for i in range(len(a))]
 
 
+def test_epochs_restart_and_drop_their_own_rest(spark):
+    # 13 windows, 2 epochs, batches of 8: one whole batch each, 5 windows dropped each
+    w = S.epochs(spark.range(13).withColumnRenamed("id", "win_id"), 2)
+    rows = S.shuffled_batches(w, 8, 1337, 13, epoch="epoch").collect()
+    assert sorted((r.epoch, r.batch_id, r.row) for r in rows) == [
+        (e, e, i) for e in (0, 1) for i in range(8)]
+    kept = {e: [r.win_id for r in sorted(rows, key=lambda r: r.row) if r.epoch == e] for e in (0, 1)}
+    assert all(len(set(k)) == 8 for k in kept.values()) and kept[0] != kept[1]
+
+
+def test_strided_starts_can_be_sampled(spark):
+    st, flat = make_stream(spark, [50, 70, 9])
+    blk = S.blocks(st, 4)
+    whole = {r.win_id: r.x for r in S.windows_strided(blk, 4, 1, len(flat)).collect()}
+    some = {r.win_id: r.x for r in S.windows_strided(blk, 4, 1, len(flat), rate=0.25, seed=1).collect()}
+    assert 0 < len(some) < len(whole) and all(whole[k] == v for k, v in some.items())
+
+
 def test_fim_unpermutes(spark):
     xs = [(i, list(range(20, 20 + n))) for i, n in enumerate([3, 5, 6, 7, 32, 32, 32, 32])]
     df = spark.createDataFrame(xs, "win_id long, x array<int>")
@@ -99,4 +115,3 @@ def test_collate_mixed_lengths_and_real_pad(spark):
     assert got[1].attention_mask == [1] * 7
     assert got[2].attention_mask == [1] * 7
     assert got[3].attention_mask == [1, 0, 0, 0, 0, 0, 0]
-    assert F is not None

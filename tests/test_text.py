@@ -55,6 +55,3 @@ def test_strip_nonempty_drops_blank(spark):
     df = spark.createDataFrame([(v,) for v in ["\n a \t", " ", "\u0085", "x"]], "text string")
     assert sorted(r.text for r in strip_nonempty(df).collect()) == ["a", "x"]
 
-
-def test_unused_import_guard():
-    assert F is not None

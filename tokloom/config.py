@@ -49,9 +49,10 @@ EXT_TO_TAG = {
     ".md": None, ".txt": None,
 }
 
-# Byte-level pre-tokenizer pattern (no prefix space).
+# Byte-level pre-tokenizer pattern (no prefix space); white space is Unicode
+# white space, which Java's \s means only under (?U).
 PRETOKENIZE_RE = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
 VOCAB_SIZE = 32000
@@ -75,6 +76,12 @@ PY_SPACE_CLASS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+# Unicode white space (the property), as a class body that RE2 reads.
+WHITE_SPACE = (
+    r"\t\n\x0b\x0c\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+
 # ---------------------------------------------------------------------------
 # Mapping of the driver's tables onto corpus concepts (our own choice).
 # ---------------------------------------------------------------------------
@@ -82,6 +89,11 @@ PY_SPACE_CLASS = (
 # documents.lang -> file extension of the "code file" a document stands for.
 LANG_TO_EXT = {"en": ".py", "de": ".js", "fr": ".md", "es": ".go"}
 
+# First folder of a document's path in the discovery queries, by id: some
+# match an exclusion pattern whole, some only hold one, some neither.
+TREE_DIRS = ("src", "lib", "build", "rebuilt", "node_modules", "dist", "distance", "vendor",
+             "docs", ".github", "app.git", "tests")
+
 # Word-hash tokenizer used by oracle-checkable stream queries: every run of
 # non-blank ASCII-delimited characters is one token with id
 # HASH_ID_BASE + h(word) mod HASH_ID_SPAN; documents end with EOT_ID.

@@ -18,7 +18,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokloom.config import MIN_FREQ, PRETOKENIZE_RE, SPECIALS
+from tokloom.config import MIN_FREQ, PRETOKENIZE_RE, SPECIALS, VOCAB_SIZE
 from tokloom.functions.bytelevel import (ALPHABET, token_hex,
                                          utf8_byte_ids, utf8_byte_values)
 from tokloom.functions.text import py_strip
@@ -130,8 +130,7 @@ def base_model(specials=SPECIALS) -> BpeModel:
 
 def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
               specials=SPECIALS, batch_candidates: int = 256,
-              checkpoint_every: int = 10, max_rounds: int | None = None,
-              incremental: bool = False) -> BpeModel:
+              checkpoint_every: int = 10, incremental: bool = False) -> BpeModel:
     """Learn merges from a (word, n) histogram.
 
     Greedy rule: the pair with the highest weighted count, ties to the
@@ -163,7 +162,7 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
     loop = _train_rounds_incremental if incremental else _train_rounds
     try:
         return loop(spark, words, vocab_size, min_freq, specials,
-                    batch_candidates, checkpoint_every, max_rounds)
+                    batch_candidates, checkpoint_every)
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
@@ -217,7 +216,7 @@ def _initial_words(spark, words: DataFrame, first: int) -> DataFrame:
 
 
 def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates,
-                  checkpoint_every, max_rounds) -> BpeModel:
+                  checkpoint_every) -> BpeModel:
     model = base_model(specials)
     token_id = {t: i for i, t in enumerate(model.tokens)}
     size = len(model.tokens)
@@ -225,8 +224,6 @@ def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates
     held: list[DataFrame] = []  # persisted rounds still feeding the lineage
     rounds = 0
     while size < vocab_size:
-        if max_rounds is not None and rounds >= max_rounds:
-            break
         rounds += 1
         t0 = time.time()
         cand, after_r, before_l = _round_stats(cur, batch_candidates)
@@ -257,7 +254,7 @@ def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates
 
 
 def _train_rounds_incremental(spark, words, vocab_size, min_freq, specials,
-                              batch_candidates, checkpoint_every, max_rounds) -> BpeModel:
+                              batch_candidates, checkpoint_every) -> BpeModel:
     model = base_model(specials)
     token_id = {t: i for i, t in enumerate(model.tokens)}
     size = len(model.tokens)
@@ -266,8 +263,6 @@ def _train_rounds_incremental(spark, words, vocab_size, min_freq, specials,
     held: list[DataFrame] = []
     rounds = 0
     while size < vocab_size:
-        if max_rounds is not None and rounds >= max_rounds:
-            break
         rounds += 1
         t0 = time.time()
         cand, after_r, before_l = _stats_from_pairs(pc, batch_candidates)
@@ -309,7 +304,7 @@ def _train_rounds_incremental(spark, words, vocab_size, min_freq, specials,
     return model
 
 
-def learn_vocab(docs: DataFrame, vocab_size: int, text_col: str = "text",
+def learn_vocab(docs: DataFrame, vocab_size: int = VOCAB_SIZE, text_col: str = "text",
                 min_freq: int = MIN_FREQ, **kw) -> BpeModel:
     """T1 -> A4 -> T2."""
     return train_bpe(word_histogram(docs, text_col), vocab_size, min_freq, **kw)

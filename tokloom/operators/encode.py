@@ -1,22 +1,22 @@
 """Encoding and decoding with a learned BPE model (T3, T3b, T3c, T3d, J2, J3).
 
-Documents are exploded into (doc, position, word); every *distinct* word is
-encoded once (the corpus shrinks to its vocabulary of words before any
-merge work), the codes are joined back on ``word`` and regrouped per
-document in position order.  The word join is an ordinary equi-join: AQE
-broadcasts the code table when its measured size allows and splits skewed
-(hot-word) partitions otherwise.
+The model (bounded by the vocabulary size) is broadcast and every document
+is encoded in the task that holds it, a batch at a time: words come from the
+JVM pre-tokenizer, each is looked up in the task's word table, and only words
+the task has not met are merged.  Nothing is shuffled and ids stay with
+their row; decoding is the same in reverse.
 """
 
 from __future__ import annotations
 
 import heapq
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tokloom.functions.bytelevel import byte_ids, hex_to_text
+from tokloom.functions.bytelevel import byte_ids
 from tokloom.functions.text import py_strip
 from tokloom.operators.bpe import BpeModel, pretokenize
 
@@ -62,59 +62,73 @@ def merge_word(ids: list[int], ranks: dict) -> list[int]:
     return [s for s, a in zip(syms, alive) if a]
 
 
-def _word_encoder(model: BpeModel, spark):
-    first = model.n_special
-    table = byte_ids(first)
-    ranks = {}
-    for r, (a, b, m) in enumerate(model.merges):
-        ranks.setdefault((a, b), (r, m))
-    bc = spark.sparkContext.broadcast((table, ranks))  # bounded by vocab_size
-
-    def encode_batches(batches):
-        tbl, rk = bc.value
-        for pdf in batches:
-            codes = [merge_word([tbl[b] for b in w.encode("utf-8")], rk)
-                     for w in pdf["word"]]
-            yield pd.DataFrame({"word": pdf["word"], "ids": codes})
+#: Words a task remembers before it starts afresh.
+KNOWN_WORDS = 500_000
 
-    return encode_batches
 
-
-def encode_words(words: DataFrame, model: BpeModel) -> DataFrame:
-    """J2 input: (word, ids) for each distinct word."""
-    fn = _word_encoder(model, words.sparkSession)
-    return words.select("word").mapInPandas(fn, "word string, ids array<int>")
+def _ranks(model: BpeModel) -> dict:
+    ranks: dict = {}
+    for r, (a, b, m) in enumerate(model.merges):
+        ranks.setdefault((a, b), (r, m))
+    return ranks
 
 
 def encode_docs(docs: DataFrame, model: BpeModel, key: str = "doc_id",
-                text_col: str = "text", strip: bool = True) -> DataFrame:
-    """(key, ids) per document; no bos/eos.  Blank documents vanish."""
+                text_col: str = "text", strip: bool = True, keep: tuple = ()) -> DataFrame:
+    """(key, *keep, ids) per document; no bos/eos.  Blank documents vanish."""
     t = py_strip(text_col) if strip else F.col(text_col)
-    occ = (docs.select(key, t.alias("_t")).where(F.length("_t") > 0)
-           .select(key, F.posexplode(pretokenize(F.col("_t"))).alias("pos", "word")))
-    codes = encode_words(occ.select("word").distinct(), model)
-    j = occ.join(codes, "word")
-    return (j.groupBy(key)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("_p"))
-            .select(key, F.flatten(F.transform("_p", lambda z: z["ids"])).alias("ids")))
+    cols = [key, *keep]
+    words = (docs.select(*cols, t.alias("_t")).where(F.length("_t") > 0)
+             .select(*cols, pretokenize(F.col("_t")).alias("_w")))
+    shared = docs.sparkSession.sparkContext.broadcast((byte_ids(model.n_special), _ranks(model)))
+
+    def encode(batches):
+        table, ranks = shared.value
+        known: dict = {}
+        for batch in batches:
+            out = []
+            for ws in batch.column("_w").to_pylist():
+                ids: list = []
+                for w in ws:
+                    code = known.get(w)
+                    if code is None:
+                        if len(known) >= KNOWN_WORDS:
+                            known.clear()
+                        code = known[w] = merge_word([table[b] for b in w.encode("utf-8")], ranks)
+                    ids += code
+                out.append(ids)
+            arrays = [batch.column(c) for c in cols]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(out, pa.list_(pa.int32()))],
+                                             names=[*cols, "ids"])
+
+    schema = T.StructType([*words.select(*cols).schema.fields,
+                           T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return words.mapInArrow(encode, schema)
 
 
 def decode_ids(seqs: DataFrame, vocab: DataFrame, key: str = "doc_id",
                ids_col: str = "ids", skip_special: bool = True) -> DataFrame:
-    """Ids back to text.  Each token id maps to the hex of its bytes
-    through a broadcast join on the (bounded) vocabulary; the bytes are
-    concatenated in order and decoded as UTF-8 (bad sequences -> U+FFFD).
-    NUL and every other byte survive because no character mapping is used."""
-    v = vocab.select(F.col("id").alias("tid"), "hex", "is_special")
-    if skip_special:
-        v = v.where(~F.col("is_special"))
-    ex = seqs.select(key, F.posexplode(ids_col).alias("pos", "tid"))
-    j = ex.join(F.broadcast(v), "tid")
-    hx = (j.groupBy(key)
-          .agg(F.array_sort(F.collect_list(F.struct("pos", "hex"))).alias("_h"))
-          .select(key, F.array_join(F.transform("_h", lambda z: z["hex"]), "").alias("_hex")))
-    out = seqs.select(key).distinct().join(hx, key, "left")
-    return out.select(key, F.coalesce(hex_to_text(F.col("_hex")), F.lit("")).alias("text"))
+    """Ids back to text.  The vocabulary (id, hex, is_special; bounded by
+    its size) is collected once and broadcast; the bytes of a row's tokens
+    are joined and decoded as UTF-8 (bad sequences -> U+FFFD).  NUL and every
+    other byte survive because no character mapping is used."""
+    rows = vocab.select("id", "hex", "is_special").collect()
+    table = {r["id"]: bytes.fromhex(r["hex"]) for r in rows if r["hex"] is not None}
+    if not skip_special:
+        names = {r["id"]: r["token"] for r in vocab.where("is_special").collect()}
+        table.update({i: t.encode() for i, t in names.items()})
+    shared = seqs.sparkSession.sparkContext.broadcast(table)
+
+    def decode(batches):
+        token = shared.value
+        for batch in batches:
+            texts = [b"".join(token.get(i, b"") for i in ids or ()).decode("utf-8", "replace")
+                     for ids in batch.column(ids_col).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(texts, pa.string())],
+                                             names=[key, "text"])
+
+    schema = T.StructType([seqs.schema[key], T.StructField("text", T.StringType())])
+    return seqs.select(key, ids_col).mapInArrow(decode, schema)
 
 
 def add_template(ids: Column, bos: int, eos: int, pair: Column | None = None) -> Column:

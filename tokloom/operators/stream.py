@@ -101,11 +101,14 @@ def windows_packed(blk: DataFrame, block_size: int) -> DataFrame:
         F.concat(F.slice("ids", 2, block_size - 1), F.array("_next")).alias("y"))
 
 
-def windows_strided(blk: DataFrame, block_size: int, stride: int, total: int) -> DataFrame:
+def windows_strided(blk: DataFrame, block_size: int, stride: int, total: int,
+                    rate: float | None = None, seed: int = 0) -> DataFrame:
     """T4 at any stride: windows start at 0, stride, 2*stride, ... while
     start + block_size < N.  Window ``i`` lies in blocks i div B and the
     next one, which are joined on block number; only the starts that exist
-    are exploded."""
+    are exploded.  At a small stride every id is in many windows: with
+    ``rate`` the starts are sampled (by the portable hash) before a window is
+    cut, so only the sampled ones are ever written out."""
     B = block_size
     nxt = blk.select((F.col("blk") - 1).alias("blk"), F.col("ids").alias("_nx"))
     j = blk.join(nxt, "blk", "left")
@@ -116,6 +119,8 @@ def windows_strided(blk: DataFrame, block_size: int, stride: int, total: int) ->
     hi = F.least(base + F.lit(B - 1), last_start)
     starts = F.when(first <= hi, F.sequence(first.cast("long"), hi.cast("long"),
                                             F.lit(stride).cast("long")))
+    if rate is not None:
+        starts = F.filter(starts, lambda s: uniform(seed, s) < rate)
     ex = j.select(cat.alias("_cat"), base.alias("_base"),
                   F.explode(starts).alias("start"))
     off = (F.col("start") - F.col("_base")).cast("int")
@@ -138,21 +143,25 @@ def batch_count(n_windows: int, batch_size: int, drop_last: bool) -> int:
 
 
 def shuffled_batches(samples: DataFrame, batch_size: int, seed: int,
-                     key: str = "win_id", drop_last: bool = True,
-                     epoch: Column | None = None) -> DataFrame:
+                     n_samples: int, key: str = "win_id", drop_last: bool = True,
+                     epoch: str | None = None) -> DataFrame:
     """O5 + T8 (train): order samples by the portable hash of (seed, key),
     number them with a distributed running count, cut batches of
-    ``batch_size`` and drop the last partial batch."""
-    parts = [seed, F.col(key)] if epoch is None else [seed, epoch, F.col(key)]
+    ``batch_size`` and drop the last partial batch.
+
+    ``n_samples`` (per epoch) is known from the window count, so nothing is
+    counted here.  With an ``epoch`` column every epoch has its own order,
+    its own batches and its own dropped rest; batch ids run on."""
+    parts = [seed, F.col(key)] if epoch is None else [seed, F.col(epoch), F.col(key)]
     s = samples.withColumn("_h", phash(*parts))
-    order = ["_h", key] if epoch is None else [epoch, "_h", key]
-    ranked = running_sums(s, order, {"_rank": F.lit(1).cast("long")})
-    out = ranked.withColumn("batch_id", F.floor(F.col("_rank") / batch_size)) \
+    ranked = running_sums(s, ["_h", key], {"_rank": F.lit(1).cast("long")},
+                          group=[epoch] if epoch else ())
+    per_epoch = batch_count(n_samples, batch_size, drop_last)
+    earlier = F.col(epoch) * F.lit(per_epoch) if epoch else F.lit(0)
+    out = ranked.withColumn("batch_id", (earlier + F.floor(F.col("_rank") / batch_size)).cast("long")) \
         .withColumn("row", (F.col("_rank") % batch_size).cast("int"))
     if drop_last:
-        n = samples.count()
-        full = (n // batch_size) * batch_size
-        out = out.where(F.col("_rank") < full)
+        out = out.where(F.col("_rank") < per_epoch * batch_size)
     return out.drop("_h", "_rank")
 
 
@@ -163,7 +172,7 @@ def sequential_batches(samples: DataFrame, batch_size: int, key: str = "win_id")
 
 
 def epochs(samples: DataFrame, n_epochs: int) -> DataFrame:
-    """Cycle the samples ``n_epochs`` times; the epoch joins the
-    shuffle key so each epoch has its own order (see shuffled_batches)."""
+    """The samples once for each epoch; the epoch joins the shuffle key
+    and groups the batches (see shuffled_batches)."""
     return samples.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1)))
                           .alias("epoch"))

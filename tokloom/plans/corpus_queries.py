@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tokloom.config import CorpusConfig, SPECIALS
-from tokloom.functions.text import padded_name, path_parts, py_strip
+from tokloom.config import CORE_SPECIALS, CorpusConfig, HASH_WORD_RE, SPECIALS, TREE_DIRS
+from tokloom.functions.text import padded_name, path_parts, suffix
 from tokloom.operators import corpus as C
+from tokloom.operators.bpe import word_histogram
 from tokloom.sources.files import file_filter
 from tokloom.sources.tables import code_files, load, union_sources
 
@@ -17,12 +18,30 @@ def discovered(spark, sf, mode="substring"):
     return files.where(file_filter("path", "n_bytes", cfg))
 
 
+def code_tree(spark, sf):
+    """Documents as files of a source tree: a folder chosen by the id, and a
+    few names that a rule rejects."""
+    f = code_files(spark, sf)
+    i = F.col("doc_id")
+    folder = F.element_at(F.array(*[F.lit(d) for d in TREE_DIRS]),
+                          (F.pmod(i, F.lit(len(TREE_DIRS))) + 1).cast("int"))
+    ext = (F.when(i % 11 == 0, ".lock").when((F.col("ext") == ".js") & (i % 3 == 0), ".min.js")
+           .when(i % 13 == 0, ".html").otherwise(F.col("ext")))
+    return f.select(F.concat_ws("/", folder, "source", padded_name(i, ext)).alias("path"), "n_bytes")
+
+
+def _discover(spark, sf, mode):
+    cfg = CorpusConfig(exclude_mode=mode)
+    return (code_tree(spark, sf).where(file_filter("path", "n_bytes", cfg))
+            .select("path", suffix("path").alias("ext"), "n_bytes"))
+
+
 def q_discover_filtered(spark, sf):
-    return discovered(spark, sf).select("path", "ext", "n_bytes")
+    return _discover(spark, sf, "substring")
 
 
 def q_discover_glob(spark, sf):
-    return discovered(spark, sf, "glob").select("path", "ext", "n_bytes")
+    return _discover(spark, sf, "glob")
 
 
 def q_ext_histogram(spark, sf):
@@ -91,14 +110,15 @@ def q_tag_lookup(spark, sf):
 
 
 def q_missing_specials(spark, sf):
-    """Specials (and FIM markers) that the corpus's own word vocabulary
-    does not already contain."""
-    from tokloom.operators.bpe import word_histogram
-    words = word_histogram(load(spark, sf, "documents"), "text").select(
-        F.col("word").alias("token"))
-    wanted = spark.createDataFrame(
-        [(i, t) for i, t in enumerate(SPECIALS)], "pos int, token string")
-    return C.missing_tokens(wanted, words)
+    """Specials and benchmark words that a vocabulary of the corpus's
+    words and the core specials lacks."""
+    vocab = (word_histogram(load(spark, sf, "documents"), "text")
+             .select(F.ltrim("word").alias("token"))
+             .unionByName(spark.createDataFrame([(t,) for t in CORE_SPECIALS], "token string")))
+    words = load(spark, sf, "benchmark").select(
+        F.explode(F.regexp_extract_all("text", F.lit(HASH_WORD_RE), F.lit(0))).alias("token"))
+    wanted = spark.createDataFrame([(t,) for t in SPECIALS], "token string").unionByName(words)
+    return C.missing_tokens(wanted.distinct(), vocab)
 
 
 def q_doc_index(spark, sf):

@@ -7,10 +7,12 @@ values as the Spark side, never from Spark code.
 
 from __future__ import annotations
 
-from tokloom.config import (CODE_EXTENSIONS, EOT_ID, EXCLUDE_PATTERNS, EXT_TO_TAG,
+from tokloom.config import (CODE_EXTENSIONS, CORE_SPECIALS, EOT_ID, EXCLUDE_PATTERNS, EXT_TO_TAG,
                             HASH_ID_BASE, HASH_ID_SPAN, LANG_TO_EXT, PY_SPACE_CLASS,
-                            SPECIALS, TRAIN_SHUFFLE_SEED, VAL_RATIO)
+                            SPECIALS, TRAIN_SHUFFLE_SEED, TREE_DIRS, VAL_RATIO, WHITE_SPACE)
+from tokloom.functions.bytelevel import ALPHABET, byte_ids
 from tokloom.functions.text import glob_to_regex
+from tokloom.plans.token_queries import QUERY_MERGES
 
 
 def q(s: str) -> str:
@@ -44,6 +46,21 @@ _SUBSTR = " OR ".join(f"contains(lower(path), {q(p.lower())})" for p in EXCLUDE_
 _GLOB = "|".join(glob_to_regex(p.lower()) for p in EXCLUDE_PATTERNS)
 
 
+_DIRS = ", ".join(q(d) for d in TREE_DIRS)
+TREE = f"""tree AS (SELECT list_extract([{_DIRS}], (doc_id % {len(TREE_DIRS)})::INT + 1) || '/'
+    || source || '/' || printf('%08d', doc_id)
+    || CASE WHEN doc_id % 11 = 0 THEN '.lock' WHEN ext = '.js' AND doc_id % 3 = 0 THEN '.min.js'
+            WHEN doc_id % 13 = 0 THEN '.html' ELSE ext END AS path, n_bytes FROM files)"""
+
+
+def discover_tree(mode: str) -> str:
+    excl = _SUBSTR if mode == "substring" else (
+        f"list_bool_or(list_transform(string_split(lower(path), '/'), lambda p: regexp_matches(p, {q(_GLOB)})))")
+    return f"""WITH {FILES}, {TREE}
+        SELECT path, {SUFFIX} AS ext, n_bytes FROM tree
+        WHERE {SUFFIX} IN ({_EXTS}) AND NOT ({excl}) AND n_bytes BETWEEN 64 AND 1048576"""
+
+
 def discovered(mode: str = "substring") -> str:
     if mode == "glob":
         excl = (f"list_bool_or(list_transform(string_split(lower(path), '/'), "
@@ -80,22 +97,29 @@ tok AS (SELECT start_off + k AS pos, ids[k + 1] AS id
         FROM (SELECT start_off, ids, unnest(range(len(ids))) AS k FROM stream) u),
 ntok AS (SELECT count(*)::BIGINT AS n FROM tok)"""
 
+SPLIT = f"""{STREAM},
+cutoff AS (SELECT n - greatest(1, floor(n * {VAL_RATIO})::BIGINT) AS n_train FROM ntok),
+tok_train AS (SELECT pos, id FROM tok, cutoff WHERE pos < n_train),
+tok_val AS (SELECT pos - n_train AS pos, id FROM tok, cutoff WHERE pos >= n_train)"""
+
 
-def packed(b: int) -> str:
+def packed(b: int, tok: str = "tok") -> str:
     return f"""packed AS (
   SELECT a.blk AS win_id, a.x, b.y FROM
-   (SELECT pos // {b} AS blk, list(id ORDER BY pos) AS x FROM tok GROUP BY 1) a
-   JOIN (SELECT (pos - 1) // {b} AS blk, list(id ORDER BY pos) AS y FROM tok WHERE pos >= 1 GROUP BY 1) b
+   (SELECT pos // {b} AS blk, list(id ORDER BY pos) AS x FROM {tok} GROUP BY 1) a
+   JOIN (SELECT (pos - 1) // {b} AS blk, list(id ORDER BY pos) AS y FROM {tok} WHERE pos >= 1 GROUP BY 1) b
    ON a.blk = b.blk
   WHERE len(a.x) = {b} AND len(b.y) = {b})"""
 
 
-PRETOK_DUCK = ("'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}\\x01]+|\\s+")
+PRETOK_DUCK = (f"'s|'t|'re|'ve|'m|'ll|'d| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{WHITE_SPACE}\\p{{L}}\\p{{N}}\\x01]+"
+               f"|[{WHITE_SPACE}]+")
+_LAST_BLANK = f"([{WHITE_SPACE}]+)([{WHITE_SPACE}][^{WHITE_SPACE}])"
 
 
 def words_cte(src: str = "documents") -> str:
     return f"""d1 AS (SELECT {strip('text')} AS t FROM {src}),
-d2 AS (SELECT regexp_replace(t, '(\\s+)(\\s\\S)', '\\1' || chr(1) || '\\2', 'g') AS t FROM d1 WHERE length(t) > 0),
+d2 AS (SELECT regexp_replace(t, {q(_LAST_BLANK)}, '\\1' || chr(1) || '\\2', 'g') AS t FROM d1 WHERE length(t) > 0),
 wd AS (SELECT unnest(regexp_extract_all(t, {q(PRETOK_DUCK)})) AS word FROM d2),
 hist AS (SELECT word, count(*)::BIGINT AS n FROM wd GROUP BY 1)"""
 
@@ -117,8 +141,8 @@ fim AS (SELECT win_id, s[1:len(s) - 1] AS input_ids, s[2:len(s)] AS labels FROM
 
 
 SQL = {
-    "discover_filtered": f"WITH {discovered()} SELECT path, ext, n_bytes FROM disc",
-    "discover_glob": f"WITH {discovered('glob')} SELECT path, ext, n_bytes FROM disc",
+    "discover_filtered": discover_tree("substring"),
+    "discover_glob": discover_tree("glob"),
     "ext_histogram": f"WITH {discovered()} SELECT ext, count(*)::BIGINT AS n_files FROM disc GROUP BY ext",
     "corpus_totals": f"""WITH {discovered()} SELECT count(*)::BIGINT AS total_files,
         coalesce(sum(n_bytes), 0)::BIGINT AS total_bytes,
@@ -152,8 +176,10 @@ SQL = {
         SELECT dataset, idx, n_bytes FROM r WHERE fb < 400 AND bb < 2000000""",
     "tag_lookup": f"""WITH {FILES} SELECT doc_id, ext, {_TAG_NAME} AS tag, ({_TAG_CASE})::INTEGER AS tag_id FROM files""",
     "missing_specials": f"""WITH {words_cte()},
-        sp AS (SELECT * FROM (VALUES {', '.join(f'({i}, {q(t)})' for i, t in enumerate(SPECIALS))}) v(pos, token))
-        SELECT pos, token FROM sp WHERE token NOT IN (SELECT word FROM hist)""",
+        v AS (SELECT ltrim(word, ' ') AS token FROM hist UNION ALL SELECT unnest([{', '.join(q(t) for t in CORE_SPECIALS)}])),
+        wanted AS (SELECT unnest([{', '.join(q(t) for t in SPECIALS)}]) AS token
+                   UNION SELECT unnest(regexp_extract_all(text, '[^ \\t\\n\\r\\f]+')) FROM benchmark)
+        SELECT token FROM wanted WHERE token NOT IN (SELECT token FROM v)""",
     "word_histogram": f"WITH {words_cte()} SELECT word, n FROM hist",
     "stream_offsets": f"WITH {STREAM} SELECT doc_id, start_off, len(ids)::BIGINT AS n_tokens FROM stream",
     "split_tail": f"""WITH {STREAM},
@@ -185,17 +211,20 @@ SQL = {
                 list(id) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS x,
                 list(id) OVER (ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 16 FOLLOWING) AS y
               FROM tok)
-        SELECT win_id, x, y FROM w, ntok WHERE win_id + 16 < n""",
-    "train_batches": f"""WITH {STREAM}, {packed(61)},
+        SELECT win_id, x, y FROM w, ntok WHERE win_id + 16 < n AND {uni('42', 'win_id')} < 1.0 / 16""",
+    "train_batches": f"""WITH {SPLIT}, {packed(61, 'tok_train')},
         r AS (SELECT win_id, row_number() OVER (ORDER BY {h32(str(TRAIN_SHUFFLE_SEED), 'win_id')}, win_id) - 1 AS rk,
                 count(*) OVER () AS nw FROM packed)
         SELECT win_id, (rk // 8)::BIGINT AS batch_id, (rk % 8)::INTEGER AS "row" FROM r WHERE rk < (nw // 8) * 8""",
-    "val_batches": f"""WITH {STREAM}, {packed(61)}
+    "val_batches": f"""WITH {SPLIT}, {packed(61, 'tok_val')}
         SELECT (win_id // 8)::BIGINT AS batch_id, (win_id % 8)::INTEGER AS "row", win_id, x, y FROM packed""",
-    "fim_samples": f"WITH {STREAM}, {packed(61)}, {_fim_sql(61, 42)} SELECT win_id, input_ids, labels FROM fim",
-    "collated_batches": f"""WITH {STREAM}, {packed(61)}, {_fim_sql(61, 42)},
-        b AS (SELECT win_id // 8 AS batch_id, win_id % 8 AS "row", win_id, input_ids, labels,
-                len(input_ids) AS ln, max(len(input_ids)) OVER (PARTITION BY win_id // 8) AS mx FROM fim)
+    "fim_samples": f"WITH {SPLIT}, {packed(61, 'tok_train')}, {_fim_sql(61, 42)} SELECT win_id, input_ids, labels FROM fim",
+    "collated_batches": f"""WITH {SPLIT}, {packed(61, 'tok_train')}, {_fim_sql(61, 42)},
+        r AS (SELECT win_id AS w, row_number() OVER (ORDER BY {h32(str(TRAIN_SHUFFLE_SEED), 'win_id')}, win_id) - 1 AS rk,
+                count(*) OVER () AS nw FROM packed),
+        b AS (SELECT rk // 8 AS batch_id, rk % 8 AS "row", win_id, input_ids, labels,
+                len(input_ids) AS ln, max(len(input_ids)) OVER (PARTITION BY rk // 8) AS mx
+              FROM fim JOIN r ON r.w = fim.win_id WHERE rk < (nw // 8) * 8)
         SELECT batch_id::BIGINT AS batch_id, "row"::INTEGER AS "row", win_id,
           list_concat(input_ids, list_transform(range(mx - ln), lambda i: 1)) AS input_ids,
           list_concat(labels, list_transform(range(mx - ln), lambda i: -100)) AS labels,
@@ -249,17 +278,19 @@ SQL.update({
     "pass_at_k": f"""WITH {PER_TASK}, kk AS (SELECT unnest([1, 5, 10]) AS k)
         SELECT k, round(avg({PASSK}), 6) AS pass_at_k, count(*)::BIGINT AS n_tasks
         FROM per, kk WHERE k <= n_samples GROUP BY k""",
+    "validity_rate": f"""WITH {PER_TASK} SELECT task_id, n_samples AS n_total, n_correct AS n_valid,
+        round(n_correct / n_samples, 6) AS pass_rate FROM per""",
     "completions": """SELECT u.conv_id, u.turn, split_part(a.text, chr(10) || chr(10), 1) AS completion,
           length(u.text || split_part(a.text, chr(10) || chr(10), 1)) AS full_len
         FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
         WHERE u.role = 'user' AND a.role = 'assistant'""",
     "ngram_counts": f"WITH {NEXT_PAIRS} SELECT ctx, nxt, n FROM counts",
-    "val_loss_batch": f"""WITH {NEXT_PAIRS}, mb AS (SELECT unnest([20, 50]) AS max_batches),
-        per AS (SELECT max_batches, batch_id, avg(loss) AS bl FROM tl, mb WHERE batch_id < max_batches GROUP BY 1, 2)
+    "val_loss_batch": f"""WITH {NEXT_PAIRS}, mb AS (SELECT unnest([20, 50, 0]) AS max_batches),
+        per AS (SELECT max_batches, batch_id, avg(loss) AS bl FROM tl, mb WHERE (max_batches = 0 OR batch_id < max_batches) GROUP BY 1, 2)
         SELECT max_batches, round(avg(bl), 6) AS loss, count(*)::BIGINT AS n FROM per GROUP BY 1""",
-    "val_loss_token": f"""WITH {NEXT_PAIRS}, mb AS (SELECT unnest([20, 50]) AS max_batches)
+    "val_loss_token": f"""WITH {NEXT_PAIRS}, mb AS (SELECT unnest([20, 50, 0]) AS max_batches)
         SELECT max_batches, round(avg(loss), 6) AS loss, count(*)::BIGINT AS n
-        FROM tl, mb WHERE batch_id < max_batches GROUP BY 1""",
+        FROM tl, mb WHERE (max_batches = 0 OR batch_id < max_batches) GROUP BY 1""",
     "perplexity": """WITH l AS (SELECT event_type, 'mean_scaled' AS measure, avg(value) / 100 AS loss FROM events GROUP BY 1
           UNION ALL SELECT event_type, 'max_raw', max(value) FROM events GROUP BY 1)
         SELECT event_type, measure, round(loss, 6) AS loss,
@@ -278,9 +309,10 @@ SQL.update({
         SELECT ctx, arg_max(token, ln(prob) - ln(-ln(({h32('7', 'ctx', 'token')} + 0.5) / 4294967296.0))) AS token
         FROM pruned GROUP BY ctx""",
     "step_rollup": f"""WITH {RUNLOG}
-        SELECT run_id, raw_step // 16 AS step, round(arg_max(loss, raw_step), 6) AS loss,
+        SELECT run_id, step, round(arg_max(loss, raw_step), 6) AS loss,
                count(*)::BIGINT AS n_micro, sum(tokens)::BIGINT AS tokens
-        FROM runlog GROUP BY 1, 2 HAVING (raw_step // 16) % 10 = 0""",
+        FROM (SELECT *, (row_number() OVER (PARTITION BY run_id ORDER BY raw_step) + 15) // 16 AS step FROM runlog) z
+        GROUP BY 1, 2 HAVING step % 10 = 0 AND count(*) = 16""",
     "throughput": f"""WITH {RUNLOG},
         c AS (SELECT run_id, raw_step, sum(tokens) OVER (PARTITION BY run_id ORDER BY raw_step
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS tokens_so_far,
@@ -307,6 +339,73 @@ SQL.update({
         WHERE length({strip('text')}) > 0""",
 })
 
+def bpe_ctes(merges: int) -> str:
+    """One step of SQL per merge over the word histogram: count the adjacent
+    pairs, take the first by count and ids, rewrite the words.  A symbol is
+    written with a space on either side, so a pair is a plain substring.
+    Words of the benchmark take part with weight 0.  Ends with seg (word,
+    ids) and ranked (rank, left_id, right_id, merged_id)."""
+    first = len(SPECIALS) + 256
+    ids = ", ".join(str(i) for i in byte_ids(len(SPECIALS)))
+    steps = [f"""{words_cte()},
+bw AS (SELECT DISTINCT unnest(regexp_extract_all(t, {q(PRETOK_DUCK)})) AS word
+       FROM (SELECT regexp_replace({strip('text')}, {q(_LAST_BLANK)}, '\\1' || chr(1) || '\\2', 'g') AS t FROM benchmark) z),
+allw AS (SELECT word, n FROM hist UNION ALL SELECT word, 0 FROM bw WHERE word NOT IN (SELECT word FROM hist)),
+w0 AS MATERIALIZED (SELECT word, n, array_to_string(list_transform({_BYTES},
+       lambda b: ' ' || list_extract([{ids}], b + 1) || ' '), '') AS syms FROM allw)"""]
+    for k in range(merges):
+        steps.append(f"""p{k} AS MATERIALIZED (SELECT s[i]::INT AS l, s[i + 1]::INT AS r, sum(n) AS c FROM (
+         SELECT n, s, unnest(range(1, len(s))) AS i FROM (
+           SELECT n, regexp_extract_all(syms, '[0-9]+') AS s FROM w{k} WHERE n > 0) y) z
+       GROUP BY 1, 2 HAVING sum(n) >= 2 ORDER BY c DESC, l, r LIMIT 1),
+w{k + 1} AS MATERIALIZED (SELECT word, n, replace(syms, ' ' || l || '  ' || r || ' ', ' {first + k} ') AS syms FROM w{k}, p{k})""")
+    steps.append("ranked AS (" + " UNION ALL ".join(
+        f"SELECT {k} AS rank, l AS left_id, r AS right_id, {first + k} AS merged_id FROM p{k}"
+        for k in range(merges)) + ")")
+    steps.append(f"seg AS MATERIALIZED (SELECT word, list_transform(regexp_extract_all(syms, '[0-9]+'), "
+                 f"lambda x: x::INT) AS ids FROM w{merges})")
+    return ",\n".join(steps)
+
+
+def bpe_words(text: str, key: str, src: str) -> str:
+    """(key, ids) of every non-blank text of a table."""
+    return f"""(SELECT {key}, flatten(list(seg.ids ORDER BY i)) AS ids FROM (
+        SELECT {key}, ws[i] AS word, i FROM (
+          SELECT {key}, ws, unnest(range(1, len(ws) + 1)) AS i FROM (
+            SELECT {key}, regexp_extract_all(regexp_replace({strip(text)}, {q(_LAST_BLANK)}, '\\1' || chr(1) || '\\2', 'g'),
+                   {q(PRETOK_DUCK)}) AS ws FROM {src}) a) b) c JOIN seg USING (word) GROUP BY {key})"""
+
+
+BPE = bpe_ctes(QUERY_MERGES)
+_TOKENS = ", ".join(q(t) for t in [*SPECIALS, *ALPHABET])
+BPE_STREAM = f"""{discovered()}, {BPE},
+enc AS {bpe_words('text', 'doc_id', 'disc')},
+seq AS (SELECT doc_id, path,
+          list_concat(CASE WHEN {_TAG_CASE} IS NULL THEN []::INTEGER[] ELSE [({_TAG_CASE})::INTEGER] END,
+                      enc.ids, [{EOT_ID}::INTEGER]) AS ids FROM disc JOIN enc USING (doc_id)),
+stream""" + STREAM.split("\nstream", 1)[1]
+BPE_SPLIT = BPE_STREAM + SPLIT[len(STREAM):]
+
+SQL.update({
+    # token strings grow with the merges, so they are followed in rank order
+    "bpe_merges": f"""WITH RECURSIVE {BPE},
+        grown AS (
+          SELECT 0 AS rank, [{_TOKENS}] AS tokens
+          UNION ALL
+          SELECT g.rank + 1, list_append(tokens, tokens[left_id + 1] || tokens[right_id + 1])
+          FROM grown g JOIN ranked r ON r.rank = g.rank)
+        SELECT rank::INTEGER AS rank, tokens[left_id + 1] AS "left", tokens[right_id + 1] AS "right",
+               tokens[merged_id + 1] AS merged, left_id, right_id, merged_id::INTEGER AS merged_id
+        FROM ranked, (SELECT tokens FROM grown ORDER BY rank DESC LIMIT 1) t""",
+    "bpe_encode": f"""WITH {BPE} SELECT doc_id, len(ids)::BIGINT AS n_tokens, ids
+        FROM {bpe_words('text', 'doc_id', 'documents')} e""",
+    "prompt_encode": f"""WITH {BPE} SELECT item_id, CASE WHEN ids IS NULL THEN [2] ELSE list_concat([2], ids, [3]) END AS ids
+        FROM benchmark LEFT JOIN {bpe_words('text', 'item_id', 'benchmark')} e USING (item_id)""",
+    "token_shards": SQL["split_tail"].replace(f"WITH {STREAM}", f"WITH {BPE_STREAM}"),
+    "train_samples": SQL["collated_batches"].replace(f"WITH {SPLIT}", f"WITH {BPE_SPLIT}"),
+    "val_samples": SQL["val_batches"].replace(f"WITH {SPLIT}", f"WITH {BPE_SPLIT}"),
+})
+
 SQL.update({
     "ingest_available_now": SQL["quota_files"],
     "ingest_counts": f"""SELECT lang, count(*)::BIGINT AS n_rows, sum(strlen(t))::BIGINT AS n_bytes
@@ -314,12 +413,12 @@ SQL.update({
 })
 
 SQL.update({
-    "train_epochs": f"""WITH {STREAM}, {packed(61)},
+    "train_epochs": f"""WITH {SPLIT}, {packed(61, 'tok_train')},
         ep AS (SELECT win_id, unnest([0, 1]) AS epoch FROM packed),
         r AS (SELECT epoch, win_id,
-                row_number() OVER (ORDER BY epoch, {h32(str(TRAIN_SHUFFLE_SEED), 'epoch', 'win_id')}, win_id) - 1 AS rk,
-                count(*) OVER () AS nw FROM ep)
-        SELECT epoch, win_id, (rk // 8)::BIGINT AS batch_id, (rk % 8)::INTEGER AS "row" FROM r
+                row_number() OVER (PARTITION BY epoch ORDER BY {h32(str(TRAIN_SHUFFLE_SEED), 'epoch', 'win_id')}, win_id) - 1 AS rk,
+                count(*) OVER (PARTITION BY epoch) AS nw FROM ep)
+        SELECT epoch, win_id, (epoch * (nw // 8) + rk // 8)::BIGINT AS batch_id, (rk % 8)::INTEGER AS "row" FROM r
         WHERE rk < (nw // 8) * 8""",
 })
 

@@ -13,6 +13,7 @@ from tokloom.config import (EOT_ID, TRAIN_SHUFFLE_SEED, VAL_RATIO,
 from tokloom.functions.text import path_parts, py_strip, storage_dtype
 from tokloom.operators import corpus as C
 from tokloom.operators import stream as S
+from tokloom.operators.encode import assemble
 from tokloom.operators.fim import collate, fim_prompt, fim_samples
 from tokloom.plans.corpus_queries import discovered
 from tokloom.sources.tables import load
@@ -24,15 +25,26 @@ BATCH = 8
 FIM_SEED = 42
 
 
-def doc_stream(spark, sf):
-    """Discovered files -> tag + word-hash ids + eot, with global offsets
-    in path order."""
+def doc_sequences(spark, sf):
+    """Discovered files -> tag + word-hash ids + eot."""
     files = discovered(spark, sf).select("doc_id", "path", "ext", "text")
     toks = S.hash_tokenize(files)
     toks = C.tag_ids(toks, C.specials_df(spark))
-    from tokloom.operators.encode import assemble
-    seq = toks.select("doc_id", "path", assemble(F.col("ids"), F.col("tag_id"), EOT_ID).alias("ids"))
-    return S.stream_offsets(seq.withColumn("_k", path_parts("path")), ["_k"]).drop("_k")
+    return toks.select("doc_id", "path", assemble(F.col("ids"), F.col("tag_id"), EOT_ID).alias("ids"))
+
+
+def doc_stream(spark, sf):
+    """The sequences with global offsets in path order."""
+    return S.stream_offsets(doc_sequences(spark, sf).withColumn("_k", path_parts("path")),
+                            ["_k"]).drop("_k")
+
+
+def split_stream(spark, sf, split):
+    """(stream of one split, its number of tokens)."""
+    st = doc_stream(spark, sf)
+    n_train, n_val, _ = S.split_sizes(S.total_tokens(st), VAL_RATIO)
+    part = S.split_tail(st, n_train + n_val, VAL_RATIO).where(F.col("split") == split)
+    return part, n_train if split == "train" else n_val
 
 
 def q_stream_offsets(spark, sf):
@@ -49,8 +61,7 @@ def q_split_tail(spark, sf):
 
 
 def q_split_hash(spark, sf):
-    st = doc_stream(spark, sf)
-    return (S.split_hash(st, 0.1, FIM_SEED)
+    return (S.split_hash(doc_sequences(spark, sf), 0.1, FIM_SEED)
             .groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
                                   F.sum(F.size("ids")).cast("long").alias("n_tokens")))
 
@@ -59,8 +70,7 @@ def q_meta_row(spark, sf):
     """The metadata row of a word-hash corpus (one aggregate
     chain: per-extension partials, then the row)."""
     files = discovered(spark, sf)
-    st = doc_stream(spark, sf)
-    total = S.total_tokens(st)
+    total = S.total_tokens(doc_sequences(spark, sf))
     n_train, n_val, r = S.split_sizes(total, VAL_RATIO)
     vocab_size = 30100
     skipped = F.length(py_strip("text")) == 0
@@ -93,48 +103,55 @@ def q_windows_packed(spark, sf):
 
 
 def q_windows_stride(spark, sf):
+    """Stride 1: about one start in STRIDE_BLOCK is sampled and cut."""
     st = doc_stream(spark, sf)
     total = S.total_tokens(st)
-    return S.windows_strided(S.blocks(st, STRIDE_BLOCK), STRIDE_BLOCK, 1, total)
+    return S.windows_strided(S.blocks(st, STRIDE_BLOCK), STRIDE_BLOCK, 1, total,
+                             rate=1 / STRIDE_BLOCK, seed=FIM_SEED)
 
 
-def _fim_windows(spark, sf):
-    return S.windows_packed(_blocks(spark, sf, FIM_BLOCK), FIM_BLOCK)
+def _windows(spark, sf, split):
+    """(windows of one split, how many)."""
+    part, n = split_stream(spark, sf, split)
+    return (S.windows_packed(S.blocks(part, FIM_BLOCK), FIM_BLOCK),
+            S.window_count(n, FIM_BLOCK, FIM_BLOCK))
 
 
 def q_train_batches(spark, sf):
-    w = _fim_windows(spark, sf).select("win_id")
-    return S.shuffled_batches(w, BATCH, TRAIN_SHUFFLE_SEED)
+    w, n = _windows(spark, sf, "train")
+    return S.shuffled_batches(w.select("win_id"), BATCH, TRAIN_SHUFFLE_SEED, n)
 
 
 def q_train_epochs(spark, sf):
     """U3 + O5 + T8: two passes over the training windows, each epoch in
-    its own shuffled order, numbered into batches across the cycle."""
-    w = S.epochs(_fim_windows(spark, sf).select("win_id"), 2)
-    return S.shuffled_batches(w, BATCH, TRAIN_SHUFFLE_SEED, epoch=F.col("epoch")) \
-        .select("epoch", "win_id", "batch_id", "row")
+    its own shuffled order with its own batches."""
+    w, n = _windows(spark, sf, "train")
+    return S.shuffled_batches(S.epochs(w.select("win_id"), 2), BATCH, TRAIN_SHUFFLE_SEED, n,
+                              epoch="epoch").select("epoch", "win_id", "batch_id", "row")
 
 
 def q_val_batches(spark, sf):
-    w = _fim_windows(spark, sf).select("win_id", "x", "y")
+    w, _ = _windows(spark, sf, "val")
     b = S.sequential_batches(w, BATCH)
     return b.select("batch_id", "row", "win_id", "x", "y")
 
 
-def _fim(spark, sf):
-    w = _fim_windows(spark, sf).select("win_id", "x")
-    return fim_samples(w, FIM_SEED, special_id("<fim_prefix>"), special_id("<fim_suffix>"),
+def fim(windows):
+    return fim_samples(windows, FIM_SEED, special_id("<fim_prefix>"), special_id("<fim_suffix>"),
                        special_id("<fim_middle>"), special_id("<eos>"))
 
 
 def q_fim_samples(spark, sf):
-    return _fim(spark, sf).select("win_id", "input_ids", "labels")
+    w, _ = _windows(spark, sf, "train")
+    return fim(w.select("win_id", "x")).select("win_id", "input_ids", "labels")
 
 
 def q_collated_batches(spark, sf):
-    f = _fim(spark, sf)
-    b = S.sequential_batches(f.select("win_id", "input_ids", "labels"), BATCH)
-    return collate(b, special_id("<pad>")).select(
+    """Training as it is fed: shuffled batches, FIM per sample, padding."""
+    w, n = _windows(spark, sf, "train")
+    b = S.shuffled_batches(w.select("win_id", "x"), BATCH, TRAIN_SHUFFLE_SEED, n)
+    f = fim(b).select("batch_id", "row", "win_id", "input_ids", "labels")
+    return collate(f, special_id("<pad>")).select(
         "batch_id", "row", "win_id", "input_ids", "labels", "attention_mask")
 
 

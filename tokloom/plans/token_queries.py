@@ -1,16 +1,28 @@
-"""Catalogue queries over vocabulary learning and BPE."""
+"""Catalogue queries over vocabulary learning and BPE (T1-T3b, A4, A5), and the
+whole way from files to training batches on BPE ids (E1, E3)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tokloom.config import EOT_ID, SPECIALS, TRAIN_SHUFFLE_SEED, VAL_RATIO, special_id
+from tokloom.functions.text import path_parts
 from tokloom.operators import bpe as B
+from tokloom.operators import corpus as C
 from tokloom.operators import encode as EN
-from tokloom.sources.tables import load
+from tokloom.operators import stream as S
+from tokloom.operators.fim import collate
+from tokloom.plans.corpus_queries import discovered
+from tokloom.plans.stream_queries import BATCH, FIM_BLOCK, fim
+from tokloom.session import scratch
+from tokloom.sources.sinks import read_tokenizer, write_shards, write_tokenizer
+from tokloom.sources.tables import load, read_shards
 
-# merges learned by the catalogue's BPE queries (vocabulary = 15 specials
-# + 256 bytes + these merges)
-BPE_MERGES = 300
+# Merges that the catalogue's BPE queries learn: a parameter of the queries
+# (vocabulary = 15 specials + 256 bytes + these), chosen so that the oracle can
+# follow every merge as a step of SQL.  learn_vocab itself defaults to
+# config.VOCAB_SIZE.
+QUERY_MERGES = 48
 
 
 def q_word_histogram(spark, sf):
@@ -25,16 +37,13 @@ def q_alphabet(spark, sf):
     return B.byte_histogram(B.word_histogram(load(spark, sf, "documents"), "text"))
 
 
-_MODELS: dict = {}
-
-
 def learned_model(spark, sf):
-    """BPE model learned from the corpus (memoised per session and input)."""
-    key = (id(spark), sf)
-    if key not in _MODELS:
-        docs = load(spark, sf, "documents").select("text")
-        _MODELS[key] = B.learn_vocab(docs, 15 + 256 + BPE_MERGES)
-    return _MODELS[key]
+    """Model learned from the corpus, stored as K4 tables and read back."""
+    docs = load(spark, sf, "documents").select("text")
+    model = B.learn_vocab(docs, len(SPECIALS) + 256 + QUERY_MERGES)
+    path = scratch(spark, "tokenizer")
+    write_tokenizer(model.vocab_df(spark), model.merges_df(spark), path)
+    return read_tokenizer(spark, path)
 
 
 def q_bpe_merges(spark, sf):
@@ -57,7 +66,6 @@ def q_bpe_roundtrip(spark, sf):
 def q_prompt_encode(spark, sf):
     """T3c + P16: benchmark prompts as <bos> ids <eos> with the learned
     vocabulary (a blank prompt would be the single id <bos>)."""
-    from tokloom.config import special_id
     m = learned_model(spark, sf)
     b = load(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     enc = EN.encode_docs(b, m)
@@ -68,6 +76,52 @@ def q_prompt_encode(spark, sf):
                     .alias("ids"))
 
 
+def bpe_stream(spark, sf):
+    """Discovered files -> BPE ids -> tag + ids + eot -> global offsets."""
+    files = discovered(spark, sf).select("doc_id", "path", "ext", "text")
+    enc = EN.encode_docs(files, learned_model(spark, sf), keep=("path", "ext"))
+    seq = C.tag_ids(enc, C.specials_df(spark)).select(
+        "doc_id", path_parts("path").alias("_k"),
+        EN.assemble(F.col("ids"), F.col("tag_id"), EOT_ID).alias("ids"))
+    return S.stream_offsets(seq, ["_k"]).drop("_k")
+
+
+def _shards(spark, sf):
+    """E1 to the end: both splits written as token shards; their folder."""
+    st = bpe_stream(spark, sf)
+    out = scratch(spark, "shards")
+    write_shards(S.split_tail(st, S.total_tokens(st), VAL_RATIO), out)
+    return out
+
+
+def q_token_shards(spark, sf):
+    out = _shards(spark, sf)
+    both = [read_shards(spark, out, s, FIM_BLOCK) for s in ("train", "val")]
+    return both[0].unionByName(both[1]).select(
+        "split", "doc_id", "start_off", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+def _shard_windows(spark, sf, split):
+    part = read_shards(spark, _shards(spark, sf), split, FIM_BLOCK)
+    n = S.window_count(S.total_tokens(part), FIM_BLOCK, FIM_BLOCK)
+    return S.windows_packed(S.blocks(part, FIM_BLOCK), FIM_BLOCK), n
+
+
+def q_train_samples(spark, sf):
+    """E3, train: shard windows, shuffled batches, FIM per sample, padding."""
+    w, n = _shard_windows(spark, sf, "train")
+    b = S.shuffled_batches(w.select("win_id", "x"), BATCH, TRAIN_SHUFFLE_SEED, n)
+    f = fim(b).select("batch_id", "row", "win_id", "input_ids", "labels")
+    return collate(f, special_id("<pad>")).select(
+        "batch_id", "row", "win_id", "input_ids", "labels", "attention_mask")
+
+
+def q_val_samples(spark, sf):
+    """E3, validation: shard windows in order, as they are."""
+    w, _ = _shard_windows(spark, sf, "val")
+    return S.sequential_batches(w, BATCH).select("batch_id", "row", "win_id", "x", "y")
+
+
 QUERIES = {
     "word_histogram": q_word_histogram,
     "pair_counts": q_pair_counts,
@@ -76,4 +130,7 @@ QUERIES = {
     "bpe_encode": q_bpe_encode,
     "bpe_roundtrip": q_bpe_roundtrip,
     "prompt_encode": q_prompt_encode,
+    "token_shards": q_token_shards,
+    "train_samples": q_train_samples,
+    "val_samples": q_val_samples,
 }

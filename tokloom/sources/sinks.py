@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokloom.functions.text import padded_name
+from tokloom.operators.bpe import BpeModel
 
 
 def write_documents(docs: DataFrame, out: str, dataset_col: str = "dataset",
@@ -37,9 +38,19 @@ def write_meta(meta_row: DataFrame, out: str, mode: str = "overwrite") -> None:
 
 def write_tokenizer(vocab: DataFrame, merges: DataFrame, out: str,
                     mode: str = "overwrite") -> None:
-    """K4: vocabulary and merge tables."""
-    vocab.write.mode(mode).parquet(f"{out}/vocab")
-    merges.write.mode(mode).parquet(f"{out}/merges")
+    """K4: vocabulary and merge tables (bounded by the vocabulary size: one
+    file each)."""
+    vocab.coalesce(1).write.mode(mode).parquet(f"{out}/vocab")
+    merges.coalesce(1).write.mode(mode).parquet(f"{out}/merges")
+
+
+def read_tokenizer(spark: SparkSession, path: str) -> BpeModel:
+    """The model back from its K4 tables."""
+    vocab = spark.read.parquet(f"{path}/vocab").orderBy("id").collect()
+    merges = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
+    return BpeModel(tokens=[r["token"] for r in vocab],
+                    n_special=sum(r["is_special"] for r in vocab),
+                    merges=[(r["left_id"], r["right_id"], r["merged_id"]) for r in merges])
 
 
 def completions_text(comps: DataFrame, prompt: str = "prompt",
