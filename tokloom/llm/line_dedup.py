@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokloom.llm.common import BROADCAST_ROWS, documents, row_key, staged
+from tokloom.llm.common import BROADCAST_ROWS, documents, join_by_size, row_key, staged
 
 MIN_WORDS = 50
 GRAM_WORDS = 25
@@ -81,12 +81,14 @@ def fingerprints(hashes: np.ndarray, words: list[int], min_words: int, gram_word
     return chosen, list(places.values())
 
 
-LINES = ("doc_id long, rkey string, hashes binary, words binary, chosen array<long>, "
+LINES = ("rid long, doc_id long, rkey binary, hashes binary, words binary, chosen array<long>, "
          "places array<long>")
 
 
 def _line_rows(batches, min_words: int, gram_words: int):
     import xxhash
+    from pyspark import TaskContext
+    rid = TaskContext.get().partitionId() << 40
     for batch in batches:
         rows = []
         for doc, rkey, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "rkey", "text"))):
@@ -95,16 +97,17 @@ def _line_rows(batches, min_words: int, gram_words: int):
             if sum(words) < min_words:
                 continue
             hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], dtype=np.uint64)
-            rows.append((doc, rkey, hashes.tobytes(), np.array(words, np.int32).tobytes(),
+            rows.append((rid, doc, rkey, hashes.tobytes(), np.array(words, np.int32).tobytes(),
                          *fingerprints(hashes, words, min_words, gram_words)))
-        cols = list(zip(*rows)) or [()] * 6
-        kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64()),
-                 pa.list_(pa.int64()))
+            rid += 1
+        cols = list(zip(*rows)) or [()] * 7
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(),
+                 pa.list_(pa.int64()), pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                          names=[x.split()[0] for x in LINES.split(", ")])
 
 
-RUNS = "run binary, doc_id long, rkey string, first int, last int"
+RUNS = "run binary, doc_id long, rkey binary, first int, last int"
 
 
 def _runs(batches, min_words: int):
@@ -122,25 +125,32 @@ def _runs(batches, min_words: int):
                 if chosen[i] in hot:
                     rows.append((xxhash.xxh3_128_digest(raw[8 * i:8 * e + 8]), doc, rkey, i, e))
         cols = list(zip(*rows)) or [()] * 5
-        kinds = (pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.int32())
+        kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                          names=[x.split()[0] for x in RUNS.split(", ")])
 
 
+def _key():
+    return F.unhex(row_key(F.col("doc_id"), F.col("text"))).alias("rkey")
+
+
 def repeated_runs(df: DataFrame, min_words: int = MIN_WORDS,
                   gram_words: int = GRAM_WORDS) -> DataFrame:
     """Staged table (rkey, runs): for each document with later occurrences,
     the first and last lines of the runs to delete."""
     rows = df.where("text is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        row_key(F.col("doc_id"), F.col("text")).alias("rkey"), "text")
+        F.col("doc_id").cast("long").alias("doc_id"), _key(), "text")
     lines = staged(rows.mapInArrow(
         lambda b: _line_rows(b, min_words, gram_words), LINES), "lines")
-    places = lines.select("rkey", F.explode("places").alias("fp"))
+    twins = staged(lines.groupBy("rkey").agg(F.min("rid").alias("only"), F.count("*").alias("n"))
+                   .where("n > 1").select("rkey", "only"), "twins")
+    if not twins.isEmpty():  # repeated rows are one place
+        lines = join_by_size(lines, twins, "rkey", "left").where("only is null or only = rid").drop("only")
+    places = lines.select("rid", F.explode("places").alias("fp"))
     twice = staged(places.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "twice")
-    hot = places.distinct().join(twice, "fp").groupBy("rkey").agg(F.collect_set("fp").alias("hot"))
-    runs = staged(lines.dropDuplicates(["rkey"]).join(hot, "rkey").mapInArrow(
-        lambda b: _runs(b, min_words), RUNS), "runs")
+    hot = staged(join_by_size(places, twice, "fp").groupBy("rid").agg(F.collect_set("fp").alias("hot")), "hot")
+    near = join_by_size(lines, hot.select("rid"), "rid", "left_semi")
+    runs = staged(near.join(hot, "rid").mapInArrow(lambda b: _runs(b, min_words), RUNS), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rkey", "first")
     firsts = staged(runs.groupBy("run").agg(F.min(place).alias("top"), F.count("*").alias("n"))
                     .where("n > 1").select("run", "top"), "firsts")
@@ -153,7 +163,7 @@ def delete_runs(df: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRA
     """``df`` with texts rewritten, and the number of lines before
     (__n_lines) and deleted (__n_removed)."""
     found = repeated_runs(df.select("doc_id", "text"), min_words, gram_words)
-    keyed = df.withColumn("__rkey", row_key(F.col("doc_id"), F.col("text")))
+    keyed = df.withColumn("__rkey", _key())
     runs = found.select(F.col("rkey").alias("__rkey"), F.col("runs").alias("__runs"))
     keys = runs.select("__rkey")
     if keys.count() <= BROADCAST_ROWS:
