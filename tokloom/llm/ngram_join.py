@@ -136,28 +136,40 @@ class Positions:
         return np.concatenate(found)
 
 
-INDEX = "key long, set long, doc_id long, rkey string, n long, cls binary"
+DOC = "struct<doc_id:long,rkey:string,n:long,cls:binary>"
+#: Index rows have a key and a set number, document rows the other two.
+INDEX = f"key long, set long, doc {DOC}"
+STARS = f"a long, b long, doc {DOC}"
+
+_DOC_TYPE = pa.struct([("doc_id", pa.int64()), ("rkey", pa.string()), ("n", pa.int64()),
+                       ("cls", pa.binary())])
 
 
 def _index_batches(batches, n: int, percent: int):
     """For each batch: a row per document, and the index rows of its distinct
-    sets, lists already combined: later sets of a list refer to its first."""
+    sets, lists already combined: later sets of a list refer to its first.
+    Sets are numbered by task and place: small differences between rows, which
+    shuffle files compress; equal sets of different batches meet in the index."""
+    from pyspark import TaskContext
     hasher, positions = WordHasher(), Positions(percent)
+    number = TaskContext.get().partitionId() << 40
     for batch in batches:
         ids, rkeys, texts = (batch.column(c).to_pylist() for c in ("doc_id", "rkey", "text"))
-        rows, seen, keys, owners = [], set(), [], []
+        sets, docs, seen, keys, owners = [], [], {}, [], []
         for doc, rkey, text in zip(ids, rkeys, texts):
             grams = gram_set(hasher(text or ""), n)
             cls = set_digest(grams)
-            rows.append((None, None, doc, rkey, len(grams), cls))
-            if len(grams) and cls not in seen:
-                seen.add(cls)
-                k = positions.keys(grams)
-                keys.append(k)
-                owners.append(np.full(len(k), int.from_bytes(cls[:8], "little", signed=True)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), _INDEX_TYPES)] if rows
-            else [pa.array([], t) for t in _INDEX_TYPES], names=_INDEX_NAMES)
+            if cls not in seen:
+                seen[cls] = number
+                if len(grams):
+                    k = positions.keys(grams)
+                    keys.append(k)
+                    owners.append(np.full(len(k), number))
+                number += 1
+            sets.append(seen[cls])
+            docs.append({"doc_id": doc, "rkey": rkey, "n": len(grams), "cls": cls})
+        yield _rows(pa.nulls(len(sets), pa.int64()), pa.array(sets, pa.int64()),
+                    pa.array(docs, _DOC_TYPE))
         if keys:
             key, owner = np.concatenate(keys).view(np.int64), np.concatenate(owners)
             order = np.lexsort((owner, key))
@@ -173,27 +185,24 @@ def _index_batches(batches, n: int, percent: int):
                 (pairs[0], pairs[1]))))
 
 
-_INDEX_NAMES = [x.split()[0] for x in INDEX.split(", ")]
-_INDEX_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+def _rows(*columns, names=("key", "set", "doc")) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=list(names))
 
 
 def _index_rows(key: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
-    none = [pa.nulls(len(key), t) for t in _INDEX_TYPES[2:]]
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(owner), *none], names=_INDEX_NAMES)
-
-
-STARS = "a long, b long, doc_id long, rkey string, n long, cls binary"
+    return _rows(pa.array(key), pa.array(owner), pa.nulls(len(key), _DOC_TYPE))
 
 
 def _read_lists(batches):
     """Index rows in key order -> stars; document rows pass through."""
+    names = ("a", "b", "doc")
     last_key = last_leader = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         is_doc = table.column("key").is_null()
         docs = table.filter(is_doc)
         if len(docs):
-            yield from docs.rename_columns([x.split()[0] for x in STARS.split(", ")]).to_batches()
+            yield from docs.rename_columns(list(names)).to_batches()
         rows = table.filter(pc.invert(is_doc))
         if not len(rows):
             continue
@@ -205,9 +214,8 @@ def _read_lists(batches):
         pick = owner != leader
         if pick.any():
             pairs = np.unique(np.stack([leader[pick], owner[pick]]), axis=1)
-            none = [pa.nulls(pairs.shape[1], t) for t in _INDEX_TYPES[2:]]
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1]), *none],
-                                             names=[x.split()[0] for x in STARS.split(", ")])
+            yield _rows(pa.array(pairs[0]), pa.array(pairs[1]),
+                        pa.nulls(pairs.shape[1], _DOC_TYPE), names=names)
 
 
 def linked_overlap(n_x, n_y, overlap, percent: int):
@@ -304,18 +312,18 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"),
                      row_key(F.col("doc_id"), F.col("text")).alias("rkey"), "text")
     index = rows.mapInArrow(lambda b: _index_batches(b, n, percent), INDEX)
-    lists = (index.repartition(F.coalesce(F.col("key"), F.xxhash64("rkey")))
+    lists = (index.repartition(F.coalesce(F.col("key"), F.xxhash64("doc.rkey")))
              .sortWithinPartitions("key", "set"))
     read = staged(lists.mapInArrow(_read_lists, STARS), "lists")
-    docs = read.where("rkey is not null").select("doc_id", "rkey", "n", "cls")
-    families = connected_components(read.where("rkey is null").select("a", "b"))
-
-    # one text per set of a family of at least two sets
-    holders = docs.where("n > 0").groupBy("cls").agg(F.min("rkey").alias("rkey"),
-                                                     F.first("n").alias("n"))
-    holders = holders.withColumn("v", _low8("cls"))
-    members = staged(holders.join(families, "v").select("rkey", "n", F.col("root").alias("family")),
-                     "members")
+    docs = read.where("doc is not null").select(F.col("b").alias("v"), "doc.*")
+    families = connected_components(read.where("doc is null").select("a", "b"))
+
+    # one text per set of a family of at least two sets; the sets of a family
+    # are counted after equal ones of different batches have met
+    holders = staged(docs.where("n > 0").join(families, "v").groupBy("cls", F.col("root").alias("family"))
+                     .agg(F.min("rkey").alias("rkey"), F.first("n").alias("n")), "holders")
+    sizes = holders.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("n"))
+    members = holders.join(staged(sizes.where("sets > 1").select("family"), "families"), "family")
     sizes = members.groupBy("family").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS))
         .cast("int").alias("blocks"))
@@ -343,18 +351,11 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     links = tasks.mapInArrow(lambda b: _verify(b, percent), "a binary, b binary")
     classes = connected_components(staged(links, "links")).select(
         F.col("v").alias("cls"), F.col("root"))
-    return staged(docs.join(classes, "cls", "left").select(
+    return staged(docs.drop("v").join(classes, "cls", "left").select(
         "doc_id", "rkey", F.col("n").alias("n_shingles"), "cls",
         F.coalesce("root", "cls").alias("root")), "classes")
 
 
-def _low8(column: str):
-    """The first eight bytes of a digest as a little-endian signed long."""
-    h = F.hex(F.substring(column, 1, 8))
-    turned = F.concat(*[F.substring(h, 15 - 2 * i, 2) for i in range(8)])
-    return F.conv(turned, 16, -10).cast("long")
-
-
 def ngram_components(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked id) of every row."""
     rows = ngram_classes(df, n, percent)
@@ -370,16 +371,19 @@ def keep_one(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """The rows of ``df``, all columns as they are: one per class, that with
     the smallest id; rows without n-grams all stay."""
     rows = ngram_classes(df.select("doc_id", "text"), n, percent)
-    best = rows.where("n_shingles > 0").groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rkey")).alias("top"))
-    keys = staged(best.select(F.col("top.rkey").alias("__rkey"), F.lit(True).alias("__once")).union(
-        rows.where("n_shingles = 0").select("rkey", F.lit(False)).distinct()), "kept")
+    named = rows.where("n_shingles > 0")
+    best = staged(named.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rkey")).alias("top")), "best")
+    gone = staged(named.join(best, "root").where(F.col("rkey") != F.col("top.rkey"))
+                  .select(F.col("rkey").alias("__rkey")).distinct(), "gone")
     kept = join_by_size(df.withColumn("__rkey", row_key(F.col("doc_id"), F.col("text"))),
-                        keys, "__rkey")
-    twice = rows.where("n_shingles > 0").groupBy("rkey").count().where("count > 1")
+                        gone, "__rkey", "left_anti")
+    twice = staged(named.groupBy(F.col("rkey").alias("__rkey")).count().where("count > 1")
+                   .select("__rkey", F.lit(True).alias("__twice")), "twice")
     if not twice.isEmpty():  # of repeated rows (same id and text) one stays too
-        nth = F.when(~F.col("__once"), F.monotonically_increasing_id() + 1).otherwise(F.lit(0))
-        kept = kept.withColumn("__nth", nth).dropDuplicates(["__rkey", "__nth"])
+        nth = F.when(F.col("__twice"), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
+        kept = (join_by_size(kept, twice, "__rkey", "left").withColumn("__nth", nth)
+                .dropDuplicates(["__rkey", "__nth"]))
     return kept.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
