@@ -120,3 +120,16 @@ def test_nucleus_running_mass(spark):
     assert {r.token for r in SC.nucleus(df, 0.9).collect()} == {0, 1, 2}
     plan = SC.prune(df, 3, 0.9)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_ngrams_of_any_order(spark):
+    from collections import Counter
+
+    from tokloom.operators import stream as S
+    docs = spark.createDataFrame([(0, [1, 2, 3]), (1, [1, 2]), (2, [3, 1, 2, 3, 4, 5, 1])], "doc_id long, ids array<int>")
+    flat = [1, 2, 3, 1, 2, 3, 1, 2, 3, 4, 5, 1]
+    blk = S.blocks(S.stream_offsets(docs, ["doc_id"]), 4)
+    for n in (2, 3, 4, 5):
+        want = Counter((" ".join(map(str, flat[i:i + n - 1])), flat[i + n - 1]) for i in range(len(flat) - n + 1))
+        got = {(r.ctx, r.nxt): r.n for r in SC.ngram_counts(SC.next_ngrams(blk, n)).collect()}
+        assert got == want

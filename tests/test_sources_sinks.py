@@ -2,12 +2,13 @@ import json
 import os
 import tempfile
 
-from pyspark.sql import functions as F
+import pytest
 
-from tokloom.config import CorpusConfig
+from tokloom.config import CorpusConfig, SPECIALS
 from tokloom.operators import corpus as C
 from tokloom.operators import evals as E
 from tokloom.operators import stream as S
+from tokloom.session import checkpoint_dir
 from tokloom.sources import files as SF
 from tokloom.sources import sinks as K
 from tokloom.sources import tables as T
@@ -54,6 +55,52 @@ def test_discover_and_decode(spark):
     assert "src/tiny.py" in tk and "node_modules/m.js" in tk
 
 
+def test_folders_above_the_corpus_do_not_exclude_it(spark):
+    root = os.path.join(tempfile.mkdtemp(prefix="tokloom-"), "build", "corpus")
+    make_tree(root)
+    for mode in ("substring", "glob"):
+        cfg = CorpusConfig(exclude_mode=mode)
+        assert SF.discover_files(spark, root, cfg).count() == 5
+        assert SF.read_code_files(spark, root, cfg).count() == 5
+
+
+def test_text_lines_shuffle_nothing_and_no_files_is_an_error(spark):
+    root = tempfile.mkdtemp(prefix="tokloom-empty-")
+    with open(os.path.join(root, "x.png"), "wb") as f:
+        f.write(b"x")
+    plan = SF.read_text_lines(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    with pytest.raises(ValueError, match="no files"):
+        SF.tokenizer_files(spark, root)
+
+
+def test_marker_ids(spark):
+    vocab = spark.createDataFrame(list(enumerate(SPECIALS)), "id int, token string")
+    ids = C.marker_ids(vocab)
+    assert ids["<fim_prefix>"] == 4 and ids["eot"] == 7 and ids["eos"] == 3
+    assert C.marker_ids(vocab.where("token <> '<|endoftext|>'"))["eot"] == 3
+    with pytest.raises(ValueError, match="fim_suffix"):
+        C.marker_ids(vocab.where("token <> '<fim_suffix>'"))
+
+
+def test_cluster_needs_a_shared_checkpoint_folder(spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
 def test_sinks_round_trip(spark):
     out = tempfile.mkdtemp(prefix="tokloom-sink-")
     docs = spark.createDataFrame([("ds", "py", 3, ".py", "x"), ("ds", "py", 7, ".py", "y")],
@@ -102,16 +149,17 @@ def test_small_helpers(spark):
     assert pr == {"a": (1, 2), "b": (2, 2)}
     ep = S.epochs(spark.range(3).withColumnRenamed("id", "win_id"), 2)
     assert ep.count() == 6
-    assert CorpusConfig().min_bytes == 64 and F is not None
+    assert CorpusConfig().min_bytes == 64
 
 
 def test_table_sources_and_meta(spark):
     d = tempfile.mkdtemp(prefix="tokloom-tab-")
-    spark.createDataFrame([("Python", "print(1)", None), ("Go", None, "package x"), ("Go", None, None)],
-                          "language string, code string, content string").write.parquet(d + "/multi")
-    langs = spark.createDataFrame([("Python", ".py"), ("Go", ".go")], "language string, ext string")
-    rows = sorted((r.language, r.content, r.ext) for r in T.read_multilang(spark, d + "/multi", langs).collect())
-    assert rows == [("Go", "", ".go"), ("Go", "package x", ".go"), ("Python", "print(1)", ".py")]
+    spark.createDataFrame([("Python", "print(1)", None, 0), ("Go", None, "package x", 0), ("Go", None, None, 1),
+                           ("Perl", "1;", None, 0)],
+                          "language string, code string, content string, idx long").write.parquet(d + "/multi")
+    rows = sorted((r.lang_rank, r.idx, r.language, r.content, r.ext) for r in T.read_multilang(
+        spark, d + "/multi", {"Python": ".py", "Go": ".go"}).collect())
+    assert rows == [(0, 0, "Python", "print(1)", ".py"), (1, 0, "Go", "package x", ".go"), (1, 1, "Go", "", ".go")]
     spark.createDataFrame([("doc", "def f(): pass"), ("", "x = 1"), (None, "y = 2")],
                           "func_documentation_string string, whole_func_string string") \
         .write.parquet(d + "/funcs")

@@ -35,4 +35,18 @@ def test_multi_epoch_ingest_equals_batch(spark):
                              glob="f*.parquet")
     counts = {r.lang: r.n_rows for r in spark.read.parquet(cpath).collect()}
     exp_counts = {r.lang: r["count"] for r in _stripped(docs).groupBy("lang").count().collect()}
-    assert counts == exp_counts and F is not None
+    assert counts == exp_counts
+
+
+def test_quota_is_by_arrival(spark):
+    # files arrive with their id ranges in reverse
+    src, docs = split_files(spark, [(140, 10**9), (70, 140), (0, 70)])
+    for i in range(3):
+        os.utime(f"{src}/f{i}.parquet", (1_000_000 + i, 1_000_000 + i))
+    place = F.when(F.col("doc_id") >= 140, 0).when(F.col("doc_id") >= 70, 1).otherwise(2)
+    batch = take_until(_stripped(docs).withColumn("_place", place), ["_place", "doc_id"], "n_bytes",
+                       4, None, group=["source"])
+    path = ingest_available_now(spark, src, docs.schema, _stripped, order=["doc_id"],
+                                size_col="n_bytes", group=["source"], max_files=4, glob="f*.parquet")
+    got = sorted(r.doc_id for r in spark.read.parquet(path).collect())
+    assert got == sorted(r.doc_id for r in batch.collect())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokloom.config import EXT_TO_TAG, SPECIALS
+from tokloom.config import EXT_TO_TAG, FIM_TEXT_MARKERS, SPECIALS
 from tokloom.functions.text import compose_doc, path_parts, py_strip
 from tokloom.operators.ordered import running_sums
 
@@ -19,10 +19,15 @@ def strip_nonempty(df: DataFrame, text_col: str = "text",
 
 
 def ext_histogram(files: DataFrame) -> DataFrame:
-    """A2: files per extension (the full map; top-15 is an ``orderBy``)."""
+    """A2: files per extension."""
     return files.groupBy("ext").agg(F.count(F.lit(1)).alias("n_files"))
 
 
+def top_extensions(files: DataFrame, n: int = 15) -> DataFrame:
+    """A2 as it is reported: the ``n`` most frequent extensions."""
+    return ext_histogram(files).orderBy(F.desc("n_files"), "ext").limit(n)
+
+
 def ext_counts_map(files: DataFrame) -> DataFrame:
     """A2 as one MAP<ext, count> row (metadata form)."""
     h = ext_histogram(files)
@@ -136,6 +141,19 @@ def special_tokens(core=None, extra=None, drop=None) -> list[str]:
     return out
 
 
+def marker_ids(vocab: DataFrame) -> dict[str, int]:
+    """Ids of the FIM markers and the end-of-text token in a vocabulary
+    (id, token).  An unknown marker is an error; without its own token the
+    end of text is ``<eos>``."""
+    wanted = [*FIM_TEXT_MARKERS, "<|endoftext|>", "<eos>"]
+    found = {r["token"]: r["id"] for r in vocab.where(F.col("token").isin(wanted)).collect()}
+    unknown = [t for t in FIM_TEXT_MARKERS if t not in found]
+    if unknown or "<eos>" not in found:
+        raise ValueError(f"not in the vocabulary: {', '.join(unknown) or '<eos>'}")
+    return {**{t: found[t] for t in FIM_TEXT_MARKERS}, "eos": found["<eos>"],
+            "eot": found.get("<|endoftext|>", found["<eos>"])}
+
+
 def resolve_id(explicit, vocab_id, default: int = 0):
     """Explicit id, else the vocabulary's id, else the default (an
     explicit 0 also falls through, as a falsy value)."""

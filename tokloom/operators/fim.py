@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokloom.config import FIM_RATE, LABEL_PAD, SPM_RATE
+from tokloom.config import FIM_RATE, FIM_TEXT_MARKERS, LABEL_PAD, SPM_RATE
 from tokloom.functions.hashing import uniform, uniform_int
 
 
@@ -64,5 +64,5 @@ def collate(batch_rows: DataFrame, pad_id: int, batch_col: str = "batch_id") ->
 
 def fim_prompt(prefix: Column, suffix: Column) -> Column:
     """Text form <fim_prefix>P<fim_suffix>S<fim_middle>."""
-    return F.concat(F.lit("<fim_prefix>"), prefix, F.lit("<fim_suffix>"), suffix,
-                    F.lit("<fim_middle>"))
+    return F.concat(F.lit(FIM_TEXT_MARKERS[0]), prefix, F.lit(FIM_TEXT_MARKERS[1]), suffix,
+                    F.lit(FIM_TEXT_MARKERS[2]))

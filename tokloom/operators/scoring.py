@@ -114,8 +114,32 @@ def next_pairs(stream: DataFrame) -> DataFrame:
     return inner.unionByName(cross)
 
 
+def next_ngrams(blk: DataFrame, n: int) -> DataFrame:
+    """W4 for order ``n`` over stream blocks (blk, ids) of at least n - 1 ids:
+    (pos, ctx, nxt) for every position p >= n - 1, ctx the n - 1 ids before
+    it, space-separated.  A block meets the end of the one before by an
+    equi-join on the block number."""
+    size = F.max(F.size("ids"))  # all blocks but the last are full
+    full = blk.agg(size).first()[0] or 0
+    tail = blk.select((F.col("blk") + 1).alias("blk"), F.slice("ids", F.greatest(
+        F.size("ids") - (n - 2), F.lit(1)), F.lit(n - 1)).alias("_t"))
+    j = blk.join(tail, "blk", "left").withColumn("_t", F.coalesce("_t", F.array().cast("array<int>")))
+    j = j.select((F.col("blk") * full - F.size("_t")).alias("_p"), F.concat("_t", "ids").alias("_s"))
+    at = F.sequence(F.lit(n - 1), F.size("_s") - 1)
+    ex = j.where(F.size("_s") >= n).select("_p", "_s", F.explode(at).alias("_i"))
+    return ex.select((F.col("_p") + F.col("_i")).alias("pos"),
+                     F.array_join(F.slice("_s", F.col("_i") - (n - 2), F.lit(n - 1)), " ").alias("ctx"),
+                     F.get("_s", F.col("_i")).alias("nxt"))
+
+
+def ngram_candidates(counts: DataFrame) -> DataFrame:
+    """T13 -> T10-T12: the continuations of a context as candidates (ctx,
+    token, logit), logit the log count."""
+    return counts.select("ctx", F.col("nxt").alias("token"), F.ln("n").alias("logit"))
+
+
 def ngram_counts(pairs: DataFrame) -> DataFrame:
-    """T13 (fit): bigram counts (ctx, nxt, n)."""
+    """T13 (fit): counts of (ctx, nxt), whatever the order."""
     return pairs.groupBy("ctx", "nxt").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 

@@ -10,7 +10,7 @@ from tokloom.operators import evals as E
 from tokloom.operators import runlog as R
 from tokloom.operators import scoring as SC
 from tokloom.operators import stream as S
-from tokloom.plans.stream_queries import doc_stream
+from tokloom.plans.stream_queries import doc_stream, split_stream
 from tokloom.sources.tables import load
 
 HASH_VOCAB = 30100
@@ -80,6 +80,19 @@ def q_ngram_counts(spark, sf):
     return SC.ngram_counts(pairs.where(F.col("pos") < n_train))
 
 
+def q_trigram_counts(spark, sf):
+    """T13 at order 3 over the training split."""
+    part, _ = split_stream(spark, sf, "train")
+    return SC.ngram_counts(SC.next_ngrams(S.blocks(part, 256), 3))
+
+
+def q_ngram_sample(spark, sf):
+    """T13's candidates through T11 and T12: one next token per context."""
+    pairs, n_train = _pairs(spark, sf)
+    counts = SC.ngram_counts(pairs.where(F.col("pos") < n_train))
+    return SC.sample_next(SC.prune(SC.ngram_candidates(counts), 50, 0.9), 7)
+
+
 def _val_losses(spark, sf):
     pairs, n_train = _pairs(spark, sf)
     counts = SC.ngram_counts(pairs.where(F.col("pos") < n_train))
@@ -188,6 +201,8 @@ QUERIES = {
     "validity_rate": q_validity_rate,
     "completions": q_completions,
     "ngram_counts": q_ngram_counts,
+    "trigram_counts": q_trigram_counts,
+    "ngram_sample": q_ngram_sample,
     "val_loss_batch": q_val_loss_batch,
     "val_loss_token": q_val_loss_token,
     "perplexity": q_perplexity,

@@ -261,8 +261,7 @@ def _softmax(src: str, out: str) -> str:
         FROM (SELECT *, exp(logit - max(logit) OVER (PARTITION BY ctx)) AS e FROM {src}) z"""
 
 
-PRUNED = f"""{CANDS},
-tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY logit DESC) AS rk FROM cands) r WHERE rk <= 50),
+PRUNED_CTES = f"""tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY logit DESC) AS rk FROM cands) r WHERE rk <= 50),
 tkp AS (SELECT *, exp(logit - max(logit) OVER (PARTITION BY ctx)) AS e FROM tk),
 tkq AS (SELECT *, e / sum(e) OVER (PARTITION BY ctx) AS p FROM tkp),
 nuc AS (SELECT ctx, token, logit FROM (SELECT *, coalesce(sum(p) OVER (PARTITION BY ctx ORDER BY logit DESC, token
@@ -270,6 +269,8 @@ nuc AS (SELECT ctx, token, logit FROM (SELECT *, coalesce(sum(p) OVER (PARTITION
 nuce AS (SELECT *, exp(logit - max(logit) OVER (PARTITION BY ctx)) AS e FROM nuc),
 pruned AS (SELECT ctx, token, logit, e / sum(e) OVER (PARTITION BY ctx) AS prob FROM nuce)"""
 
+PRUNED = f"{CANDS},\n{PRUNED_CTES}"
+
 RUNLOG = """runlog AS (SELECT event_type AS run_id, event_id AS raw_step, ts, value / 100 AS loss,
                    2048::BIGINT AS tokens FROM events)"""
 
@@ -285,6 +286,12 @@ SQL.update({
         FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
         WHERE u.role = 'user' AND a.role = 'assistant'""",
     "ngram_counts": f"WITH {NEXT_PAIRS} SELECT ctx, nxt, n FROM counts",
+    "trigram_counts": f"""WITH {SPLIT}
+        SELECT a.id || ' ' || b.id AS ctx, c.id AS nxt, count(*)::BIGINT AS n
+        FROM tok_train a JOIN tok_train b ON b.pos = a.pos + 1 JOIN tok_train c ON c.pos = a.pos + 2 GROUP BY 1, 2""",
+    "ngram_sample": f"""WITH {NEXT_PAIRS}, cands AS (SELECT ctx, nxt AS token, ln(n) AS logit FROM counts), {PRUNED_CTES}
+        SELECT ctx, arg_max(token, ln(prob) - ln(-ln(({h32('7', 'ctx', 'token')} + 0.5) / 4294967296.0))) AS token
+        FROM pruned GROUP BY ctx""",
     "val_loss_batch": f"""WITH {NEXT_PAIRS}, mb AS (SELECT unnest([20, 50, 0]) AS max_batches),
         per AS (SELECT max_batches, batch_id, avg(loss) AS bl FROM tl, mb WHERE (max_batches = 0 OR batch_id < max_batches) GROUP BY 1, 2)
         SELECT max_batches, round(avg(bl), 6) AS loss, count(*)::BIGINT AS n FROM per GROUP BY 1""",
@@ -436,3 +443,32 @@ SQL.update({
 SQL.update({
     "sample_grid": """SELECT item_id AS task_id, unnest(range(20))::INTEGER AS sample_id FROM benchmark""",
 })
+
+META = SQL["meta_row"]
+SQL.update({
+    "quota_languages": f"""WITH s AS (SELECT lang, list_position([{', '.join(q(x) for x in LANG_TO_EXT)}], lang) - 1 AS lang_rank,
+          doc_id AS idx, strlen({strip('text')})::BIGINT AS n_bytes FROM documents),
+        r AS (SELECT *, coalesce(sum(n_bytes) OVER (ORDER BY lang_rank, idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bb
+              FROM s WHERE n_bytes > 0 AND lang_rank IS NOT NULL)
+        SELECT lang AS language, idx, n_bytes FROM r WHERE bb < 1000000""",
+    "corpus_scan": f"""SELECT doc_id AS idx, length({strip('text')}) AS n_chars FROM documents WHERE length({strip('text')}) > 0""",
+    "documents_sink": f"""WITH {FILES} SELECT source AS dataset, lang, doc_id AS idx,
+          source || '/' || lang || '/' || printf('%08d', doc_id) || ext AS path, length(text) AS n_chars FROM files""",
+    "jsonl_scan": "SELECT item_id::VARCHAR AS task_id, text AS prompt FROM benchmark",
+    "prompts_scan": f"""SELECT p AS prompt, count(*)::BIGINT AS n FROM (
+          SELECT {strip('l')} AS p FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM benchmark) a) b
+        WHERE length(p) > 0 GROUP BY 1""",
+    "function_pairs": SQL["compose_pairs"],
+    "meta_sink": f"""SELECT vocab_size, total_tokens, train_tokens, val_tokens, val_ratio, dtype, tokenizer,
+          total_files, skipped_files, ext_counts FROM (SELECT *, 'word-hash' AS tokenizer FROM ({META}) m) z""",
+    "completions_sink": """SELECT '=== PROMPT: ' || u.text || ' ===' || chr(10)
+          || string_agg(a.text, chr(10) || chr(10) ORDER BY a.turn, a.text) AS value
+        FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+        WHERE u.role = 'user' AND a.role = 'assistant' GROUP BY u.text""",
+    "report_sink": f"""WITH {PER_TASK} SELECT sum(n_correct)::BIGINT AS n_valid, sum(n_samples)::BIGINT AS n_total,
+          round(sum(n_correct) / sum(n_samples), 6) AS pass_rate,
+          (SELECT round(avg({PASSK}), 6) FROM per, (SELECT 5 AS k) kk WHERE k <= n_samples) AS pass_at_5,
+          (SELECT round(avg(value) / 100, 6) FROM events) AS loss FROM per""",
+    "top_extensions": f"""WITH {discovered()} SELECT ext, count(*)::BIGINT AS n_files FROM disc GROUP BY ext
+        ORDER BY n_files DESC, ext LIMIT 15""",
+})

@@ -7,10 +7,12 @@ size and path filters run before a single byte of content is read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokloom.config import CODE_EXTENSIONS, CorpusConfig
+from tokloom.config import CODE_EXTENSIONS, MAX_FILE_BYTES, CorpusConfig
 from tokloom.functions.text import (excluded_glob, excluded_substring,
                                     normalize_newlines, suffix)
 
@@ -39,6 +41,20 @@ def file_filter(path_col: str, size_col: str, cfg: CorpusConfig):
     return cond
 
 
+def below(path_col: str, raw_dir: str):
+    """The part of a listed path below ``raw_dir``: folders above it are not
+    the corpus's own and must not exclude it."""
+    root = raw_dir.split("://", 1)[-1].removeprefix("file:").strip("/")
+    return F.element_at(F.split(F.col(path_col), re.escape("/" + root + "/"), 2), -1)
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """``df``, or an error when it has no row."""
+    if df.isEmpty():
+        raise ValueError(f"no {what} found")
+    return df
+
+
 def discover_files(spark: SparkSession, raw_dir: str,
                    cfg: CorpusConfig = CorpusConfig()) -> DataFrame:
     """(path, ext, n_bytes) of every file passing P1-P3.
@@ -48,16 +64,20 @@ def discover_files(spark: SparkSession, raw_dir: str,
     """
     df = _listing(spark, raw_dir).select(
         F.col("path"), F.col("length").alias("n_bytes"))
-    return (df.where(file_filter("path", "n_bytes", cfg))
+    return (df.withColumn("_rel", below("path", raw_dir))
+            .where(file_filter("_rel", "n_bytes", cfg))
             .select("path", suffix("path").alias("ext"), "n_bytes"))
 
 
+#: The vocabulary-learning walk has fixed extensions, no minimum size and
+#: no exclusions.
+TOKENIZER_WALK = CorpusConfig(extensions=CODE_EXTENSIONS, exclude_patterns=(),
+                              min_bytes=0, max_bytes=MAX_FILE_BYTES)
+
+
 def tokenizer_files(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """The vocabulary-learning walk (fixed extensions, no minimum size,
-    no exclusions, files over 1 MiB dropped)."""
-    cfg = CorpusConfig(extensions=CODE_EXTENSIONS, exclude_patterns=(),
-                       min_bytes=0, max_bytes=1048576)
-    return discover_files(spark, raw_dir, cfg)
+    """The files vocabulary learning reads; an error when there are none."""
+    return require_rows(discover_files(spark, raw_dir, TOKENIZER_WALK), "files to learn from")
 
 
 def read_code_files(spark: SparkSession, raw_dir: str,
@@ -68,7 +88,7 @@ def read_code_files(spark: SparkSession, raw_dir: str,
     null ``text`` so they can be counted as skipped (P5).
     """
     df = _listing(spark, raw_dir)
-    df = df.where(file_filter("path", "length", cfg))
+    df = df.withColumn("_rel", below("path", raw_dir)).where(file_filter("_rel", "length", cfg))
     raw = F.col("content").cast("string")
     valid = F.is_valid_utf8(raw)
     return df.select(
@@ -78,9 +98,9 @@ def read_code_files(spark: SparkSession, raw_dir: str,
 
 
 def read_text_lines(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """Lossy decode (invalid bytes -> U+FFFD), one row per line."""
-    df = tokenizer_files(spark, raw_dir).select("path").join(
-        _listing(spark, raw_dir).select("path", "content"), "path")
+    """Lossy decode (invalid bytes -> U+FFFD), one row per line.  One
+    listing, filtered before content is read; no shuffle."""
+    df = _listing(spark, raw_dir).where(file_filter("path", "length", TOKENIZER_WALK))
     text = F.make_valid_utf8(F.col("content").cast("string"))
     return df.select("path", F.posexplode(F.split(normalize_newlines(text), "\n"))
                      .alias("line_no", "line"))

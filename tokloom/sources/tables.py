@@ -33,28 +33,19 @@ META_SCHEMA = T.StructType([
 ])
 
 
-# text-heavy tables and their row keys: per-row work on them (regex,
-# hashing, tokenising) is CPU-bound, so they must span all cores
-TEXT_TABLE_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id",
-                   "benchmark": "item_id"}
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-repartition on ``key`` only when the scan yields fewer splits
-    than the cluster has cores (e.g. one large row group).  A scan of many
-    files is left alone, so no extra shuffle appears at scale.  Checking
-    the split count plans the scan; it runs no job."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+#: Per-row work on these (regex, hashing, tokenising) is CPU-bound.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table.  A text table in fewer files than the cluster has
+    cores is dealt out evenly (no key, so no key can be hot); a table of many
+    files is read as it lies."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    key = TEXT_TABLE_KEYS.get(name)
-    return spread(df, key) if key else df
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_TABLES and len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
 
 
 def lang_ext(lang_col="lang"):
@@ -82,27 +73,28 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "parquet",
-                content_col: str = "content", schema=None) -> DataFrame:
-    """Single-corpus scan; a missing content value reads as ''."""
+                content_col: str = "content", index_col: str = "idx", schema=None) -> DataFrame:
+    """Single-corpus scan with its source index; a missing content value
+    reads as ''."""
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.load(path)
-    return df.select(F.coalesce(F.col(content_col), F.lit("")).alias("content"))
+    return reader.load(path).select(index_col, F.coalesce(F.col(content_col), F.lit("")).alias("content"))
 
 
-def read_multilang(spark: SparkSession, path: str, lang_exts: DataFrame,
-                   fmt: str = "parquet") -> DataFrame:
-    """One scan for every language; the (language, ext) table is tiny
-    (one row per language) so it is broadcast instead of looping."""
+def read_multilang(spark: SparkSession, path: str, langs: dict[str, str],
+                   fmt: str = "parquet", index_col: str = "idx") -> DataFrame:
+    """One scan for every language of ``langs`` (language -> extension, in
+    rank order): language, lang_rank, idx, ext, content.  Ordered by
+    (lang_rank, idx) one quota runs on across the languages."""
     df = spark.read.format(fmt).load(path)
-    cols = set(df.columns)
-    code = F.coalesce(
-        F.col("code") if "code" in cols else F.lit(None).cast("string"),
-        F.col("content") if "content" in cols else F.lit(None).cast("string"),
-        F.lit(""))
-    return (df.select(F.col("language"), code.alias("content"))
-            .join(F.broadcast(lang_exts), "language"))
+    code = F.coalesce(*[F.col(c) for c in ("code", "content") if c in df.columns], F.lit(""))
+    names = F.array(*[F.lit(x) for x in langs])
+    exts = F.array(*[F.lit(x) for x in langs.values()])
+    rank = F.array_position(names, F.col("language")).cast("int")
+    return (df.select("language", (rank - 1).alias("lang_rank"), index_col,
+                      F.get(exts, rank - 1).alias("ext"), code.alias("content"))
+            .where("lang_rank >= 0"))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema=EVAL_PROBLEM_SCHEMA) -> DataFrame:
@@ -129,9 +121,7 @@ def read_shards(spark: SparkSession, path: str, split: str,
     df = spark.read.parquet(path).where(F.col("split") == split)
     n = df.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
     if n <= block_size:
-        raise ValueError(
-            f"split {split!r} has {n} tokens but block_size={block_size}; "
-            "need at least block_size + 1")
+        raise ValueError(f"{split!r} holds {n} tokens; one window of {block_size} takes {block_size + 1}")
     return df
 
 

@@ -3,34 +3,30 @@
 The source is a file stream with a fixed schema.  Each micro-batch is
 filtered and cut by the running quota, then written to its own
 ``epoch=<id>`` folder with overwrite, so a replayed epoch replaces its
-earlier attempt instead of duplicating rows.  The quota state (rows and
-bytes already written per group) is read back from epochs before the
-current one, so the result equals the batch query over the same files.
-Output and checkpoints live under the cluster's checkpoint folder.
+earlier attempt instead of duplicating rows.  What each epoch wrote per group
+(rows, bytes) goes into a small manifest table beside it; the quota state of
+an epoch is the sum of the manifests before it, so earlier output is never
+read again and a failed read is an error, not an empty state.
+
+The quota is by arrival: rows count in the order (epoch, ``order``).  It
+equals the batch quota (W2) over the same files when that runs in the order
+(place of the file, ``order``).
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokloom.operators.ordered import running_sums
-from tokloom.session import checkpoint_dir
-
-
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+from tokloom.session import scratch
 
 
-def _prior_totals(spark, dst, epoch, group, size_col):
-    try:
-        done = spark.read.parquet(dst).where(F.col("epoch") < epoch)
-    except Exception:  # noqa: BLE001 - nothing written yet
+def _prior_totals(spark, manifest, epoch, group):
+    if not epoch:
         return None
-    return done.groupBy(*group).agg(F.count(F.lit(1)).alias("_pf"),
-                                    F.sum(size_col).alias("_pb"))
+    return (spark.read.parquet(*[f"{manifest}/epoch={e}" for e in range(epoch)]).groupBy(*group)
+            .agg(F.sum("n_rows").alias("_pf"), F.sum("n_bytes").alias("_pb")))
 
 
 def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
@@ -41,13 +37,13 @@ def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
     """Run the ingest to completion (availableNow) and return the
     sink path.  ``transform`` maps a raw micro-batch to the rows to keep
     (P1-P9); the quota (W2) then applies per ``group``."""
-    dst = dst or _scratch(spark, "ingest")
+    dst = dst or scratch(spark, "ingest")
     ckpt = dst + "/_checkpoint"
-    data = dst + "/data"
+    data, manifest = dst + "/data", dst + "/manifest"
 
     def write_batch(df: DataFrame, epoch: int):
         rows = transform(df)
-        prior = _prior_totals(spark, data, epoch, group, size_col)
+        prior = _prior_totals(spark, manifest, epoch, group)
         ranked = running_sums(rows, order, {"_fb": F.lit(1).cast("long"),
                                             "_bb": F.col(size_col).cast("long")},
                               group=group)
@@ -70,6 +66,9 @@ def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
             cond = cond & (F.col("_bb") < max_bytes)
         out = ranked.where(cond).drop("_fb", "_bb")
         out.write.mode("overwrite").parquet(f"{data}/epoch={epoch}")
+        wrote = spark.read.schema(out.schema).parquet(f"{data}/epoch={epoch}").groupBy(*group).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum(size_col).cast("long").alias("n_bytes"))
+        wrote.write.mode("overwrite").parquet(f"{manifest}/epoch={epoch}")
 
     q = (spark.readStream.schema(schema)
          .option("maxFilesPerTrigger", files_per_trigger)
@@ -88,7 +87,7 @@ def streaming_counts(spark: SparkSession, src_dir: str, schema, transform,
                      dst: str | None = None) -> str:
     """R2: running rows and bytes per group while ingesting (complete
     mode; each trigger overwrites the small per-group table)."""
-    dst = dst or _scratch(spark, "counts")
+    dst = dst or scratch(spark, "counts")
     agg = (transform(spark.readStream.schema(schema).option("pathGlobFilter", glob)
                      .parquet(src_dir))
            .groupBy(*group)
