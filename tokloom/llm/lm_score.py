@@ -251,6 +251,20 @@ def word_table(df: DataFrame, model: str | None = None) -> tuple[DataFrame, int]
     return staged(scored, "scored"), n
 
 
+def _most_frequent(table: DataFrame, most: int) -> list:
+    """The words with the highest counts, at most ``most``: a histogram over
+    eighths of powers of two (a few hundred rows) tells from which count on."""
+    step = F.floor(F.log2("c") * 8).cast("int")
+    words = table.where("c > 0").groupBy(step.alias("step")).count().collect()
+    taken, low = 0, None
+    for r in sorted(words, key=lambda r: -r["step"]):
+        taken += r["count"]
+        if taken > most:
+            break
+        low = r["step"]
+    return table.where((F.col("c") > 0) & (step >= low)).collect() if low is not None else []
+
+
 PARTS = ("rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, "
          "lp double, words array<binary>, times array<int>")
 
@@ -260,7 +274,7 @@ def score_documents(df: DataFrame, model: str | None = None, frequent: int = FRE
     every row of ``df`` (doc_id, text, held_out)."""
     spark = df.sparkSession
     table, n = word_table(df, model)
-    top = table.orderBy(F.desc("c"), "word").limit(frequent).collect()  # a bounded table
+    top = _most_frequent(table, frequent)
     shared = spark.sparkContext.broadcast((
         [bytes(r["word"]) for r in top], np.array([r["c"] > 0 for r in top], dtype=bool),
         np.array([r["base"] for r in top]), np.array([r["lp"] for r in top])))
