@@ -41,7 +41,7 @@ SLOTS = 64
 UNIT = r"[^\s]{1,8}\s*|\s+"
 #: Bits of a packed k-mer: 6 slot, 37 hash, 20 place.
 PLACE, HASH = 20, 37
-RANGE_ROWS, MOST_RANGES, QUANTILES = 1000, 65536, 256
+RANGE_ROWS, MOST_RANGES, QUANTILES = 250, 65536, 256
 
 
 def _pack(h: Column, place: Column) -> Column:
