@@ -6,19 +6,21 @@ lists the pairs of a group.
 
 1. Index lists by position.  Linked sets x, y differ in at most
    d = (100 - p) / (100 + p) * (|x| + |y|) n-grams.  A set is dealt by n-gram
-   hash onto more than d positions, so linked sets agree wholly, and in
-   something, in at least one position.  Each position's content is one key
-   of the index; lists hold only sets of one size class and its neighbour,
-   other blocks of the index are skipped.  Where too many positions are
-   empty the empty ones are keys too, so nothing is lost.  A position holds
-   about nine n-grams: unlike single n-grams, it does not join texts that
-   merely share a passage.
+   hash onto more than d positions, so linked sets agree wholly in at least
+   one; what a position holds is one key of the index.  Lists hold only sets
+   of one size class, or of two neighbouring ones; the index blocks of other
+   sizes are skipped.  Light positions are left out as keys as far as a set
+   still has more than d heavier ones: then one of those it shares with any
+   linked set is among them, and that one is as heavy for the other set.
+   A position holds several n-grams: unlike single n-grams, it does not join
+   texts that merely share a passage.
 2. A list is read as a star to its first set.  Lists are combined inside
    each batch before the shuffle, so a list that a third of all documents
    are on arrives as one row per batch.
 3. Components of the stars are families: linked sets are in one family.
-   Each family is dealt into blocks of bounded size, and pairs of blocks are
-   the tasks; the sizes of a pair of blocks decide whether it can be skipped.
+   Each family is cut by size class (a set goes to its own class and, as a
+   guest, to the next), classes into blocks of bounded size, and pairs of
+   blocks are the tasks: sizes that cannot link do not meet.
 4. Within a pair of blocks answers are derived, not counted anew: against a
    reference set r (the n-grams most members have), each member is what it
    lacks and what it adds, and
@@ -37,6 +39,7 @@ table gives no rows; other columns are ignored (``keep_one`` carries them).
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +50,7 @@ from pyspark.sql import functions as F
 from tokloom.llm.common import documents, join_by_size, row_key, staged
 from tokloom.llm.components import connected_components
 
-#: Spare positions: so many may be empty before empty ones become keys.
+#: Spare positions where only light keys will do.
 SPARE = 2
 #: A block holds about so many sets, and so many n-grams in all.
 BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 20
@@ -99,40 +102,72 @@ def set_digest(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def _share(mean: float, weight: int) -> float:
+    """Share of positions with ``weight`` n-grams or more, at that mean."""
+    return 1 - sum(math.exp(-mean) * mean ** k / math.factorial(k) for k in range(weight))
+
+
 class Positions:
-    """The index keys of a set."""
+    """The index keys of a set, for one percentage.
+
+    Sizes fall into classes such that linked sets lie in the same class or in
+    neighbouring ones; each pair of classes has an index of its own, with its
+    own number of positions."""
 
-    def __init__(self, percent: int, spare: int = SPARE):
-        self.percent, self.spare, self.edges = percent, spare, [1]
+    def __init__(self, percent: int):
+        self.percent, self.edges, self._plans = percent, [1], {}
 
     def size_class(self, n: int) -> int:
-        """Linked sets lie in the same size class or in adjacent ones."""
         while self.edges[-1] <= n:
             low = self.edges[-1]
             self.edges.append(max(low + 1, low * 100 // self.percent + 1))
         return int(np.searchsorted(self.edges, n, side="right")) - 1
 
-    def most_different(self, size_class: int) -> int:
-        """N-grams in which linked sets up to that class can differ."""
-        self.size_class(self.edges[size_class])
-        high = self.edges[size_class + 1] - 1
-        return (100 - self.percent) * 2 * high // (100 + self.percent)
+    def plan(self, low: int, high: int) -> tuple[int, int, int] | None:
+        """For sets of two classes: (most n-grams in which linked ones differ,
+        positions, least n-grams of a position that is a key); None when no
+        sizes of the two can link.
+
+        A position of one n-gram is a weak key, it joins all texts that share
+        that n-gram.  So heavier positions are preferred where even the
+        smallest sets of the class have more of them, by the Poisson law with
+        some margin, than linked sets can differ in.  The margin also keeps
+        empty positions, which join everything, from being keys."""
+        if (low, high) not in self._plans:
+            self.size_class(self.edges[high])
+            top_low, top_high = self.edges[low + 1] - 1, self.edges[high + 1] - 1
+            d = (100 - self.percent) * (top_low + top_high) // (100 + self.percent)
+            found = (d, d + 1 + SPARE, 1) if d else (0, 1, 1)
+            for weight, percent in ((w, t) for w in (3, 2, 1) for t in range(102, 162, 3)):
+                n = -(-(d + 1) * percent // 100)
+                share = _share(self.edges[low] / n, weight)
+                if n * share - 1.5 * math.sqrt(n * share * (1 - share)) > d:
+                    found = (d, n, weight)
+                    break
+            linkable = top_low * 100 >= self.percent * self.edges[high]
+            self._plans[low, high] = found if linkable else None
+        return self._plans[low, high]
 
     def keys(self, grams: np.ndarray) -> np.ndarray:
         own = self.size_class(len(grams))
+        self.size_class(self.edges[own + 1])
         mixed = _mix(grams + _M3)
         found = []
-        for c in (own, own + 1):
-            d = self.most_different(c)
-            n = d + 1 + self.spare if d else 1
+        for low, high in ((own, own), (own, own + 1), (own - 1, own)):
+            plan = self.plan(low, high) if low >= 0 else None
+            if not plan:
+                continue
+            d, n, weight = plan
             place = ((grams >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
             content = np.zeros(n, dtype=np.uint64)
             np.add.at(content, place, mixed)
-            at = np.flatnonzero(np.bincount(place, minlength=n))
-            if len(at) <= d:  # then two linked sets might agree in empty positions only
-                at = np.arange(n)
-            found.append(_mix(content[at] + at.astype(np.uint64) * _M1
-                              + np.uint64((c + 1) * int(_M2) & 0xFFFFFFFFFFFFFFFF)))
+            load = np.bincount(place, minlength=n)
+            at = np.flatnonzero(load >= weight)
+            while len(at) <= d and weight:  # else linked sets might agree in lighter ones only
+                weight -= 1
+                at = np.flatnonzero(load >= weight)
+            index = ((low + 1) * 2 + (high > low)) * int(_M2) & 0xFFFFFFFFFFFFFFFF
+            found.append(_mix(content[at] + at.astype(np.uint64) * _M1 + np.uint64(index)))
         return np.concatenate(found)
 
 
@@ -269,8 +304,8 @@ def block_links(sets: list[np.ndarray], percent: int, columns: int = 4096) -> li
 
 
 def _verify(batches, percent: int):
-    """Rows (family, b1, b2, cls, grams) in that order -> stars between
-    classes; one pair of blocks is held at a time."""
+    """Rows (family, c, b1, b2, cls, grams) in that order -> stars between
+    sets; one pair of blocks is held at a time."""
     current, held = None, {}
 
     def links():
@@ -282,11 +317,11 @@ def _verify(batches, percent: int):
 
     for batch in batches:
         out = []
-        for fam, b1, b2, cls, grams in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            if (fam, b1, b2) != current:
+        for *task, cls, grams in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            if task != current:
                 if held:
                     out += links()
-                current, held = (fam, b1, b2), {}
+                current, held = task, {}
             held[cls] = grams
         yield _star_rows(out)
     if held:
@@ -322,14 +357,18 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     # are counted after equal ones of different batches have met
     holders = staged(docs.where("n > 0").join(families, "v").groupBy("cls", F.col("root").alias("family"))
                      .agg(F.min("rkey").alias("rkey"), F.first("n").alias("n")), "holders")
-    sizes = holders.groupBy("family").agg(F.count("*").alias("sets"), F.sum("n").alias("n"))
-    members = holders.join(staged(sizes.where("sets > 1").select("family"), "families"), "family")
-    sizes = members.groupBy("family").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_GRAMS))
-        .cast("int").alias("blocks"))
-    dealt = staged(members.join(staged(sizes, "sizes"), "family").select(
-        "rkey", "family", "blocks",
-        F.pmod(F.xxhash64("rkey"), F.col("blocks")).cast("int").alias("b")), "dealt")
+    positions = Positions(percent)
+    positions.size_class(holders.agg(F.max("n")).first()[0] or 1)
+    edges = F.array(*[F.lit(e) for e in positions.edges])  # about a hundred
+    own = F.size(F.filter(edges, lambda e: e <= F.col("n")))
+    placed = holders.select("rkey", "family", "n", F.explode(F.array(own, own + 1)).alias("c"))
+    sizes = placed.groupBy("family", "c").agg(F.count("*").alias("sets"), F.sum("n").alias("grams"))
+    sizes = staged(sizes.where("sets > 1").select("family", "c", F.greatest(
+        F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("grams") / BLOCK_GRAMS))
+        .cast("int").alias("blocks")), "sizes")
+    block = F.pmod(F.xxhash64("rkey"), F.col("blocks")).cast("int")
+    dealt = staged(placed.join(sizes, ["family", "c"]).groupBy("rkey", "family").agg(
+        F.collect_list(F.struct("c", "blocks", block.alias("b"))).alias("places")), "dealt")
     texts = join_by_size(rows.select("rkey", "text"), dealt, "rkey")
 
     def grams(batches):
@@ -337,17 +376,18 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         for batch in batches:
             sets = [gram_set(hasher(t or ""), n) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("family"), batch.column("blocks"), batch.column("b"),
+                [batch.column("family"), batch.column("places"),
                  pa.array([set_digest(s) for s in sets], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["family", "blocks", "b", "cls", "grams"])
-
-    sets = texts.select("family", "blocks", "b", "text").mapInArrow(
-        grams, "family long, blocks int, b int, cls binary, grams binary")
-    pairs = sets.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "family", F.least("b", "o").alias("b1"), F.greatest("b", "o").alias("b2"), "cls", "grams")
-    tasks = (pairs.repartition("family", "b1", "b2")
-             .sortWithinPartitions("family", "b1", "b2"))
+                names=["family", "places", "cls", "grams"])
+
+    sets = texts.select("family", "places", "text").mapInArrow(
+        grams, "family long, places array<struct<c:int,blocks:int,b:int>>, cls binary, grams binary")
+    sets = sets.select("family", F.explode("places").alias("p"), "cls", "grams")
+    pairs = sets.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("p.blocks") - 1))).select(
+        "family", "p.c", F.least("p.b", "o").alias("b1"), F.greatest("p.b", "o").alias("b2"), "cls", "grams")
+    tasks = (pairs.repartition("family", "c", "b1", "b2")
+             .sortWithinPartitions("family", "c", "b1", "b2"))
     links = tasks.mapInArrow(lambda b: _verify(b, percent), "a binary, b binary")
     classes = connected_components(staged(links, "links")).select(
         F.col("v").alias("cls"), F.col("root"))
