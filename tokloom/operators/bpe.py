@@ -22,7 +22,7 @@ from tokloom.config import MIN_FREQ, PRETOKENIZE_RE, SPECIALS, VOCAB_SIZE
 from tokloom.functions.bytelevel import (ALPHABET, token_hex,
                                          utf8_byte_ids, utf8_byte_values)
 from tokloom.functions.text import py_strip
-from tokloom.session import cut_lineage
+from tokloom.session import cut_lineage, scratch
 
 
 def pretokenize(text) -> "F.Column":
@@ -151,21 +151,13 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
     touches far fewer rows per round on very large word tables, at the cost
     of a second persisted table and checkpoint.
     """
-    spark = words.sparkSession
     # Rounds are small aggregate-only jobs (partial aggregation, no joins):
-    # adaptive re-planning only adds fixed latency to each of them, so it is
-    # off inside the loop, and the round shuffles are sized like the
-    # distinct-word table they read (see _train_rounds).
-    saved = {k: spark.conf.get(k) for k in
-             ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    # adaptive re-planning only adds fixed latency to each of them.  The loop
+    # runs in a session of its own, so the caller's settings are never touched.
+    spark = words.sparkSession.newSession()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     loop = _train_rounds_incremental if incremental else _train_rounds
-    try:
-        return loop(spark, words, vocab_size, min_freq, specials,
-                    batch_candidates, checkpoint_every)
-    finally:
-        for k, v in saved.items():
-            spark.conf.set(k, v)
+    return loop(spark, words, vocab_size, min_freq, specials, batch_candidates, checkpoint_every)
 
 
 def _select_batch(model, token_id, cand, after_r, before_l, size, vocab_size, min_freq):
@@ -202,15 +194,15 @@ def _select_batch(model, token_id, cand, after_r, before_l, size, vocab_size, mi
 
 def _initial_words(spark, words: DataFrame, first: int) -> DataFrame:
     """(syms, freq): each word as space-separated alphabet ids; one-symbol
-    words never form a pair and are left out.  Checkpointed; the round
-    shuffles are then sized like this table (its adaptively coalesced split
-    count), since pair tables are a small multiple of it."""
-    cur = (words.select(F.array_join(utf8_byte_ids(F.col("word"), first).cast("array<string>"), " ")
-                        .alias("syms"), F.col("n").cast("long").alias("freq"))
-           .where(F.col("syms").contains(" ")))
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    cur = cut_lineage(cur)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    words never form a pair and are left out.  Written once to the shared
+    folder and read in the loop's session; the round shuffles are then sized
+    like this table (its adaptively coalesced split count), since pair tables
+    are a small multiple of it."""
+    path = scratch(spark, "words")
+    (words.select(F.array_join(utf8_byte_ids(F.col("word"), first).cast("array<string>"), " ")
+                  .alias("syms"), F.col("n").cast("long").alias("freq"))
+     .where(F.col("syms").contains(" ")).write.parquet(path))
+    cur = spark.read.parquet(path)
     spark.conf.set("spark.sql.shuffle.partitions", str(max(1, cur.rdd.getNumPartitions())))
     return cur
 

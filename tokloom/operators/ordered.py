@@ -13,10 +13,11 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType
 
 from tokloom.session import cut_lineage
 
-_PID = "_rp"
+_PID, _RID = "_rp", "_rr"
 
 
 def running_sums(df: DataFrame, order: list, values: dict[str, Column],
@@ -28,6 +29,24 @@ def running_sums(df: DataFrame, order: list, values: dict[str, Column],
     """
     group = list(group)
     vals = {f"_v_{k}": v for k, v in values.items()}
+    keyed_by = {c for c in order if isinstance(c, str)}
+    if any(isinstance(f.dataType, (ArrayType, MapType, BinaryType)) and f.name not in keyed_by
+           for f in df.schema):
+        # wide rows (token arrays): freeze them once with a row number, order
+        # only the narrow part, and join the sums back on the number
+        wide = cut_lineage(df.withColumn(_RID, F.monotonically_increasing_id()))
+        keys = {f"_o{i}": c for i, c in enumerate(order)}
+        narrow = wide.select(_RID, *group, *[(F.col(c) if isinstance(c, str) else c).alias(k)
+                                             for k, c in keys.items()], *[v.alias(k) for k, v in vals.items()])
+        sums = _running_sums(narrow, list(keys), {n: F.col(k) for n, k in zip(values, vals)},
+                             group, parts, inclusive)
+        return wide.join(sums.select(_RID, *values), _RID).drop(_RID)
+    return _running_sums(df, order, values, group, parts, inclusive)
+
+
+def _running_sums(df: DataFrame, order: list, values: dict[str, Column], group: list[str],
+                  parts: int | None, inclusive: bool) -> DataFrame:
+    vals = {f"_s_{k}": v for k, v in values.items()}
     # the range partitioner samples its input in a job of its own; keep the
     # input so that job and the checkpoint do not both recompute it
     src = df.select("*", *[v.alias(k) for k, v in vals.items()]).persist(

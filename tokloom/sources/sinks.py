@@ -3,6 +3,7 @@ through the driver except the one-row metadata and report objects."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +98,6 @@ def stage_done(spark: SparkSession, path: str, min_rows: int, fmt: str = "parque
     ``min_rows`` rows; reads at most min_rows + 1 rows."""
     try:
         df = spark.read.format(fmt).load(path)
-    except Exception:  # noqa: BLE001 - absent output
+    except AnalysisException:  # absent output
         return False
     return df.limit(min_rows + 1).count() > min_rows

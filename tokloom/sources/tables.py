@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,7 +139,7 @@ def first_readable(spark: SparkSession, candidates, fmt: str = "parquet"):
             df = spark.read.format(fmt).load(path)
             df.schema  # noqa: B018 - resolves the source
             return df
-        except Exception as exc:  # noqa: BLE001
+        except AnalysisException as exc:
             warnings.warn(f"source {path!r} unreadable: {exc.__class__.__name__}")
     return None
 
