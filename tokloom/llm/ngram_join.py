@@ -180,44 +180,60 @@ _DOC_TYPE = pa.struct([("doc_id", pa.int64()), ("rkey", pa.string()), ("n", pa.i
                        ("cls", pa.binary())])
 
 
+#: Documents decoded, and index keys gathered, at a time in a task.
+DECODE_ROWS, GATHER_KEYS = 500, 500_000
+
+
 def _index_batches(batches, n: int, percent: int):
-    """For each batch: a row per document, and the index rows of its distinct
-    sets, lists already combined: later sets of a list refer to its first.
-    Sets are numbered by task and place: small differences between rows, which
-    shuffle files compress; equal sets of different batches meet in the index."""
+    """A row per document, and the index rows of its set.  Keys are gathered
+    up to a bound; the lists among them are combined (later sets of a list
+    refer to its first) before they leave the task, and a set met again while
+    its keys are held adds none.  Sets are numbered by task and place: small
+    differences between rows, which shuffle files compress; equal sets of
+    different gatherings meet in the index."""
     from pyspark import TaskContext
     hasher, positions = WordHasher(), Positions(percent)
     number = TaskContext.get().partitionId() << 40
+    seen, keys, owners, held = {}, [], [], 0
     for batch in batches:
-        ids, rkeys, texts = (batch.column(c).to_pylist() for c in ("doc_id", "rkey", "text"))
-        sets, docs, seen, keys, owners = [], [], {}, [], []
-        for doc, rkey, text in zip(ids, rkeys, texts):
-            grams = gram_set(hasher(text or ""), n)
-            cls = set_digest(grams)
-            if cls not in seen:
-                seen[cls] = number
-                if len(grams):
-                    k = positions.keys(grams)
-                    keys.append(k)
-                    owners.append(np.full(len(k), number))
-                number += 1
-            sets.append(seen[cls])
-            docs.append({"doc_id": doc, "rkey": rkey, "n": len(grams), "cls": cls})
-        yield _rows(pa.nulls(len(sets), pa.int64()), pa.array(sets, pa.int64()),
-                    pa.array(docs, _DOC_TYPE))
-        if keys:
-            key, owner = np.concatenate(keys).view(np.int64), np.concatenate(owners)
-            order = np.lexsort((owner, key))
-            key, owner = key[order], owner[order]
-            first = np.append(True, key[1:] != key[:-1])
-            leader = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-            other = owner != leader
-            pairs = np.unique(np.stack([leader[other], owner[other]]), axis=1)
-            yield _index_rows(key[first], owner[first])
-            # a combined pair travels as a list of its own
-            yield _index_rows(*(np.concatenate(x) for x in (
-                (_mix(pairs[0].view(np.uint64) * _M1 + pairs[1].view(np.uint64)).view(np.int64),) * 2,
-                (pairs[0], pairs[1]))))
+        for low in range(0, batch.num_rows, DECODE_ROWS):
+            part = batch.slice(low, DECODE_ROWS)
+            sets, docs = [], []
+            for doc, rkey, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "rkey", "text"))):
+                grams = gram_set(hasher(text or ""), n)
+                cls = set_digest(grams)
+                if cls not in seen:
+                    seen[cls] = number
+                    if len(grams):
+                        k = positions.keys(grams)
+                        keys.append(k)
+                        owners.append(np.full(len(k), number))
+                        held += len(k)
+                    number += 1
+                sets.append(seen[cls])
+                docs.append({"doc_id": doc, "rkey": rkey, "n": len(grams), "cls": cls})
+                if held >= GATHER_KEYS:
+                    yield from _combined(np.concatenate(keys), np.concatenate(owners))
+                    seen, keys, owners, held = {}, [], [], 0
+            yield _rows(pa.nulls(len(sets), pa.int64()), pa.array(sets, pa.int64()),
+                        pa.array(docs, _DOC_TYPE))
+    if keys:
+        yield from _combined(np.concatenate(keys), np.concatenate(owners))
+
+
+def _combined(key: np.ndarray, owner: np.ndarray):
+    """Index rows: the first set of each list, and a list of two for every
+    other set of it."""
+    key = key.view(np.int64)
+    order = np.lexsort((owner, key))
+    key, owner = key[order], owner[order]
+    first = np.append(True, key[1:] != key[:-1])
+    leader = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
+    other = owner != leader
+    pairs = np.unique(np.stack([leader[other], owner[other]]), axis=1)
+    yield _index_rows(key[first], owner[first])
+    own = _mix(pairs[0].view(np.uint64) * _M1 + pairs[1].view(np.uint64)).view(np.int64)
+    yield _index_rows(np.concatenate([own, own]), np.concatenate([pairs[0], pairs[1]]))
 
 
 def _rows(*columns, names=("key", "set", "doc")) -> pa.RecordBatch:
@@ -374,12 +390,14 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     def grams(batches):
         hasher = WordHasher()
         for batch in batches:
-            sets = [gram_set(hasher(t or ""), n) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("family"), batch.column("places"),
-                 pa.array([set_digest(s) for s in sets], pa.binary()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["family", "places", "cls", "grams"])
+            for low in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(low, DECODE_ROWS)
+                sets = [gram_set(hasher(t or ""), n) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("family"), part.column("places"),
+                     pa.array([set_digest(s) for s in sets], pa.binary()),
+                     pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["family", "places", "cls", "grams"])
 
     sets = texts.select("family", "places", "text").mapInArrow(
         grams, "family long, places array<struct<c:int,blocks:int,b:int>>, cls binary, grams binary")
