@@ -14,10 +14,14 @@ lists the pairs of a group.
    linked set is among them, and that one is as heavy for the other set.
    A position holds several n-grams: unlike single n-grams, it does not join
    texts that merely share a passage.
-2. A list is read as a star to its first set.  Lists are combined inside
-   each batch before the shuffle, so a list that a third of all documents
-   are on arrives as one row per batch.
-3. Components of the stars are families: linked sets are in one family.
+2. Linked sets share at least (own keys - d) keys.  Short lists give the
+   pairs of their sets, which are counted and dropped below that number;
+   long lists (common to many sets) are read as a star and unite theirs
+   without counting, so no list gives more pairs than a few per entry.  Sets
+   that already share enough within a task's gathering are put under one of
+   them before the shuffle, so a list that a third of all documents are on
+   arrives as few rows.
+3. Components of these pairs and stars are families: linked sets are in one family.
    Each family is cut by size class (a set goes to its own class and, as a
    guest, to the next), classes into blocks of bounded size, and pairs of
    blocks are the tasks: sizes that cannot link do not meet.
@@ -148,11 +152,13 @@ class Positions:
             self._plans[low, high] = found if linkable else None
         return self._plans[low, high]
 
-    def keys(self, grams: np.ndarray) -> np.ndarray:
+    def keys(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, for each key how many of that index's keys a linked set must
+        share)."""
         own = self.size_class(len(grams))
         self.size_class(self.edges[own + 1])
         mixed = _mix(grams + _M3)
-        found = []
+        found, need = [], []
         for low, high in ((own, own), (own, own + 1), (own - 1, own)):
             plan = self.plan(low, high) if low >= 0 else None
             if not plan:
@@ -168,13 +174,17 @@ class Positions:
                 at = np.flatnonzero(load >= weight)
             index = ((low + 1) * 2 + (high > low)) * int(_M2) & 0xFFFFFFFFFFFFFFFF
             found.append(_mix(content[at] + at.astype(np.uint64) * _M1 + np.uint64(index)))
-        return np.concatenate(found)
+            need.append(np.full(len(at), len(at) - d))
+        return np.concatenate(found), np.concatenate(need)
 
 
 DOC = "struct<doc_id:long,rkey:string,n:long,cls:binary>"
 #: Index rows have a key and a set number, document rows the other two.
-INDEX = f"key long, set long, doc {DOC}"
-STARS = f"a long, b long, doc {DOC}"
+INDEX = f"key long, set long, need int, doc {DOC}"
+#: Two sets and the keys they share; need 0: they are one family in any case.
+SHARED = f"a long, b long, n int, need int, doc {DOC}"
+#: Lists up to this length give the pairs of their sets, longer ones a star.
+SHORT_LIST = 8
 
 _DOC_TYPE = pa.struct([("doc_id", pa.int64()), ("rkey", pa.string()), ("n", pa.int64()),
                        ("cls", pa.binary())])
@@ -186,15 +196,14 @@ DECODE_ROWS, GATHER_KEYS = 500, 500_000
 
 def _index_batches(batches, n: int, percent: int):
     """A row per document, and the index rows of its set.  Keys are gathered
-    up to a bound; the lists among them are combined (later sets of a list
-    refer to its first) before they leave the task, and a set met again while
-    its keys are held adds none.  Sets are numbered by task and place: small
-    differences between rows, which shuffle files compress; equal sets of
-    different gatherings meet in the index."""
+    up to a bound and combined before they leave the task; a set met again
+    while its keys are held adds none.  Sets are numbered by task and place:
+    small differences between rows, which shuffle files compress; equal sets
+    of different gatherings meet in the index."""
     from pyspark import TaskContext
     hasher, positions = WordHasher(), Positions(percent)
     number = TaskContext.get().partitionId() << 40
-    seen, keys, owners, held = {}, [], [], 0
+    seen, held, n_held = {}, [], 0
     for batch in batches:
         for low in range(0, batch.num_rows, DECODE_ROWS):
             part = batch.slice(low, DECODE_ROWS)
@@ -205,68 +214,111 @@ def _index_batches(batches, n: int, percent: int):
                 if cls not in seen:
                     seen[cls] = number
                     if len(grams):
-                        k = positions.keys(grams)
-                        keys.append(k)
-                        owners.append(np.full(len(k), number))
-                        held += len(k)
+                        key, need = positions.keys(grams)
+                        held.append((key.view(np.int64), np.full(len(key), number), need))
+                        n_held += len(key)
                     number += 1
                 sets.append(seen[cls])
                 docs.append({"doc_id": doc, "rkey": rkey, "n": len(grams), "cls": cls})
-                if held >= GATHER_KEYS:
-                    yield from _combined(np.concatenate(keys), np.concatenate(owners))
-                    seen, keys, owners, held = {}, [], [], 0
+                if n_held >= GATHER_KEYS:
+                    yield from _combined(*map(np.concatenate, zip(*held)))
+                    seen, held, n_held = {}, [], 0
             yield _rows(pa.nulls(len(sets), pa.int64()), pa.array(sets, pa.int64()),
-                        pa.array(docs, _DOC_TYPE))
-    if keys:
-        yield from _combined(np.concatenate(keys), np.concatenate(owners))
+                        pa.nulls(len(sets), pa.int32()), pa.array(docs, _DOC_TYPE))
+    if held:
+        yield from _combined(*map(np.concatenate, zip(*held)))
 
 
-def _combined(key: np.ndarray, owner: np.ndarray):
-    """Index rows: the first set of each list, and a list of two for every
-    other set of it."""
-    key = key.view(np.int64)
-    order = np.lexsort((owner, key))
-    key, owner = key[order], owner[order]
-    first = np.append(True, key[1:] != key[:-1])
-    leader = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-    other = owner != leader
-    pairs = np.unique(np.stack([leader[other], owner[other]]), axis=1)
-    yield _index_rows(key[first], owner[first])
-    own = _mix(pairs[0].view(np.uint64) * _M1 + pairs[1].view(np.uint64)).view(np.int64)
-    yield _index_rows(np.concatenate([own, own]), np.concatenate([pairs[0], pairs[1]]))
+def _pair_counts(a, b, need):
+    """Distinct pairs (a, b), how often they occur, the least need of each."""
+    order = np.lexsort((b, a))
+    a, b, need = a[order], b[order], need[order]
+    first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    return a[first], b[first], np.diff(np.append(first, len(a))), np.minimum.reduceat(need, first)
 
 
-def _rows(*columns, names=("key", "set", "doc")) -> pa.RecordBatch:
+def _combined(key, owner, need):
+    """Index rows of one gathering.  A set that shares as many keys with the
+    first set of its lists as linked sets must is put under it: those keys
+    travel once, with the least need of the two, and the pair as a list of
+    its own that asks for nothing more."""
+    order = np.lexsort((owner, key))
+    key, owner, need = key[order], owner[order], need[order]
+    first = np.append(True, key[1:] != key[:-1])
+    at = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+    other = np.flatnonzero(~first)
+    if len(other):
+        both = np.maximum(need[other], need[at[other]])
+        a, b, count, least = _pair_counts(owner[at[other]], owner[other], both)
+        one = count >= least
+        a, b = a[one], b[one]
+        code = _mix(a.view(np.uint64) * _M1 + b.view(np.uint64))
+        under = np.isin(_mix(owner[at[other]].view(np.uint64) * _M1 + owner[other].view(np.uint64)), code)
+        np.minimum.at(need, at[other[under]], need[other[under]])
+        keep = np.ones(len(key), dtype=bool)
+        keep[other[under]] = False
+        key, owner, need = key[keep], owner[keep], need[keep]
+        own = code.view(np.int64)
+        yield _index_rows(np.concatenate([own, own]), np.concatenate([a, b]), np.zeros(2 * len(a), np.int64))
+    yield _index_rows(key, owner, need)
+
+
+def _rows(*columns, names=("key", "set", "need", "doc")) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=list(names))
 
 
-def _index_rows(key: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
-    return _rows(pa.array(key), pa.array(owner), pa.nulls(len(key), _DOC_TYPE))
+def _index_rows(key, owner, need) -> pa.RecordBatch:
+    return _rows(pa.array(key), pa.array(owner), pa.array(need, pa.int32()), pa.nulls(len(key), _DOC_TYPE))
 
 
 def _read_lists(batches):
-    """Index rows in key order -> stars; document rows pass through."""
-    names = ("a", "b", "doc")
-    last_key = last_leader = None
+    """Index rows in key order -> shared keys of pairs of sets; document rows
+    pass through.  The rows of the last list of a batch wait for the next."""
+    names = ("a", "b", "n", "need", "doc")
+
+    def shared(key, owner, need):
+        first = np.append(True, key[1:] != key[:-1])
+        start = np.flatnonzero(first)
+        length = np.repeat(np.diff(np.append(start, len(key))), np.diff(np.append(start, len(key))))
+        lead = np.repeat(start, np.diff(np.append(start, len(key))))
+        found = []
+        for step in range(1, SHORT_LIST):
+            i = np.flatnonzero((lead[step:] == lead[:-step]) & (length[step:] <= SHORT_LIST))
+            if not len(i):
+                break
+            found.append((owner[i], owner[i + step], np.maximum(need[i], need[i + step])))
+        i = np.flatnonzero((length > SHORT_LIST) & ~first)
+        found.append((owner[lead[i]], owner[i], np.zeros(len(i), np.int64)))
+        a, b, need = map(np.concatenate, zip(*found))
+        ok = a != b
+        if ok.any():
+            a, b, count, need = _pair_counts(np.minimum(a, b)[ok], np.maximum(a, b)[ok], need[ok])
+            yield _rows(pa.array(a), pa.array(b), pa.array(count, pa.int32()), pa.array(need, pa.int32()),
+                        pa.nulls(len(a), _DOC_TYPE), names=names)
+
+    waiting = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         is_doc = table.column("key").is_null()
         docs = table.filter(is_doc)
-        if len(docs):
-            yield from docs.rename_columns(list(names)).to_batches()
+        for part in docs.to_batches():
+            none = pa.nulls(len(part), pa.int32())
+            yield _rows(part.column("key"), part.column("set"), none, none, part.column("doc"), names=names)
         rows = table.filter(pc.invert(is_doc))
         if not len(rows):
             continue
-        key, owner = (rows.column(c).to_numpy() for c in ("key", "set"))
-        first = np.append(key[0] != last_key, key[1:] != key[:-1])
-        at = np.maximum.accumulate(np.where(first, np.arange(len(key)), -1))
-        leader = np.where(at < 0, last_leader if last_leader is not None else 0, owner[at])
-        last_key, last_leader = key[-1], leader[-1]
-        pick = owner != leader
-        if pick.any():
-            pairs = np.unique(np.stack([leader[pick], owner[pick]]), axis=1)
-            yield _rows(pa.array(pairs[0]), pa.array(pairs[1]),
-                        pa.nulls(pairs.shape[1], _DOC_TYPE), names=names)
+        now = [rows.column(c).to_numpy().astype(np.int64) for c in ("key", "set", "need")]
+        if waiting:
+            now = [np.concatenate(x) for x in zip(waiting, now)]
+        last = int(np.searchsorted(now[0], now[0][-1]))
+        if last:
+            yield from shared(*(x[:last] for x in now))
+        waiting = [x[last:] for x in now]
+        if len(waiting[0]) > 64 * SHORT_LIST:  # a long list: a star anyway, its head stays
+            yield from shared(*waiting)
+            waiting = [x[:SHORT_LIST + 1] for x in waiting]
+    if waiting:
+        yield from shared(*waiting)
 
 
 def linked_overlap(n_x, n_y, overlap, percent: int):
@@ -365,9 +417,9 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     index = rows.mapInArrow(lambda b: _index_batches(b, n, percent), INDEX)
     lists = (index.repartition(F.coalesce(F.col("key"), F.xxhash64("doc.rkey")))
              .sortWithinPartitions("key", "set"))
-    read = staged(lists.mapInArrow(_read_lists, STARS), "lists")
+    read = staged(lists.mapInArrow(_read_lists, SHARED), "lists")
     docs = read.where("doc is not null").select(F.col("b").alias("v"), "doc.*")
-    families = connected_components(read.where("doc is null").select("a", "b"))
+    families = _families(read.where("doc is null").drop("doc"))
 
     # one text per set of a family of at least two sets; the sets of a family
     # are counted after equal ones of different batches have met
@@ -414,6 +466,22 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         F.coalesce("root", "cls").alias("root")), "classes")
 
 
+def _families(pairs: DataFrame) -> DataFrame:
+    """(v, root): pairs that need nothing more are united first; between the
+    groups so found the shared keys are added up, and groups unite that share
+    as many as linked sets in them must."""
+    sure = pairs.where("need = 0").select("a", "b")
+    roots = connected_components(sure)
+    counts = pairs.where("need > 0")
+    for end in ("a", "b"):
+        root = roots.select(F.col("v").alias(end), F.col("root").alias("_r"))
+        counts = counts.join(root, end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
+    counts = (counts.where("a <> b")
+              .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+              .agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need"))
+    return connected_components(sure.union(counts.select("a", "b")))
+
+
 def ngram_components(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked id) of every row."""
     rows = ngram_classes(df, n, percent)
