@@ -45,7 +45,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces and their places in sequences of 1024 tokens."""
-    return pack(docs)
+    return pack(docs, added_tokens=True)
 
 
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("ngram_join", ngram_join),

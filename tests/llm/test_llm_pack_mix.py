@@ -88,6 +88,20 @@ def test_packing_odd_rows(spark, odd, none):
     assert packing.pack(none).count() == 0
 
 
+def test_registered_packing_takes_added_tokens_like_the_library(spark, tmp_path):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|><|endoftext|> y\n", "<|endoftext|", "plain"]
+    want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    table(spark, [(i, t, "s") for i, t in enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for got in (packing.op3_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        rows = {r.doc_id: (r.length, r.ids_crc32) for r in got.collect()}
+        for i, t in enumerate(texts):
+            ids = want.encode(t, add_special_tokens=False).ids + [2]
+            assert rows[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    blanks = "end <|endoftext|>" + " " * 5000 + "a<|endoftext|>"
+    assert packing.encoder(added_tokens=True)(blanks).tolist() == want.encode(blanks, add_special_tokens=False).ids
+
+
 def targets_brute(sizes, weights=(5, 2, 1), share=1.5, cap=2):
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(order)}

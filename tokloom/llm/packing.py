@@ -108,36 +108,60 @@ def byte_alphabet() -> dict[str, int]:
     return {**{chr(b): b for b in shown}, **{chr(256 + i): b for i, b in enumerate(hidden)}}
 
 
-def encoder(tokenizer: str | None = None):
+def encoder(tokenizer: str | None = None, added_tokens: bool = False):
     """text -> uint32 ids, as the tokenizer file says.  The same ranks run
     in the faster of the installed libraries; a text whose white space runs
-    are too long for its pattern goes to the other one."""
+    are too long for its pattern goes to the other one.  With
+    ``added_tokens``, the file's added tokens are single ids wherever they
+    stand in a text, as in the library; else they are text like any other."""
     import json
+    import re
 
     import public_tokenizers
     import tiktoken
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    added = {t["content"]: t for t in spec.get("added_tokens", ())}
     to_byte = byte_alphabet()
     ranks = {bytes(to_byte[c] for c in tok): i for tok, i in spec["model"]["vocab"].items()
-             if tok not in special}
+             if tok not in added}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                              special_tokens={})
     slow = []
 
+    def library(text: str) -> np.ndarray:
+        if not slow:
+            from tokenizers import Tokenizer
+            slow.append(Tokenizer.from_file(path))
+            slow[0].encode_special_tokens = not added_tokens
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
     def encode(text: str) -> np.ndarray:
         try:
             return fast.encode_to_numpy(text, disallowed_special=())
         except ValueError:
-            if not slow:
-                from tokenizers import Tokenizer
-                slow.append(Tokenizer.from_file(path))
-                slow[0].encode_special_tokens = True
-            return np.array(slow[0].encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+            return library(text)
+
+    if not added_tokens or not added:
+        return encode
+    # the longest of those that start at a place, as the library takes them
+    find = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))))
+    plain = spec.get("normalizer") is None and not any(
+        t.get(x) for t in added.values() for x in ("single_word", "lstrip", "rstrip"))
+
+    def encode_added(text: str) -> np.ndarray:
+        if not find.search(text):
+            return encode(text)
+        if not plain:
+            return library(text)
+        parts, at = [], 0
+        for m in find.finditer(text):
+            parts += [encode(text[at:m.start()]), np.array([added[m.group()]["id"]], dtype=np.uint32)]
+            at = m.end()
+        return np.concatenate([*parts, encode(text[at:])])
 
-    return encode
+    return encode_added
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -151,7 +175,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task
 
 
 def token_pieces(df: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
-                 tokenizer: str | None = None) -> DataFrame:
+                 tokenizer: str | None = None, added_tokens: bool = False) -> DataFrame:
     """Pieces of all documents; nth counts the task's pieces of that length."""
     names = [x.split()[0] for x in PIECES.split(", ")]
     kinds = [pa.int32() if n in ("piece", "task") else pa.int64() for n in names]
@@ -160,7 +184,7 @@ def token_pieces(df: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
         from pyspark import TaskContext
         task, seen, encode = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), None
         for batch in batches:
-            encode = encode or encoder(tokenizer)
+            encode = encode or encoder(tokenizer, added_tokens)
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.append(encode(text or ""), np.uint32(end_id)).astype("<u4")
@@ -179,10 +203,10 @@ PACKED = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
 
 
 def pack(df: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
-         tokenizer: str | None = None) -> DataFrame:
+         tokenizer: str | None = None, added_tokens: bool = False) -> DataFrame:
     """One row per piece: where it comes from and where it lies."""
     spark = df.sparkSession
-    cuts = staged(token_pieces(df, capacity, end_id, tokenizer), "pieces")
+    cuts = staged(token_pieces(df, capacity, end_id, tokenizer, added_tokens), "pieces")
     per_task = cuts.groupBy("task", "length").agg(F.count("*").alias("n"))
     # one row per (task, length): a length has at most as many rows as there are tasks
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -213,4 +237,4 @@ def pack(df: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
 
 
 def op3_packing(spark, sf_dir: str) -> DataFrame:
-    return pack(documents(spark, sf_dir, "doc_id", "text"))
+    return pack(documents(spark, sf_dir, "doc_id", "text"), added_tokens=True)
