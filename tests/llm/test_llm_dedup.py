@@ -155,6 +155,56 @@ def test_keys_of_linked_sets_meet():
                 assert both and len(both) >= min(both)
 
 
+def threshold_pairs(rng, percent, n):
+    """Pairs of word lists of 5 to 50 words that differ as much as linked ones can."""
+    while n:
+        size = int(rng.integers(5, 51))
+        drop = int(rng.integers(0, size))
+        add = 100 * (size - drop) // percent - size
+        if add >= 0:
+            x = [f"{w:x}" for w in rng.integers(0, 2**63, size + add)]
+            yield " ".join(x[:size]), " ".join(x[drop:])
+            n -= 1
+
+
+def test_threshold_pairs_are_candidates(monkeypatch):
+    import pyarrow as pa
+    import pyspark
+    m = 20_000
+    for percent in (80, 90):
+        index = []
+        for task, texts in enumerate(zip(*threshold_pairs(np.random.default_rng(1), percent, m))):
+            monkeypatch.setattr(pyspark.TaskContext, "get", lambda task=task: type(
+                "Task", (), {"partitionId": lambda self: task})())
+            batch = pa.RecordBatch.from_pydict({"doc_id": list(range(m)), "rkey": [""] * m, "text": texts})
+            index += [b for b in ngram_join._index_batches([batch], 1, percent) if b.column("key").null_count == 0]
+        rows = pa.Table.from_batches(index).sort_by([("key", "ascending"), ("set", "ascending")])
+        read = [[b.column(c).to_pylist() for c in range(4)]
+                for b in ngram_join._read_lists(rows.combine_chunks().to_batches())]
+        pairs, root = [r for cols in read for r in zip(*cols)], {}
+
+        def find(i):
+            while root.get(i, i) != i:
+                root[i] = root.get(root[i], root[i])
+                i = root[i]
+            return i
+
+        for x, y, _, least in pairs:
+            if least == 0:
+                root[find(x)] = find(y)
+        count, need = Counter(), {}
+        for x, y, n, least in pairs:  # as _families adds them up
+            two = frozenset((find(x), find(y)))
+            if least:
+                count[two] += n
+                need[two] = min(least, need.get(two, least))
+        lost = 0
+        for i in range(m):
+            two = frozenset((find(i), find(i + (1 << 40))))
+            lost += len(two) == 2 and count[two] < need.get(two, 1)
+        assert not lost, (percent, lost)
+
+
 def test_block_links_counts_like_sets():
     rng = np.random.default_rng(2)
     base = np.arange(100, dtype=np.uint64)

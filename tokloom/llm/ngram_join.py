@@ -14,7 +14,9 @@ lists the pairs of a group.
    linked set is among them, and that one is as heavy for the other set.
    A position holds several n-grams: unlike single n-grams, it does not join
    texts that merely share a passage.
-2. Linked sets share at least (own keys - d) keys.  Short lists give the
+2. Linked sets share at least (own keys - d) keys of the one with heavier
+   keys: what it agrees in is heavy enough for both, while keys of the other
+   may be too light here.  Short lists give the
    pairs of their sets, which are counted and dropped below that number;
    long lists (common to many sets) are read as a star and unite theirs
    without counting, so no list gives more pairs than a few per entry.  Sets
@@ -106,6 +108,21 @@ def set_digest(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+#: Low bits of a coded need: one plus the weight of the keys, 0 for sets of
+#: several weights.
+WEIGHT_BITS = 3
+_WEIGHT = (1 << WEIGHT_BITS) - 1
+
+
+def pair_need(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Keys that linked sets share at least, from their coded needs: as many
+    as either asks for when keys weigh the same; else only the heavier one's
+    number holds, and the smaller number in any case."""
+    same = ((a & _WEIGHT) == (b & _WEIGHT)) & ((a & _WEIGHT) > 0)
+    x, y = a >> WEIGHT_BITS, b >> WEIGHT_BITS
+    return np.where(same, np.maximum(x, y), np.minimum(x, y))
+
+
 def _share(mean: float, weight: int) -> float:
     """Share of positions with ``weight`` n-grams or more, at that mean."""
     return 1 - sum(math.exp(-mean) * mean ** k / math.factorial(k) for k in range(weight))
@@ -154,7 +171,13 @@ class Positions:
 
     def keys(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(keys, for each key how many of that index's keys a linked set must
-        share)."""
+        share, if its own are not heavier)."""
+        key, code = self.coded_keys(grams)
+        return key, code >> WEIGHT_BITS
+
+    def coded_keys(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(keys, for each key that number above WEIGHT_BITS bits of one plus
+        the least n-grams of a key)."""
         own = self.size_class(len(grams))
         self.size_class(self.edges[own + 1])
         mixed = _mix(grams + _M3)
@@ -174,12 +197,13 @@ class Positions:
                 at = np.flatnonzero(load >= weight)
             index = ((low + 1) * 2 + (high > low)) * int(_M2) & 0xFFFFFFFFFFFFFFFF
             found.append(_mix(content[at] + at.astype(np.uint64) * _M1 + np.uint64(index)))
-            need.append(np.full(len(at), len(at) - d))
+            need.append(np.full(len(at), (len(at) - d) << WEIGHT_BITS | (weight + 1)))
         return np.concatenate(found), np.concatenate(need)
 
 
 DOC = "struct<doc_id:long,rkey:string,n:long,cls:binary>"
-#: Index rows have a key and a set number, document rows the other two.
+#: Index rows have a key, a set number and its coded need, document rows the
+#: other two.
 INDEX = f"key long, set long, need int, doc {DOC}"
 #: Two sets and the keys they share; need 0: they are one family in any case.
 SHARED = f"a long, b long, n int, need int, doc {DOC}"
@@ -214,7 +238,7 @@ def _index_batches(batches, n: int, percent: int):
                 if cls not in seen:
                     seen[cls] = number
                     if len(grams):
-                        key, need = positions.keys(grams)
+                        key, need = positions.coded_keys(grams)
                         held.append((key.view(np.int64), np.full(len(key), number), need))
                         n_held += len(key)
                     number += 1
@@ -240,21 +264,26 @@ def _pair_counts(a, b, need):
 def _combined(key, owner, need):
     """Index rows of one gathering.  A set that shares as many keys with the
     first set of its lists as linked sets must is put under it: those keys
-    travel once, with the least need of the two, and the pair as a list of
-    its own that asks for nothing more."""
+    travel once, with the least need of the two and their weight if it is
+    one, and the pair as a list of its own that asks for nothing more."""
     order = np.lexsort((owner, key))
     key, owner, need = key[order], owner[order], need[order]
     first = np.append(True, key[1:] != key[:-1])
     at = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
     other = np.flatnonzero(~first)
     if len(other):
-        both = np.maximum(need[other], need[at[other]])
+        both = pair_need(need[other], need[at[other]])
         a, b, count, least = _pair_counts(owner[at[other]], owner[other], both)
         one = count >= least
         a, b = a[one], b[one]
         code = _mix(a.view(np.uint64) * _M1 + b.view(np.uint64))
         under = np.isin(_mix(owner[at[other]].view(np.uint64) * _M1 + owner[other].view(np.uint64)), code)
-        np.minimum.at(need, at[other[under]], need[other[under]])
+        head, low = at[other[under]], need[other[under]]
+        mixed = head[(need[head] & _WEIGHT) != (low & _WEIGHT)]
+        least = need >> WEIGHT_BITS
+        np.minimum.at(least, head, low >> WEIGHT_BITS)
+        need = least << WEIGHT_BITS | (need & _WEIGHT)
+        need[mixed] &= ~_WEIGHT
         keep = np.ones(len(key), dtype=bool)
         keep[other[under]] = False
         key, owner, need = key[keep], owner[keep], need[keep]
@@ -286,7 +315,7 @@ def _read_lists(batches):
             i = np.flatnonzero((lead[step:] == lead[:-step]) & (length[step:] <= SHORT_LIST))
             if not len(i):
                 break
-            found.append((owner[i], owner[i + step], np.maximum(need[i], need[i + step])))
+            found.append((owner[i], owner[i + step], pair_need(need[i], need[i + step])))
         i = np.flatnonzero((length > SHORT_LIST) & ~first)
         found.append((owner[lead[i]], owner[i], np.zeros(len(i), np.int64)))
         a, b, need = map(np.concatenate, zip(*found))
