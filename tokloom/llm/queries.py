@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tokloom.llm import chat, exact_dedup, fingerprint, line_dedup, lm_score, mixing, ngram_join, packing, pii, toxicity
+from tokloom.llm import chat, collocations, exact_dedup, fingerprint, line_dedup, lm_score, mixing, ngram_join, packing, pii, toxicity
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_mixing": mixing.op10_mixing,
+    "op11_collocations": collocations.op11_collocations,
 }
 
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op5_chat": chat.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_collocations": collocations.SQL,
 }
