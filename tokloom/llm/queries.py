@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tokloom.llm import chat, collocations, exact_dedup, fingerprint, line_dedup, lm_score, mixing, ngram_join, packing, pii, toxicity
+from tokloom.llm import (chat, collocations, exact_dedup, fingerprint, line_dedup, lm_score, mixing, ngram_join,
+                         packing, pii, search, secret_scan, toxicity)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +17,8 @@ QUERIES = {
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_mixing": mixing.op10_mixing,
     "op11_collocations": collocations.op11_collocations,
+    "op12_search": search.op12_search,
+    "op13_secrets": secret_scan.op13_secrets,
 }
 
 ORACLE = {
@@ -25,4 +28,5 @@ ORACLE = {
     "op8_exact_dedup": exact_dedup.SQL,
     "op10_mixing": mixing.SQL,
     "op11_collocations": collocations.SQL,
+    "op12_search": search.SQL,
 }
