@@ -295,8 +295,10 @@ def op13_secrets(spark, sf_dir: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
     return found.select(
-        "doc_id",
-        *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE],
+        "doc_id", *[count(k).alias(f"n_{k}") for k in BASE],
         F.sha2(joined(F.filter("spans", lambda s: s["kind"].isin(*BASE))), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"))
