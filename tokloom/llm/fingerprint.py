@@ -23,8 +23,7 @@ as well, so every last row finds its successor there.
 
 Defined cases: a null text counts as empty; the empty text, and only it,
 fills no slot, and is like itself alone; texts of fewer than K units have
-shorter k-mers; beyond 2^20 units all places count as the last; null ids
-come last in descending order, equal ids are ordered by text; a table's
+shorter k-mers; places are kept at any length; null ids come last in descending order, equal ids are ordered by text; a table's
 only row is its own successor; an empty table gives no rows; columns other
 than the two named are ignored.
 """
@@ -39,13 +38,13 @@ from tokloom.llm.common import documents, staged
 K = 3
 SLOTS = 64
 UNIT = r"[^\s]{1,8}\s*|\s+"
-#: Bits of a packed k-mer: 6 slot, 37 hash, 20 place.
-PLACE, HASH = 20, 37
+#: Bits of a packed k-mer: 6 slot, 26 hash, 31 place (no array is longer).
+PLACE, HASH = 31, 26
 RANGE_ROWS, MOST_RANGES, QUANTILES = 250, 65536, 256
 
 
 def _pack(h: Column, place: Column) -> Column:
-    return F.shiftleft(h, PLACE).bitwiseOR(F.least(place, F.lit((1 << PLACE) - 1)).cast("long"))
+    return F.shiftleft(h, PLACE).bitwiseOR(place.cast("long"))
 
 
 def _kmer(packed: Column) -> Column:
@@ -61,7 +60,7 @@ def _place(packed: Column) -> Column:
 
 
 def _short(h: Column) -> Column:
-    """The upper 43 bits: slot and hash."""
+    """The upper 32 bits: slot and hash."""
     return F.shiftrightunsigned(h, 64 - 6 - HASH)
 
 
