@@ -6,8 +6,9 @@ The method adds the kinds iban (confirmed by mod-97) and ssn, whose shape
 alone scores too low: it needs a context word such as "ssn" in the 40 code
 points before it.  DataFrame functions only: the matches come from
 ``regexp_extract_all``, the stretches between them from ``split`` on the
-same expression, and a fold over both gives the positions.  No row meets
-another, so nothing is shuffled.
+same expression, and running sums of their lengths, in steps, give the
+positions: work grows with the number of matches, not with its square.  No
+row meets another, so nothing is shuffled.
 
 The expressions match what the plain ones in ``PLAIN`` match, with
 look-behinds and possessive quantifiers that start each run of characters
@@ -101,39 +102,83 @@ KINDS = (
 )
 
 
-def _spans(kind: Kind, text: Column, found: Column) -> Column:
-    """Confirmed spans of one kind in text order."""
-    between = F.when(F.size(found) > 0, F.split(text, kind.pattern, -1))
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found,
-                       lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,score:double,text:string>>")
+#: Numbers summed in one step of a running sum.
+STEP = 64
+#: A match has five characters or more, so the context of one lies in its gap
+#: and the last eight matches with theirs.
+CONTEXT_MATCHES = 8
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["m"])
-        near = F.lower(F.substring(x["gap"], F.lit(-CONTEXT_CHARS), F.lit(CONTEXT_CHARS)))
-        score = F.lit(kind.score) + F.when(near.rlike(kind.context), kind.lift).otherwise(0.0)
-        span = F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), end.alias("end"),
-                        score.alias("score"), x["m"].alias("text"))
-        keep = kind.confirm(x["m"]) & (score >= MIN_SCORE)
-        return F.struct(end.alias("at"),
-                        F.when(keep, F.concat(acc["out"], F.array(span)))
-                        .otherwise(acc["out"]).alias("out"))
 
-    folded = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step,
-                         lambda acc: acc["out"])
-    return F.coalesce(folded, none)
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda x, y: x + y)
+
+
+def _sums_of(numbers: str) -> Column:
+    """Totals of STEP numbers each."""
+    return F.when(F.size(numbers) == 0, F.array().cast("array<int>")).otherwise(F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / STEP).cast("int")),
+        lambda k: _total(F.slice(numbers, k * STEP + 1, F.lit(STEP)))))
+
+
+def _before(numbers: str, base: str) -> Column:
+    """For each number the sum of all before it; ``base`` has it for every
+    STEP-th already."""
+    def step(b, k):
+        own = F.slice(numbers, k * STEP + 1, F.lit(STEP))
+        return F.transform(own, lambda x, j: b + _total(F.slice(numbers, k * STEP + 1, j)))
+    return F.flatten(F.transform(base, step))
 
 
 def find_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, spans: array of (kind, start, end, score, text), by kind, then
     start; positions in code points, end exclusive."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    got = df.select(F.col(doc_id).alias("doc_id"), t.alias("t"))
+    got = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     got = got.select("doc_id", "t", *[
         F.regexp_extract_all("t", F.lit(k.pattern), F.lit(0)).alias(k.name) for k in KINDS])
-    return got.select("doc_id", F.concat(*[
-        _spans(k, F.col("t"), F.col(k.name)) for k in KINDS]).alias("spans"))
+
+    def matches(i, kind):
+        found = F.col(kind.name)
+        gaps = F.when(F.size(found) > 0, F.split("t", kind.pattern, -1))
+        return F.coalesce(F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda gap, m: F.struct(
+            F.lit(i).alias("k"), gap.alias("gap"), m.alias("m"))), F.array())
+
+    sizes = [F.size(k.name) for k in KINDS]
+    got = got.select("doc_id", F.concat(*[matches(i, k) for i, k in enumerate(KINDS)]).alias("all"),
+                     F.array(*[sum(sizes[:i], F.lit(0)) for i in range(len(KINDS))]).alias("first"))
+    # where matches begin: running sums in steps of 64, of 64 times 64 and
+    # beyond.  Catalyst keeps a column that is used twice as a column; one used
+    # once must not stand inside a lambda, which would compute it for each row
+    got = got.select("*", F.transform("all", lambda x: F.length(x["gap"]) + F.length(x["m"])).alias("n0"))
+    got = got.select("*", _sums_of("n0").alias("n1"))
+    got = got.select("*", _sums_of("n1").alias("n2"))
+    got = got.select("doc_id", "all", "first", "n0", "n1", F.transform(
+        "n2", lambda x, i: _total(F.slice("n2", F.lit(1), i))).alias("b2"))
+    got = got.select("doc_id", "all", "first", "n0", _before("n1", "b2").alias("b1"))
+    got = got.select("doc_id", "all", "first", _before("n0", "b1").alias("at"))
+
+    def span(x, i):
+        first = F.get("first", x["k"])
+        start = F.get("at", i) - F.get("at", first) + F.length(x["gap"])
+        low = F.greatest(first, i - CONTEXT_MATCHES)
+        ahead = F.array_join(F.transform(F.slice("all", low + 1, i - low), lambda y: F.concat(
+            _tail(y["gap"]), y["m"])), "")
+        near = F.lower(_tail(F.concat(ahead, _tail(x["gap"]))))
+        score, keep, name = F.lit(0.0), F.lit(False), F.lit("")
+        for n, kind in enumerate(KINDS):
+            own = x["k"] == n
+            value = F.lit(kind.score) + F.when(near.rlike(kind.context), kind.lift).otherwise(0.0)
+            score = F.when(own, value).otherwise(score)
+            keep = F.when(own, kind.confirm(x["m"])).otherwise(keep)
+            name = F.when(own, F.lit(kind.name)).otherwise(name)
+        return F.struct(name.alias("kind"), start.alias("start"), (start + F.length(x["m"])).alias("end"),
+                        score.alias("score"), x["m"].alias("text"), keep.alias("keep"))
+
+    spans = F.filter(F.transform("all", span), lambda s: s["keep"] & (s["score"] >= MIN_SCORE))
+    return got.select("doc_id", F.transform(spans, lambda s: s.dropFields("keep")).alias("spans"))
+
+
+def _tail(text: Column) -> Column:
+    return F.substring(text, F.lit(-CONTEXT_CHARS), F.lit(CONTEXT_CHARS))
 
 
 def _joined(spans: Column) -> Column:
@@ -155,18 +200,17 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
 
 def _sql_kind(kind: str, valid: str, context: str | None = None) -> str:
     """Matches of one expression with their positions, in DuckDB."""
-    near = (f"AND regexp_matches(lower(right(list_extract(gaps, i::INT), {CONTEXT_CHARS})), '{context}')"
-            if context else "")
+    near = (f"AND regexp_matches(lower(substr(t, greatest(1, start - {CONTEXT_CHARS - 1})::BIGINT, "
+            f"least(start, {CONTEXT_CHARS})::BIGINT)), '{context}')" if context else "")
     return f"""
   SELECT rid, '{kind}' AS kind, {list(PLAIN).index(kind)} AS k, start, start + length(m) AS stop FROM (
-    SELECT rid, list_extract(ms, i::INT) AS m,
+    SELECT rid, t, list_extract(ms, i::INT) AS m,
            list_sum(list_transform(gaps[1:i], lambda x: length(x)))
            + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS start
-    FROM (SELECT rid, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM (
-      SELECT rid, regexp_extract_all(t, '{PLAIN[kind]}') AS ms,
-             string_split_regex(t, '{PLAIN[kind]}') AS gaps FROM d))
-    WHERE true {near})
-  WHERE {valid}"""
+    FROM (SELECT rid, t, ms, gaps, unnest(range(1, len(ms) + 1)) AS i FROM (
+      SELECT rid, t, regexp_extract_all(t, '{PLAIN[kind]}') AS ms,
+             string_split_regex(t, '{PLAIN[kind]}') AS gaps FROM d)))
+  WHERE {valid} {near}"""
 
 
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
