@@ -1,215 +1,281 @@
 """Line dedup by winnowing over line hashes.
 
-A line is deleted when it lies in a run of consecutive lines, of
-``min_words`` words or more in all, that also stands at an earlier place: in
-a document with a smaller id, or further up in the same one.  The first
-occurrence of every run stays.
-
-1. Lines are hashed.  For each line, the shortest run from it on with
-   ``min_words`` words is a window; of the grams inside (shortest runs of
-   ``gram_words`` words) the one with the smallest hash is its fingerprint.
-   Equal windows choose equal fingerprints, so any two places that share a
-   run long enough share a fingerprint; places are few, as neighbouring
-   windows mostly agree on theirs.
-2. Fingerprints are counted (combined before the shuffle); only documents
-   with one that occurs twice go on.
-3. Their matches are extended both ways: round each repeated fingerprint,
-   every window forwards from a line and backwards from a line is a run that
-   may repeat.  Runs meet by hash, the first place of each is found by an
-   aggregate, and every other place is deleted.  Each line of a longer
-   common run lies in a forward or a backward window inside that run, so the
-   union of the windows is the whole extended match; no pair of documents is
-   ever listed, and a run that a third of all documents share costs one row
-   for each.
-4. Texts of the documents concerned are rewritten; the others pass as they
+Passages repeat wherever they like: across the lines of one text and inside
+longer lines of another.  So texts are wrapped anew: at every word a line of
+LINE_WORDS words begins, whatever white space lies between.  A word goes when
+it stands in a run of ``min_words`` words that also stands at an earlier
+place: in a document with a smaller id, or further up in the same one and not
+overlapping.  With a word goes the white space after it.  Whatever is deleted
+stays at an earlier place.
+
+1. Lines are hashed.  Of the lines inside each run of ``min_words`` words the
+   one with the smallest hash is the run's fingerprint.  Equal runs choose
+   equal fingerprints, so any two places that share a run share one; they are
+   few, as neighbouring runs mostly agree on theirs.
+2. A text that as a whole stands in another document is one long run: all
+   but its first copy become empty, and only that one goes on.
+3. Fingerprints are counted (combined before the shuffle); only texts with
+   one that occurs twice go on.
+4. Their matches are extended both ways, word by word: every run whose
+   fingerprint occurs twice is named by 128 bits.  Runs meet by name, an
+   aggregate finds the first place of each, and every later place is
+   deleted.  Matches that are longer are chains of such runs, so their union
+   is the whole match; no pair of documents is ever listed, and a run that a
+   third of all documents share costs one row for each.
+5. Texts of the documents concerned are rewritten; the others pass as they
    are and their texts are not shuffled.
 
+Work is linear in the words of a text: hashes of lines and runs are
+differences of running sums, minima are taken over 26 lines each.
+
 Defined cases: a null text stays null, an empty one stays empty; documents
 without ids come last, in order of their content; repeated rows (same id and
-text) count as one place and are edited alike; a text all of whose lines go
-becomes empty, its row stays; an empty table gives no rows; ``delete_runs``
-carries other columns along whatever their names.
+text) count as one place and are edited alike; a text all of whose words go
+keeps only the white space before the first, its row stays; a run that
+overlaps its own first place stays; an empty table gives no rows;
+``delete_runs`` carries other columns along whatever their names.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tokloom.llm.common import BROADCAST_ROWS, documents, join_by_size, row_key, staged
+from tokloom.llm.common import (BROADCAST_ROWS, KNOWN_WORDS, documents, give_back, join_by_size, one_by_one,
+                                row_key, staged)
 
 MIN_WORDS = 50
-GRAM_WORDS = 25
-
-
-def run_ends(words: list[int], need: int) -> list[int]:
-    """For each line, the last line of the shortest run from it on with
-    ``need`` words, as far as there is one."""
-    ends, total, j = [], 0, 0
-    for i in range(len(words)):
-        while total < need and j < len(words):
-            total += words[j]
-            j += 1
-        if total < need:
-            break
-        ends.append(j - 1)
-        total -= words[i]
-    return ends
-
-
-def fingerprints(hashes: np.ndarray, words: list[int], min_words: int, gram_words: int):
-    """(fingerprint of each window, by its first line; fingerprint of each
-    place that some window chose)."""
-    import xxhash
-    raw = hashes.tobytes()
-    grams = [(xxhash.xxh3_64_intdigest(raw[8 * i:8 * e + 8]), e)
-             for i, e in enumerate(run_ends(words, gram_words))]
-    chosen, places = [], {}
-    for i, end in enumerate(run_ends(words, min_words)):
-        least = place = None
-        for k in range(i, len(grams)):
-            h, e = grams[k]
-            if e > end:
-                break
-            if least is None or h < least:
-                least, place = h, k
-        least = least - (1 << 64) if least >= 1 << 63 else least
-        chosen.append(least)
-        places[place] = least
-    return chosen, list(places.values())
-
-
-LINES = ("rid long, doc_id long, rkey binary, hashes binary, words binary, chosen array<long>, "
-         "places array<long>")
-
-
-def _line_rows(batches, min_words: int, gram_words: int):
+LINE_WORDS = 25
+#: Odd multipliers of the two hashes of a run.
+_BASES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
+#: A word with the white space after it.
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+class Hasher:
+    """Hashes of words, and of runs of so many words, by a multiplier."""
+
+    def __init__(self, which: int = 0):
+        import xxhash
+        self.digest, self.seed, self.known = xxhash.xxh3_64_intdigest, which, {}
+        self.base = _BASES[which]
+        self.back = np.uint64(pow(int(self.base), -1, 1 << 64))
+        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def words(self, words: list[bytes]) -> np.ndarray:
+        known, digest, seed = self.known, self.digest, self.seed
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        out = []
+        for w in words:
+            h = known.get(w)
+            if h is None:
+                h = known[w] = digest(w, seed)
+            out.append(h)
+        return np.array(out, dtype=np.uint64)
+
+    def _power(self, which: int, n: int) -> np.ndarray:
+        """The first n powers of the multiplier or its inverse, mod 2^64."""
+        if len(self.powers[which]) < n:
+            steps = np.full(max(n, 4096), self.back if which else self.base, dtype=np.uint64)
+            steps[0] = 1
+            self.powers[which] = np.cumprod(steps, dtype=np.uint64)
+        return self.powers[which][:n]
+
+    def runs(self, hashes: np.ndarray, width: int) -> np.ndarray:
+        """Hash of the run of ``width`` words from each word on."""
+        m = len(hashes) - width + 1
+        if m <= 0:
+            return np.zeros(0, dtype=np.uint64)
+        sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+        np.cumsum(hashes * self._power(0, len(hashes)), dtype=np.uint64, out=sums[1:])
+        return _mix((sums[width:] - sums[:m]) * self._power(1, m))
+
+
+def fingerprints(lines: np.ndarray, width: int) -> np.ndarray:
+    """For each run of ``width`` lines, the place of its smallest hash."""
+    if len(lines) < width:
+        return np.zeros(0, dtype=np.int64)
+    view = np.lib.stride_tricks.sliding_window_view(lines, width)
+    return view.argmin(axis=1) + np.arange(len(view))
+
+
+LINES = "doc_id long, rkey long, tkey binary, n_words int, places array<long>"
+
+
+def _line_rows(batches, min_words: int, line_words: int):
+    """A row per document of ``min_words`` words or more."""
     import xxhash
-    from pyspark import TaskContext
-    rid = TaskContext.get().partitionId() << 40
+    hasher = Hasher()
+    names = [x.split()[0] for x in LINES.split(", ")]
     for batch in batches:
-        rows = []
-        for doc, rkey, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "rkey", "text"))):
-            lines = text.encode("utf-8", "surrogatepass").split(b"\n")
-            words = [len(x.split()) for x in lines]
-            if sum(words) < min_words:
+        kept, digests, counts, places = [], [], [], []
+        for i, text in enumerate(one_by_one(batch.column("text").cast(pa.binary()))):
+            words = text.split()
+            if len(words) < min_words:
                 continue
-            hashes = np.array([xxhash.xxh3_64_intdigest(x) for x in lines], dtype=np.uint64)
-            rows.append((rid, doc, rkey, hashes.tobytes(), np.array(words, np.int32).tobytes(),
-                         *fingerprints(hashes, words, min_words, gram_words)))
-            rid += 1
-        cols = list(zip(*rows)) or [()] * 7
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(),
-                 pa.list_(pa.int64()), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                         names=[x.split()[0] for x in LINES.split(", ")])
+            lines = hasher.runs(hasher.words(words), line_words)
+            kept.append(i)
+            digests.append(xxhash.xxh3_128_digest(text))
+            counts.append(len(words))
+            places.append(lines[np.unique(fingerprints(lines, min_words - line_words + 1))].view(np.int64))
+        at = pa.array(kept, pa.int64())
+        ends = np.append(0, np.cumsum([len(p) for p in places])).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(at), batch.column("rkey").take(at), pa.array(digests, pa.binary()),
+             pa.array(counts, pa.int32()),
+             pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int64), *places]))], names=names)
+    del hasher
+    give_back()
 
 
-RUNS = "run binary, doc_id long, rkey binary, first int, last int"
+RUNS = "a long, b long, doc_id long, rkey long, at int"
 
 
-def _runs(batches, min_words: int):
-    """Windows, forwards and backwards, round repeated fingerprints."""
-    import xxhash
+def _run_rows(batches, min_words: int, line_words: int):
+    """The runs whose fingerprint occurs twice."""
+    one, two = Hasher(0), Hasher(1)
+    names = [x.split()[0] for x in RUNS.split(", ")]
     for batch in batches:
-        rows = []
-        for doc, rkey, raw, words, chosen, hot in zip(*(batch.column(c).to_pylist() for c in (
-                "doc_id", "rkey", "hashes", "words", "chosen", "hot"))):
-            words, hot = np.frombuffer(words, np.int32).tolist(), set(hot)
-            forward = {(i, e) for i, e in enumerate(run_ends(words, min_words))}
-            n = len(words)
-            backward = {(n - 1 - e, n - 1 - i) for i, e in enumerate(run_ends(words[::-1], min_words))}
-            for i, e in sorted(forward | backward):
-                if chosen[i] in hot:
-                    rows.append((xxhash.xxh3_128_digest(raw[8 * i:8 * e + 8]), doc, rkey, i, e))
-        cols = list(zip(*rows)) or [()] * 5
-        kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                         names=[x.split()[0] for x in RUNS.split(", ")])
+        hot_lists = batch.column("hot")
+        for i, text in enumerate(one_by_one(batch.column("text").cast(pa.binary()))):
+            words = text.split()
+            hashes = one.words(words)
+            lines = one.runs(hashes, line_words)
+            hot = hot_lists[i].values.to_numpy().view(np.uint64)
+            chosen = lines[fingerprints(lines, min_words - line_words + 1)]
+            at = np.flatnonzero(np.isin(chosen, hot))
+            a = one.runs(hashes, min_words)[at].view(np.int64)
+            b = two.runs(two.words(words), min_words)[at].view(np.int64)
+            # a row of this batch for each run: bounded by the words of one text
+            doc, key = (pa.repeat(batch.column(c)[i], len(at)) for c in ("doc_id", "rkey"))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a), pa.array(b), doc, key, pa.array(at.astype(np.int32))], names=names)
+    del one, two
+    give_back()
 
 
 def _key():
-    return F.unhex(row_key(F.col("doc_id"), F.col("text"))).alias("rkey")
+    """64 bits of a row's content; with the id they name a place."""
+    return F.conv(F.substring(row_key(F.col("doc_id"), F.col("text")), 1, 15), 16, 10).cast("long")
 
 
-def repeated_runs(df: DataFrame, min_words: int = MIN_WORDS,
-                  gram_words: int = GRAM_WORDS) -> DataFrame:
-    """Staged table (rkey, runs): for each document with later occurrences,
-    the first and last lines of the runs to delete."""
+def repeated_runs(df: DataFrame, min_words: int = MIN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
+    """Staged table (doc_id, rkey, runs, n_words): for each document with
+    later occurrences, the first words of the runs to delete; runs are null
+    where the whole text is a copy."""
     rows = df.where("text is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"), _key(), "text")
-    lines = staged(rows.mapInArrow(
-        lambda b: _line_rows(b, min_words, gram_words), LINES), "lines")
-    twins = staged(lines.groupBy("rkey").agg(F.min("rid").alias("only"), F.count("*").alias("n"))
-                   .where("n > 1").select("rkey", "only"), "twins")
-    if not twins.isEmpty():  # repeated rows are one place
-        lines = join_by_size(lines, twins, "rkey", "left").where("only is null or only = rid").drop("only")
-    places = lines.select("rid", F.explode("places").alias("fp"))
+        F.col("doc_id").cast("long").alias("doc_id"), _key().alias("rkey"), "text")
+    lines = staged(rows.mapInArrow(lambda b: _line_rows(b, min_words, line_words), LINES), "lines")
+    # whole copies, and repeated rows, which are one place
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rkey")
+    copied = staged(lines.groupBy("tkey").agg(F.min(place).alias("top"), F.count("*").alias("n"))
+                    .where("n > 1").select("tkey", "top"), "copied")
+    among = staged(join_by_size(lines.select("tkey", "doc_id", "rkey", "n_words"), copied, "tkey")
+                   .select("doc_id", "rkey", "n_words", (place == F.col("top")).alias("first")).distinct(), "among")
+    whole = among.where("not first").select("doc_id", "rkey", "n_words")
+    single = join_by_size(lines, copied.select("tkey"), "tkey", "left_anti").select("doc_id", "rkey", "places")
+    firsts = join_by_size(lines, copied, "tkey").where(place == F.col("top")).dropDuplicates(["doc_id", "rkey"])
+    places = single.union(firsts.select("doc_id", "rkey", "places")).select(
+        "doc_id", "rkey", F.explode("places").alias("fp"))
+    places = staged(places, "places")
     twice = staged(places.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "twice")
-    hot = staged(join_by_size(places, twice, "fp").groupBy("rid").agg(F.collect_set("fp").alias("hot")), "hot")
-    near = join_by_size(lines, hot.select("rid"), "rid", "left_semi")
-    runs = staged(near.join(hot, "rid").mapInArrow(lambda b: _runs(b, min_words), RUNS), "runs")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rkey", "first")
-    firsts = staged(runs.groupBy("run").agg(F.min(place).alias("top"), F.count("*").alias("n"))
-                    .where("n > 1").select("run", "top"), "firsts")
-    later = runs.join(firsts, "run").where(place != F.col("top"))
-    return staged(later.groupBy("rkey").agg(
-        F.collect_set(F.struct("first", "last")).alias("runs")), "later")
-
-
-def delete_runs(df: DataFrame, min_words: int = MIN_WORDS, gram_words: int = GRAM_WORDS) -> DataFrame:
-    """``df`` with texts rewritten, and the number of lines before
-    (__n_lines) and deleted (__n_removed)."""
-    found = repeated_runs(df.select("doc_id", "text"), min_words, gram_words)
-    keyed = df.withColumn("__rkey", _key())
-    runs = found.select(F.col("rkey").alias("__rkey"), F.col("runs").alias("__runs"))
-    keys = runs.select("__rkey")
+    hot = staged(join_by_size(places, twice, "fp").groupBy("doc_id", "rkey").agg(
+        F.collect_set("fp").alias("hot")), "hot")
+    same = [F.col("r.doc_id").eqNullSafe(F.col("h.doc_id")), F.col("r.rkey") == F.col("h.rkey")]
+    side = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS // 10 else hot  # rows of some hundred bytes
+    near = rows.alias("r").join(side.alias("h"), same).select("r.doc_id", "r.rkey", "r.text", "h.hot")
+    runs = staged(near.mapInArrow(lambda b: _run_rows(b, min_words, line_words), RUNS), "runs")
+    spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rkey", "at")
+    tops = staged(runs.groupBy("a", "b").agg(F.min(spot).alias("top"), F.count("*").alias("n"))
+                  .where("n > 1").select("a", "b", "top"), "tops")
+    own = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("rkey") == F.col("top.rkey"))
+    later = runs.join(tops, ["a", "b"]).where(~own | (F.col("at") >= F.col("top.at") + min_words))
+    cut = later.groupBy("doc_id", "rkey").agg(F.collect_set("at").alias("runs"))
+    return staged(cut.withColumn("n_words", F.lit(None).cast("int")).unionByName(
+        whole.withColumn("runs", F.lit(None).cast("array<int>"))), "later")
+
+
+def cut_words(text: bytes, runs: list[int] | None, min_words: int) -> tuple[bytes, int]:
+    """The text without the words of the runs, and their number; None: without
+    all of its words."""
+    words = [m.span() for m in _WORD.finditer(text)]
+    if not words:
+        return text, 0
+    gone = np.ones(len(words), dtype=bool)
+    if runs is not None:
+        edge = np.zeros(len(words) + 1, dtype=np.int64)
+        np.add.at(edge, runs, 1)
+        np.add.at(edge, np.asarray(runs) + min_words, -1)
+        gone = np.cumsum(edge)[:-1] > 0
+    kept = [text[:words[0][0]], *(text[a:b] for (a, b), x in zip(words, gone) if not x)]
+    return b"".join(kept), int(gone.sum())
+
+
+def delete_runs(df: DataFrame, min_words: int = MIN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
+    """``df`` with texts rewritten, and the number of words deleted
+    (__n_removed)."""
+    found = repeated_runs(df.select("doc_id", "text"), min_words, line_words)
+    found = found.select(F.col("doc_id").alias("__doc"), F.col("rkey").alias("__rkey"), "runs",
+                         F.lit(True).alias("hit"))
+    keyed = df.withColumn("__key", _key())
+    same = [F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")), F.col("__key") == F.col("__rkey")]
+    keys = found.select("__doc", "__rkey")
     if keys.count() <= BROADCAST_ROWS:
-        changed = keyed.join(F.broadcast(keys), "__rkey", "left_semi").join(runs, "__rkey")
-        same = keyed.join(F.broadcast(keys), "__rkey", "left_anti").withColumn(
-            "__runs", F.lit(None).cast(runs.schema["__runs"].dataType))
-        both = changed.unionByName(same)
+        changed = keyed.join(F.broadcast(keys), same, "left_semi").join(found, same)
+        plain = keyed.join(F.broadcast(keys), same, "left_anti").select(*df.columns)
     else:
-        both = keyed.join(runs, "__rkey", "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda x, i: ~F.exists(
-        "__runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
-    out = both.withColumn("__lines", lines).withColumn(
-        "__left", F.when(F.col("__runs").isNull(), F.col("__lines")).otherwise(kept))
-    n_lines = F.coalesce(F.size("__lines"), F.lit(0))
-    text = F.when(F.col("__runs").isNull(), F.col("text")).otherwise(F.array_join("__left", "\n"))
-    return out.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in df.columns],
-        F.greatest(n_lines, F.lit(0)).cast("long").alias("__n_lines"),
-        F.greatest(n_lines - F.coalesce(F.size("__left"), F.lit(0)), F.lit(0)).cast("long")
-        .alias("__n_removed"))
+        changed = keyed.join(found, same)
+        plain = keyed.join(keys, same, "left_anti").select(*df.columns)
+    at = df.columns.index("text")
+    schema = T.StructType([*df.schema.fields, T.StructField("__n_removed", T.LongType())])
+
+    def rewrite(batches):
+        for batch in batches:
+            texts, counts = [], []
+            for text, runs in zip(batch.column(at).cast(pa.binary()), batch.column("__runs")):
+                new, n = cut_words(text.as_py(), runs.as_py(), min_words)
+                texts.append(new)
+                counts.append(n)
+            columns = [batch.column(i) for i in range(len(schema) - 1)]
+            columns[at] = pa.array(texts, pa.binary()).view(pa.string())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=schema.names)
+
+    changed = changed.select(*[F.col(f"`{c}`") for c in df.columns], F.col("runs").alias("__runs"))
+    return changed.mapInArrow(rewrite, schema).unionByName(
+        plain.withColumn("__n_removed", F.lit(0).cast("long")))
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     out = delete_runs(documents(spark, sf_dir, "doc_id", "text"))
-    return out.withColumnsRenamed({"__n_lines": "n_lines", "__n_removed": "n_removed"})
+    return out.withColumnRenamed("__n_removed", "n_removed")
 
 
 SQL = rf"""
 WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST, md5(text)) AS rid, doc_id, text,
-                  string_split(text, chr(10)) AS lines FROM documents),
-l AS (SELECT rid, i, len(regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+')) AS w
-      FROM (SELECT rid, lines, unnest(range(1, len(lines) + 1)) AS i FROM d WHERE text IS NOT NULL)),
-c AS (SELECT rid, i, w, sum(w) OVER (PARTITION BY rid ORDER BY i) AS upto FROM l),
-spans AS (SELECT a.rid, a.i AS s, b.i AS e FROM c a JOIN c b ON a.rid = b.rid AND a.i <= b.i
-          AND b.upto - a.upto + a.w >= {MIN_WORDS}
-          AND (b.upto - b.w - a.upto + a.w < {MIN_WORDS} OR b.upto - a.upto < {MIN_WORDS})),
-ends AS (SELECT rid, s, min(e) AS e FROM spans GROUP BY rid, s
-         UNION SELECT rid, max(s) AS s, e FROM spans GROUP BY rid, e),
-runs AS (SELECT rid, s, e, min((rid, s)) OVER (PARTITION BY array_to_string(lines[s:e], chr(10))) AS top
-         FROM ends JOIN d USING (rid)),
-gone AS (SELECT rid, list(DISTINCT i) AS cut FROM (
-           SELECT rid, unnest(range(s, e + 1)) AS i FROM runs WHERE (rid, s) <> top) GROUP BY rid)
+                  regexp_extract(text, '^[\x20\x09-\x0D]*') AS head,
+                  regexp_extract_all(text, '[^\x20\x09-\x0D]+[\x20\x09-\x0D]*') AS pieces,
+                  regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+runs AS (SELECT rid, i, md5(array_to_string(ws[i:i + {MIN_WORDS - 1}], ' ')) AS run FROM (
+           SELECT rid, ws, unnest(range(1, len(ws) - {MIN_WORDS - 2})) AS i FROM d WHERE len(ws) >= {MIN_WORDS})),
+tops AS (SELECT *, min((rid, i)) OVER (PARTITION BY run) AS top FROM runs),
+gone AS (SELECT rid, list(DISTINCT j) AS cut FROM (
+           SELECT rid, unnest(range(i, i + {MIN_WORDS})) AS j FROM tops
+           WHERE rid <> top[1] OR i >= top[2] + {MIN_WORDS}) GROUP BY rid)
 SELECT doc_id,
-       CASE WHEN cut IS NULL THEN text ELSE coalesce(array_to_string(list_transform(list_filter(
-         range(1, len(lines) + 1), lambda i: NOT list_contains(cut, i)), lambda i: lines[i]), chr(10)), '') END AS text,
-       coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(cut), 0)::BIGINT AS n_removed
+       CASE WHEN cut IS NULL THEN text ELSE head || coalesce(array_to_string(list_transform(list_filter(
+         range(1, len(pieces) + 1), lambda i: NOT list_contains(cut, i)), lambda i: pieces[i]), ''), '') END AS text,
+       coalesce(len(cut), 0)::BIGINT AS n_removed
 FROM d LEFT JOIN gone USING (rid)
 """
