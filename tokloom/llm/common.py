@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +19,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: (rows of the tables concerned are narrow: under 100 bytes).
 BROADCAST_ROWS = 100_000
 
+#: Words a task remembers before it starts afresh.
+KNOWN_WORDS = 50_000
+
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -41,6 +47,20 @@ def join_by_size(big: DataFrame, small: DataFrame, on, how: str = "inner") -> Da
     return big.join(small, on, how)
 
 
+def one_by_one(column: pa.Array) -> Iterator:
+    """Values of a column; those of a batch never exist together in Python."""
+    return (x.as_py() for x in column)
+
+
+def give_back() -> None:
+    """At the end of a task: workers are used again for other stages, so what
+    allocators hold but do not use goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     """128-bit content key of a row as a hex string: equal for repeated rows
     (same id and text), also when the id is null."""

@@ -53,7 +53,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokloom.llm.common import documents, join_by_size, row_key, staged
+from tokloom.llm.common import (KNOWN_WORDS, documents, give_back, join_by_size, one_by_one, row_key,
+                                staged)
 from tokloom.llm.components import connected_components
 
 #: Spare positions where only light keys will do.
@@ -82,7 +83,7 @@ class WordHasher:
     def __call__(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "surrogatepass").lower().split()  # ASCII case and white space only
         known, digest = self.known, self.digest
-        if len(known) > 300_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         out = []
         for w in words:
@@ -215,7 +216,7 @@ _DOC_TYPE = pa.struct([("doc_id", pa.int64()), ("rkey", pa.string()), ("n", pa.i
 
 
 #: Documents decoded, and index keys gathered, at a time in a task.
-DECODE_ROWS, GATHER_KEYS = 500, 500_000
+DECODE_ROWS, GATHER_KEYS = 500, 150_000
 
 
 def _index_batches(batches, n: int, percent: int):
@@ -232,7 +233,7 @@ def _index_batches(batches, n: int, percent: int):
         for low in range(0, batch.num_rows, DECODE_ROWS):
             part = batch.slice(low, DECODE_ROWS)
             sets, docs = [], []
-            for doc, rkey, text in zip(*(part.column(c).to_pylist() for c in ("doc_id", "rkey", "text"))):
+            for doc, rkey, text in zip(*(one_by_one(part.column(c)) for c in ("doc_id", "rkey", "text"))):
                 grams = gram_set(hasher(text or ""), n)
                 cls = set_digest(grams)
                 if cls not in seen:
@@ -251,6 +252,8 @@ def _index_batches(batches, n: int, percent: int):
                         pa.nulls(len(sets), pa.int32()), pa.array(docs, _DOC_TYPE))
     if held:
         yield from _combined(*map(np.concatenate, zip(*held)))
+    del seen, held, hasher
+    give_back()
 
 
 def _pair_counts(a, b, need):
@@ -369,7 +372,7 @@ def block_links(sets: list[np.ndarray], percent: int, columns: int = 4096) -> li
     n_common = int(common.sum())
     has = np.bincount(rows[common[where]], minlength=m)
     lacks = n_common - has
-    overlap = (n_common - lacks[:, None] - lacks[None, :]).astype(np.float32)
+    overlap = n_common - lacks[:, None] - lacks[None, :]
     shared = (count > 1) & ~(common & (count == m))
     place = np.cumsum(shared) - 1
     total = int(shared.sum())
@@ -383,9 +386,8 @@ def block_links(sets: list[np.ndarray], percent: int, columns: int = 4096) -> li
         x = np.zeros((m, high - low), dtype=np.float32)
         x[r[a:b], c[a:b] - low] = 1
         x[:, flip[low:high]] = 1 - x[:, flip[low:high]]
-        overlap += x @ x.T
-    both = sizes[:, None] + sizes[None, :]
-    near = 100 * overlap >= percent * (both - overlap)
+        overlap += (x @ x.T).astype(np.int64)  # at most ``columns`` each: whole in single precision
+    near = linked_overlap(sizes[:, None], sizes[None, :], overlap, percent)
     group = np.full(m, -1)
     stars = []
     for i in range(m):
@@ -414,7 +416,7 @@ def _verify(batches, percent: int):
 
     for batch in batches:
         out = []
-        for *task, cls, grams in zip(*(batch.column(i).to_pylist() for i in range(6))):
+        for *task, cls, grams in zip(*(one_by_one(batch.column(i)) for i in range(6))):
             if task != current:
                 if held:
                     out += links()
@@ -423,6 +425,8 @@ def _verify(batches, percent: int):
         yield _star_rows(out)
     if held:
         yield _star_rows(links())
+    held = {}
+    give_back()
 
 
 def _any_compatible(sets: list[np.ndarray], percent: int) -> bool:
@@ -473,12 +477,14 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(low, DECODE_ROWS)
-                sets = [gram_set(hasher(t or ""), n) for t in part.column("text").to_pylist()]
+                sets = [gram_set(hasher(t or ""), n) for t in one_by_one(part.column("text"))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("family"), part.column("places"),
                      pa.array([set_digest(s) for s in sets], pa.binary()),
                      pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["family", "places", "cls", "grams"])
+        hasher.known.clear()
+        give_back()
 
     sets = texts.select("family", "places", "text").mapInArrow(
         grams, "family long, places array<struct<c:int,blocks:int,b:int>>, cls binary, grams binary")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokloom.llm.common import documents, id_crc32, row_key, staged
+from tokloom.llm.common import KNOWN_WORDS, documents, give_back, id_crc32, one_by_one, row_key, staged
 
 #: Bounds of the fitting sample, in documents, and of the model, in weights.
 SAMPLE_TOXIC = 4000
@@ -71,7 +71,7 @@ class ToxicModel:
             for w in set(text.lower().split()):
                 f = known.get(w)
                 if f is None:
-                    if len(known) > 200_000:
+                    if len(known) > KNOWN_WORDS:
                         known.clear()
                     f = known[w] = tuple(x for x in word_features(w) if x in weights)
                 if f:
@@ -160,7 +160,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPL
     def count(batches):
         for batch in batches:
             p, u = Counter(), Counter()
-            for text, is_p, is_u in zip(*(batch.column(c).to_pylist() for c in ("text", "p", "u"))):
+            for text, is_p, is_u in zip(*(one_by_one(batch.column(c)) for c in ("text", "p", "u"))):
                 found = text_features(text)
                 if is_p:
                     p.update(found)
@@ -189,7 +189,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_toxic: int = SAMPL
         at = place.value
         for batch in batches:
             rows = [np.array(sorted(at[f] for f in text_features(t) if f in at), np.int32).tobytes()
-                    for t in batch.column("text").to_pylist()]
+                    for t in one_by_one(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("p"), batch.column("u"),
                  pa.array(rows, pa.binary())], names=["key", "p", "u", "idx"])
@@ -210,9 +210,11 @@ def score_toxicity(df: DataFrame, model: ToxicModel) -> DataFrame:
     def score(batches):
         one = shared.value.scorer()
         for batch in batches:
-            got = [one(t or "") for t in batch.column(1).to_pylist()]
+            got = [one(t or "") for t in one_by_one(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())],
                                              names=["doc_id", "score"])
+        del one
+        give_back()
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         score, "doc_id long, score double")
@@ -227,8 +229,10 @@ def reject_toxic(df: DataFrame, model: ToxicModel, threshold: float = 0.5) -> Da
     def keep(batches):
         one = shared.value.scorer()
         for batch in batches:
-            mask = [one(t or "") < threshold for t in batch.column(at).to_pylist()]
+            mask = [one(t or "") < threshold for t in one_by_one(batch.column(at))]
             yield batch.filter(pa.array(mask, pa.bool_()))
+        del one
+        give_back()
 
     return df.mapInArrow(keep, df.schema)
 
