@@ -184,5 +184,5 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
     names = entry.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(ORACLE) <= set(QUERIES) and set(ORACLE) <= set(entry.oracle_sql())

@@ -4,12 +4,14 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 from conftest import LONG, SF_SMALL
+from pyspark.sql import functions as F
 
 from tokloom.llm import chat, fingerprint, lm_score, pii, toxicity
 
@@ -179,6 +181,75 @@ def order_minhash(text):
     return kmers
 
 
+def test_pii_context_crosses_other_matches(spark):
+    text = "ssn 1.2.3.4 078-05-1120 and 219-09-9999, " + "no word near by, only filler text " * 2 + "457-55-5462"
+    got = pii.find_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [s.text for s in got.spans if s.kind == "ssn"] == ["078-05-1120", "219-09-9999"]
+
+
+def test_pii_many_spans_in_one_text(spark):
+    text = "é a.b@c.de 10.0.0.1 " * 100_000
+    start = time.time()
+    got = pii.find_spans(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string"))
+    spans = {r.doc_id: r.spans for r in got.collect()}
+    assert time.time() - start < 60 and spans[2] == []
+    assert [(s.kind, s.start, s.end) for s in spans[1]] == base_spans(text)
+
+
+def spark_hash(seed, *values):
+    """xxhash64 of Spark: each value's hash is the seed of the next."""
+    import xxhash
+    for v in values:
+        if v is not None:
+            raw = v.encode() if isinstance(v, str) else v.to_bytes(4 if isinstance(v, I32) else 8, "little", signed=True)
+            seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed
+
+
+class I32(int):
+    pass
+
+
+def signature_brute(text):
+    """Numbered k-mers, the two smallest of each slot, in text order."""
+    units = re.findall(r"[^\s]{1,8}\s*|\s+", text, re.ASCII)
+    slots, seen = {}, Counter()
+    for i in range(len(units)):
+        key = spark_hash(42, *units[i:i + fingerprint.K]) >> 32
+        o = seen[key]
+        seen[key] += 1
+        if o:
+            key = spark_hash(42, key, I32(o)) >> 32
+        slots.setdefault(key >> 26, []).append((key, i))
+    out = []
+    for slot in sorted(slots):
+        two = sorted(sorted(slots[slot])[:2], key=lambda x: x[1])
+        value = spark_hash(42, *(k for k, _ in two))
+        out.append((value >> 32) << 6 | slot)
+    return out
+
+
+def test_signature_is_the_brute_force(spark):
+    rng = random.Random(3)
+    texts = ["", "x", " \t", "a b", "x " * 500, "ab cd ef " * 40]
+    texts += [" ".join(rng.choice(["é", "w", "longerword", "b\n", "漢字"]) * rng.randint(1, 2)
+                       for _ in range(rng.randint(1, 300))) for _ in range(40)]
+    df = fingerprint.with_signature(spark.createDataFrame(list(enumerate(texts)), "doc_id long, t string"), "t", "sig")
+    got = {r.doc_id: r.sig for r in df.collect()}
+    assert [got[i] for i in range(len(texts))] == [signature_brute(t) for t in texts]
+
+
+def test_signature_keeps_order_in_very_long_texts(spark):
+    """Halves exchanged beyond the first 2^20 units still show."""
+    words = F.transform(F.sequence(F.lit(1), F.lit(1_400_000)), lambda i: F.concat(F.lit("w"), i.cast("string"), F.lit(" ")))
+    df = spark.range(1).select(words.alias("w"))
+    low, a, b = (F.array_join(F.slice("w", s, n), "") for s, n in ((1, 1_100_000), (1_100_001, 150_000), (1_250_001, 150_000)))
+    df = df.select(F.concat(low, a, b).alias("t"), F.concat(low, b, a).alias("u"))
+    df = fingerprint.with_signature(fingerprint.with_signature(df, "t", "s1"), "u", "s2")
+    r = df.select(fingerprint.likeness("s1", "s2").alias("z")).first()
+    assert r.z < 1
+
+
 def test_signature_depends_on_numbered_kmers_and_their_order(spark):
     words = [f"w{i}" for i in range(40)]
     swapped = words[20:] + words[:20]
