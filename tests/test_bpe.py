@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from tokloom.config import SPECIALS
+from tokloom.config import SPECIALS, VOCAB_SIZE
 from tokloom.operators.bpe import (BpeModel, base_model, learn_vocab, train_bpe,
                                    word_histogram)
 from tokloom.operators.encode import decode_ids, encode_docs, merge_word
@@ -135,13 +135,22 @@ def test_min_freq_stops(spark):
     assert len(base_model().tokens) == 271
 
 
-def test_incremental_mode_identical(spark):
+@pytest.mark.parametrize("candidates,ahead", [(4000, 0), (4000, 1500), (20, 1_000_000), (4000, 1_000_000)])
+def test_ways_to_decide_merges_agree(spark, candidates, ahead):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet") \
         .orderBy("doc_id").limit(30).select("text")
-    hist = word_histogram(docs).cache()
-    a = train_bpe(hist, 15 + 256 + 80)
-    b = train_bpe(hist, 15 + 256 + 80, incremental=True, checkpoint_every=4)
-    assert a.merges == b.merges and a.tokens == b.tokens
+    hist = word_histogram(docs)
+    model = train_bpe(hist, 15 + 256 + 150, candidates=candidates, ahead_symbols=ahead)
     texts = [r.text.strip() for r in docs.collect()]
-    _, lib, _ = library_bpe(texts, 15 + 256 + 80)
-    assert ours(b) == lib
+    _, lib, _ = library_bpe(texts, 15 + 256 + 150)
+    assert ours(model) == lib
+
+
+def test_full_vocabulary_matches_the_library(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+    texts = [r.text.strip() for r in docs.collect() if r.text and r.text.strip()]
+    model = learn_vocab(docs)
+    _, lib, vocab = library_bpe(texts, VOCAB_SIZE)
+    assert len(lib) >= 5000 and ours(model) == lib
+    assert all(vocab[t] == i for i, t in enumerate(model.tokens))
+    assert model.rounds < 100

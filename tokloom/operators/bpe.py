@@ -2,19 +2,21 @@
 
 The corpus is reduced once to its word histogram (A4, a partial/final
 aggregate, so hot words are pre-aggregated map-side).  Merge rounds then
-touch only the distinct-word table: each round counts weighted adjacent
-pairs (A5, one shuffle), picks a batch of merges that provably equals
-one-at-a-time greedy selection, and rewrites the words with JVM regex
-replacements.  Words reduced to one symbol leave the table.  Lineage is
-cut with reliable checkpoints in the cluster's checkpoint folder.
+touch only the distinct-word table and the table of its weighted adjacent
+pairs (A5), which is kept by differences: a round decides a batch of merges
+that provably equals one-at-a-time greedy selection and rewrites the words
+that hold one of them.  Words reduced to one symbol leave the table.  Each
+round's tables are written to the shared folder; older ones are removed.
 """
 
 from __future__ import annotations
 
+import heapq
 import time
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from tokloom.config import MIN_FREQ, PRETOKENIZE_RE, SPECIALS, VOCAB_SIZE
 from tokloom.functions.bytelevel import (ALPHABET, token_hex,
                                          utf8_byte_ids, utf8_byte_values)
 from tokloom.functions.text import py_strip
-from tokloom.session import cut_lineage, scratch
+from tokloom.session import remove_tree, scratch
 
 
 def pretokenize(text) -> "F.Column":
@@ -56,49 +58,6 @@ def byte_pair_counts(words: DataFrame) -> DataFrame:
             .agg(F.sum("n").alias("n")))
 
 
-def _pair_counts(words: DataFrame) -> DataFrame:
-    s = F.split("syms", " ")
-    pairs = F.zip_with(s, F.slice(s, 2, F.size(s) - 1),
-                       lambda x, y: F.struct(x.alias("l"), y.alias("r")))
-    return (words.select(F.explode(pairs).alias("p"), "freq")
-            .where(F.col("p.r").isNotNull())
-            .groupBy(F.col("p.l").cast("int").alias("l"), F.col("p.r").cast("int").alias("r"))
-            .agg(F.sum("freq").alias("c")))
-
-
-def _round_stats(words: DataFrame, n: int):
-    """One job per round: the ``n`` best pairs (count desc, ids asc) and,
-    for every symbol, its largest count as a left and as a right member.
-    The per-symbol rows are bounded by the vocabulary size."""
-    return _stats_from_pairs(_pair_counts(words), n)
-
-
-def _signed_pairs(words: DataFrame) -> DataFrame:
-    """Adjacent pairs weighted by ``freq`` (which may be negative)."""
-    s = F.split("syms", " ")
-    pairs = F.zip_with(s, F.slice(s, 2, F.size(s) - 1),
-                       lambda x, y: F.struct(x.alias("l"), y.alias("r")))
-    return (words.select(F.explode(pairs).alias("p"), F.col("freq").alias("c"))
-            .where(F.col("p.r").isNotNull())
-            .select(F.col("p.l").cast("int").alias("l"), F.col("p.r").cast("int").alias("r"), "c"))
-
-
-def _stats_from_pairs(pc: DataFrame, n: int):
-    top = (pc.orderBy(F.desc("c"), "l", "r").limit(n)
-           .select(F.lit("T").alias("kind"), "l", "r", "c"))
-    roles = pc.select(F.explode(F.array(
-        F.struct(F.lit("L").alias("kind"), F.col("l").alias("s"), F.col("c")),
-        F.struct(F.lit("R").alias("kind"), F.col("r").alias("s"), F.col("c")))).alias("x"))
-    per_sym = (roles.groupBy(F.col("x.kind").alias("kind"), F.col("x.s").alias("l"))
-               .agg(F.max("x.c").alias("c"))
-               .select("kind", "l", F.lit(None).cast("int").alias("r"), "c"))
-    rows = top.unionByName(per_sym).collect()
-    cand = sorted((r for r in rows if r["kind"] == "T"), key=lambda r: (-r["c"], r["l"], r["r"]))
-    after_r = {r["l"]: r["c"] for r in rows if r["kind"] == "L"}   # max_y c(s, y)
-    before_l = {r["l"]: r["c"] for r in rows if r["kind"] == "R"}  # max_x c(x, s)
-    return cand, after_r, before_l
-
-
 @dataclass
 class BpeModel:
     """Learned vocabulary: id -> token (byte-level string) and the ordered
@@ -128,9 +87,13 @@ def base_model(specials=SPECIALS) -> BpeModel:
     return BpeModel(tokens=list(specials) + list(ALPHABET), n_special=len(specials))
 
 
-def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
-              specials=SPECIALS, batch_candidates: int = 256,
-              checkpoint_every: int = 10, incremental: bool = False) -> BpeModel:
+#: Pairs a round looks at, and symbols of the words (whole ones) that the
+#: driver may hold while it plays ahead.
+CANDIDATES, AHEAD_SYMBOLS = 4000, 1_000_000
+
+
+def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ, specials=SPECIALS,
+              candidates: int = CANDIDATES, ahead_symbols: int = AHEAD_SYMBOLS) -> BpeModel:
     """Learn merges from a (word, n) histogram.
 
     Greedy rule: the pair with the highest weighted count, ties to the
@@ -138,162 +101,284 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ,
     best count is below ``min_freq``.  A merged string that already exists
     reuses its id (the vocabulary does not grow).
 
-    Each round accepts a prefix of the sorted candidates: a candidate joins
-    the batch when none of its occurrences can overlap an accepted pair's
-    (its left is no accepted right, its right no accepted left), it does
-    not collide, and its count is strictly above every count a pair created
-    by the accepted merges could reach (c(b, y) and c(x, a) maxima).  That
-    prefix is exactly what one-merge-per-round would choose.
-
-    ``incremental=True`` keeps the pair-count table between rounds and
-    rewrites only the words that hold an accepted pair, updating the counts
-    by a delta (new pairs minus old pairs).  Results are identical; it
-    touches far fewer rows per round on very large word tables, at the cost
-    of a second persisted table and checkpoint.
+    The pair counts are a table of their own.  A round takes the best
+    ``candidates`` pairs from it, decides as many merges as it can be sure
+    of, rewrites the words that hold one of them in one pass, and adds the
+    difference of their pairs to the table.  There are two ways to be sure:
+
+    * Playing ahead.  Of the best pairs, as many are taken as have all their
+      words in ``ahead_symbols`` symbols.  With these words at hand (and an
+      index from pair to words) their counts stay exact from merge to merge,
+      and so do those of every pair that a merge creates, since it occurs in
+      words of the merged pair only.  Counts of all other pairs can only
+      fall, so merges are right as long as they come before the first pair
+      that was not taken.  A merge that reuses an id ends the round: counts
+      of its pairs can rise elsewhere.
+    * A prefix of the sorted pairs (while their words are too many): a pair
+      joins when its occurrences cannot overlap an accepted pair's and its
+      count is above every count a new pair can reach.
     """
-    # Rounds are small aggregate-only jobs (partial aggregation, no joins):
-    # adaptive re-planning only adds fixed latency to each of them.  The loop
-    # runs in a session of its own, so the caller's settings are never touched.
+    # Rounds are small jobs: adaptive re-planning only adds fixed latency to
+    # each.  The loop runs in a session of its own, so the caller's settings
+    # are never touched.
     spark = words.sparkSession.newSession()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
-    loop = _train_rounds_incremental if incremental else _train_rounds
-    return loop(spark, words, vocab_size, min_freq, specials, batch_candidates, checkpoint_every)
-
-
-def _select_batch(model, token_id, cand, after_r, before_l, size, vocab_size, min_freq):
-    """Accept the longest prefix of the sorted candidates that equals
-    one-merge-at-a-time greedy selection; registers the new tokens."""
-    accepted, lefts, rights, bound, new_tokens = [], set(), set(), -1, set()
-    for row in cand:
-        a, b, c = row["l"], row["r"], row["c"]
-        if c < min_freq or size >= vocab_size:
-            break
-        tok = model.tokens[a] + model.tokens[b]
-        collides = tok in token_id or tok in new_tokens
-        # occurrences of (a, b) can overlap an accepted (x, y) only when
-        # b == x or a == y; shared left (or shared right) symbols cannot
-        if accepted and (a in rights or b in lefts or c <= bound or collides):
-            break
-        if collides:
-            new_id = token_id[tok]
-        else:
-            new_id = size
-            model.tokens.append(tok)
-            token_id[tok] = new_id
-            new_tokens.add(tok)
-            size += 1
-        model.merges.append((a, b, new_id))
-        accepted.append((a, b, new_id))
-        lefts.add(a)
-        rights.add(b)
-        bound = max(bound, after_r.get(b, 0), before_l.get(a, 0))
-        if collides:
-            break
-    return accepted, size
-
-
-def _initial_words(spark, words: DataFrame, first: int) -> DataFrame:
-    """(syms, freq): each word as space-separated alphabet ids; one-symbol
-    words never form a pair and are left out.  Written once to the shared
-    folder and read in the loop's session; the round shuffles are then sized
-    like this table (its adaptively coalesced split count), since pair tables
-    are a small multiple of it."""
-    path = scratch(spark, "words")
-    (words.select(F.array_join(utf8_byte_ids(F.col("word"), first).cast("array<string>"), " ")
-                  .alias("syms"), F.col("n").cast("long").alias("freq"))
-     .where(F.col("syms").contains(" ")).write.parquet(path))
-    cur = spark.read.parquet(path)
-    spark.conf.set("spark.sql.shuffle.partitions", str(max(1, cur.rdd.getNumPartitions())))
-    return cur
-
-
-def _train_rounds(spark, words, vocab_size, min_freq, specials, batch_candidates,
-                  checkpoint_every) -> BpeModel:
     model = base_model(specials)
     token_id = {t: i for i, t in enumerate(model.tokens)}
-    size = len(model.tokens)
     cur = _initial_words(spark, words, model.n_special)
-    held: list[DataFrame] = []  # persisted rounds still feeding the lineage
-    rounds = 0
-    while size < vocab_size:
-        rounds += 1
+    # round shuffles are sized like the word table: pair tables are a small multiple of it
+    spark.conf.set("spark.sql.shuffle.partitions", str(max(1, cur.rdd.getNumPartitions())))
+    pairs = _written(_counted(_pair_rows(cur)), "pairs")
+    while len(model.tokens) < vocab_size:
+        model.rounds += 1
         t0 = time.time()
-        cand, after_r, before_l = _round_stats(cur, batch_candidates)
-        model.timings.append(time.time() - t0)
-        if not cand or cand[0]["c"] < min_freq:
+        best = pairs.orderBy(F.desc("c"), "l", "r").limit(candidates + 1).collect()
+        best = [(-r["c"], r["l"], r["r"]) for r in best]
+        if not best or -best[0][0] < min_freq:
             break
-        accepted, size = _select_batch(model, token_id, cand, after_r, before_l,
-                                       size, vocab_size, min_freq)
-        syms = F.col("syms")
-        for a, b, m in accepted:
-            syms = F.regexp_replace(syms, rf"(^| ){a} {b}(?= |$)", rf"$1{m}")
-        nxt = cur.select(syms.alias("syms"), "freq").where(F.col("syms").contains(" "))
-        if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-            # release newest first: unpersisting a frame that others were
-            # cached on top of would make Spark re-cache those from lineage
-            for h in reversed(held):
-                h.unpersist()
-            held = []
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            held.append(nxt)
-        cur = nxt
-    for h in reversed(held):
-        h.unpersist()
-    model.rounds = rounds
+        taken, rows = _neighbourhood(cur, best[:candidates], ahead_symbols)
+        done = len(model.merges)
+        if taken:
+            limit = best[taken] if taken < len(best) else (0, 0, 0)
+            _play_ahead(model, token_id, best[:taken], rows, limit, vocab_size, min_freq)
+        if len(model.merges) == done:
+            after_r, before_l = _symbol_maxima(pairs)
+            _select_batch(model, token_id, best, after_r, before_l, vocab_size, min_freq)
+        rewritten = _written(_rewrite(cur, model.merges[done:]), "words")
+        pairs_next = _written(_counted(pairs.union(
+            rewritten.where("syms is null").select("l", "r", "c"))), "pairs")
+        _drop(pairs)
+        _drop(cur)
+        cur, pairs = rewritten.where("syms is not null").select("syms", "freq"), pairs_next
+        model.timings.append(time.time() - t0)
+    _drop(pairs)
+    _drop(cur)
     return model
 
 
-def _train_rounds_incremental(spark, words, vocab_size, min_freq, specials,
-                              batch_candidates, checkpoint_every) -> BpeModel:
-    model = base_model(specials)
-    token_id = {t: i for i, t in enumerate(model.tokens)}
-    size = len(model.tokens)
-    cur = _initial_words(spark, words, model.n_special)
-    pc = cut_lineage(_pair_counts(cur))
-    held: list[DataFrame] = []
-    rounds = 0
-    while size < vocab_size:
-        rounds += 1
-        t0 = time.time()
-        cand, after_r, before_l = _stats_from_pairs(pc, batch_candidates)
-        model.timings.append(time.time() - t0)
-        if not cand or cand[0]["c"] < min_freq:
-            break
-        accepted, size = _select_batch(model, token_id, cand, after_r, before_l,
-                                       size, vocab_size, min_freq)
-        hit = "|".join(f"{a} {b}" for a, b, _ in accepted)
-        touched = F.col("syms").rlike(f"(^| )(?:{hit})( |$)")
-        syms = F.col("syms")
-        for a, b, m in accepted:
-            syms = F.regexp_replace(syms, rf"(^| ){a} {b}(?= |$)", rf"$1{m}")
-        # each frame reads the previous round's tables exactly once, so the
-        # logical plan grows linearly between checkpoints
-        changed = cur.where(touched).select(F.explode(F.array(
-            F.struct(F.col("syms").alias("syms"), (-F.col("freq")).alias("freq")),
-            F.struct(syms.alias("syms"), F.col("freq").alias("freq")))).alias("w")) \
-            .select("w.syms", "w.freq")
-        pc_next = (pc.select("l", "r", "c").unionByName(_signed_pairs(changed))
-                   .groupBy("l", "r").agg(F.sum("c").alias("c"))
-                   .where(F.col("c") != 0))
-        nxt = (cur.select(F.when(touched, syms).otherwise(F.col("syms")).alias("syms"), "freq")
-               .where(F.col("syms").contains(" ")))
-        if rounds % checkpoint_every == 0:
-            pc_next = cut_lineage(pc_next)
-            nxt = cut_lineage(nxt)
-            for h in reversed(held):
-                h.unpersist()
-            held = []
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            pc_next = pc_next.persist(StorageLevel.MEMORY_AND_DISK)
-            held += [nxt, pc_next]
-        cur, pc = nxt, pc_next
-    for h in reversed(held):
-        h.unpersist()
-    model.rounds = rounds
-    return model
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: lost executors read it again."""
+    path = scratch(df.sparkSession, f"bpe-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _drop(df: DataFrame) -> None:
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove_tree(df.sparkSession, path)
+
+
+def _initial_words(spark, words: DataFrame, first: int) -> DataFrame:
+    """(syms, freq): each word as alphabet ids; one-symbol words never form a
+    pair and are left out."""
+    path = scratch(spark, "bpe-words")
+    (words.select(utf8_byte_ids(F.col("word"), first).alias("syms"), F.col("n").cast("long").alias("freq"))
+     .where(F.size("syms") > 1).write.parquet(path))
+    return spark.read.parquet(path)
+
+
+def _pair_rows(words: DataFrame) -> DataFrame:
+    pairs = F.zip_with(F.slice("syms", F.lit(1), F.size("syms") - 1), F.slice("syms", F.lit(2), F.size("syms")),
+                       lambda x, y: F.struct(x.alias("l"), y.alias("r")))
+    return words.select(F.explode(pairs).alias("p"), F.col("freq").alias("c")).select("p.l", "p.r", "c")
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("l", "r").agg(F.sum("c").alias("c")).where("c <> 0")
+
+
+def _symbol_maxima(pairs: DataFrame) -> tuple[dict, dict]:
+    """For every symbol its largest count as a left and as a right member;
+    the rows are bounded by the vocabulary."""
+    return tuple({r["s"]: r["c"] for r in pairs.groupBy(F.col(side).alias("s")).agg(
+        F.max("c").alias("c")).collect()} for side in ("l", "r"))
+
+
+def _flat(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, ends of the words, code of the pair from each symbol on, -1 at
+    a word's last)."""
+    lists = batch.column("syms")
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    syms = lists.flatten().to_numpy().astype(np.int64)
+    ends = ends - ends[0]
+    code = np.full(len(syms), -1)
+    code[:-1] = syms[:-1] << 32 | syms[1:]
+    code[ends[1:] - 1] = -1
+    return syms, ends, code
+
+
+def _ranked(pairs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes of pairs, and the place of each in the list."""
+    code = np.array([a << 32 | b for a, b in pairs], dtype=np.int64)
+    order = np.argsort(code)
+    return code[order], order
+
+
+def _neighbourhood(words: DataFrame, best: list[tuple], most: int):
+    """(how many of the best pairs have all their words among ``most`` symbols,
+    those words)."""
+    codes, place = _ranked([p[1:] for p in best])
+
+    def first_pair(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            syms, ends, code = _flat(batch)
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            rank = np.where(codes[at] == code, place[at], len(place))
+            first = np.minimum.reduceat(rank, ends[:-1])
+            keep = np.flatnonzero(first < len(place))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(first[keep].astype(np.int32)), *(batch.column(c).take(pa.array(keep))
+                                                           for c in ("syms", "freq"))], names=["first", "syms", "freq"])
+
+    near = _written(words.mapInArrow(first_pair, "first int, syms array<int>, freq long"), "near")
+    sizes = {r["first"]: r["n"] for r in near.groupBy("first").agg(F.sum(F.size("syms")).alias("n")).collect()}
+    taken = held = 0
+    while taken < len(best) and held + sizes.get(taken, 0) <= most:
+        held += sizes.get(taken, 0)
+        taken += 1
+    rows = near.where(F.col("first") < taken).select("syms", "freq").toArrow() if taken else None
+    _drop(near)
+    return taken, rows
+
+
+def _play_ahead(model, token_id, exact, rows, limit, vocab_size, min_freq) -> None:
+    """Greedy merges on the words at hand, as long as the next one comes before
+    ``limit`` (count descending, ids ascending)."""
+    words = rows.column("syms").to_pylist()
+    freqs = rows.column("freq").to_pylist()
+    counts = {(a, b): -c for c, a, b in exact}
+    where: dict = {p: set() for p in counts}
+    for i, w in enumerate(words):
+        for p in zip(w, w[1:]):
+            if p in where:
+                where[p].add(i)
+    heap = [(-c, *p) for p, c in counts.items()]
+    heapq.heapify(heap)
+    while heap and len(model.tokens) < vocab_size:
+        item = heapq.heappop(heap)
+        pair = item[1:]
+        if counts.get(pair) != -item[0]:
+            continue  # an older count
+        if item >= limit or -item[0] < min_freq:
+            return
+        a, b = pair
+        token = model.tokens[a] + model.tokens[b]
+        reused = token in token_id
+        if not reused:
+            token_id[token] = len(model.tokens)
+            model.tokens.append(token)
+        new = token_id[token]
+        model.merges.append((a, b, new))
+        if reused:
+            return
+        changed = set()
+        for i in where.pop(pair):
+            old, f = words[i], freqs[i]
+            out, k = [], 0
+            while k < len(old):
+                if old[k] == a and k + 1 < len(old) and old[k + 1] == b:
+                    out.append(new)
+                    k += 2
+                else:
+                    out.append(old[k])
+                    k += 1
+            for p in zip(old, old[1:]):
+                if p in counts:
+                    counts[p] -= f
+                    changed.add(p)
+            for p in zip(out, out[1:]):
+                if new in p and p not in counts:
+                    counts[p], where[p] = 0, set()
+                if p in counts:
+                    counts[p] += f
+                    changed.add(p)
+                    if p in where:
+                        where[p].add(i)
+            words[i] = out
+        del counts[pair]
+        for p in changed:
+            if counts.get(p):
+                heapq.heappush(heap, (-counts[p], *p))
+
+
+def _select_batch(model, token_id, best, after_r, before_l, vocab_size, min_freq) -> None:
+    """The longest sure prefix of the sorted pairs."""
+    rights, lefts, bound = set(), set(), -1
+    for c, a, b in best:
+        token = model.tokens[a] + model.tokens[b]
+        if -c < min_freq or len(model.tokens) >= vocab_size:
+            return
+        # occurrences of (a, b) can overlap an accepted (x, y) only when
+        # b == x or a == y; shared left (or shared right) symbols cannot
+        if lefts and (a in rights or b in lefts or -c <= bound or token in token_id):
+            return
+        if token in token_id:
+            model.merges.append((a, b, token_id[token]))
+            return
+        token_id[token] = len(model.tokens)
+        model.merges.append((a, b, len(model.tokens)))
+        model.tokens.append(token)
+        lefts.add(a)
+        rights.add(b)
+        bound = max(bound, min(-c, max(after_r.get(b, 0), before_l.get(a, 0))))
+
+
+def _rewrite(words: DataFrame, merges: list[tuple]) -> DataFrame:
+    """(syms, freq) with the merges applied, words of one symbol left out, and
+    rows (l, r, c) of what that changes in the pair counts.  Words without an
+    accepted pair pass as they are."""
+    codes, _ = _ranked([m[:2] for m in merges])
+    ranks = {(a, b): (i, m) for i, (a, b, m) in enumerate(merges)}
+
+    def apply(batches):
+        from tokloom.operators.encode import merge_word
+        delta: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            syms, ends, code = _flat(batch)
+            hit = codes[np.minimum(np.searchsorted(codes, code), len(codes) - 1)] == code
+            touched = np.maximum.reduceat(hit, ends[:-1])
+            same = batch.filter(pa.array(~touched))
+            m = same.num_rows
+            yield pa.RecordBatch.from_arrays([same.column("syms"), same.column("freq"), *_nulls(m)], names=_ROUND)
+            out, freqs = [], []
+            freq = batch.column("freq").to_numpy()
+            for i in np.flatnonzero(touched):
+                old, f = syms[ends[i]:ends[i + 1]].tolist(), int(freq[i])
+                new = merge_word(old, ranks)
+                for p in zip(old, old[1:]):
+                    delta[p] = delta.get(p, 0) - f
+                for p in zip(new, new[1:]):
+                    delta[p] = delta.get(p, 0) + f
+                if len(new) > 1:
+                    out.append(new)
+                    freqs.append(f)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out, pa.list_(pa.int32())), pa.array(freqs, pa.int64()), *_nulls(len(out))], names=_ROUND)
+            if len(delta) > 200_000:
+                yield _delta_rows(delta)
+                delta = {}
+        yield _delta_rows(delta)
+
+    return words.mapInArrow(apply, "syms array<int>, freq long, l int, r int, c long")
+
+
+_ROUND = ["syms", "freq", "l", "r", "c"]
+
+
+def _nulls(n: int) -> list:
+    return [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())]
+
+
+def _delta_rows(delta: dict) -> pa.RecordBatch:
+    found = [(a, b, c) for (a, b), c in delta.items() if c]
+    left, right, c = zip(*found) if found else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(len(c), pa.list_(pa.int32())), pa.nulls(len(c), pa.int64()),
+         pa.array(left, pa.int32()), pa.array(right, pa.int32()), pa.array(c, pa.int64())], names=_ROUND)
 
 
 def learn_vocab(docs: DataFrame, vocab_size: int = VOCAB_SIZE, text_col: str = "text",
