@@ -64,6 +64,27 @@ def take_until(df: DataFrame, order: list, size_col: str,
     return out.where(cond).drop("_files_before", "_bytes_before")
 
 
+def take_until_files(spark: SparkSession, files: list[str], schema, rows, order: list, size_col: str,
+                     max_files: int | None, max_bytes: float | None) -> tuple[DataFrame, int]:
+    """W2 over files in source order, and how many files were opened.
+
+    Files are opened in growing prefixes (1, 2, 4, ...) until the running
+    quota cuts a row: what lies behind the crossing row is never read, and
+    what is read twice is less than what is read once.  ``rows`` maps the
+    files' rows to those that count; ``order`` sorts inside a file."""
+    place = F.array_position(F.array(*[F.lit(f.rsplit("/", 1)[-1]) for f in files]),
+                             F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    n = 1
+    while True:
+        n = min(n, len(files))
+        opened = rows(spark.read.schema(schema).parquet(*files[:n]).withColumn("_place", place))
+        sums = opened.agg(F.count(F.lit(1)).alias("n"), F.sum(size_col).alias("b")).first()
+        full = (max_files and sums["n"] > max_files) or (max_bytes and (sums["b"] or 0) > max_bytes)
+        if full or n == len(files):
+            return take_until(opened, ["_place", *order], size_col, max_files, max_bytes).drop("_place"), n
+        n *= 2
+
+
 def composed_pairs(turns: DataFrame) -> DataFrame:
     """P9 over a conversation table: each user turn followed by an
     assistant turn becomes one document ``\"\"\"\\nuser\\n\"\"\"\\nassistant``.

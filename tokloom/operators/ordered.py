@@ -10,14 +10,17 @@ holds one range partition; the only small table is one row per partition
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType
+from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, MapType, StructField,
+                               StructType)
 
-from tokloom.session import cut_lineage
+from tokloom.session import cut_lineage, scratch
 
-_PID, _RID = "_rp", "_rr"
+_PID = "_rp"
 
 
 def running_sums(df: DataFrame, order: list, values: dict[str, Column],
@@ -28,22 +31,60 @@ def running_sums(df: DataFrame, order: list, values: dict[str, Column],
     when ``inclusive``).  ``order`` must be a total order inside a group.
     """
     group = list(group)
-    vals = {f"_v_{k}": v for k, v in values.items()}
     keyed_by = {c for c in order if isinstance(c, str)}
-    if any(isinstance(f.dataType, (ArrayType, MapType, BinaryType)) and f.name not in keyed_by
-           for f in df.schema):
-        # wide rows (token arrays): freeze them once with a row number, order
-        # only the narrow part, and join the sums back on the number
-        wide = cut_lineage(df.withColumn(_RID, F.monotonically_increasing_id()))
-        keys = {f"_o{i}": c for i, c in enumerate(order)}
-        narrow = wide.select(_RID, *group, *[(F.col(c) if isinstance(c, str) else c).alias(k)
-                                             for k, c in keys.items()], *[v.alias(k) for k, v in vals.items()])
-        sums = _running_sums(narrow, list(keys), {n: F.col(k) for n, k in zip(values, vals)},
-                             group, parts, inclusive)
-        return wide.join(sums.select(_RID, *values), _RID).drop(_RID)
+    wide = any(isinstance(f.dataType, (ArrayType, MapType, BinaryType)) and f.name not in keyed_by
+               for f in df.schema)
+    if wide and not group and not inclusive:
+        return _wide_running_sums(df, order, values, parts)
     return _running_sums(df, order, values, group, parts, inclusive)
 
 
+def _wide_running_sums(df: DataFrame, order: list, values: dict[str, Column],
+                       parts: int | None) -> DataFrame:
+    """Running sums over wide rows (token arrays), which move once: they are
+    range-partitioned and sorted by the order key, each task adds the sums
+    inside its part and writes the rows; the parts' totals (one row each,
+    broadcast) make the sums global.  What is returned reads the written
+    table, so its consumers shuffle nothing again."""
+    spark = df.sparkSession
+    names = list(values)
+    keys = {f"_o{i}": F.col(c) if isinstance(c, str) else c for i, c in enumerate(order)}
+    rows = df.select("*", *[c.alias(k) for k, c in keys.items()],
+                     *[v.cast("long").alias(f"_s_{k}") for k, v in values.items()])
+    # the range sampler runs a job of its own: compute the rows once for both
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (rows.repartitionByRange(parts, *keys) if parts else rows.repartitionByRange(*keys))
+    ranged = ranged.sortWithinPartitions(*keys).drop(*keys)
+    at = {k: ranged.columns.index(f"_s_{k}") for k in names}
+
+    def add(batches):
+        from pyspark import TaskContext
+        part = TaskContext.get().partitionId()
+        so_far = dict.fromkeys(names, 0)
+        for batch in batches:
+            columns = list(batch.columns)
+            for k in names:
+                sizes = columns[at[k]].fill_null(0).to_numpy().astype(np.int64)
+                upto = np.cumsum(sizes)
+                columns[at[k]] = pa.array(upto - sizes + so_far[k])
+                so_far[k] += int(upto[-1]) if len(upto) else 0
+                columns.append(pa.array(sizes))
+            columns.append(pa.array(np.full(batch.num_rows, part, dtype=np.int32)))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    schema = StructType([*ranged.schema.fields, *[StructField(f"_n_{k}", LongType()) for k in names],
+                         StructField(_PID, IntegerType())])
+    path = scratch(spark, "ordered")
+    ranged.mapInArrow(add, schema).write.parquet(path)
+    rows.unpersist()
+    table = spark.read.schema(schema).parquet(path)
+    totals = table.groupBy(_PID).agg(*[F.sum(f"_n_{k}").alias(f"_t_{k}") for k in names])
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+    base = totals.select(_PID, *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_b_{k}") for k in names])
+    return table.join(F.broadcast(base), _PID).select(
+        *df.columns, *[(F.col(f"_s_{k}") + F.col(f"_b_{k}")).alias(k) for k in names])
+
+
 def _running_sums(df: DataFrame, order: list, values: dict[str, Column], group: list[str],
                   parts: int | None, inclusive: bool) -> DataFrame:
     vals = {f"_s_{k}": v for k, v in values.items()}

@@ -9,6 +9,8 @@ block and the next one, which meet through an equi-join on block number.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,15 +75,18 @@ def split_hash(docs: DataFrame, val_ratio: float, seed: int,
         "split", F.when(uniform(seed, F.col(key)) < val_ratio, "val").otherwise("train"))
 
 
-def blocks(stream: DataFrame, block_size: int) -> DataFrame:
+def blocks(stream: DataFrame, block_size: int, only: DataFrame | None = None) -> DataFrame:
     """Cut the ordered stream into blocks of ``block_size`` ids:
-    (blk, ids).  The last block may be short."""
+    (blk, ids).  The last block may be short.  ``only`` names the blocks
+    wanted (distinct blk)."""
     B = F.lit(block_size).cast("long")
     st, n = F.col("start_off"), F.size("ids").cast("long")
     pieces = (stream.where(F.size("ids") > 0)
               .select("start_off", "ids",
                       F.explode(F.sequence(F.floor(st / B), F.floor((st + n - 1) / B)))
                       .alias("blk")))
+    if only is not None:
+        pieces = pieces.join(only, "blk", "left_semi")
     gs = F.greatest(st, F.col("blk") * B)
     ge = F.least(st + n, (F.col("blk") + 1) * B)
     pieces = pieces.select("blk", gs.alias("gs"),
@@ -101,14 +106,12 @@ def windows_packed(blk: DataFrame, block_size: int) -> DataFrame:
         F.concat(F.slice("ids", 2, block_size - 1), F.array("_next")).alias("y"))
 
 
-def windows_strided(blk: DataFrame, block_size: int, stride: int, total: int,
-                    rate: float | None = None, seed: int = 0) -> DataFrame:
+def windows_strided(blk: DataFrame, block_size: int, stride: int, total: int) -> DataFrame:
     """T4 at any stride: windows start at 0, stride, 2*stride, ... while
     start + block_size < N.  Window ``i`` lies in blocks i div B and the
     next one, which are joined on block number; only the starts that exist
-    are exploded.  At a small stride every id is in many windows: with
-    ``rate`` the starts are sampled (by the portable hash) before a window is
-    cut, so only the sampled ones are ever written out."""
+    are exploded.  At a small stride every id is in many windows; to read
+    some of them, see ``operators/positions.py``."""
     B = block_size
     nxt = blk.select((F.col("blk") - 1).alias("blk"), F.col("ids").alias("_nx"))
     j = blk.join(nxt, "blk", "left")
@@ -119,8 +122,6 @@ def windows_strided(blk: DataFrame, block_size: int, stride: int, total: int,
     hi = F.least(base + F.lit(B - 1), last_start)
     starts = F.when(first <= hi, F.sequence(first.cast("long"), hi.cast("long"),
                                             F.lit(stride).cast("long")))
-    if rate is not None:
-        starts = F.filter(starts, lambda s: uniform(seed, s) < rate)
     ex = j.select(cat.alias("_cat"), base.alias("_base"),
                   F.explode(starts).alias("start"))
     off = (F.col("start") - F.col("_base")).cast("int")
@@ -142,27 +143,54 @@ def batch_count(n_windows: int, batch_size: int, drop_last: bool) -> int:
     return n_windows // batch_size if drop_last else -(-n_windows // batch_size)
 
 
+#: Rounds of the keyed permutation, and steps of its walk at most.
+ROUNDS, WALK = 4, 64
+
+
+def permuted(x: Column, n: int, *key) -> Column:
+    """The place of x in a keyed order of 0 ... n - 1, a bijection.
+
+    x is a cell of a grid of a columns and b rows that holds n or a little
+    more; in turn the column moves by a hash of the row and the row by a hash
+    of the column.  Each move can be undone, so no two cells meet.  A cell
+    beyond n moves on until it falls inside (at most as often as there are
+    cells beyond n, about one in sqrt(n) of all).  A place depends on x alone:
+    no sort, no exchange, no count of earlier rows."""
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    b = max(1, -(-n // a))
+
+    def move(cell):
+        col, row = F.floor(cell / F.lit(b)).cast("long"), cell % F.lit(b)
+        for r in range(ROUNDS):
+            if r % 2 == 0:
+                col = F.pmod(col + phash(*key, r, row), F.lit(a))
+            else:
+                row = F.pmod(row + phash(*key, r, col), F.lit(b))
+        return col * F.lit(b) + row
+
+    steps = F.sequence(F.lit(1), F.lit(min(WALK, a * b - n + 1)))
+    return F.aggregate(steps, move(x.cast("long")), lambda at, i: F.when(at < n, at).otherwise(move(at)))
+
+
 def shuffled_batches(samples: DataFrame, batch_size: int, seed: int,
                      n_samples: int, key: str = "win_id", drop_last: bool = True,
                      epoch: str | None = None) -> DataFrame:
-    """O5 + T8 (train): order samples by the portable hash of (seed, key),
-    number them with a distributed running count, cut batches of
-    ``batch_size`` and drop the last partial batch.
+    """O5 + T8 (train): samples numbered 0 ... n_samples - 1 by ``key`` are put
+    into a keyed order, cut into batches of ``batch_size``; the last partial
+    batch is dropped.  Batch and row follow from the number: rows stay where
+    they are.
 
     ``n_samples`` (per epoch) is known from the window count, so nothing is
     counted here.  With an ``epoch`` column every epoch has its own order,
     its own batches and its own dropped rest; batch ids run on."""
-    parts = [seed, F.col(key)] if epoch is None else [seed, F.col(epoch), F.col(key)]
-    s = samples.withColumn("_h", phash(*parts))
-    ranked = running_sums(s, ["_h", key], {"_rank": F.lit(1).cast("long")},
-                          group=[epoch] if epoch else ())
+    place = permuted(F.col(key), n_samples, seed, *([F.col(epoch)] if epoch else []))
     per_epoch = batch_count(n_samples, batch_size, drop_last)
     earlier = F.col(epoch) * F.lit(per_epoch) if epoch else F.lit(0)
-    out = ranked.withColumn("batch_id", (earlier + F.floor(F.col("_rank") / batch_size)).cast("long")) \
-        .withColumn("row", (F.col("_rank") % batch_size).cast("int"))
+    out = samples.withColumn("_rank", place)
     if drop_last:
         out = out.where(F.col("_rank") < per_epoch * batch_size)
-    return out.drop("_h", "_rank")
+    return out.withColumn("batch_id", (earlier + F.floor(F.col("_rank") / batch_size)).cast("long")) \
+        .withColumn("row", (F.col("_rank") % batch_size).cast("int")).drop("_rank")
 
 
 def sequential_batches(samples: DataFrame, batch_size: int, key: str = "win_id") -> DataFrame:

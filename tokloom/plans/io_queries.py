@@ -6,13 +6,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tokloom.config import LANG_TO_EXT
+from tokloom.config import LANG_TO_EXT, CorpusConfig
 from tokloom.operators import corpus as C
 from tokloom.operators import evals as E
 from tokloom.plans.corpus_queries import discovered
 from tokloom.plans.eval_queries import samples
 from tokloom.plans.stream_queries import q_meta_row
 from tokloom.session import scratch
+from tokloom.sources import files as FS
 from tokloom.sources import sinks as K
 from tokloom.sources import tables as T
 
@@ -125,7 +126,70 @@ def q_top_extensions(spark, sf):
     return C.top_extensions(discovered(spark, sf))
 
 
+#: Documents of a file of the written tree, and files of the ordered corpus.
+TREE_DOCS, CORPUS_FILES = 100, 16
+FILE_QUOTA_BYTES = 200_000
+TREE = CorpusConfig(extensions=(".txt",), exclude_patterns=("lang=es",), min_bytes=2_000)
+
+
+def q_quota_first_files(spark, sf):
+    """W2 over files in order: the corpus as files of growing ids, of which
+    those behind the crossing row are not opened."""
+    out = scratch(spark, "ordered-files")
+    T.load(spark, sf, "documents").select("doc_id", "text").repartitionByRange(CORPUS_FILES, "doc_id") \
+        .sortWithinPartitions("doc_id").write.parquet(out)
+    back = spark.read.parquet(out)
+    files = sorted(back.inputFiles())
+
+    def rows(df):
+        return C.strip_nonempty(df, "text").select(
+            "_place", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"))
+
+    return C.take_until_files(spark, files, back.schema, rows, ["doc_id"], "n_bytes", None, FILE_QUOTA_BYTES)[0]
+
+
+def written_tree(spark, sf):
+    """Documents as a tree of text files, a folder per language and hundred
+    ids; a text whose length 97 divides ends in a byte that is not UTF-8."""
+    out = scratch(spark, "tree")
+    bad = F.when(F.length("text") % 97 == 0, F.concat(F.col("text").cast("binary"), F.unhex(F.lit("C3"))))
+    (T.load(spark, sf, "documents").select(
+        "lang", F.floor(F.col("doc_id") / TREE_DOCS).alias("bucket"), "doc_id",
+        F.coalesce(bad, F.col("text").cast("binary")).cast("string").alias("value"))
+     .repartition("lang", "bucket").sortWithinPartitions("lang", "bucket", "doc_id").drop("doc_id")
+     .write.partitionBy("lang", "bucket").text(out))
+    return out
+
+
+def _place_of(path):
+    return [F.regexp_extract(path, "lang=([^/]+)/", 1).alias("lang"),
+            F.regexp_extract(path, "bucket=([0-9]+)/", 1).cast("long").alias("bucket")]
+
+
+def q_discover_tree(spark, sf):
+    """The files of the tree that pass, from metadata alone."""
+    return FS.discover_files(spark, written_tree(spark, sf), TREE).select(*_place_of("path"), "ext", "n_bytes")
+
+
+def q_decode_tree(spark, sf):
+    """S1 + S3: strictly decoded files; one bad byte spoils a file."""
+    return FS.read_code_files(spark, written_tree(spark, sf), TREE).select(
+        *_place_of("path"), "valid", F.length("text").cast("long").alias("n_chars"))
+
+
+def q_tree_lines(spark, sf):
+    """S2 + S4: lossy lines; a bad byte is one replacement character."""
+    lines = FS.read_text_lines(spark, written_tree(spark, sf), TREE)
+    return lines.groupBy(*_place_of("path")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line")).cast("long").alias("n_chars"),
+        F.sum(F.length("line") - F.length(F.replace("line", F.lit("\ufffd"), F.lit("")))).cast("long").alias("n_bad"))
+
+
 QUERIES = {
+    "quota_first_files": q_quota_first_files,
+    "discover_tree": q_discover_tree,
+    "decode_tree": q_decode_tree,
+    "tree_lines": q_tree_lines,
     "quota_languages": q_quota_languages,
     "corpus_scan": q_corpus_scan,
     "documents_sink": q_documents_sink,

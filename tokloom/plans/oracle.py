@@ -8,7 +8,7 @@ values as the Spark side, never from Spark code.
 from __future__ import annotations
 
 from tokloom.config import (CODE_EXTENSIONS, CORE_SPECIALS, EOT_ID, EXCLUDE_PATTERNS, EXT_TO_TAG,
-                            HASH_ID_BASE, HASH_ID_SPAN, LANG_TO_EXT, PY_SPACE_CLASS,
+                            HASH_ID_BASE, HASH_ID_SPAN, LANG_TO_EXT, MAX_FILE_BYTES, PY_SPACE_CLASS,
                             SPECIALS, TRAIN_SHUFFLE_SEED, TREE_DIRS, VAL_RATIO, WHITE_SPACE)
 from tokloom.functions.bytelevel import ALPHABET, byte_ids
 from tokloom.functions.text import glob_to_regex
@@ -103,6 +103,26 @@ tok_train AS (SELECT pos, id FROM tok, cutoff WHERE pos < n_train),
 tok_val AS (SELECT pos - n_train AS pos, id FROM tok, cutoff WHERE pos >= n_train)"""
 
 
+def permuted(src: str, *key: str, rounds: int = 4, walks: int = 5) -> str:
+    """Ends with r (win_id, nw, rk and the columns of key): the keyed
+    permutation of 0 ... nw - 1 on a grid of a columns and b rows."""
+    group = [k for k in key if not k.isdigit()]
+    by = f"PARTITION BY {', '.join(group)}" if group else ""
+    steps = [f"""g0 AS (SELECT *, (nw + a - 1) // a AS b, win_id AS spot FROM (
+        SELECT *, floor(sqrt(greatest(nw - 1, 0)))::BIGINT + 1 AS a FROM (
+          SELECT {', '.join(['win_id', *group])}, count(*) OVER ({by}) AS nw FROM {src}) z) y)"""]
+    cols = ", ".join(["win_id", *group, "nw", "a", "b"])
+    for w in range(walks):
+        inner = f"SELECT {cols}, spot, spot // b AS c, spot % b AS d FROM g{w}"
+        for i in range(rounds):
+            move = (f"(c + {h32(*key, str(i), 'd')}) % a AS c, d" if i % 2 == 0
+                    else f"c, (d + {h32(*key, str(i), 'c')}) % b AS d")
+            inner = f"SELECT {cols}, spot, {move} FROM ({inner}) s{i}"
+        done = "spot < nw" if w else "false"
+        steps.append(f"g{w + 1} AS MATERIALIZED (SELECT {cols}, CASE WHEN {done} THEN spot ELSE c * b + d END AS spot FROM ({inner}) s)")
+    return ",\n".join(steps) + f",\nr AS (SELECT {', '.join(['win_id', *group, 'nw'])}, spot AS rk FROM g{walks})"
+
+
 def packed(b: int, tok: str = "tok") -> str:
     return f"""packed AS (
   SELECT a.blk AS win_id, a.x, b.y FROM
@@ -211,20 +231,17 @@ SQL = {
                 list(id) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS x,
                 list(id) OVER (ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 16 FOLLOWING) AS y
               FROM tok)
-        SELECT win_id, x, y FROM w, ntok WHERE win_id + 16 < n AND {uni('42', 'win_id')} < 1.0 / 16""",
-    "train_batches": f"""WITH {SPLIT}, {packed(61, 'tok_train')},
-        r AS (SELECT win_id, row_number() OVER (ORDER BY {h32(str(TRAIN_SHUFFLE_SEED), 'win_id')}, win_id) - 1 AS rk,
-                count(*) OVER () AS nw FROM packed)
+        SELECT win_id, x, y FROM w, ntok WHERE win_id + 16 < n""",
+    "train_batches": f"""WITH {SPLIT}, {packed(61, 'tok_train')}, {permuted('packed', str(TRAIN_SHUFFLE_SEED))}
         SELECT win_id, (rk // 8)::BIGINT AS batch_id, (rk % 8)::INTEGER AS "row" FROM r WHERE rk < (nw // 8) * 8""",
     "val_batches": f"""WITH {SPLIT}, {packed(61, 'tok_val')}
         SELECT (win_id // 8)::BIGINT AS batch_id, (win_id % 8)::INTEGER AS "row", win_id, x, y FROM packed""",
     "fim_samples": f"WITH {SPLIT}, {packed(61, 'tok_train')}, {_fim_sql(61, 42)} SELECT win_id, input_ids, labels FROM fim",
     "collated_batches": f"""WITH {SPLIT}, {packed(61, 'tok_train')}, {_fim_sql(61, 42)},
-        r AS (SELECT win_id AS w, row_number() OVER (ORDER BY {h32(str(TRAIN_SHUFFLE_SEED), 'win_id')}, win_id) - 1 AS rk,
-                count(*) OVER () AS nw FROM packed),
-        b AS (SELECT rk // 8 AS batch_id, rk % 8 AS "row", win_id, input_ids, labels,
+        {permuted('packed', str(TRAIN_SHUFFLE_SEED))},
+        b AS (SELECT rk // 8 AS batch_id, rk % 8 AS "row", fim.win_id, input_ids, labels,
                 len(input_ids) AS ln, max(len(input_ids)) OVER (PARTITION BY rk // 8) AS mx
-              FROM fim JOIN r ON r.w = fim.win_id WHERE rk < (nw // 8) * 8)
+              FROM fim JOIN r ON r.win_id = fim.win_id WHERE rk < (nw // 8) * 8)
         SELECT batch_id::BIGINT AS batch_id, "row"::INTEGER AS "row", win_id,
           list_concat(input_ids, list_transform(range(mx - ln), lambda i: 1)) AS input_ids,
           list_concat(labels, list_transform(range(mx - ln), lambda i: -100)) AS labels,
@@ -395,7 +412,7 @@ BPE_SPLIT = BPE_STREAM + SPLIT[len(STREAM):]
 
 SQL.update({
     # token strings grow with the merges, so they are followed in rank order
-    "bpe_merges": f"""WITH RECURSIVE {BPE},
+    "bpe_merges_48": f"""WITH RECURSIVE {BPE},
         grown AS (
           SELECT 0 AS rank, [{_TOKENS}] AS tokens
           UNION ALL
@@ -404,13 +421,14 @@ SQL.update({
         SELECT rank::INTEGER AS rank, tokens[left_id + 1] AS "left", tokens[right_id + 1] AS "right",
                tokens[merged_id + 1] AS merged, left_id, right_id, merged_id::INTEGER AS merged_id
         FROM ranked, (SELECT tokens FROM grown ORDER BY rank DESC LIMIT 1) t""",
-    "bpe_encode": f"""WITH {BPE} SELECT doc_id, len(ids)::BIGINT AS n_tokens, ids
+    "bpe_encode_48": f"""WITH {BPE} SELECT doc_id, len(ids)::BIGINT AS n_tokens, ids
         FROM {bpe_words('text', 'doc_id', 'documents')} e""",
-    "prompt_encode": f"""WITH {BPE} SELECT item_id, CASE WHEN ids IS NULL THEN [2] ELSE list_concat([2], ids, [3]) END AS ids
+    "bpe_roundtrip_48": SQL["bpe_roundtrip"],
+    "prompt_encode_48": f"""WITH {BPE} SELECT item_id, CASE WHEN ids IS NULL THEN [2] ELSE list_concat([2], ids, [3]) END AS ids
         FROM benchmark LEFT JOIN {bpe_words('text', 'item_id', 'benchmark')} e USING (item_id)""",
-    "token_shards": SQL["split_tail"].replace(f"WITH {STREAM}", f"WITH {BPE_STREAM}"),
-    "train_samples": SQL["collated_batches"].replace(f"WITH {SPLIT}", f"WITH {BPE_SPLIT}"),
-    "val_samples": SQL["val_batches"].replace(f"WITH {SPLIT}", f"WITH {BPE_SPLIT}"),
+    "token_shards_48": SQL["split_tail"].replace(f"WITH {STREAM}", f"WITH {BPE_STREAM}"),
+    "train_samples_48": SQL["collated_batches"].replace(f"WITH {SPLIT}", f"WITH {BPE_SPLIT}"),
+    "val_samples_48": SQL["val_batches"].replace(f"WITH {SPLIT}", f"WITH {BPE_SPLIT}"),
 })
 
 SQL.update({
@@ -422,9 +440,7 @@ SQL.update({
 SQL.update({
     "train_epochs": f"""WITH {SPLIT}, {packed(61, 'tok_train')},
         ep AS (SELECT win_id, unnest([0, 1]) AS epoch FROM packed),
-        r AS (SELECT epoch, win_id,
-                row_number() OVER (PARTITION BY epoch ORDER BY {h32(str(TRAIN_SHUFFLE_SEED), 'epoch', 'win_id')}, win_id) - 1 AS rk,
-                count(*) OVER (PARTITION BY epoch) AS nw FROM ep)
+        {permuted('ep', str(TRAIN_SHUFFLE_SEED), 'epoch')}
         SELECT epoch, win_id, (epoch * (nw // 8) + rk // 8)::BIGINT AS batch_id, (rk % 8)::INTEGER AS "row" FROM r
         WHERE rk < (nw // 8) * 8""",
 })
@@ -472,3 +488,28 @@ SQL.update({
     "top_extensions": f"""WITH {discovered()} SELECT ext, count(*)::BIGINT AS n_files FROM disc GROUP BY ext
         ORDER BY n_files DESC, ext LIMIT 15""",
 })
+
+_TREE = """tree AS (SELECT lang, doc_id // 100 AS bucket, doc_id, text, length(text) % 97 = 0 AS bad FROM documents WHERE lang <> 'es'),
+        sized AS (SELECT lang, bucket FROM tree GROUP BY ALL HAVING sum(strlen(text) + 1 + bad::INTEGER) BETWEEN 2000 AND {most})"""
+_TREE_FILE = """regexp_replace(string_agg(text || CASE WHEN bad THEN chr(65533) ELSE '' END || chr(10), '' ORDER BY doc_id),
+          '\r\n?', chr(10), 'g')"""
+TREE_CTE = _TREE.format(most=MAX_FILE_BYTES)
+SQL.update({
+    "quota_first_files": f"""WITH s AS (SELECT doc_id, strlen({strip('text')})::BIGINT AS n_bytes FROM documents),
+        r AS (SELECT *, coalesce(sum(n_bytes) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bb
+              FROM s WHERE n_bytes > 0)
+        SELECT doc_id, n_bytes FROM r WHERE bb < 200000""",
+    "discover_tree": f"""WITH {TREE_CTE} SELECT lang, bucket, '.txt' AS ext,
+          sum(strlen(text) + 1 + bad::INTEGER)::BIGINT AS n_bytes FROM tree JOIN sized USING (lang, bucket) GROUP BY lang, bucket""",
+    "decode_tree": f"""WITH {TREE_CTE} SELECT lang, bucket, NOT bool_or(bad) AS valid,
+          CASE WHEN NOT bool_or(bad) THEN length({_TREE_FILE})::BIGINT END AS n_chars
+        FROM tree JOIN sized USING (lang, bucket) GROUP BY lang, bucket""",
+    "tree_lines": f"""WITH {TREE_CTE}, f AS (SELECT lang, bucket, {_TREE_FILE} AS t FROM tree JOIN sized USING (lang, bucket) GROUP BY lang, bucket)
+        SELECT lang, bucket, len(string_split(t, chr(10)))::BIGINT AS n_lines, length(replace(t, chr(10), ''))::BIGINT AS n_chars,
+               (length(t) - length(replace(t, chr(65533), '')))::BIGINT AS n_bad FROM f""",
+    "windows_at": f"""WITH {STREAM},
+        w AS (SELECT pos AS start,
+                list(id) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 60 FOLLOWING) AS x,
+                list(id) OVER (ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND 61 FOLLOWING) AS y FROM tok)
+        SELECT start, x, y FROM w, ntok WHERE start + 61 < n AND start IN (SELECT start_off FROM stream)""",
+})

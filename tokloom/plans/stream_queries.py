@@ -103,11 +103,9 @@ def q_windows_packed(spark, sf):
 
 
 def q_windows_stride(spark, sf):
-    """Stride 1: about one start in STRIDE_BLOCK is sampled and cut."""
+    """Stride 1: every start's window."""
     st = doc_stream(spark, sf)
-    total = S.total_tokens(st)
-    return S.windows_strided(S.blocks(st, STRIDE_BLOCK), STRIDE_BLOCK, 1, total,
-                             rate=1 / STRIDE_BLOCK, seed=FIM_SEED)
+    return S.windows_strided(S.blocks(st, STRIDE_BLOCK), STRIDE_BLOCK, 1, S.total_tokens(st))
 
 
 def _windows(spark, sf, split):

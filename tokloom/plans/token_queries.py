@@ -3,26 +3,33 @@ whole way from files to training batches on BPE ids (E1, E3)."""
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
-from tokloom.config import EOT_ID, SPECIALS, TRAIN_SHUFFLE_SEED, VAL_RATIO, special_id
+from tokloom.config import (EOT_ID, MIN_FREQ, SPECIALS, TRAIN_SHUFFLE_SEED, VAL_RATIO, VOCAB_SIZE,
+                            special_id)
 from tokloom.functions.text import path_parts
 from tokloom.operators import bpe as B
 from tokloom.operators import corpus as C
 from tokloom.operators import encode as EN
+from tokloom.operators import positions as P
 from tokloom.operators import stream as S
 from tokloom.operators.fim import collate
 from tokloom.plans.corpus_queries import discovered
-from tokloom.plans.stream_queries import BATCH, FIM_BLOCK, fim
+from tokloom.plans.stream_queries import BATCH, FIM_BLOCK, doc_stream, fim
 from tokloom.session import scratch
-from tokloom.sources.sinks import read_tokenizer, write_shards, write_tokenizer
+from tokloom.sources.ledger import run_stage
+from tokloom.sources.sinks import read_tokenizer, write_tokenizer
 from tokloom.sources.tables import load, read_shards
 
-# Merges that the catalogue's BPE queries learn: a parameter of the queries
-# (vocabulary = 15 specials + 256 bytes + these), chosen so that the oracle can
-# follow every merge as a step of SQL.  learn_vocab itself defaults to
-# config.VOCAB_SIZE.
+# The queries learn config.VOCAB_SIZE tokens.  Each has a second form, with the
+# suffix _48, that learns so many merges: those the oracle can follow one by
+# one as steps of SQL.
 QUERY_MERGES = 48
+SMALL = len(SPECIALS) + 256 + QUERY_MERGES
+#: Ids of the word-hash tokenizer are below this.
+HASH_VOCAB = 30_100
 
 
 def q_word_histogram(spark, sf):
@@ -37,36 +44,40 @@ def q_alphabet(spark, sf):
     return B.byte_histogram(B.word_histogram(load(spark, sf, "documents"), "text"))
 
 
-def learned_model(spark, sf):
-    """Model learned from the corpus, stored as K4 tables and read back."""
+def learned_model(spark, sf, vocab_size=VOCAB_SIZE):
+    """Model learned from the corpus, stored as K4 tables and read back; the
+    stage ledger finds one that was learned from the same rows before."""
     docs = load(spark, sf, "documents").select("text")
-    model = B.learn_vocab(docs, len(SPECIALS) + 256 + QUERY_MERGES)
-    path = scratch(spark, "tokenizer")
-    write_tokenizer(model.vocab_df(spark), model.merges_df(spark), path)
-    return read_tokenizer(spark, path)
+
+    def learn(path):
+        model = B.learn_vocab(docs, vocab_size)
+        write_tokenizer(model.vocab_df(spark), model.merges_df(spark), path)
+
+    return read_tokenizer(spark, run_stage(
+        spark, "tokenizer", [docs], {"vocab_size": vocab_size, "min_freq": MIN_FREQ}, learn))
 
 
-def q_bpe_merges(spark, sf):
-    return learned_model(spark, sf).merges_df(spark)
+def q_bpe_merges(spark, sf, vocab_size=VOCAB_SIZE):
+    return learned_model(spark, sf, vocab_size).merges_df(spark)
 
 
-def q_bpe_encode(spark, sf):
-    m = learned_model(spark, sf)
+def q_bpe_encode(spark, sf, vocab_size=VOCAB_SIZE):
+    m = learned_model(spark, sf, vocab_size)
     enc = EN.encode_docs(load(spark, sf, "documents").select("doc_id", "text"), m)
     return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-def q_bpe_roundtrip(spark, sf):
+def q_bpe_roundtrip(spark, sf, vocab_size=VOCAB_SIZE):
     """decode(encode(text)) for every document; equals the stripped text."""
-    m = learned_model(spark, sf)
+    m = learned_model(spark, sf, vocab_size)
     enc = EN.encode_docs(load(spark, sf, "documents").select("doc_id", "text"), m)
     return EN.decode_ids(enc, m.vocab_df(spark)).select("doc_id", "text")
 
 
-def q_prompt_encode(spark, sf):
+def q_prompt_encode(spark, sf, vocab_size=VOCAB_SIZE):
     """T3c + P16: benchmark prompts as <bos> ids <eos> with the learned
     vocabulary (a blank prompt would be the single id <bos>)."""
-    m = learned_model(spark, sf)
+    m = learned_model(spark, sf, vocab_size)
     b = load(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
     enc = EN.encode_docs(b, m)
     j = b.join(enc, "doc_id", "left")
@@ -76,56 +87,67 @@ def q_prompt_encode(spark, sf):
                     .alias("ids"))
 
 
-def bpe_stream(spark, sf):
+def bpe_stream(spark, sf, vocab_size=VOCAB_SIZE):
     """Discovered files -> BPE ids -> tag + ids + eot -> global offsets."""
     files = discovered(spark, sf).select("doc_id", "path", "ext", "text")
-    enc = EN.encode_docs(files, learned_model(spark, sf), keep=("path", "ext"))
+    enc = EN.encode_docs(files, learned_model(spark, sf, vocab_size), keep=("path", "ext"))
     seq = C.tag_ids(enc, C.specials_df(spark)).select(
         "doc_id", path_parts("path").alias("_k"),
         EN.assemble(F.col("ids"), F.col("tag_id"), EOT_ID).alias("ids"))
     return S.stream_offsets(seq, ["_k"]).drop("_k")
 
 
-def _shards(spark, sf):
-    """E1 to the end: both splits written as token shards; their folder."""
-    st = bpe_stream(spark, sf)
+def _shards(spark, sf, vocab_size):
+    """E1 to the end: both splits written as packed token shards; their folder."""
+    st = bpe_stream(spark, sf, vocab_size)
     out = scratch(spark, "shards")
-    write_shards(S.split_tail(st, S.total_tokens(st), VAL_RATIO), out)
+    P.write_packed_shards(S.split_tail(st, S.total_tokens(st), VAL_RATIO), out, vocab_size)
     return out
 
 
-def q_token_shards(spark, sf):
-    out = _shards(spark, sf)
-    both = [read_shards(spark, out, s, FIM_BLOCK) for s in ("train", "val")]
+def _shard_split(spark, path, split, vocab_size):
+    return read_shards(spark, path, split, FIM_BLOCK).withColumn(
+        "ids", P.unpack_ids(F.col("ids"), P.id_bytes(vocab_size)))
+
+
+def q_token_shards(spark, sf, vocab_size=VOCAB_SIZE):
+    out = _shards(spark, sf, vocab_size)
+    both = [_shard_split(spark, out, s, vocab_size) for s in ("train", "val")]
     return both[0].unionByName(both[1]).select(
         "split", "doc_id", "start_off", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-def _shard_windows(spark, sf, split):
-    part = read_shards(spark, _shards(spark, sf), split, FIM_BLOCK)
+def q_windows_at(spark, sf):
+    """T4 by position: the window from each document's first token on, read
+    from packed shards through their index."""
+    out = scratch(spark, "shards")
+    P.write_packed_shards(doc_stream(spark, sf).select(F.lit("all").alias("split"), "doc_id", "start_off", "ids"), out, HASH_VOCAB)
+    starts = spark.read.parquet(out).select(F.col("start_off").alias("start"))
+    return P.read_windows(spark, out, "all", starts, FIM_BLOCK, HASH_VOCAB)[0]
+
+
+def _shard_windows(spark, sf, split, vocab_size):
+    part = _shard_split(spark, _shards(spark, sf, vocab_size), split, vocab_size)
     n = S.window_count(S.total_tokens(part), FIM_BLOCK, FIM_BLOCK)
     return S.windows_packed(S.blocks(part, FIM_BLOCK), FIM_BLOCK), n
 
 
-def q_train_samples(spark, sf):
+def q_train_samples(spark, sf, vocab_size=VOCAB_SIZE):
     """E3, train: shard windows, shuffled batches, FIM per sample, padding."""
-    w, n = _shard_windows(spark, sf, "train")
+    w, n = _shard_windows(spark, sf, "train", vocab_size)
     b = S.shuffled_batches(w.select("win_id", "x"), BATCH, TRAIN_SHUFFLE_SEED, n)
     f = fim(b).select("batch_id", "row", "win_id", "input_ids", "labels")
     return collate(f, special_id("<pad>")).select(
         "batch_id", "row", "win_id", "input_ids", "labels", "attention_mask")
 
 
-def q_val_samples(spark, sf):
+def q_val_samples(spark, sf, vocab_size=VOCAB_SIZE):
     """E3, validation: shard windows in order, as they are."""
-    w, _ = _shard_windows(spark, sf, "val")
+    w, _ = _shard_windows(spark, sf, "val", vocab_size)
     return S.sequential_batches(w, BATCH).select("batch_id", "row", "win_id", "x", "y")
 
 
-QUERIES = {
-    "word_histogram": q_word_histogram,
-    "pair_counts": q_pair_counts,
-    "alphabet": q_alphabet,
+LEARNED = {
     "bpe_merges": q_bpe_merges,
     "bpe_encode": q_bpe_encode,
     "bpe_roundtrip": q_bpe_roundtrip,
@@ -134,3 +156,12 @@ QUERIES = {
     "train_samples": q_train_samples,
     "val_samples": q_val_samples,
 }
+
+QUERIES = {
+    "word_histogram": q_word_histogram,
+    "pair_counts": q_pair_counts,
+    "alphabet": q_alphabet,
+    "windows_at": q_windows_at,
+    **LEARNED,
+    **{f"{name}_{QUERY_MERGES}": partial(q, vocab_size=SMALL) for name, q in LEARNED.items()},
+}

@@ -97,10 +97,10 @@ def read_code_files(spark: SparkSession, raw_dir: str,
         F.when(valid, normalize_newlines(raw)).alias("text"))
 
 
-def read_text_lines(spark: SparkSession, raw_dir: str) -> DataFrame:
+def read_text_lines(spark: SparkSession, raw_dir: str, cfg: CorpusConfig = TOKENIZER_WALK) -> DataFrame:
     """Lossy decode (invalid bytes -> U+FFFD), one row per line.  One
     listing, filtered before content is read; no shuffle."""
-    df = _listing(spark, raw_dir).where(file_filter("path", "length", TOKENIZER_WALK))
+    df = _listing(spark, raw_dir).where(file_filter("path", "length", cfg))
     text = F.make_valid_utf8(F.col("content").cast("string"))
     return df.select("path", F.posexplode(F.split(normalize_newlines(text), "\n"))
                      .alias("line_no", "line"))

@@ -120,7 +120,8 @@ def read_shards(spark: SparkSession, path: str, split: str,
     """One split of the token-shard table (partition pruning on
     ``split``); fails when the split has too few tokens for one window."""
     df = spark.read.parquet(path).where(F.col("split") == split)
-    n = df.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
+    size = F.col("n_tokens") if "n_tokens" in df.columns else F.size("ids")  # packed ids carry their number
+    n = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     if n <= block_size:
         raise ValueError(f"{split!r} holds {n} tokens; one window of {block_size} takes {block_size + 1}")
     return df

@@ -4,9 +4,10 @@ The source is a file stream with a fixed schema.  Each micro-batch is
 filtered and cut by the running quota, then written to its own
 ``epoch=<id>`` folder with overwrite, so a replayed epoch replaces its
 earlier attempt instead of duplicating rows.  What each epoch wrote per group
-(rows, bytes) goes into a small manifest table beside it; the quota state of
-an epoch is the sum of the manifests before it, so earlier output is never
-read again and a failed read is an error, not an empty state.
+(rows, bytes) goes into a small manifest table beside it; the sums so far go
+into a snapshot.  The quota state of an epoch is the one snapshot before it,
+so neither earlier output nor earlier manifests are read again, and a failed
+read is an error, not an empty state.
 
 The quota is by arrival: rows count in the order (epoch, ``order``).  It
 equals the batch quota (W2) over the same files when that runs in the order
@@ -19,14 +20,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokloom.operators.ordered import running_sums
-from tokloom.session import scratch
+from tokloom.session import remove_tree, scratch
 
 
-def _prior_totals(spark, manifest, epoch, group):
-    if not epoch:
-        return None
-    return (spark.read.parquet(*[f"{manifest}/epoch={e}" for e in range(epoch)]).groupBy(*group)
-            .agg(F.sum("n_rows").alias("_pf"), F.sum("n_bytes").alias("_pb")))
+def _state_before(spark, state, epoch):
+    """Rows and bytes of each group up to the epoch: one snapshot, however
+    many epochs there were."""
+    return spark.read.parquet(f"{state}/epoch={epoch - 1}") if epoch else None
+
+
+def _snapshot(spark, state, epoch, wrote, prior, group):
+    """Write the state after this epoch.  The snapshot before it stays, so the
+    epoch can be replayed; older ones go."""
+    added = wrote if prior is None else wrote.unionByName(prior)
+    added.groupBy(*group).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_bytes").alias("n_bytes")) \
+        .write.mode("overwrite").parquet(f"{state}/epoch={epoch}")
+    if epoch > 1:
+        remove_tree(spark, f"{state}/epoch={epoch - 2}")
 
 
 def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
@@ -39,11 +49,12 @@ def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
     (P1-P9); the quota (W2) then applies per ``group``."""
     dst = dst or scratch(spark, "ingest")
     ckpt = dst + "/_checkpoint"
-    data, manifest = dst + "/data", dst + "/manifest"
+    data, manifest, state = dst + "/data", dst + "/manifest", dst + "/state"
 
     def write_batch(df: DataFrame, epoch: int):
         rows = transform(df)
-        prior = _prior_totals(spark, manifest, epoch, group)
+        before = _state_before(spark, state, epoch)
+        prior = before.withColumnsRenamed({"n_rows": "_pf", "n_bytes": "_pb"}) if epoch else None
         ranked = running_sums(rows, order, {"_fb": F.lit(1).cast("long"),
                                             "_bb": F.col(size_col).cast("long")},
                               group=group)
@@ -69,6 +80,8 @@ def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
         wrote = spark.read.schema(out.schema).parquet(f"{data}/epoch={epoch}").groupBy(*group).agg(
             F.count(F.lit(1)).alias("n_rows"), F.sum(size_col).cast("long").alias("n_bytes"))
         wrote.write.mode("overwrite").parquet(f"{manifest}/epoch={epoch}")
+        _snapshot(spark, state, epoch, spark.read.schema(wrote.schema).parquet(f"{manifest}/epoch={epoch}"),
+                  before, group)
 
     q = (spark.readStream.schema(schema)
          .option("maxFilesPerTrigger", files_per_trigger)
