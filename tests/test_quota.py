@@ -46,3 +46,17 @@ def test_running_sums_match_single_window(spark):
         exp[(g, k)] = acc.get(g, 0)
         acc[g] = acc.get(g, 0) + v
     assert {(r.g, r.k): r.s for r in got} == exp
+
+
+def test_quota_stops_opening_files(spark, tmp_path):
+    from tokloom.operators.corpus import take_until_files
+    out = str(tmp_path / "files")
+    spark.range(0, 1600).select(F.col("id").alias("k"), F.lit(10).cast("long").alias("n")) \
+        .repartitionByRange(16, "k").write.parquet(out)
+    back = spark.read.parquet(out)
+    files = sorted(back.inputFiles())
+    assert len(files) > 12
+    for most, opened in ((500, 1), (2990, 4), (None, len(files))):
+        got, n = take_until_files(spark, files, back.schema, lambda df: df, ["k"], "n", None, most)
+        assert sorted(r.k for r in got.collect()) == list(range(most // 10 if most else 1600))
+        assert n == opened

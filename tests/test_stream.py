@@ -1,5 +1,8 @@
+import pytest
+from pyspark.sql import functions as F
 import random
 
+from tokloom.operators import positions as P
 from tokloom.operators import stream as S
 from tokloom.operators.fim import collate, fim_samples
 
@@ -73,12 +76,60 @@ def test_epochs_restart_and_drop_their_own_rest(spark):
     assert all(len(set(k)) == 8 for k in kept.values()) and kept[0] != kept[1]
 
 
-def test_strided_starts_can_be_sampled(spark):
-    st, flat = make_stream(spark, [50, 70, 9])
-    blk = S.blocks(st, 4)
-    whole = {r.win_id: r.x for r in S.windows_strided(blk, 4, 1, len(flat)).collect()}
-    some = {r.win_id: r.x for r in S.windows_strided(blk, 4, 1, len(flat), rate=0.25, seed=1).collect()}
-    assert 0 < len(some) < len(whole) and all(whole[k] == v for k, v in some.items())
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 12, 13, 100, 1001])
+def test_permutation_is_a_bijection(spark, n):
+    ids = spark.range(n)
+    got = [[r[0] for r in ids.select(S.permuted(F.col("id"), n, seed)).collect()] for seed in (7, 8)]
+    assert all(sorted(g) == list(range(n)) for g in got)
+    assert n < 12 or (got[0] != got[1] and got[0] != list(range(n)))
+
+
+def test_shuffled_batches_move_no_rows(spark):
+    w = S.epochs(spark.range(1000).withColumnRenamed("id", "win_id"), 2)
+    plan = S.shuffled_batches(w, 8, 1, 1000, epoch="epoch")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_wide_rows_are_ordered_once(spark):
+    rows = [(i, (i * 7919) % 1000, list(range(i % 5))) for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, k long, ids array<int>").repartition(7)
+    got = S.stream_offsets(df, ["k"])
+    at, want = 0, {}
+    for d, _, ids in sorted(rows, key=lambda r: r[1]):
+        want[d], at = at, at + len(ids)
+    assert {r.doc_id: r.start_off for r in got.collect()} == want and got.columns == [*df.columns, "start_off"]
+    plan = got._jdf.queryExecution().executedPlan().toString()  # the parts' totals alone are shuffled
+    assert "rangepartitioning" not in plan and plan.count("hashpartitioning(") == plan.count("hashpartitioning(_rp")
+
+
+@pytest.mark.parametrize("vocab,width", [(1 << 16, 4), (65_535, 2)])
+def test_packed_ids_round_trip(spark, vocab, width):
+    rows = [(1, [0, 1, 255, 256, vocab - 1]), (2, []), (3, [vocab - 1] * 3)]
+    df = spark.createDataFrame(rows, "k int, ids array<int>")
+    assert P.id_bytes(vocab) == width
+    p = df.withColumn("p", P.pack_ids(F.col("ids"), width)).withColumn("back", P.unpack_ids(F.col("p"), width))
+    for r in p.collect():
+        assert r.back == r.ids and bytes(r.p) == b"".join(i.to_bytes(width, "little") for i in r.ids)
+
+
+def test_windows_by_position_open_few_files(spark, tmp_path):
+    st, flat = make_stream(spark, [7, 30, 2, 51, 9, 16] * 20)
+    out = str(tmp_path / "shards")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        P.write_packed_shards(st.withColumn("split", F.lit("train")), out, 70_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    n, b = len(flat), 16
+    index = P.shard_index(spark, out).collect()
+    assert len(index) > 4
+    for starts in ([0], [5, 6, 7], [n - b - 1], [n - b, n], list(range(n - b))):
+        df = spark.createDataFrame([(s,) for s in starts], "start long")
+        got, files = P.read_windows(spark, out, "train", df, b, 70_000)
+        assert {r.start: (r.x, r.y) for r in got.collect()} == {
+            s: (flat[s:s + b], flat[s + 1:s + b + 1]) for s in starts if s < n - b}
+        assert len(files) <= 3 or len(starts) > 3
+    assert P.window_starts(spark, n, b).count() == S.window_count(n, b)
 
 
 def test_fim_unpermutes(spark):

@@ -50,3 +50,16 @@ def test_quota_is_by_arrival(spark):
                                 size_col="n_bytes", group=["source"], max_files=4, glob="f*.parquet")
     got = sorted(r.doc_id for r in spark.read.parquet(path).collect())
     assert got == sorted(r.doc_id for r in batch.collect())
+
+
+def test_state_of_many_epochs_is_one_snapshot(spark):
+    src, docs = split_files(spark, [(i * 20, (i + 1) * 20) for i in range(9)])
+    batch = take_until(_stripped(docs.where("doc_id < 180")), ["doc_id"], "n_bytes", 20, None, group=["source"])
+    path = ingest_available_now(spark, src, docs.schema, _stripped, order=["doc_id"],
+                                size_col="n_bytes", group=["source"], max_files=20, glob="f*.parquet")
+    got = spark.read.parquet(path)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in batch.collect())
+    state = os.path.dirname(path.removeprefix("file:")) + "/state"
+    assert sorted(os.listdir(state)) == ["epoch=7", "epoch=8"]
+    sums = spark.read.parquet(f"{state}/epoch=8").agg(F.sum("n_rows").alias("n")).first().n
+    assert sums == got.count()
