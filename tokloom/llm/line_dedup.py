@@ -227,8 +227,7 @@ def delete_runs(df: DataFrame, min_words: int = MIN_WORDS, line_words: int = LIN
     """``df`` with texts rewritten, and the number of words deleted
     (__n_removed)."""
     found = repeated_runs(df.select("doc_id", "text"), min_words, line_words)
-    found = found.select(F.col("doc_id").alias("__doc"), F.col("rkey").alias("__rkey"), "runs",
-                         F.lit(True).alias("hit"))
+    found = found.select(F.col("doc_id").alias("__doc"), F.col("rkey").alias("__rkey"), F.col("runs").alias("__runs"))
     keyed = df.withColumn("__key", _key())
     same = [F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")), F.col("__key") == F.col("__rkey")]
     keys = found.select("__doc", "__rkey")
@@ -252,7 +251,7 @@ def delete_runs(df: DataFrame, min_words: int = MIN_WORDS, line_words: int = LIN
             columns[at] = pa.array(texts, pa.binary()).view(pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], names=schema.names)
 
-    changed = changed.select(*[F.col(f"`{c}`") for c in df.columns], F.col("runs").alias("__runs"))
+    changed = changed.select(*[F.col(f"`{c}`") for c in df.columns], "__runs")
     return changed.mapInArrow(rewrite, schema).unionByName(
         plain.withColumn("__n_removed", F.lit(0).cast("long")))
 
