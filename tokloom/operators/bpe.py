@@ -33,11 +33,32 @@ def pretokenize(text) -> "F.Column":
     return F.regexp_extract_all(t, F.lit(PRETOKENIZE_RE), 0)
 
 
-def word_histogram(docs: DataFrame, text_col: str = "text",
-                   strip: bool = True) -> DataFrame:
-    """A4: (word, n) over all documents (stripped, blanks dropped)."""
+#: Characters of a text that are cut into words at a time (a piece ends at the
+#: next place where no word can go on).
+PIECE_CHARS = 1 << 20
+#: Such places: before white space that follows something else, and where
+#: letters or digits end.  A word of the pre-tokenizer begins with its only
+#: space, holds one class of characters, and only an apostrophe has letters
+#: behind it.
+_SAFE = r"(?:(?<=\S)(?=\s)|(?<=\p{L})(?=[^\p{L}\s])|(?<=\p{N})(?=[^\p{N}\s]))"
+
+
+def text_pieces(text, chars: int = PIECE_CHARS) -> "F.Column":
+    """A text as consecutive pieces of ``chars`` characters and up to the next
+    safe place; the words of the pieces are the words of the text.  Short
+    texts are one piece."""
+    t = F.col(text) if isinstance(text, str) else text
+    cut = F.regexp_extract_all(t, F.lit(rf"(?Us).{{{chars}}}.*?{_SAFE}|.+"), F.lit(0))
+    return F.when(F.length(t) > chars, cut).otherwise(F.array(t))
+
+
+def word_histogram(docs: DataFrame, text_col: str = "text", strip: bool = True,
+                   piece_chars: int = PIECE_CHARS) -> DataFrame:
+    """A4: (word, n) over all documents (stripped, blanks dropped).  Long texts
+    are cut into pieces first, so no row holds the words of a whole one."""
     t = py_strip(text_col) if strip else F.col(text_col)
-    return (docs.select(F.explode(pretokenize(t)).alias("word"))
+    return (docs.select(t.alias("_t")).select(F.explode(text_pieces("_t", piece_chars)).alias("_p"))
+            .select(F.explode(pretokenize("_p")).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 

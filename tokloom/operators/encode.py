@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tokloom.functions.bytelevel import byte_ids
 from tokloom.functions.text import py_strip
-from tokloom.operators.bpe import BpeModel, pretokenize
+from tokloom.operators.bpe import PIECE_CHARS, BpeModel, pretokenize, text_pieces
 
 
 def merge_word(ids: list[int], ranks: dict) -> list[int]:
@@ -106,6 +106,18 @@ def encode_docs(docs: DataFrame, model: BpeModel, key: str = "doc_id",
     return words.mapInArrow(encode, schema)
 
 
+def encode_pieces(docs: DataFrame, model: BpeModel, key: str = "doc_id", text_col: str = "text",
+                  piece_chars: int = PIECE_CHARS, strip: bool = True) -> DataFrame:
+    """T3 for very long documents: (key, piece, ids), the ids of a document
+    being those of its pieces in order.  Pieces are dealt evenly over the
+    tasks, so one document is encoded by many."""
+    t = py_strip(text_col) if strip else F.col(text_col)
+    pieces = docs.select(key, t.alias("_t")).select(
+        key, F.posexplode(text_pieces("_t", piece_chars)).alias("piece", "_p"))
+    dealt = pieces.repartition(key, "piece")
+    return encode_docs(dealt, model, key, "_p", strip=False, keep=("piece",))
+
+
 def decode_ids(seqs: DataFrame, vocab: DataFrame, key: str = "doc_id",
                ids_col: str = "ids", skip_special: bool = True) -> DataFrame:
     """Ids back to text.  The vocabulary (id, hex, is_special; bounded by

@@ -114,10 +114,29 @@ def next_pairs(stream: DataFrame) -> DataFrame:
     return inner.unionByName(cross)
 
 
-def next_ngrams(blk: DataFrame, n: int) -> DataFrame:
+def id_bits(vocab_size: int) -> int:
+    """Bits of an id in a packed context."""
+    return max(1, (vocab_size - 1).bit_length())
+
+
+def context_key(ids: list[Column], vocab_size: int) -> Column:
+    """A context as a number: its ids, oldest first, side by side in one long;
+    contexts that need more bits are an array of such longs."""
+    bits = id_bits(vocab_size)
+    per = 63 // bits
+    longs = []
+    for low in range(0, len(ids), per):
+        key = F.lit(0).cast("long")
+        for x in ids[low:low + per]:
+            key = F.shiftleft(key, bits).bitwiseOR(x.cast("long"))
+        longs.append(key)
+    return longs[0] if len(longs) == 1 else F.array(*longs)
+
+
+def next_ngrams(blk: DataFrame, n: int, vocab_size: int) -> DataFrame:
     """W4 for order ``n`` over stream blocks (blk, ids) of at least n - 1 ids:
     (pos, ctx, nxt) for every position p >= n - 1, ctx the n - 1 ids before
-    it, space-separated.  A block meets the end of the one before by an
+    it as a ``context_key``.  A block meets the end of the one before by an
     equi-join on the block number."""
     size = F.max(F.size("ids"))  # all blocks but the last are full
     full = blk.agg(size).first()[0] or 0
@@ -128,7 +147,8 @@ def next_ngrams(blk: DataFrame, n: int) -> DataFrame:
     at = F.sequence(F.lit(n - 1), F.size("_s") - 1)
     ex = j.where(F.size("_s") >= n).select("_p", "_s", F.explode(at).alias("_i"))
     return ex.select((F.col("_p") + F.col("_i")).alias("pos"),
-                     F.array_join(F.slice("_s", F.col("_i") - (n - 2), F.lit(n - 1)), " ").alias("ctx"),
+                     context_key([F.get("_s", F.col("_i") - (n - 1 - k)) for k in range(n - 1)], vocab_size)
+                     .alias("ctx"),
                      F.get("_s", F.col("_i")).alias("nxt"))
 
 
@@ -143,6 +163,21 @@ def ngram_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("ctx", "nxt").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+def lower_order(counts: DataFrame, blk: DataFrame, n: int, vocab_size: int) -> DataFrame:
+    """Counts of order n - 1 from those of order ``n`` (contexts of one
+    long), so the tokens are not read again: the oldest id leaves the
+    context and equal ones are added.  Position n - 2, the only one with a
+    context of n - 2 ids and none of n - 1, comes from the first block."""
+    bits = id_bits(vocab_size)
+    if (n - 1) * bits > 63 or n < 3:
+        raise ValueError(f"order {n} has no shorter context of one long")
+    less = counts.select(F.col("ctx").bitwiseAND(F.lit((1 << (n - 2) * bits) - 1)).alias("ctx"), "nxt", "n")
+    first = blk.where((F.col("blk") == 0) & (F.size("ids") > n - 2)).select(
+        context_key([F.get("ids", F.lit(k)) for k in range(n - 2)], vocab_size).alias("ctx"),
+        F.get("ids", F.lit(n - 2)).alias("nxt"), F.lit(1).cast("long").alias("n"))
+    return less.unionByName(first).groupBy("ctx", "nxt").agg(F.sum("n").cast("long").alias("n"))
+
+
 def ngram_token_losses(counts: DataFrame, eval_pairs: DataFrame, alpha: float,
                        vocab_size: int) -> DataFrame:
     """T13 (score): per-token cross-entropy -ln((c + a) / (t + a V)) with

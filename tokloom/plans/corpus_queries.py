@@ -109,6 +109,13 @@ def q_tag_lookup(spark, sf):
     return C.tag_ids(files, C.specials_df(spark)).select("doc_id", "ext", "tag", "tag_id")
 
 
+def q_resolved_ids(spark, sf):
+    """An id given for every other file, else its tag's, else a default."""
+    given = F.when(F.col("doc_id") % 2 == 0, F.col("doc_id") % 3)
+    tags = C.tag_ids(code_files(spark, sf).select("doc_id", "ext"), C.specials_df(spark))
+    return tags.select("doc_id", C.resolve_id(given, F.col("tag_id"), 7).alias("id"))
+
+
 def q_missing_specials(spark, sf):
     """Specials and benchmark words that a vocabulary of the corpus's
     words and the core specials lacks."""
@@ -140,5 +147,6 @@ QUERIES = {
     "quota_bytes": q_quota_bytes,
     "union_sources": q_union_sources,
     "tag_lookup": q_tag_lookup,
+    "resolved_ids": q_resolved_ids,
     "missing_specials": q_missing_specials,
 }

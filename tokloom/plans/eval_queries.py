@@ -83,7 +83,32 @@ def q_ngram_counts(spark, sf):
 def q_trigram_counts(spark, sf):
     """T13 at order 3 over the training split."""
     part, _ = split_stream(spark, sf, "train")
-    return SC.ngram_counts(SC.next_ngrams(S.blocks(part, 256), 3))
+    return SC.ngram_counts(SC.next_ngrams(S.blocks(part, 256), 3, HASH_VOCAB))
+
+
+def _ngram_levels(spark, sf, order):
+    """Counts of orders ``order`` down to 2, each from the one above."""
+    part, _ = split_stream(spark, sf, "train")
+    blk = S.blocks(part, 256)
+    levels = [SC.ngram_counts(SC.next_ngrams(blk, order, HASH_VOCAB))]
+    for n in range(order, 2, -1):
+        levels.append(SC.lower_order(levels[-1], blk, n, HASH_VOCAB))
+    return levels
+
+
+def q_fivegram_counts(spark, sf):
+    """T13 at order 5."""
+    return _ngram_levels(spark, sf, 5)[0]
+
+
+def q_ngram_levels(spark, sf):
+    """The context tree of orders 4 to 2, each level summed from the one
+    above."""
+    out = None
+    for n, counts in zip((4, 3, 2), _ngram_levels(spark, sf, 4)):
+        level = counts.select(F.lit(n).alias("order_n"), "ctx", "nxt", "n")
+        out = level if out is None else out.unionByName(level)
+    return out
 
 
 def q_ngram_sample(spark, sf):
@@ -202,6 +227,8 @@ QUERIES = {
     "completions": q_completions,
     "ngram_counts": q_ngram_counts,
     "trigram_counts": q_trigram_counts,
+    "fivegram_counts": q_fivegram_counts,
+    "ngram_levels": q_ngram_levels,
     "ngram_sample": q_ngram_sample,
     "val_loss_batch": q_val_loss_batch,
     "val_loss_token": q_val_loss_token,

@@ -103,6 +103,19 @@ tok_train AS (SELECT pos, id FROM tok, cutoff WHERE pos < n_train),
 tok_val AS (SELECT pos - n_train AS pos, id FROM tok, cutoff WHERE pos >= n_train)"""
 
 
+#: Ids of the word-hash tokenizer take 15 bits of a packed context.
+_ID_SPAN = 32768
+
+
+def _ngrams(n: int) -> str:
+    """(ctx, nxt, n) of order n over the training tokens."""
+    ids = [f"lag(id, {k}) OVER (ORDER BY pos)" for k in range(n - 1, 0, -1)]
+    ctx = " + ".join(f"c{i}::BIGINT * {_ID_SPAN ** (n - 2 - i)}" for i in range(n - 1))
+    cols = ", ".join(f"{x} AS c{i}" for i, x in enumerate(ids))
+    return f"""SELECT {ctx} AS ctx, id AS nxt, count(*)::BIGINT AS n FROM (SELECT id, {cols} FROM tok_train) w
+        WHERE c0 IS NOT NULL GROUP BY 1, 2"""
+
+
 def permuted(src: str, *key: str, rounds: int = 4, walks: int = 5) -> str:
     """Ends with r (win_id, nw, rk and the columns of key): the keyed
     permutation of 0 ... nw - 1 on a grid of a columns and b rows."""
@@ -304,8 +317,11 @@ SQL.update({
         WHERE u.role = 'user' AND a.role = 'assistant'""",
     "ngram_counts": f"WITH {NEXT_PAIRS} SELECT ctx, nxt, n FROM counts",
     "trigram_counts": f"""WITH {SPLIT}
-        SELECT a.id || ' ' || b.id AS ctx, c.id AS nxt, count(*)::BIGINT AS n
+        SELECT a.id::BIGINT * {_ID_SPAN} + b.id AS ctx, c.id AS nxt, count(*)::BIGINT AS n
         FROM tok_train a JOIN tok_train b ON b.pos = a.pos + 1 JOIN tok_train c ON c.pos = a.pos + 2 GROUP BY 1, 2""",
+    "fivegram_counts": f"WITH {SPLIT} {_ngrams(5)}",
+    "ngram_levels": f"""WITH {SPLIT} SELECT 4 AS order_n, * FROM ({_ngrams(4)}) a
+        UNION ALL SELECT 3, * FROM ({_ngrams(3)}) b UNION ALL SELECT 2, * FROM ({_ngrams(2)}) c""",
     "ngram_sample": f"""WITH {NEXT_PAIRS}, cands AS (SELECT ctx, nxt AS token, ln(n) AS logit FROM counts), {PRUNED_CTES}
         SELECT ctx, arg_max(token, ln(prob) - ln(-ln(({h32('7', 'ctx', 'token')} + 0.5) / 4294967296.0))) AS token
         FROM pruned GROUP BY ctx""",
@@ -507,6 +523,9 @@ SQL.update({
     "tree_lines": f"""WITH {TREE_CTE}, f AS (SELECT lang, bucket, {_TREE_FILE} AS t FROM tree JOIN sized USING (lang, bucket) GROUP BY lang, bucket)
         SELECT lang, bucket, len(string_split(t, chr(10)))::BIGINT AS n_lines, length(replace(t, chr(10), ''))::BIGINT AS n_chars,
                (length(t) - length(replace(t, chr(65533), '')))::BIGINT AS n_bad FROM f""",
+    "new_tokens": f"WITH {STREAM} SELECT doc_id, ids[len(ids) // 2 + 1:] AS ids FROM seq",
+    "resolved_ids": f"""WITH {FILES} SELECT doc_id, coalesce(nullif(CASE WHEN doc_id % 2 = 0 THEN doc_id % 3 END, 0),
+          nullif(({_TAG_CASE})::BIGINT, 0), 7)::INTEGER AS id FROM files""",
     "windows_at": f"""WITH {STREAM},
         w AS (SELECT pos AS start,
                 list(id) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND 60 FOLLOWING) AS x,

@@ -13,7 +13,7 @@ from tokloom.config import (EOT_ID, TRAIN_SHUFFLE_SEED, VAL_RATIO,
 from tokloom.functions.text import path_parts, py_strip, storage_dtype
 from tokloom.operators import corpus as C
 from tokloom.operators import stream as S
-from tokloom.operators.encode import assemble
+from tokloom.operators.encode import assemble, new_tokens
 from tokloom.operators.fim import collate, fim_prompt, fim_samples
 from tokloom.plans.corpus_queries import discovered
 from tokloom.sources.tables import load
@@ -94,6 +94,12 @@ def q_meta_row(spark, sf):
         "total_files", "skipped_files", "ext_counts")
 
 
+def q_new_tokens(spark, sf):
+    """What follows the prompt, the first half of each sequence here."""
+    half = F.floor(F.size("ids") / 2).cast("int")
+    return doc_sequences(spark, sf).select("doc_id", new_tokens(F.col("ids"), half).alias("ids"))
+
+
 def _blocks(spark, sf, b):
     return S.blocks(doc_stream(spark, sf), b)
 
@@ -166,6 +172,7 @@ QUERIES = {
     "split_tail": q_split_tail,
     "split_hash": q_split_hash,
     "meta_row": q_meta_row,
+    "new_tokens": q_new_tokens,
     "windows_packed": q_windows_packed,
     "windows_stride": q_windows_stride,
     "train_batches": q_train_batches,
