@@ -154,3 +154,35 @@ def test_full_vocabulary_matches_the_library(spark):
     assert len(lib) >= 5000 and ours(model) == lib
     assert all(vocab[t] == i for i, t in enumerate(model.tokens))
     assert model.rounds < 100
+
+
+def test_pieces_have_the_words_of_the_text(spark):
+    import random
+
+    from pyspark.sql import functions as F
+    from tokloom.operators.bpe import pretokenize, text_pieces
+    rng = random.Random(9)
+    parts = ["a", "bc", "7", "42", " ", "  ", "\n", "\t ", "'s", "'", "'ll", "é", "漢", "!?", "_", "\u3000", "\xa0", "😀", "\u0301"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 200))) for _ in range(300)]
+    texts += ["x" * 500, " " * 500, "'s" * 200, "it's " * 100, "a1" * 200, "a 'll" * 90, "1 's" * 80]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    for chars in (1, 7, 40):
+        got = df.select("i", "t", pretokenize("t").alias("w"), text_pieces("t", chars).alias("p"),
+                        F.flatten(F.transform(text_pieces("t", chars), pretokenize)).alias("pw")).collect()
+        for r in got:
+            assert "".join(r.p) == r.t and r.pw == r.w, (chars, r.t)
+        assert all(len(r.p) > 2 for r in got if len(r.t) > 150 and r.i < 300)
+    hist = {r.word: r.n for r in word_histogram(df, "t", piece_chars=7).collect()}
+    assert hist == {r.word: r.n for r in word_histogram(df, "t").collect()}
+
+
+def test_encoded_pieces_make_the_document(spark):
+    from tokloom.operators.encode import encode_pieces
+    text = "it's the theme, then 12 there! " * 50
+    df = spark.createDataFrame([(1, text), (2, "then"), (3, "")], "doc_id long, text string")
+    model = learn_vocab(df, 15 + 256 + 20)
+    whole = {r.doc_id: r.ids for r in encode_docs(df, model).collect()}
+    rows = encode_pieces(df, model, piece_chars=64).collect()
+    assert sum(r.doc_id == 1 for r in rows) > 10 and max(len(r.ids) for r in rows) < 100
+    for d in (1, 2):
+        assert [x for r in sorted(rows, key=lambda r: r.piece) if r.doc_id == d for x in r.ids] == whole[d]

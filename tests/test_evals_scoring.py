@@ -129,7 +129,18 @@ def test_ngrams_of_any_order(spark):
     docs = spark.createDataFrame([(0, [1, 2, 3]), (1, [1, 2]), (2, [3, 1, 2, 3, 4, 5, 1])], "doc_id long, ids array<int>")
     flat = [1, 2, 3, 1, 2, 3, 1, 2, 3, 4, 5, 1]
     blk = S.blocks(S.stream_offsets(docs, ["doc_id"]), 4)
-    for n in (2, 3, 4, 5):
-        want = Counter((" ".join(map(str, flat[i:i + n - 1])), flat[i + n - 1]) for i in range(len(flat) - n + 1))
-        got = {(r.ctx, r.nxt): r.n for r in SC.ngram_counts(SC.next_ngrams(blk, n)).collect()}
-        assert got == want
+    for vocab, most in ((6, 5), (1 << 20, 4), (1 << 31, 3)):
+        bits, above = SC.id_bits(vocab), None
+        for n in (5, 4, 3, 2):
+            def key(ids):
+                longs = [ids[i:i + 63 // bits] for i in range(0, len(ids), 63 // bits)]
+                longs = [sum(x << bits * (len(c) - 1 - k) for k, x in enumerate(c)) for c in longs]
+                return longs[0] if len(longs) == 1 else tuple(longs)
+            want = Counter((key(flat[i:i + n - 1]), flat[i + n - 1]) for i in range(len(flat) - n + 1))
+            counts = SC.ngram_counts(SC.next_ngrams(blk, n, vocab))
+            got = {(r.ctx if n <= most else tuple(r.ctx), r.nxt): r.n for r in counts.collect()}
+            assert got == want
+            if above is not None:  # summed from the level above
+                low = {(r.ctx, r.nxt): r.n for r in SC.lower_order(above, blk, n + 1, vocab).collect()}
+                assert low == want
+            above = counts if n <= most and n > 2 else None
