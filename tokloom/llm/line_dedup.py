@@ -48,6 +48,7 @@ from pyspark.sql import types as T
 
 from tokloom.llm.common import (BROADCAST_ROWS, KNOWN_WORDS, documents, give_back, join_by_size, one_by_one,
                                 row_key, staged)
+from tokloom.operators.ordered import running_sums
 
 MIN_WORDS = 50
 LINE_WORDS = 25
@@ -63,44 +64,58 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class Hasher:
-    """Hashes of words, and of runs of so many words, by a multiplier."""
+class _Words(dict):
+    """Numbers of the words met; their two hashes stand in lists."""
 
-    def __init__(self, which: int = 0):
+    def __init__(self):
         import xxhash
-        self.digest, self.seed, self.known = xxhash.xxh3_64_intdigest, which, {}
-        self.base = _BASES[which]
-        self.back = np.uint64(pow(int(self.base), -1, 1 << 64))
-        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-    def words(self, words: list[bytes]) -> np.ndarray:
-        known, digest, seed = self.known, self.digest, self.seed
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        out = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = digest(w, seed)
-            out.append(h)
-        return np.array(out, dtype=np.uint64)
-
-    def _power(self, which: int, n: int) -> np.ndarray:
-        """The first n powers of the multiplier or its inverse, mod 2^64."""
-        if len(self.powers[which]) < n:
-            steps = np.full(max(n, 4096), self.back if which else self.base, dtype=np.uint64)
+        super().__init__()
+        self.digest, self.hashes = xxhash.xxh3_64_intdigest, ([], [])
+
+    def __missing__(self, word):
+        for seed, hashes in enumerate(self.hashes):
+            hashes.append(self.digest(word, seed))
+        self[word] = at = len(self)
+        return at
+
+
+class Hasher:
+    """Hashes of words, and of runs of so many words, by two multipliers."""
+
+    def __init__(self):
+        self.known, self.tables = _Words(), [np.zeros(0, np.uint64)] * 2
+        self.back = [np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES]
+        self.powers = {}
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of the words, good until the next call."""
+        if len(self.known) > 2 * KNOWN_WORDS:
+            self.known, self.tables = _Words(), [np.zeros(0, np.uint64)] * 2
+        return np.array(list(map(self.known.__getitem__, words)), dtype=np.int64)
+
+    def words(self, numbers: np.ndarray, which: int = 0) -> np.ndarray:
+        have = len(self.tables[which])
+        if have < len(self.known):
+            new = np.array(self.known.hashes[which][have:], dtype=np.uint64)
+            self.tables[which] = np.concatenate([self.tables[which], new])
+        return self.tables[which][numbers]
+
+    def _power(self, base: np.uint64, n: int) -> np.ndarray:
+        """The first n powers of a multiplier, mod 2^64."""
+        if len(self.powers.get(base, ())) < n:
+            steps = np.full(max(2 * n, 4096), base, dtype=np.uint64)
             steps[0] = 1
-            self.powers[which] = np.cumprod(steps, dtype=np.uint64)
-        return self.powers[which][:n]
+            self.powers[base] = np.cumprod(steps, dtype=np.uint64)
+        return self.powers[base][:n]
 
-    def runs(self, hashes: np.ndarray, width: int) -> np.ndarray:
+    def runs(self, hashes: np.ndarray, width: int, which: int = 0) -> np.ndarray:
         """Hash of the run of ``width`` words from each word on."""
         m = len(hashes) - width + 1
         if m <= 0:
             return np.zeros(0, dtype=np.uint64)
         sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
-        np.cumsum(hashes * self._power(0, len(hashes)), dtype=np.uint64, out=sums[1:])
-        return _mix((sums[width:] - sums[:m]) * self._power(1, m))
+        np.cumsum(hashes * self._power(_BASES[which], len(hashes)), dtype=np.uint64, out=sums[1:])
+        return _mix((sums[width:] - sums[:m]) * self._power(self.back[which], m))
 
 
 def fingerprints(lines: np.ndarray, width: int) -> np.ndarray:
@@ -125,7 +140,7 @@ def _line_rows(batches, min_words: int, line_words: int):
             words = text.split()
             if len(words) < min_words:
                 continue
-            lines = hasher.runs(hasher.words(words), line_words)
+            lines = hasher.runs(hasher.words(hasher.numbers(words)), line_words)
             kept.append(i)
             digests.append(xxhash.xxh3_128_digest(text))
             counts.append(len(words))
@@ -140,29 +155,44 @@ def _line_rows(batches, min_words: int, line_words: int):
     give_back()
 
 
-RUNS = "a long, b long, doc_id long, rkey long, at int"
+RUNS = "a long, b long, place long"
+#: A place is a document's rank and a word's number, the latter in so many
+#: bits: more words than a string of a row can hold in usual text (a text with
+#: more is an error).
+WORD_BITS = 29
+#: Rows gathered before they leave a task.
+GATHER_RUNS = 100_000
 
 
 def _run_rows(batches, min_words: int, line_words: int):
     """The runs whose fingerprint occurs twice."""
-    one, two = Hasher(0), Hasher(1)
-    names = [x.split()[0] for x in RUNS.split(", ")]
+    hasher = Hasher()
+    held, n_held = [], 0
+
+    def gathered():
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held)], names=["a", "b", "place"])
+
     for batch in batches:
-        hot_lists = batch.column("hot")
+        hot_lists, ranks = batch.column("hot"), batch.column("rank").to_pylist()
         for i, text in enumerate(one_by_one(batch.column("text").cast(pa.binary()))):
-            words = text.split()
-            hashes = one.words(words)
-            lines = one.runs(hashes, line_words)
+            numbers = hasher.numbers(text.split())
+            if len(numbers) >= 1 << WORD_BITS:
+                raise ValueError(f"a text of {len(numbers)} words")
+            hashes = hasher.words(numbers)
+            lines = hasher.runs(hashes, line_words)
             hot = hot_lists[i].values.to_numpy().view(np.uint64)
             chosen = lines[fingerprints(lines, min_words - line_words + 1)]
             at = np.flatnonzero(np.isin(chosen, hot))
-            a = one.runs(hashes, min_words)[at].view(np.int64)
-            b = two.runs(two.words(words), min_words)[at].view(np.int64)
-            # a row of this batch for each run: bounded by the words of one text
-            doc, key = (pa.repeat(batch.column(c)[i], len(at)) for c in ("doc_id", "rkey"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(b), doc, key, pa.array(at.astype(np.int32))], names=names)
-    del one, two
+            held.append((hasher.runs(hashes, min_words)[at].view(np.int64),
+                         hasher.runs(hasher.words(numbers, 1), min_words, 1)[at].view(np.int64),
+                         (ranks[i] << WORD_BITS) + at))
+            n_held += len(at)
+            if n_held >= GATHER_RUNS:
+                yield gathered()
+                held, n_held = [], 0
+    if held:
+        yield gathered()
+    del hasher
     give_back()
 
 
@@ -193,16 +223,24 @@ def repeated_runs(df: DataFrame, min_words: int = MIN_WORDS, line_words: int = L
     twice = staged(places.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select("fp"), "twice")
     hot = staged(join_by_size(places, twice, "fp").groupBy("doc_id", "rkey").agg(
         F.collect_set("fp").alias("hot")), "hot")
+    # documents by rank: a place is one number, in the order of the documents
+    hot = running_sums(hot, [F.col("doc_id").isNull(), F.col("doc_id"), F.col("rkey")],
+                       {"rank": F.lit(1).cast("long")})
+    # only texts with a repeated fingerprint move
     same = [F.col("r.doc_id").eqNullSafe(F.col("h.doc_id")), F.col("r.rkey") == F.col("h.rkey")]
-    side = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS // 10 else hot  # rows of some hundred bytes
-    near = rows.alias("r").join(side.alias("h"), same).select("r.doc_id", "r.rkey", "r.text", "h.hot")
+    texts = rows.alias("r")
+    if hot.count() <= BROADCAST_ROWS:
+        texts = texts.join(F.broadcast(hot.select("doc_id", "rkey").alias("h")), same, "left_semi").alias("r")
+    near = texts.join(hot.hint("merge").alias("h"), same).select("r.text", "h.rank", "h.hot")
     runs = staged(near.mapInArrow(lambda b: _run_rows(b, min_words, line_words), RUNS), "runs")
-    spot = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rkey", "at")
-    tops = staged(runs.groupBy("a", "b").agg(F.min(spot).alias("top"), F.count("*").alias("n"))
+    tops = staged(runs.groupBy("a", "b").agg(F.min("place").alias("top"), F.count("*").alias("n"))
                   .where("n > 1").select("a", "b", "top"), "tops")
-    own = F.col("doc_id").eqNullSafe(F.col("top.doc_id")) & (F.col("rkey") == F.col("top.rkey"))
-    later = runs.join(tops, ["a", "b"]).where(~own | (F.col("at") >= F.col("top.at") + min_words))
-    cut = later.groupBy("doc_id", "rkey").agg(F.collect_set("at").alias("runs"))
+    rank = F.shiftright("place", WORD_BITS)
+    later = runs.join(tops, ["a", "b"]).where((rank != F.shiftright("top", WORD_BITS)) | (
+        F.col("place") >= F.col("top") + min_words))
+    word = F.col("place").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int")
+    cut = later.groupBy(rank.alias("rank")).agg(F.collect_set(word).alias("runs")).join(
+        hot.select("rank", "doc_id", "rkey"), "rank").drop("rank")
     return staged(cut.withColumn("n_words", F.lit(None).cast("int")).unionByName(
         whole.withColumn("runs", F.lit(None).cast("array<int>"))), "later")
 
