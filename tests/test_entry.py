@@ -11,7 +11,8 @@ def test_oracle_keys_subset():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     own = {k for k in q if k != "pipeline" and not k.startswith("op")}
-    assert own == own & set(s)  # every query of the catalogue has its SQL
+    # every query of the catalogue has its SQL, or a small form that has
+    assert all(k in s or f"{k}_48" in s for k in own)
 
 
 def test_cheap_queries_run_small(spark):
