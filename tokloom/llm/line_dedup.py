@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokloom.llm.common import (BROADCAST_ROWS, KNOWN_WORDS, documents, give_back, join_by_size, one_by_one,
+from tokloom.llm.common import (BROADCAST_ROWS, documents, give_back, join_by_size, one_by_one,
                                 row_key, staged)
 from tokloom.operators.ordered import running_sums
 
@@ -56,6 +56,7 @@ LINE_WORDS = 25
 _BASES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
 #: A word with the white space after it.
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -64,41 +65,37 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class _Words(dict):
-    """Numbers of the words met; their two hashes stand in lists."""
-
-    def __init__(self):
-        import xxhash
-        super().__init__()
-        self.digest, self.hashes = xxhash.xxh3_64_intdigest, ([], [])
-
-    def __missing__(self, word):
-        for seed, hashes in enumerate(self.hashes):
-            hashes.append(self.digest(word, seed))
-        self[word] = at = len(self)
-        return at
+#: White space, and a number for every byte in either hash.
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_BYTES = tuple(_mix(np.arange(1, 257, dtype=np.uint64) * b) for b in _BASES)
+#: Bytes of a text that are hashed at a time (up to the next white space).
+SLICE_BYTES = 1 << 20
 
 
 class Hasher:
-    """Hashes of words, and of runs of so many words, by two multipliers."""
+    """Hashes of words, and of runs of so many words, by two multipliers:
+    differences of running sums, so no word is looked at by itself."""
 
     def __init__(self):
-        self.known, self.tables = _Words(), [np.zeros(0, np.uint64)] * 2
         self.back = [np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES]
         self.powers = {}
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """Numbers of the words, good until the next call."""
-        if len(self.known) > 2 * KNOWN_WORDS:
-            self.known, self.tables = _Words(), [np.zeros(0, np.uint64)] * 2
-        return np.array(list(map(self.known.__getitem__, words)), dtype=np.int64)
-
-    def words(self, numbers: np.ndarray, which: int = 0) -> np.ndarray:
-        have = len(self.tables[which])
-        if have < len(self.known):
-            new = np.array(self.known.hashes[which][have:], dtype=np.uint64)
-            self.tables[which] = np.concatenate([self.tables[which], new])
-        return self.tables[which][numbers]
+    def words(self, text: bytes, which: int = 0) -> np.ndarray:
+        """Hashes of the words of a text."""
+        out, low = [], 0
+        while low < len(text):
+            cut = _BLANK.search(text, low + SLICE_BYTES)
+            high = cut.start() if cut else len(text)
+            out.append(self._slice(np.frombuffer(text, np.uint8, high - low, low), which))
+            low = high
+        return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+
+    def _slice(self, raw: np.ndarray, which: int) -> np.ndarray:
+        edge = np.diff(np.concatenate([[0], (~_SPACE[raw]).astype(np.int8), [0]]).astype(np.int8))
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(_BYTES[which][raw] * self._power(_BASES[which], len(raw)), dtype=np.uint64, out=sums[1:])
+        return _mix((sums[end] - sums[start]) * self._power(self.back[which], len(raw))[start])
 
     def _power(self, base: np.uint64, n: int) -> np.ndarray:
         """The first n powers of a multiplier, mod 2^64."""
@@ -119,11 +116,22 @@ class Hasher:
 
 
 def fingerprints(lines: np.ndarray, width: int) -> np.ndarray:
-    """For each run of ``width`` lines, the place of its smallest hash."""
-    if len(lines) < width:
-        return np.zeros(0, dtype=np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(lines, width)
-    return view.argmin(axis=1) + np.arange(len(view))
+    """For each run of ``width`` lines its smallest hash, whose six low bits
+    tell the place (lines of one run differ in them)."""
+    if len(lines) < width or width > 64:
+        if width > 64:
+            raise ValueError("more than 64 lines in a run")
+        return np.zeros(0, dtype=np.uint64)
+    least = (lines & ~_PLACE) | (np.arange(len(lines), dtype=np.uint64) & _PLACE)
+    have = 1
+    while have < width:  # minima of 2, 4, 8, ... lines
+        step = min(have, width - have)
+        least = np.minimum(least[:-step], least[step:])
+        have += step
+    return least
+
+
+_PLACE = np.uint64(63)
 
 
 LINES = "doc_id long, rkey long, tkey binary, n_words int, places array<long>"
@@ -137,14 +145,15 @@ def _line_rows(batches, min_words: int, line_words: int):
     for batch in batches:
         kept, digests, counts, places = [], [], [], []
         for i, text in enumerate(one_by_one(batch.column("text").cast(pa.binary()))):
-            words = text.split()
+            words = hasher.words(text)
             if len(words) < min_words:
                 continue
-            lines = hasher.runs(hasher.words(hasher.numbers(words)), line_words)
+            least = fingerprints(hasher.runs(words, line_words), min_words - line_words + 1)
+            chosen = least[np.append(True, least[1:] != least[:-1])] & ~_PLACE  # one for each place
             kept.append(i)
             digests.append(xxhash.xxh3_128_digest(text))
             counts.append(len(words))
-            places.append(lines[np.unique(fingerprints(lines, min_words - line_words + 1))].view(np.int64))
+            places.append(chosen.view(np.int64))
         at = pa.array(kept, pa.int64())
         ends = np.append(0, np.cumsum([len(p) for p in places])).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
@@ -175,16 +184,14 @@ def _run_rows(batches, min_words: int, line_words: int):
     for batch in batches:
         hot_lists, ranks = batch.column("hot"), batch.column("rank").to_pylist()
         for i, text in enumerate(one_by_one(batch.column("text").cast(pa.binary()))):
-            numbers = hasher.numbers(text.split())
-            if len(numbers) >= 1 << WORD_BITS:
-                raise ValueError(f"a text of {len(numbers)} words")
-            hashes = hasher.words(numbers)
-            lines = hasher.runs(hashes, line_words)
+            words = hasher.words(text)
+            if len(words) >= 1 << WORD_BITS:
+                raise ValueError(f"a text of {len(words)} words")
             hot = hot_lists[i].values.to_numpy().view(np.uint64)
-            chosen = lines[fingerprints(lines, min_words - line_words + 1)]
+            chosen = fingerprints(hasher.runs(words, line_words), min_words - line_words + 1) & ~_PLACE
             at = np.flatnonzero(np.isin(chosen, hot))
-            held.append((hasher.runs(hashes, min_words)[at].view(np.int64),
-                         hasher.runs(hasher.words(numbers, 1), min_words, 1)[at].view(np.int64),
+            held.append((hasher.runs(words, min_words)[at].view(np.int64),
+                         hasher.runs(hasher.words(text, 1), min_words, 1)[at].view(np.int64),
                          (ranks[i] << WORD_BITS) + at))
             n_held += len(at)
             if n_held >= GATHER_RUNS:
