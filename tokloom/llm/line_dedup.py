@@ -54,8 +54,6 @@ MIN_WORDS = 50
 LINE_WORDS = 25
 #: Odd multipliers of the two hashes of a run.
 _BASES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93))
-#: A word with the white space after it.
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -255,17 +253,25 @@ def repeated_runs(df: DataFrame, min_words: int = MIN_WORDS, line_words: int = L
 def cut_words(text: bytes, runs: list[int] | None, min_words: int) -> tuple[bytes, int]:
     """The text without the words of the runs, and their number; None: without
     all of its words."""
-    words = [m.span() for m in _WORD.finditer(text)]
-    if not words:
+    word = ~_SPACE[np.frombuffer(text, np.uint8)]
+    starts = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+    if len(word) and word[0]:
+        starts = np.append(0, starts)
+    n = len(starts)
+    if not n:
         return text, 0
-    gone = np.ones(len(words), dtype=bool)
-    if runs is not None:
-        edge = np.zeros(len(words) + 1, dtype=np.int64)
+    edge = np.zeros(n + 1, dtype=np.int64)
+    if runs is None:
+        edge[0] = 1
+    else:
         np.add.at(edge, runs, 1)
         np.add.at(edge, np.asarray(runs) + min_words, -1)
-        gone = np.cumsum(edge)[:-1] > 0
-    kept = [text[:words[0][0]], *(text[a:b] for (a, b), x in zip(words, gone) if not x)]
-    return b"".join(kept), int(gone.sum())
+    kept = np.cumsum(edge)[:-1] <= 0
+    # a word reaches to the next one's start; kept stretches are taken whole
+    ends = np.append(starts, len(text))
+    turn = np.diff(np.concatenate([[0], kept.astype(np.int8), [0]]))
+    parts = [text[ends[a]:ends[b]] for a, b in zip(np.flatnonzero(turn == 1), np.flatnonzero(turn == -1))]
+    return b"".join([text[:starts[0]], *parts]), int(n - kept.sum())
 
 
 def delete_runs(df: DataFrame, min_words: int = MIN_WORDS, line_words: int = LINE_WORDS) -> DataFrame:
