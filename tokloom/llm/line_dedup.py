@@ -32,7 +32,8 @@ Defined cases: a null text stays null, an empty one stays empty; documents
 without ids come last, in order of their content; repeated rows (same id and
 text) count as one place and are edited alike; a text all of whose words go
 keeps only the white space before the first, its row stays; a run that
-overlaps its own first place stays; an empty table gives no rows;
+overlaps its own first place stays; a text of 2^29 words or more is an error
+(its string is beyond 1 GB); an empty table gives no rows;
 ``delete_runs`` carries other columns along whatever their names.
 """
 
