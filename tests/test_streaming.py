@@ -5,7 +5,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from tokloom.operators.corpus import take_until
-from tokloom.plans.stream_ingest_queries import _stripped
+from tokloom.plans.stream_ingest_queries import QUERIES, _stripped
 from tokloom.streaming import ingest_available_now, streaming_counts
 
 
@@ -63,3 +63,17 @@ def test_state_of_many_epochs_is_one_snapshot(spark):
     assert sorted(os.listdir(state)) == ["epoch=7", "epoch=8"]
     sums = spark.read.parquet(f"{state}/epoch=8").agg(F.sum("n_rows").alias("n")).first().n
     assert sums == got.count()
+
+
+def test_ingest_queries_read_a_folder_of_files(spark):
+    """The documents table as a folder of several files, ids dealt over them."""
+    sf = tempfile.mkdtemp(prefix="tokloom-sf-")
+    rows = [(i, "ab" * (i % 5), "en" if i % 3 else None, f"s{i % 2}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    docs.repartition(5, "doc_id").write.parquet(f"{sf}/documents.parquet")
+    kept = _stripped(docs)
+    batch = take_until(kept, ["doc_id"], "n_bytes", 30, None, group=["source"])
+    got = QUERIES["ingest_available_now"](spark, sf)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in batch.collect())
+    counts = {r.lang: r.n_rows for r in QUERIES["ingest_counts"](spark, sf).collect()}
+    assert counts == {r.lang: r["count"] for r in kept.groupBy("lang").count().collect()}

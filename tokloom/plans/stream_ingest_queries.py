@@ -19,18 +19,25 @@ def _stripped(df):
                     F.octet_length("_t").cast("long").alias("n_bytes")))
 
 
+def _docs_path(sf):
+    """The documents table as a pattern, which a stream takes for a file as well
+    as for a folder of files (a plain path has to be a folder)."""
+    return f"{sf}/documents.parque[t]"
+
+
 def q_ingest_available_now(spark, sf):
-    """R1 over the documents file: stripped, non-blank rows, 30 files per
-    source dataset; equals the batch quota query."""
+    """R1 over the documents table: stripped, non-blank rows, 30 files per
+    source dataset; all its files arrive at once, so it equals the batch quota
+    query however many there are."""
     path = ingest_available_now(
-        spark, sf, _docs_schema(spark, sf), _stripped, order=["doc_id"],
-        size_col="n_bytes", group=["source"], max_files=30, glob="documents.parquet")
+        spark, _docs_path(sf), _docs_schema(spark, sf), _stripped, order=["doc_id"],
+        size_col="n_bytes", group=["source"], max_files=30, files_per_trigger=None)
     return spark.read.parquet(path).select("doc_id", "source", "n_bytes")
 
 
 def q_ingest_counts(spark, sf):
-    path = streaming_counts(spark, sf, _docs_schema(spark, sf), _stripped,
-                            group=["lang"], size_col="n_bytes", glob="documents.parquet")
+    path = streaming_counts(spark, _docs_path(sf), _docs_schema(spark, sf), _stripped,
+                            group=["lang"], size_col="n_bytes")
     return spark.read.parquet(path).select("lang", "n_rows", "n_bytes")
 
 

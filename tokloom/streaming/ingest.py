@@ -42,11 +42,12 @@ def _snapshot(spark, state, epoch, wrote, prior, group):
 def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
                          order: list[str], size_col: str, group: list[str],
                          max_files: int | None = None, max_bytes: int | None = None,
-                         glob: str = "*.parquet", files_per_trigger: int = 1,
+                         glob: str = "*.parquet", files_per_trigger: int | None = 1,
                          dst: str | None = None) -> str:
     """Run the ingest to completion (availableNow) and return the
     sink path.  ``transform`` maps a raw micro-batch to the rows to keep
-    (P1-P9); the quota (W2) then applies per ``group``."""
+    (P1-P9); the quota (W2) then applies per ``group``.  Without
+    ``files_per_trigger`` all files that are there are one epoch."""
     dst = dst or scratch(spark, "ingest")
     ckpt = dst + "/_checkpoint"
     data, manifest, state = dst + "/data", dst + "/manifest", dst + "/state"
@@ -83,10 +84,10 @@ def ingest_available_now(spark: SparkSession, src_dir: str, schema, transform,
         _snapshot(spark, state, epoch, spark.read.schema(wrote.schema).parquet(f"{manifest}/epoch={epoch}"),
                   before, group)
 
-    q = (spark.readStream.schema(schema)
-         .option("maxFilesPerTrigger", files_per_trigger)
-         .option("pathGlobFilter", glob)
-         .parquet(src_dir)
+    source = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    if files_per_trigger:
+        source = source.option("maxFilesPerTrigger", files_per_trigger)
+    q = (source.parquet(src_dir)
          .writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", ckpt)
          .trigger(availableNow=True)
