@@ -146,6 +146,15 @@ def test_ways_to_decide_merges_agree(spark, candidates, ahead):
     assert ours(model) == lib
 
 
+def test_few_rounds_when_the_words_are_too_many_for_the_driver(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    model = learn_vocab(docs, 15 + 256 + 1500, ahead_symbols=20_000)
+    texts = [r.text.strip() for r in docs.collect() if r.text and r.text.strip()]
+    _, lib, _ = library_bpe(texts, 15 + 256 + 1500)
+    assert ours(model) == lib
+    assert model.rounds <= 40
+
+
 def test_full_vocabulary_matches_the_library(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
     texts = [r.text.strip() for r in docs.collect() if r.text and r.text.strip()]

@@ -4,8 +4,9 @@ The corpus is reduced once to its word histogram (A4, a partial/final
 aggregate, so hot words are pre-aggregated map-side).  Merge rounds then
 touch only the distinct-word table and the table of its weighted adjacent
 pairs (A5), which is kept by differences: a round decides a batch of merges
-that provably equals one-at-a-time greedy selection and rewrites the words
-that hold one of them.  Words reduced to one symbol leave the table.  Each
+that provably equals one-at-a-time greedy selection, from the distinct pieces
+of words that its pairs make up, and rewrites the words that hold one of them.
+Words reduced to one symbol leave the table.  Each
 round's tables are written to the shared folder; older ones are removed.
 """
 
@@ -17,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,9 +110,9 @@ def base_model(specials=SPECIALS) -> BpeModel:
     return BpeModel(tokens=list(specials) + list(ALPHABET), n_special=len(specials))
 
 
-#: Pairs a round looks at, and symbols of the words (whole ones) that the
-#: driver may hold while it plays ahead.
-CANDIDATES, AHEAD_SYMBOLS = 4000, 1_000_000
+#: Pairs a round looks at, pairs the first round asks for, and symbols of the
+#: pieces that the driver may hold while it plays ahead.
+CANDIDATES, FIRST_PAIRS, AHEAD_SYMBOLS = 20_000, 64, 500_000
 
 
 def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ, specials=SPECIALS,
@@ -127,17 +129,18 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ, speci
     of, rewrites the words that hold one of them in one pass, and adds the
     difference of their pairs to the table.  There are two ways to be sure:
 
-    * Playing ahead.  Of the best pairs, as many are taken as have all their
-      words in ``ahead_symbols`` symbols.  With these words at hand (and an
-      index from pair to words) their counts stay exact from merge to merge,
-      and so do those of every pair that a merge creates, since it occurs in
-      words of the merged pair only.  Counts of all other pairs can only
-      fall, so merges are right as long as they come before the first pair
-      that was not taken.  A merge that reuses an id ends the round: counts
-      of its pairs can rise elsewhere.
-    * A prefix of the sorted pairs (while their words are too many): a pair
-      joins when its occurrences cannot overlap an accepted pair's and its
-      count is above every count a new pair can reach.
+    * Playing ahead.  Some of the best pairs are taken, and every word is cut
+      where two neighbours are none of them.  An occurrence of a pair that a
+      merge creates goes back to two such neighbours, so across a cut no pair
+      ever counts more than the first pair that was not taken, nor comes
+      before it.  Merges before that pair are therefore decided by the pieces
+      alone, and equal pieces of all words are one row: as many pairs are
+      taken as keep the distinct pieces within ``ahead_symbols`` symbols.  A
+      merge that reuses an id ends the round: its symbol has neighbours
+      elsewhere.
+    * A prefix of the sorted pairs (if the pieces of a single pair are too
+      many): a pair joins when its occurrences cannot overlap an accepted
+      pair's and its count is above every count a new pair can reach.
     """
     # Rounds are small jobs: adaptive re-planning only adds fixed latency to
     # each.  The loop runs in a session of its own, so the caller's settings
@@ -150,14 +153,14 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ, speci
     # round shuffles are sized like the word table: pair tables are a small multiple of it
     spark.conf.set("spark.sql.shuffle.partitions", str(max(1, cur.rdd.getNumPartitions())))
     pairs = _written(_counted(_pair_rows(cur)), "pairs")
+    asked = FIRST_PAIRS
     while len(model.tokens) < vocab_size:
         model.rounds += 1
         t0 = time.time()
-        best = pairs.orderBy(F.desc("c"), "l", "r").limit(candidates + 1).collect()
-        best = [(-r["c"], r["l"], r["r"]) for r in best]
-        if not best or -best[0][0] < min_freq:
+        best = _best(pairs, candidates + 1, min_freq)
+        if not best:
             break
-        taken, rows = _neighbourhood(cur, best[:candidates], ahead_symbols)
+        taken, held, rows = _neighbourhood(cur, best[:min(candidates, asked)], ahead_symbols)
         done = len(model.merges)
         if taken:
             limit = best[taken] if taken < len(best) else (0, 0, 0)
@@ -165,18 +168,28 @@ def train_bpe(words: DataFrame, vocab_size: int, min_freq: int = MIN_FREQ, speci
         if len(model.merges) == done:
             after_r, before_l = _symbol_maxima(pairs)
             _select_batch(model, token_id, best, after_r, before_l, vocab_size, min_freq)
-        rewritten = _written(_rewrite(cur, model.merges[done:]), "words")
-        pairs_next = _written(_counted(pairs.union(
-            rewritten.where("syms is null").select("l", "r", "c"))), "pairs")
-        _drop(pairs)
-        _drop(cur)
-        cur, pairs = rewritten.where("syms is not null").select("syms", "freq"), pairs_next
+        # pieces grow faster than the pairs they hold
+        asked = max(1, int(max(taken, 1) * min(4.0, (ahead_symbols / max(held, 1)) ** 0.5)))
+        if len(model.tokens) < vocab_size:
+            rewritten = _written(_rewrite(cur, model.merges[done:]), "words")
+            pairs_next = _written(_counted(pairs.union(
+                rewritten.where("syms is null").select("l", "r", "c"))), "pairs")
+            _drop(pairs)
+            _drop(cur)
+            cur, pairs = rewritten.where("syms is not null").select("syms", "freq"), pairs_next
         model.timings.append(time.time() - t0)
     _drop(pairs)
     _drop(cur)
     return model
 
 
+def _best(pairs: DataFrame, n: int, min_freq: int) -> list[tuple]:
+    """The first ``n`` pairs as (-count, left, right), none below ``min_freq``."""
+    top = pairs.where(F.col("c") >= min_freq).orderBy(F.desc("c"), "l", "r").limit(n).toArrow()
+    c, left, right = (top.column(k).to_pylist() for k in ("c", "l", "r"))
+    return [(-n, a, b) for n, a, b in zip(c, left, right)]
+
+
 def _written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: lost executors read it again."""
     path = scratch(df.sparkSession, f"bpe-{name}")
@@ -215,66 +228,99 @@ def _symbol_maxima(pairs: DataFrame) -> tuple[dict, dict]:
         F.max("c").alias("c")).collect()} for side in ("l", "r"))
 
 
+def _codes(syms: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Code of the pair from each symbol on, -1 at a word's last."""
+    code = np.full(len(syms), -1)
+    code[:-1] = syms[:-1] << 32 | syms[1:]
+    code[ends[1:] - 1] = -1
+    return code
+
+
 def _flat(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, ends of the words, code of the pair from each symbol on, -1 at
-    a word's last)."""
+    """(symbols, ends of the words, codes of the pairs)."""
     lists = batch.column("syms")
     ends = lists.offsets.to_numpy().astype(np.int64)
     syms = lists.flatten().to_numpy().astype(np.int64)
     ends = ends - ends[0]
-    code = np.full(len(syms), -1)
-    code[:-1] = syms[:-1] << 32 | syms[1:]
-    code[ends[1:] - 1] = -1
-    return syms, ends, code
+    return syms, ends, _codes(syms, ends)
 
 
-def _ranked(pairs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted codes of pairs, and the place of each in the list."""
-    code = np.array([a << 32 | b for a, b in pairs], dtype=np.int64)
-    order = np.argsort(code)
-    return code[order], order
+def _sorted_codes(pairs) -> np.ndarray:
+    return np.sort(np.array([a << 32 | b for a, b in pairs], dtype=np.int64))
 
 
-def _neighbourhood(words: DataFrame, best: list[tuple], most: int):
-    """(how many of the best pairs have all their words among ``most`` symbols,
-    those words)."""
-    codes, place = _ranked([p[1:] for p in best])
+def _cut(syms: np.ndarray, code: np.ndarray, joined: np.ndarray):
+    """(start, end, binary array) of the pieces of two symbols or more that stay
+    when words are cut between neighbours that are none of ``joined``."""
+    hit = joined[np.minimum(np.searchsorted(joined, code), len(joined) - 1)] == code
+    end = np.flatnonzero(~hit) + 1
+    start = np.concatenate([[0], end[:-1]])
+    most = np.flatnonzero(end - start > 1)
+    edges = pa.py_buffer(np.concatenate([[0], end * 4]).astype(np.int32))
+    pieces = pa.Array.from_buffers(pa.binary(), len(end), [None, edges, pa.py_buffer(syms.astype(np.int32))])
+    return start[most], end[most], pieces.take(pa.array(most))
+
+
+def _lists(pieces: pa.Array) -> pa.ListArray:
+    """Binary pieces as lists of symbols."""
+    flat = np.frombuffer(b"".join(pieces.to_pylist()), dtype=np.int32)
+    edges = np.concatenate([[0], np.cumsum(pc.binary_length(pieces).to_numpy() // 4)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))
 
-    def first_pair(batches):
+
+def _pieces(words: DataFrame, pairs: list[tuple]) -> DataFrame:
+    """(syms, freq): the distinct pieces of the words, cut between neighbours
+    that are none of ``pairs``, and how often they occur."""
+    joined = _sorted_codes(pairs)
+
+    def cut(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             syms, ends, code = _flat(batch)
-            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            rank = np.where(codes[at] == code, place[at], len(place))
-            first = np.minimum.reduceat(rank, ends[:-1])
-            keep = np.flatnonzero(first < len(place))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(first[keep].astype(np.int32)), *(batch.column(c).take(pa.array(keep))
-                                                           for c in ("syms", "freq"))], names=["first", "syms", "freq"])
-
-    near = _written(words.mapInArrow(first_pair, "first int, syms array<int>, freq long"), "near")
-    sizes = {r["first"]: r["n"] for r in near.groupBy("first").agg(F.sum(F.size("syms")).alias("n")).collect()}
-    taken = held = 0
-    while taken < len(best) and held + sizes.get(taken, 0) <= most:
-        held += sizes.get(taken, 0)
-        taken += 1
-    rows = near.where(F.col("first") < taken).select("syms", "freq").toArrow() if taken else None
-    _drop(near)
-    return taken, rows
+            start, _, pieces = _cut(syms, code, joined)
+            of = np.searchsorted(ends, start, side="right") - 1
+            t = pa.table({"p": pieces, "n": batch.column("freq").take(pa.array(of))}).group_by("p").aggregate(
+                [("n", "sum")]).combine_chunks()
+            if t.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [_lists(t.column("p").chunk(0)), t.column("n_sum").chunk(0)], names=["syms", "freq"])
+
+    return words.mapInArrow(cut, "syms array<int>, freq long").groupBy("syms").agg(F.sum("freq").alias("freq"))
+
+
+def _neighbourhood(words: DataFrame, best: list[tuple], most: int):
+    """(how many of the best pairs have all their pieces among ``most`` symbols,
+    how many symbols those are, the pieces).  Pieces of fewer pairs are cut from
+    those of more."""
+    near, taken = words, len(best)
+    while taken and most:
+        nearer = _written(_pieces(near, [p[1:] for p in best[:taken]]), "near")
+        if near is not words:
+            _drop(near)
+        near = nearer
+        held = near.agg(F.coalesce(F.sum(F.size("syms")), F.lit(0))).first()[0]
+        if held <= most:
+            rows = near.toArrow()
+            _drop(near)
+            return taken, held, rows
+        taken = int(taken * max(0.1, min(0.8, most / held)))
+    if near is not words:
+        _drop(near)
+    return 0, most, None
 
 
 def _play_ahead(model, token_id, exact, rows, limit, vocab_size, min_freq) -> None:
-    """Greedy merges on the words at hand, as long as the next one comes before
-    ``limit`` (count descending, ids ascending)."""
+    """Greedy merges on the pieces at hand, as long as the next one comes before
+    ``limit`` (count descending, ids ascending).  All pairs inside a piece are
+    ``exact`` ones."""
     words = rows.column("syms").to_pylist()
     freqs = rows.column("freq").to_pylist()
     counts = {(a, b): -c for c, a, b in exact}
     where: dict = {p: set() for p in counts}
     for i, w in enumerate(words):
         for p in zip(w, w[1:]):
-            if p in where:
-                where[p].add(i)
+            where[p].add(i)
     heap = [(-c, *p) for p, c in counts.items()]
     heapq.heapify(heap)
     while heap and len(model.tokens) < vocab_size:
@@ -346,42 +392,69 @@ def _select_batch(model, token_id, best, after_r, before_l, vocab_size, min_freq
         bound = max(bound, min(-c, max(after_r.get(b, 0), before_l.get(a, 0))))
 
 
+def _joined_by(merges: list[tuple]) -> list[tuple]:
+    """Pairs of neighbouring symbols, as they are before the merges, that one of
+    the merges brings together."""
+    first, last, found = {}, {}, set()
+    for a, b, m in merges:
+        found.add((last.get(a, a), first.get(b, b)))
+        first[m], last[m] = first.get(a, a), last.get(b, b)
+    return sorted(found)
+
+
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of pairs and the sums of their numbers, zeros left out."""
+    order = np.argsort(code, kind="stable")
+    code, n = code[order], n[order]
+    at = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+    total = np.add.reduceat(n, at) if len(at) else n
+    some = total != 0
+    return code[at][some], total[some]
+
+
+#: Pairs whose differences a task gathers before it hands them on.
+DELTA_PAIRS = 500_000
+
+
 def _rewrite(words: DataFrame, merges: list[tuple]) -> DataFrame:
     """(syms, freq) with the merges applied, words of one symbol left out, and
-    rows (l, r, c) of what that changes in the pair counts.  Words without an
-    accepted pair pass as they are."""
-    codes, _ = _ranked([m[:2] for m in merges])
+    rows (l, r, c) of what that changes in the pair counts.  Pieces that the
+    merges can join are merged once a batch and put back in place."""
+    joined = _sorted_codes(_joined_by(merges))
     ranks = {(a, b): (i, m) for i, (a, b, m) in enumerate(merges)}
 
     def apply(batches):
         from tokloom.operators.encode import merge_word
-        delta: dict = {}
+        delta: list = []
         for batch in batches:
             if not batch.num_rows:
                 continue
             syms, ends, code = _flat(batch)
-            hit = codes[np.minimum(np.searchsorted(codes, code), len(codes) - 1)] == code
-            touched = np.maximum.reduceat(hit, ends[:-1])
-            same = batch.filter(pa.array(~touched))
-            m = same.num_rows
-            yield pa.RecordBatch.from_arrays([same.column("syms"), same.column("freq"), *_nulls(m)], names=_ROUND)
-            out, freqs = [], []
             freq = batch.column("freq").to_numpy()
-            for i in np.flatnonzero(touched):
-                old, f = syms[ends[i]:ends[i + 1]].tolist(), int(freq[i])
-                new = merge_word(old, ranks)
-                for p in zip(old, old[1:]):
-                    delta[p] = delta.get(p, 0) - f
-                for p in zip(new, new[1:]):
-                    delta[p] = delta.get(p, 0) + f
-                if len(new) > 1:
-                    out.append(new)
-                    freqs.append(f)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.list_(pa.int32())), pa.array(freqs, pa.int64()), *_nulls(len(out))], names=_ROUND)
-            if len(delta) > 200_000:
+            start, end, pieces = _cut(syms, code, joined)
+            coded = pieces.dictionary_encode()
+            merged = pa.array([merge_word(np.frombuffer(p, dtype=np.int32).tolist(), ranks)
+                               for p in coded.dictionary.to_pylist()], pa.list_(pa.int32())).take(coded.indices)
+            size = pc.list_value_length(merged).to_numpy(zero_copy_only=False).astype(np.int64)
+            begin = np.cumsum(size) - size
+            new, keep = syms.copy(), np.ones(len(syms) + 1, dtype=np.int64)
+            new[np.repeat(start - begin, size) + np.arange(size.sum())] = merged.flatten().to_numpy()
+            gone = end - start - size
+            keep[np.repeat(start + size - (np.cumsum(gone) - gone), gone) + np.arange(gone.sum())] = 0
+            kept = np.concatenate([[0], np.cumsum(keep[:-1])])
+            new, edges = new[keep[:-1] == 1], kept[ends]
+            after = _codes(new, edges)
+            touched = np.diff(edges) != np.diff(ends)
+            old_at, new_at = np.repeat(touched, np.diff(ends)) & (code >= 0), np.repeat(touched, np.diff(edges)) & (after >= 0)
+            delta.append(_summed(np.concatenate([code[old_at], after[new_at]]), np.concatenate(
+                [-np.repeat(freq, np.diff(ends))[old_at], np.repeat(freq, np.diff(edges))[new_at]])))
+            lists = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(new.astype(np.int32)))
+            long = pa.array(np.diff(edges) > 1)
+            out = lists.filter(long)
+            yield pa.RecordBatch.from_arrays([out, batch.column("freq").filter(long), *_nulls(len(out))], names=_ROUND)
+            if sum(len(d[0]) for d in delta) > DELTA_PAIRS:
                 yield _delta_rows(delta)
-                delta = {}
+                delta = []
         yield _delta_rows(delta)
 
     return words.mapInArrow(apply, "syms array<int>, freq long, l int, r int, c long")
@@ -394,12 +467,12 @@ def _nulls(n: int) -> list:
     return [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())]
 
 
-def _delta_rows(delta: dict) -> pa.RecordBatch:
-    found = [(a, b, c) for (a, b), c in delta.items() if c]
-    left, right, c = zip(*found) if found else ((), (), ())
+def _delta_rows(delta: list) -> pa.RecordBatch:
+    code, n = _summed(*(np.concatenate([d[k] for d in delta] or [np.zeros(0, np.int64)]) for k in (0, 1)))
     return pa.RecordBatch.from_arrays(
-        [pa.nulls(len(c), pa.list_(pa.int32())), pa.nulls(len(c), pa.int64()),
-         pa.array(left, pa.int32()), pa.array(right, pa.int32()), pa.array(c, pa.int64())], names=_ROUND)
+        [pa.nulls(len(n), pa.list_(pa.int32())), pa.nulls(len(n), pa.int64()),
+         pa.array((code >> 32).astype(np.int32)), pa.array((code & 0xFFFFFFFF).astype(np.int32)),
+         pa.array(n, pa.int64())], names=_ROUND)
 
 
 def learn_vocab(docs: DataFrame, vocab_size: int = VOCAB_SIZE, text_col: str = "text",
