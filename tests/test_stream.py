@@ -166,3 +166,27 @@ def test_collate_mixed_lengths_and_real_pad(spark):
     assert got[1].attention_mask == [1] * 7
     assert got[2].attention_mask == [1] * 7
     assert got[3].attention_mask == [1, 0, 0, 0, 0, 0, 0]
+
+
+def test_blocks_are_cut_where_they_lie(spark):
+    """No shuffle of whole blocks; any order of rows gives the same blocks."""
+    import random
+    rng = random.Random(4)
+    ids = list(range(1000))
+    rows, at = [], 0
+    while at < len(ids):
+        n = rng.choice([0, 1, 2, 5, 40])
+        rows.append((at, ids[at:at + n]))
+        at += n
+    rng2 = random.Random(5)
+    for shuffle in (False, True):
+        if shuffle:
+            rng2.shuffle(rows)
+        st = spark.createDataFrame(rows, "start_off long, ids array<int>").repartition(1) if not shuffle \
+            else spark.createDataFrame(rows, "start_off long, ids array<int>")
+        for b, more in ((1, 1), (7, 0), (7, 1), (7, 7), (64, 3)):
+            got = {r.blk: (r.at, r.ids, r.ahead) for r in S.blocks(st, b, ahead=more).collect()}
+            assert got == {k: (k * b, ids[k * b:(k + 1) * b], ids[(k + 1) * b:(k + 1) * b + more])
+                           for k in range(-(-1000 // b))}, (shuffle, b, more)
+    plan = S.windows_packed(S.blocks(st, 7, ahead=1), 7)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,20 +26,27 @@ def id_bytes(vocab_size: int) -> int:
 
 def pack_ids(ids: Column, width: int) -> Column:
     """An array of ids as little-endian binary of ``width`` bytes each."""
-    def one(x):
-        return F.concat(*[F.lpad(F.hex(F.shiftright(x, 8 * k).bitwiseAND(F.lit(255))), 2, "0")
-                          for k in range(width)])
-    return F.unhex(F.array_join(F.transform(ids, one), ""))
+    @F.arrow_udf("binary")
+    def pack(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten().to_numpy().astype(f"<u{width}")
+        edges = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]) * width
+        out = pa.Array.from_buffers(pa.binary(), len(lists), [
+            None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(flat.tobytes())])
+        return pc.if_else(lists.is_valid(), out, None)
+
+    return pack(ids)
 
 
 def unpack_ids(packed: Column, width: int) -> Column:
     """The ids of packed binary."""
-    def one(i):
-        return F.conv(F.concat(*[F.hex(F.substring(packed, i * width + k + 1, F.lit(1)))
-                                 for k in reversed(range(width))]), 16, 10).cast("int")
-    n = F.floor(F.octet_length(packed) / width).cast("int")
-    return F.when(n == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.sequence(F.lit(0), n - 1), one))
+    @F.arrow_udf("array<int>")
+    def unpack(packs: pa.Array) -> pa.Array:
+        flat = np.frombuffer(b"".join(x or b"" for x in packs.to_pylist()), dtype=f"<u{width}").astype(np.int32)
+        edges = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(packs), 0).to_numpy())]) // width
+        return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(flat),
+                                        mask=None if not packs.null_count else packs.is_null())
+
+    return unpack(packed)
 
 
 def write_packed_shards(split_stream: DataFrame, out: str, vocab_size: int, mode: str = "overwrite") -> None:
@@ -91,16 +99,11 @@ def read_windows(spark: SparkSession, path: str, split: str, starts: DataFrame,
     empty = spark.createDataFrame([], "start long, x array<int>, y array<int>")
     if not wanted:
         return empty, []
-    blk = F.floor(F.col("start") / block_size)
-    asked = starts.select("start", F.explode(F.array(blk, blk + 1)).alias("blk"))
+    asked = starts.select("start", F.floor(F.col("start") / block_size).alias("blk"))
     docs = spark.read.option("basePath", path).parquet(*wanted).select(
         "start_off", unpack_ids(F.col("ids"), id_bytes(vocab_size)).alias("ids"))
-    cut = blocks(docs, block_size, only=asked.select("blk").distinct())
-    two = asked.join(cut, "blk").groupBy("start").agg(
-        F.array_sort(F.collect_list(F.struct("blk", "ids"))).alias("b"))  # two blocks a window
-    both = two.select("start", F.flatten(F.transform("b", lambda z: z["ids"])).alias("ids"),
-                      (F.col("start") % block_size).cast("int").alias("at"), F.col("b")[0]["blk"].alias("low"))
-    out = both.where((F.col("low") == F.floor(F.col("start") / block_size))
-                     & (F.size("ids") > F.col("at") + block_size))
+    cut = blocks(docs, block_size).select("blk", F.concat("ids", "ahead").alias("ids"))
+    out = asked.join(cut, "blk").withColumn("at", (F.col("start") % block_size).cast("int")).where(
+        F.size("ids") > F.col("at") + block_size)
     return out.select("start", F.slice("ids", F.col("at") + 1, F.lit(block_size)).alias("x"),
                       F.slice("ids", F.col("at") + 2, F.lit(block_size)).alias("y")), sorted(wanted)

@@ -134,19 +134,14 @@ def context_key(ids: list[Column], vocab_size: int) -> Column:
 
 
 def next_ngrams(blk: DataFrame, n: int, vocab_size: int) -> DataFrame:
-    """W4 for order ``n`` over stream blocks (blk, ids) of at least n - 1 ids:
-    (pos, ctx, nxt) for every position p >= n - 1, ctx the n - 1 ids before
-    it as a ``context_key``.  A block meets the end of the one before by an
-    equi-join on the block number."""
-    size = F.max(F.size("ids"))  # all blocks but the last are full
-    full = blk.agg(size).first()[0] or 0
-    tail = blk.select((F.col("blk") + 1).alias("blk"), F.slice("ids", F.greatest(
-        F.size("ids") - (n - 2), F.lit(1)), F.lit(n - 1)).alias("_t"))
-    j = blk.join(tail, "blk", "left").withColumn("_t", F.coalesce("_t", F.array().cast("array<int>")))
-    j = j.select((F.col("blk") * full - F.size("_t")).alias("_p"), F.concat("_t", "ids").alias("_s"))
+    """W4 for order ``n`` over stream blocks (blk, at, ids, ahead), n - 1 ids
+    ahead at least: (pos, ctx, nxt) for every position p >= n - 1, ctx the
+    n - 1 ids before it as a ``context_key``.  A context belongs to the block
+    that its first id lies in."""
+    j = blk.select("at", F.concat("ids", F.slice("ahead", 1, n - 1)).alias("_s"))
     at = F.sequence(F.lit(n - 1), F.size("_s") - 1)
-    ex = j.where(F.size("_s") >= n).select("_p", "_s", F.explode(at).alias("_i"))
-    return ex.select((F.col("_p") + F.col("_i")).alias("pos"),
+    ex = j.where(F.size("_s") >= n).select("at", "_s", F.explode(at).alias("_i"))
+    return ex.select((F.col("at") + F.col("_i")).alias("pos"),
                      context_key([F.get("_s", F.col("_i") - (n - 1 - k)) for k in range(n - 1)], vocab_size)
                      .alias("ctx"),
                      F.get("_s", F.col("_i")).alias("nxt"))
@@ -158,12 +153,31 @@ def ngram_candidates(counts: DataFrame) -> DataFrame:
     return counts.select("ctx", F.col("nxt").alias("token"), F.ln("n").alias("logit"))
 
 
-def ngram_counts(pairs: DataFrame) -> DataFrame:
+#: Rows a task adds up.
+ROWS_A_TASK = 1_000_000
+
+
+def count_parts(spark, rows: int) -> int:
+    """Tasks for the sums of so many rows; a task's share does not grow."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_TASK))
+
+
+def _summed(rows: DataFrame, parts: int | None) -> DataFrame:
+    """(ctx, nxt, n) with the numbers of equal (ctx, nxt) added up.  Long n-grams
+    seldom repeat: with ``parts``, rows move as they are and so many tasks add
+    them up, so no table of sums grows with the rows that a task reads."""
+    if parts:
+        rows = rows.repartition(parts, "ctx", "nxt")
+    return rows.groupBy("ctx", "nxt").agg(F.sum("n").cast("long").alias("n"))
+
+
+def ngram_counts(pairs: DataFrame, parts: int | None = None) -> DataFrame:
     """T13 (fit): counts of (ctx, nxt), whatever the order."""
-    return pairs.groupBy("ctx", "nxt").agg(F.count(F.lit(1)).cast("long").alias("n"))
+    return _summed(pairs.select("ctx", "nxt", F.lit(1).alias("n")), parts)
 
 
-def lower_order(counts: DataFrame, blk: DataFrame, n: int, vocab_size: int) -> DataFrame:
+def lower_order(counts: DataFrame, blk: DataFrame, n: int, vocab_size: int,
+                parts: int | None = None) -> DataFrame:
     """Counts of order n - 1 from those of order ``n`` (contexts of one
     long), so the tokens are not read again: the oldest id leaves the
     context and equal ones are added.  Position n - 2, the only one with a
@@ -175,7 +189,7 @@ def lower_order(counts: DataFrame, blk: DataFrame, n: int, vocab_size: int) -> D
     first = blk.where((F.col("blk") == 0) & (F.size("ids") > n - 2)).select(
         context_key([F.get("ids", F.lit(k)) for k in range(n - 2)], vocab_size).alias("ctx"),
         F.get("ids", F.lit(n - 2)).alias("nxt"), F.lit(1).cast("long").alias("n"))
-    return less.unionByName(first).groupBy("ctx", "nxt").agg(F.sum("n").cast("long").alias("n"))
+    return _summed(less.unionByName(first), parts)
 
 
 def ngram_token_losses(counts: DataFrame, eval_pairs: DataFrame, alpha: float,

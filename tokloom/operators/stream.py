@@ -2,15 +2,17 @@
 
 The stream is never one array: it is ``(key, start_off, ids)`` per document
 with global offsets from a two-pass prefix sum.  Fixed-size blocks are cut
-from it with ``sequence`` + ``slice`` and regrouped by block number (a
-group holds at most ``block_size`` ids).  A window needs at most its own
-block and the next one, which meet through an equi-join on block number.
+from it by the tasks that hold its stretches, each block with the ids that
+follow it; only blocks over the edge of a stretch are regrouped by block
+number.  A window needs at most its own block and the ids ahead of it.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,55 +77,122 @@ def split_hash(docs: DataFrame, val_ratio: float, seed: int,
         "split", F.when(uniform(seed, F.col(key)) < val_ratio, "val").otherwise("train"))
 
 
-def blocks(stream: DataFrame, block_size: int, only: DataFrame | None = None) -> DataFrame:
-    """Cut the ordered stream into blocks of ``block_size`` ids:
-    (blk, ids).  The last block may be short.  ``only`` names the blocks
-    wanted (distinct blk)."""
-    B = F.lit(block_size).cast("long")
-    st, n = F.col("start_off"), F.size("ids").cast("long")
-    pieces = (stream.where(F.size("ids") > 0)
-              .select("start_off", "ids",
-                      F.explode(F.sequence(F.floor(st / B), F.floor((st + n - 1) / B)))
-                      .alias("blk")))
-    if only is not None:
-        pieces = pieces.join(only, "blk", "left_semi")
-    gs = F.greatest(st, F.col("blk") * B)
-    ge = F.least(st + n, (F.col("blk") + 1) * B)
-    pieces = pieces.select("blk", gs.alias("gs"),
-                           F.slice("ids", (gs - st + 1).cast("int"), (ge - gs).cast("int")).alias("p"))
-    return (pieces.groupBy("blk")
-            .agg(F.array_sort(F.collect_list(F.struct("gs", "p"))).alias("_ps"))
-            .select("blk", F.flatten(F.transform("_ps", lambda z: z["p"])).alias("ids")))
+#: Ids that a task hands on at a time.
+OUT_IDS = 1 << 20
+
+
+def _ragged(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.ListArray:
+    """The slices of ``values`` as lists; bounds outside it are cut."""
+    start = np.clip(start, 0, len(values))
+    size = np.maximum(np.clip(end, 0, len(values)) - start, 0)
+    edges = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(start - edges[:-1], size) + np.arange(edges[-1])
+    return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values[at].astype(np.int32)))
+
+
+def _stretches(batches):
+    """(position, ids, whether the stretch ends here) of rows (start_off, ids) as
+    they come: consecutive rows are joined while each begins where the one
+    before it ended.  The position is that of the first id of the part."""
+    at = None
+    for batch in batches:
+        start = batch.column(0).to_numpy()
+        lists = batch.column(1)
+        size = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        flat, edges = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(size)])
+        if not len(start):
+            continue
+        runs = np.flatnonzero(np.concatenate([[True], start[1:] != start[:-1] + size[:-1]]))
+        for low, high in zip(runs, [*runs[1:], len(start)]):
+            if at is not None and start[low] != at:
+                yield at, flat[:0], True
+            yield int(start[low]), flat[edges[low]:edges[high]], False
+            at = int(start[low] + edges[high] - edges[low])
+    if at is not None:
+        yield at, np.zeros(0, np.int32), True
+
+
+def blocks(stream: DataFrame, block_size: int, ahead: int | None = None) -> DataFrame:
+    """Cut the ordered stream into blocks of ``block_size`` ids: (blk, at, ids,
+    ahead), ``at`` the position of the first id and ``ahead`` the ids that
+    follow the block (so many at most; as many as a block has by default).
+    The last block may be short.
+
+    A task cuts the blocks inside the stretches of the stream that it holds;
+    what lies over an edge of a stretch is handed on in parts and regrouped by
+    block number.  Rows out of order only make more stretches."""
+    B, more = block_size, block_size if ahead is None else ahead
+    rows = stream.where((F.size("ids") > 0) & F.col("start_off").isNotNull()).select(F.col("start_off").cast("long"), F.col("ids").cast("array<int>"))
+
+    def cut(whole):
+        def run(batches):
+            first, held, base, blk = None, np.zeros(0, np.int32), 0, 0
+            for at, ids, ends in _stretches(batches):
+                if first is None:
+                    first, base, held = at, at, ids
+                    blk = max(0, (at - more) // B)
+                else:
+                    held = np.concatenate([held, ids])
+                top = base + len(held)
+                stop = -(-top // B) if ends else (top - more) // B
+                while blk < stop:
+                    upto = min(stop, blk + max(1, OUT_IDS // (B + more)))
+                    n = np.arange(blk, upto)
+                    inside = (n * B >= first) & ((n + 1) * B + more <= top)
+                    n = n[inside == whole]
+                    low = n * B - base
+                    if whole and len(n):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(n), _ragged(held, low, low + B), _ragged(held, low + B, low + B + more)],
+                            names=["blk", "ids", "ahead"])
+                    elif len(n):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(n), pa.array(np.maximum(n * B, base)), _ragged(held, low, low + B + more)],
+                            names=["blk", "at", "ids"])
+                    blk = upto
+                if ends:
+                    first = None
+                else:
+                    gone = max(0, min(blk * B - base, len(held)))
+                    held, base = held[gone:], base + gone
+        return run
+
+    inner = rows.mapInArrow(cut(True), "blk long, ids array<int>, ahead array<int>")
+    parts = rows.mapInArrow(cut(False), "blk long, at long, ids array<int>").where(F.size("ids") > 0)
+    edge = parts.groupBy("blk").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("p")).select(
+        "blk", F.col("p")[0]["at"].alias("_at"), F.flatten(F.transform("p", lambda z: z["ids"])).alias("_ids"))
+    # a part may hold nothing but ids ahead of its block
+    own = (F.col("blk") + 1) * F.lit(B) - F.col("_at")
+    edge = edge.where(own > 0).select(
+        "blk", F.slice("_ids", F.lit(1), own.cast("int")).alias("ids"),
+        F.slice("_ids", own.cast("int") + 1, F.lit(more)).alias("ahead"))
+    return inner.unionByName(edge).select("blk", (F.col("blk") * F.lit(B)).alias("at"), "ids", "ahead")
 
 
 def windows_packed(blk: DataFrame, block_size: int) -> DataFrame:
     """T4, stride = block_size: x = block b, y = x shifted by one, whose
-    last id is the first id of block b + 1.  floor((N - 1) / B) windows."""
-    nxt = blk.select((F.col("blk") - 1).alias("blk"), F.col("ids")[0].alias("_next"))
-    j = blk.where(F.size("ids") == block_size).join(nxt, "blk")
-    return j.select(
+    last id is the first id ahead of the block.  floor((N - 1) / B) windows."""
+    return blk.where((F.size("ids") == block_size) & (F.size("ahead") > 0)).select(
         F.col("blk").alias("win_id"), F.col("ids").alias("x"),
-        F.concat(F.slice("ids", 2, block_size - 1), F.array("_next")).alias("y"))
+        F.concat(F.slice("ids", 2, block_size - 1), F.slice("ahead", 1, 1)).alias("y"))
 
 
 def windows_strided(blk: DataFrame, block_size: int, stride: int, total: int) -> DataFrame:
     """T4 at any stride: windows start at 0, stride, 2*stride, ... while
-    start + block_size < N.  Window ``i`` lies in blocks i div B and the
-    next one, which are joined on block number; only the starts that exist
-    are exploded.  At a small stride every id is in many windows; to read
-    some of them, see ``operators/positions.py``."""
+    start + block_size < N.  Window ``i`` lies in block i div B and the ids
+    ahead of it (B of them); only the starts that exist are exploded.  At a
+    small stride every id is in many windows; to read some of them, see
+    ``operators/positions.py``."""
     B = block_size
-    nxt = blk.select((F.col("blk") - 1).alias("blk"), F.col("ids").alias("_nx"))
-    j = blk.join(nxt, "blk", "left")
-    cat = F.concat("ids", F.coalesce("_nx", F.array().cast("array<int>")))
+    cat = F.concat("ids", "ahead")
     base = F.col("blk") * F.lit(B)
     last_start = F.lit(total - B - 1)  # starts s with s + B < N
     first = F.ceil(base / F.lit(stride)) * F.lit(stride)
     hi = F.least(base + F.lit(B - 1), last_start)
     starts = F.when(first <= hi, F.sequence(first.cast("long"), hi.cast("long"),
                                             F.lit(stride).cast("long")))
-    ex = j.select(cat.alias("_cat"), base.alias("_base"),
-                  F.explode(starts).alias("start"))
+    ex = blk.select(cat.alias("_cat"), base.alias("_base"),
+                    F.explode(starts).alias("start"))
     off = (F.col("start") - F.col("_base")).cast("int")
     return ex.select(
         F.col("start").alias("win_id"),

@@ -11,6 +11,7 @@ from tokloom.operators import runlog as R
 from tokloom.operators import scoring as SC
 from tokloom.operators import stream as S
 from tokloom.plans.stream_queries import doc_stream, split_stream
+from tokloom.session import scratch
 from tokloom.sources.tables import load
 
 HASH_VOCAB = 30100
@@ -68,37 +69,44 @@ def q_completions(spark, sf):
         "conv_id", "turn", cut.alias("completion"), F.length(full).alias("full_len"))
 
 
-def _pairs(spark, sf):
+def _bigrams(spark, sf):
+    """(stream, tokens before the validation split, counts over those)."""
     st = doc_stream(spark, sf)
-    total = S.total_tokens(st)
-    n_train, _, _ = S.split_sizes(total, VAL_RATIO)
-    return SC.next_pairs(st), n_train
+    n_train, _, _ = S.split_sizes(S.total_tokens(st), VAL_RATIO)
+    pairs = SC.next_pairs(st).where(F.col("pos") < n_train)
+    return st, n_train, SC.ngram_counts(pairs)
 
 
 def q_ngram_counts(spark, sf):
-    pairs, n_train = _pairs(spark, sf)
-    return SC.ngram_counts(pairs.where(F.col("pos") < n_train))
+    return _bigrams(spark, sf)[2]
 
 
 def q_trigram_counts(spark, sf):
     """T13 at order 3 over the training split."""
-    part, _ = split_stream(spark, sf, "train")
-    return SC.ngram_counts(SC.next_ngrams(S.blocks(part, 256), 3, HASH_VOCAB))
-
-
-def _ngram_levels(spark, sf, order):
-    """Counts of orders ``order`` down to 2, each from the one above."""
-    part, _ = split_stream(spark, sf, "train")
-    blk = S.blocks(part, 256)
-    levels = [SC.ngram_counts(SC.next_ngrams(blk, order, HASH_VOCAB))]
-    for n in range(order, 2, -1):
-        levels.append(SC.lower_order(levels[-1], blk, n, HASH_VOCAB))
-    return levels
+    part, n = split_stream(spark, sf, "train")
+    return SC.ngram_counts(SC.next_ngrams(S.blocks(part, 256, ahead=2), 3, HASH_VOCAB), SC.count_parts(spark, n))
 
 
 def q_fivegram_counts(spark, sf):
     """T13 at order 5."""
-    return _ngram_levels(spark, sf, 5)[0]
+    part, n = split_stream(spark, sf, "train")
+    return SC.ngram_counts(SC.next_ngrams(S.blocks(part, 256, ahead=4), 5, HASH_VOCAB), SC.count_parts(spark, n))
+
+
+def _ngram_levels(spark, sf, order):
+    """Counts of orders ``order`` down to 2, each from the one above.  A level is
+    written: it is read for the result and for the level below."""
+    part, total = split_stream(spark, sf, "train")
+    blk = S.blocks(part, 256, ahead=order - 1)
+    parts = SC.count_parts(spark, total)
+    counts, levels = SC.ngram_counts(SC.next_ngrams(blk, order, HASH_VOCAB), parts), []
+    for n in range(order, 1, -1):
+        path = scratch(spark, f"ngrams-{n}")
+        counts.write.parquet(path)
+        levels.append(spark.read.schema(counts.schema).parquet(path))
+        if n > 2:
+            counts = SC.lower_order(levels[-1], blk, n, HASH_VOCAB, parts)
+    return levels
 
 
 def q_ngram_levels(spark, sf):
@@ -113,15 +121,15 @@ def q_ngram_levels(spark, sf):
 
 def q_ngram_sample(spark, sf):
     """T13's candidates through T11 and T12: one next token per context."""
-    pairs, n_train = _pairs(spark, sf)
-    counts = SC.ngram_counts(pairs.where(F.col("pos") < n_train))
+    counts = _bigrams(spark, sf)[2]
     return SC.sample_next(SC.prune(SC.ngram_candidates(counts), 50, 0.9), 7)
 
 
 def _val_losses(spark, sf):
-    pairs, n_train = _pairs(spark, sf)
-    counts = SC.ngram_counts(pairs.where(F.col("pos") < n_train))
-    val = pairs.where(F.col("pos") > n_train)
+    st, n_train, counts = _bigrams(spark, sf)
+    # documents before the split have no such pair
+    tail = st.where(F.col("start_off") + F.size("ids") > n_train)
+    val = SC.next_pairs(tail).where(F.col("pos") > n_train)
     tl = SC.ngram_token_losses(counts, val, ALPHA, HASH_VOCAB)
     return tl.withColumn("batch_id", F.floor((F.col("pos") - n_train - 1) / LOSS_BATCH))
 

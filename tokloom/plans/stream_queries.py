@@ -101,7 +101,7 @@ def q_new_tokens(spark, sf):
 
 
 def _blocks(spark, sf, b):
-    return S.blocks(doc_stream(spark, sf), b)
+    return S.blocks(doc_stream(spark, sf), b, ahead=1)
 
 
 def q_windows_packed(spark, sf):
@@ -117,7 +117,7 @@ def q_windows_stride(spark, sf):
 def _windows(spark, sf, split):
     """(windows of one split, how many)."""
     part, n = split_stream(spark, sf, split)
-    return (S.windows_packed(S.blocks(part, FIM_BLOCK), FIM_BLOCK),
+    return (S.windows_packed(S.blocks(part, FIM_BLOCK, ahead=1), FIM_BLOCK),
             S.window_count(n, FIM_BLOCK, FIM_BLOCK))
 
 
