@@ -144,3 +144,12 @@ def test_ngrams_of_any_order(spark):
                 low = {(r.ctx, r.nxt): r.n for r in SC.lower_order(above, blk, n + 1, vocab).collect()}
                 assert low == want
             above = counts if n <= most and n > 2 else None
+
+
+def test_sums_are_finished_by_tasks_of_bounded_rows(spark):
+    rows = [(i % 7, i % 3) for i in range(400)]
+    pairs = spark.createDataFrame(rows, "ctx long, nxt int")
+    counts = SC.ngram_counts(pairs, 23)
+    assert counts.rdd.getNumPartitions() == 23
+    assert {(r.ctx, r.nxt): r.n for r in counts.collect()} == {(c, x): rows.count((c, x)) for c, x in set(rows)}
+    assert SC.count_parts(spark, 500 * SC.ROWS_A_TASK) == 500
