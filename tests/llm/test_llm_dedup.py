@@ -294,3 +294,24 @@ def test_links_at_the_edge_are_whole_numbers():
     assert len(np.union1d(x, y)) * 90 <= len(np.intersect1d(x, y)) * 100
     assert ngram_join.block_links([x, y], 90) == [(0, 1)]
     assert ngram_join.block_links([x, y, z], 90) == [(0, 1)]
+
+
+def test_a_common_passage_unites_no_families(spark, monkeypatch):
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(12)]
+    texts = [" ".join([f"w{rng.randrange(10**9)}" for _ in range(rng.randint(185, 205))] + passage) for _ in range(300)]
+    texts += [texts[0] + " more", texts[1] + " more words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sizes, write = [], ngram_join.staged
+
+    def staged(df, label):
+        out = write(df, label)
+        if label == "holders":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", staged)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 16)
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(df, 5, 80).collect()}
+    assert got == {i: {300: 0, 301: 1}.get(i, i) for i in range(302)}
+    assert sizes[-1] <= 8  # the two pairs, and what few keys agree by chance

@@ -17,14 +17,19 @@ lists the pairs of a group.
 2. Linked sets share at least (own keys - d) keys of the one with heavier
    keys: what it agrees in is heavy enough for both, while keys of the other
    may be too light here.  Short lists give the
-   pairs of their sets, which are counted and dropped below that number;
-   long lists (common to many sets) are read as a star and unite theirs
-   without counting, so no list gives more pairs than a few per entry.  Sets
-   that already share enough within a task's gathering are put under one of
-   them before the shuffle, so a list that a third of all documents are on
-   arrives as few rows.
+   pairs of their sets, which are counted and dropped below that number.
+   Long lists (common to many sets) give no pairs, so no list gives more than
+   a few per entry: what a set has on long lists is taken off the number that
+   it must share on short ones.  Only sets of which nothing is left then are
+   united by the long lists they are on, without counting.  Sets that already
+   share enough within a task's gathering are put under one of them before
+   the shuffle, so a list that a third of all documents are on arrives as few
+   rows.
 3. Components of these pairs and stars are families: linked sets are in one family.
-   Each family is cut by size class (a set goes to its own class and, as a
+   Families of more sets than a block are dealt once more, onto FINE times as
+   many positions as n-grams: keys are mostly single n-grams there, and only
+   sets most of whose n-grams are common in the family have nothing left to
+   share on short lists.  Each family is cut by size class (a set goes to its own class and, as a
    guest, to the next), classes into blocks of bounded size, and pairs of
    blocks are the tasks: sizes that cannot link do not meet.
 4. Within a pair of blocks answers are derived, not counted anew: against a
@@ -59,6 +64,8 @@ from tokloom.llm.components import connected_components
 
 #: Spare positions where only light keys will do.
 SPARE = 2
+#: Positions a n-gram of the second dealing.
+FINE = 4
 #: A block holds about so many sets, and so many n-grams in all.
 BLOCK_SETS, BLOCK_GRAMS = 512, 1 << 20
 
@@ -109,10 +116,13 @@ def set_digest(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
-#: Low bits of a coded need: one plus the weight of the keys, 0 for sets of
-#: several weights.
-WEIGHT_BITS = 3
+#: Low bits of a coded need: one plus the weight of the keys, LOWERED plus it
+#: where that is below the index's usual one, 0 for sets of several weights.
+WEIGHT_BITS, LOWERED = 3, 5
 _WEIGHT = (1 << WEIGHT_BITS) - 1
+#: Low bits of a key: its index.
+INDEX_BITS = 8
+_INDEX = (1 << INDEX_BITS) - 1
 
 
 def pair_need(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -130,14 +140,15 @@ def _share(mean: float, weight: int) -> float:
 
 
 class Positions:
-    """The index keys of a set, for one percentage.
+    """The index keys of a set, for one percentage; with ``fine``, on so many
+    positions a n-gram.
 
     Sizes fall into classes such that linked sets lie in the same class or in
     neighbouring ones; each pair of classes has an index of its own, with its
     own number of positions."""
 
-    def __init__(self, percent: int):
-        self.percent, self.edges, self._plans = percent, [1], {}
+    def __init__(self, percent: int, fine: int = 0):
+        self.percent, self.fine, self.edges, self._plans = percent, fine, [1], {}
 
     def size_class(self, n: int) -> int:
         while self.edges[-1] <= n:
@@ -160,7 +171,9 @@ class Positions:
             top_low, top_high = self.edges[low + 1] - 1, self.edges[high + 1] - 1
             d = (100 - self.percent) * (top_low + top_high) // (100 + self.percent)
             found = (d, d + 1 + SPARE, 1) if d else (0, 1, 1)
-            for weight, percent in ((w, t) for w in (3, 2, 1) for t in range(102, 162, 3)):
+            if self.fine:
+                found = (d, max(d + 1, self.fine * top_high), 1)
+            for weight, percent in ((w, t) for w in (3, 2, 1) for t in range(102, 162, 3) if not self.fine):
                 n = -(-(d + 1) * percent // 100)
                 share = _share(self.edges[low] / n, weight)
                 if n * share - 1.5 * math.sqrt(n * share * (1 - share)) > d:
@@ -177,7 +190,7 @@ class Positions:
         return key, code >> WEIGHT_BITS
 
     def coded_keys(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(keys, for each key that number above WEIGHT_BITS bits of one plus
+        """(keys, for each key that number above WEIGHT_BITS bits that tell
         the least n-grams of a key)."""
         own = self.size_class(len(grams))
         self.size_class(self.edges[own + 1])
@@ -187,7 +200,8 @@ class Positions:
             plan = self.plan(low, high) if low >= 0 else None
             if not plan:
                 continue
-            d, n, weight = plan
+            d, n, usual = plan
+            weight = usual
             place = ((grams >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
             content = np.zeros(n, dtype=np.uint64)
             np.add.at(content, place, mixed)
@@ -196,9 +210,12 @@ class Positions:
             while len(at) <= d and weight:  # else linked sets might agree in lighter ones only
                 weight -= 1
                 at = np.flatnonzero(load >= weight)
-            index = ((low + 1) * 2 + (high > low)) * int(_M2) & 0xFFFFFFFFFFFFFFFF
-            found.append(_mix(content[at] + at.astype(np.uint64) * _M1 + np.uint64(index)))
-            need.append(np.full(len(at), (len(at) - d) << WEIGHT_BITS | (weight + 1)))
+            number = (low + 1) * 2 + (high > low)
+            index = number * int(_M2) & 0xFFFFFFFFFFFFFFFF
+            key = _mix(content[at] + at.astype(np.uint64) * _M1 + np.uint64(index))
+            found.append(key & np.uint64(~_INDEX & 0xFFFFFFFFFFFFFFFF) | np.uint64(number & _INDEX))
+            need.append(np.full(len(at), (len(at) - d) << WEIGHT_BITS
+                                | (weight + (1 if weight == usual else LOWERED))))
         return np.concatenate(found), np.concatenate(need)
 
 
@@ -206,10 +223,11 @@ DOC = "struct<doc_id:long,rkey:string,n:long,cls:binary>"
 #: Index rows have a key, a set number and its coded need, document rows the
 #: other two.
 INDEX = f"key long, set long, need int, doc {DOC}"
-#: Two sets and the keys they share; need 0: they are one family in any case.
+#: Two sets and the keys they share; need 0: they are one family in any case,
+#: or, where a is negative, a long list and a set on it, n its coded need.
 SHARED = f"a long, b long, n int, need int, doc {DOC}"
-#: Lists up to this length give the pairs of their sets, longer ones a star.
-SHORT_LIST = 8
+#: Lists up to this length give the pairs of their sets.
+SHORT_LIST = 16
 
 _DOC_TYPE = pa.struct([("doc_id", pa.int64()), ("rkey", pa.string()), ("n", pa.int64()),
                        ("cls", pa.binary())])
@@ -219,14 +237,14 @@ _DOC_TYPE = pa.struct([("doc_id", pa.int64()), ("rkey", pa.string()), ("n", pa.i
 DECODE_ROWS, GATHER_KEYS = 500, 150_000
 
 
-def _index_batches(batches, n: int, percent: int):
+def _index_batches(batches, n: int, percent: int, fine: int = 0):
     """A row per document, and the index rows of its set.  Keys are gathered
     up to a bound and combined before they leave the task; a set met again
     while its keys are held adds none.  Sets are numbered by task and place:
     small differences between rows, which shuffle files compress; equal sets
     of different gatherings meet in the index."""
     from pyspark import TaskContext
-    hasher, positions = WordHasher(), Positions(percent)
+    hasher, positions = WordHasher(), Positions(percent, fine)
     number = TaskContext.get().partitionId() << 40
     seen, held, n_held = {}, [], 0
     for batch in batches:
@@ -304,27 +322,31 @@ def _index_rows(key, owner, need) -> pa.RecordBatch:
 
 
 def _read_lists(batches):
-    """Index rows in key order -> shared keys of pairs of sets; document rows
-    pass through.  The rows of the last list of a batch wait for the next."""
+    """Index rows in key order -> shared keys of pairs of sets, and the rows
+    of long lists; document rows pass through.  The rows of the last list of a
+    batch wait for the next."""
     names = ("a", "b", "n", "need", "doc")
 
     def shared(key, owner, need):
-        first = np.append(True, key[1:] != key[:-1])
-        start = np.flatnonzero(first)
-        length = np.repeat(np.diff(np.append(start, len(key))), np.diff(np.append(start, len(key))))
-        lead = np.repeat(start, np.diff(np.append(start, len(key))))
+        size = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])))
+        length = np.repeat(size, size)
+        met = length > 1
+        key, owner, need, length = key[met], owner[met], need[met], length[met]
+        many = length > SHORT_LIST
+        if many.any():
+            yield _rows(pa.array(-(key[many] & np.int64(2**63 - 1)) - 1), pa.array(owner[many]),
+                        pa.array(need[many], pa.int32()), pa.array(np.zeros(int(many.sum()), np.int32)),
+                        pa.nulls(int(many.sum()), _DOC_TYPE), names=names)
+        key, owner, need = key[~many], owner[~many], need[~many]
         found = []
         for step in range(1, SHORT_LIST):
-            i = np.flatnonzero((lead[step:] == lead[:-step]) & (length[step:] <= SHORT_LIST))
+            i = np.flatnonzero((key[step:] == key[:-step]) & (owner[step:] != owner[:-step]))
             if not len(i):
                 break
             found.append((owner[i], owner[i + step], pair_need(need[i], need[i + step])))
-        i = np.flatnonzero((length > SHORT_LIST) & ~first)
-        found.append((owner[lead[i]], owner[i], np.zeros(len(i), np.int64)))
-        a, b, need = map(np.concatenate, zip(*found))
-        ok = a != b
-        if ok.any():
-            a, b, count, need = _pair_counts(np.minimum(a, b)[ok], np.maximum(a, b)[ok], need[ok])
+        if found:
+            a, b, need = map(np.concatenate, zip(*found))
+            a, b, count, need = _pair_counts(np.minimum(a, b), np.maximum(a, b), need)
             yield _rows(pa.array(a), pa.array(b), pa.array(count, pa.int32()), pa.array(need, pa.int32()),
                         pa.nulls(len(a), _DOC_TYPE), names=names)
 
@@ -346,7 +368,7 @@ def _read_lists(batches):
         if last:
             yield from shared(*(x[:last] for x in now))
         waiting = [x[last:] for x in now]
-        if len(waiting[0]) > 64 * SHORT_LIST:  # a long list: a star anyway, its head stays
+        if len(waiting[0]) > 64 * SHORT_LIST:  # a long list, also what comes of it: its head stays
             yield from shared(*waiting)
             waiting = [x[:SHORT_LIST + 1] for x in waiting]
     if waiting:
@@ -447,17 +469,15 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     that stands for its linked class)."""
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"),
                      row_key(F.col("doc_id"), F.col("text")).alias("rkey"), "text")
-    index = rows.mapInArrow(lambda b: _index_batches(b, n, percent), INDEX)
-    lists = (index.repartition(F.coalesce(F.col("key"), F.xxhash64("doc.rkey")))
-             .sortWithinPartitions("key", "set"))
-    read = staged(lists.mapInArrow(_read_lists, SHARED), "lists")
-    docs = read.where("doc is not null").select(F.col("b").alias("v"), "doc.*")
-    families = _families(read.where("doc is null").drop("doc"))
+    docs, families = _indexed(rows, n, percent)
 
     # one text per set of a family of at least two sets; the sets of a family
     # are counted after equal ones of different batches have met
     holders = staged(docs.where("n > 0").join(families, "v").groupBy("cls", F.col("root").alias("family"))
                      .agg(F.min("rkey").alias("rkey"), F.first("n").alias("n")), "holders")
+    large = staged(holders.groupBy("family").count().where(F.col("count") > BLOCK_SETS).select("family"), "large")
+    if not large.isEmpty():
+        holders = staged(_dealt_again(rows, holders, large, n, percent), "holders")
     positions = Positions(percent)
     positions.size_class(holders.agg(F.max("n")).first()[0] or 1)
     edges = F.array(*[F.lit(e) for e in positions.edges])  # about a hundred
@@ -501,20 +521,62 @@ def ngram_classes(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         F.coalesce("root", "cls").alias("root")), "classes")
 
 
+def _indexed(rows: DataFrame, n: int, percent: int, fine: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The sets of the rows (v, doc_id, rkey, n, cls) and their families
+    (v, root)."""
+    index = rows.mapInArrow(lambda b: _index_batches(b, n, percent, fine), INDEX)
+    lists = (index.repartition(F.coalesce(F.col("key"), F.xxhash64("doc.rkey")))
+             .sortWithinPartitions("key", "set"))
+    read = staged(lists.mapInArrow(_read_lists, SHARED), "lists")
+    docs = read.where("doc is not null").select(F.col("b").alias("v"), "doc.*")
+    return docs, _families(read.where("doc is null").drop("doc"))
+
+
+def _dealt_again(rows: DataFrame, holders: DataFrame, large: DataFrame, n: int, percent: int) -> DataFrame:
+    """``holders`` with the ``large`` families cut into those that a second
+    index of their sets finds."""
+    again = staged(holders.join(large, "family", "left_semi"), "again")
+    texts = join_by_size(rows, again.select("rkey"), "rkey", "left_semi").select("doc_id", "rkey", "text")
+    docs, families = _indexed(texts, n, percent, FINE)
+    part = docs.join(families, "v").groupBy("cls").agg(F.min("root").alias("part"))
+    cut = again.join(part, "cls").withColumn("family", F.xxhash64("family", "part")).drop("part")
+    return holders.join(large, "family", "left_anti").unionByName(cut.select(*holders.columns))
+
+
 def _families(pairs: DataFrame) -> DataFrame:
     """(v, root): pairs that need nothing more are united first; between the
     groups so found the shared keys are added up, and groups unite that share
-    as many as linked sets in them must."""
-    sure = pairs.where("need = 0").select("a", "b")
-    roots = connected_components(sure)
-    counts = pairs.where("need > 0")
-    for end in ("a", "b"):
+    as many as linked sets in them must.
+
+    Long lists are not counted.  Of what linked sets share, each has at most
+    those keys on long lists that its group has there, so the others must
+    still be shared on short lists.  Groups that may share nothing else are
+    united by the long lists; so are those with lighter keys than usual, for
+    which heavier ones alone tell what must be shared."""
+    sure = pairs.where("a >= 0 and need = 0").select("a", "b")
+    roots = staged(connected_components(sure), "groups")
+
+    def grouped(df, end):
         root = roots.select(F.col("v").alias(end), F.col("root").alias("_r"))
-        counts = counts.join(root, end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
+        return df.join(root, end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
+
+    index = (-(F.col("a") + 1)).bitwiseAND(F.lit(_INDEX))
+    on = pairs.where("a < 0").select("a", "b", "n").distinct()  # a head may come again
+    on = staged(grouped(on, "b").withColumn("index", index), "long")
+    held = staged(on.groupBy("b", "index").agg(F.count("*").alias("held")), "held")
+    weight = F.col("n").bitwiseAND(F.lit(_WEIGHT))
+    spent = on.join(held, ["b", "index"]).where(
+        (weight == 0) | (weight >= LOWERED) | (F.shiftright("n", WEIGHT_BITS) <= F.col("held"))).select("a", "b")
+    most = held.groupBy(F.col("b").alias("v")).agg(F.max("held").alias("held"))
+    counts = grouped(grouped(pairs.where("need > 0"), "a"), "b")
     counts = (counts.where("a <> b")
               .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-              .agg(F.sum("n").alias("n"), F.min("need").alias("need")).where("n >= need"))
-    return connected_components(sure.union(counts.select("a", "b")))
+              .agg(F.sum("n").alias("n"), F.min("need").alias("need")))
+    for end in ("a", "b"):
+        counts = counts.join(most.select(F.col("v").alias(end), F.col("held").alias(f"_{end}")), end, "left")
+    counts = counts.where(F.col("n") >= F.col("need") - F.least(
+        F.coalesce("_a", F.lit(0)), F.coalesce("_b", F.lit(0))))
+    return connected_components(sure.union(counts.select("a", "b")).union(spent)).where("v >= 0")
 
 
 def ngram_components(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
