@@ -315,3 +315,55 @@ def test_a_common_passage_unites_no_families(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(df, 5, 80).collect()}
     assert got == {i: {300: 0, 301: 1}.get(i, i) for i in range(302)}
     assert sizes[-1] < 60  # the pairs; small families, which chance keys give, are not dealt again
+
+
+def pair_rows(spark, monkeypatch, texts):
+    """(component of every text, rows of pairs of sets that were made)"""
+    made, read = spark.sparkContext.accumulator(0), ngram_join._read_lists
+
+    def counted(batches):
+        for batch in read(batches):
+            made.add(sum((need or 0) > 0 for need in batch.column("need").to_pylist()))
+            yield batch
+
+    with monkeypatch.context() as m:
+        m.setattr(ngram_join, "_read_lists", counted)
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+        got = {r.doc_id: r.component_id for r in ngram_join.ngram_components(df, 5, 80).collect()}
+    return got, made.value
+
+
+def test_sets_that_share_too_little_make_no_pairs(spark, monkeypatch):
+    rng = random.Random(7)
+
+    def words(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    passages = [words(14) for _ in range(20)]
+    texts = [" ".join(words(190) + passages[i % 20]) for i in range(240)]  # twelve on each passage
+    texts.append(texts[3] + " more")
+    got, rows = pair_rows(spark, monkeypatch, texts)
+    assert got == {i: {240: 3}.get(i, i) for i in range(241)}
+    assert rows < 240
+
+
+def test_groups_united_by_long_lists_make_no_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(300)]
+    texts = variants(rng, base, 400, 1)
+    for i in range(400):  # edits that some others have too
+        w = texts[i].split(" ")
+        w[rng.randrange(300)] = f"e{rng.randrange(2)}"
+        texts[i] = " ".join(w)
+    got, rows = pair_rows(spark, monkeypatch, texts)
+    assert set(got.values()) == {0}
+    assert rows < 400
+
+
+def test_met_rows_across_batches():
+    import pyarrow as pa
+    key = [1, 2, 2, 3, 4, 4, 4, 5, 6, 6]
+    index = ngram_join._index_rows(np.array(key), np.arange(10), np.full(10, 9))
+    for size in range(1, 11):
+        rows = pa.Table.from_batches(ngram_join._met_rows([index.slice(i, size) for i in range(0, 10, size)]))
+        assert rows.column("set").to_pylist() == [1, 2, 4, 5, 6, 8, 9], size

@@ -16,12 +16,15 @@ lists the pairs of a group.
    texts that merely share a passage.
 2. Linked sets share at least (own keys - d) keys of the one with heavier
    keys: what it agrees in is heavy enough for both, while keys of the other
-   may be too light here.  Short lists give the
+   may be too light here.  A set that meets others on fewer of its keys than
+   that links with none: it leaves the lists before any pair is made, and what
+   that takes from the others is looked at once more.  Short lists give the
    pairs of their sets, which are counted and dropped below that number.
    Long lists (common to many sets) give no pairs, so no list gives more than
    a few per entry: what a set has on long lists is taken off the number that
    it must share on short ones.  Only sets of which nothing is left then are
-   united by the long lists they are on, without counting.  Sets that already
+   united by the long lists they are on, without counting; a list that then
+   lies in one group gives no pairs.  Sets that already
    share enough within a task's gathering are put under one of them before
    the shuffle, so a list that a third of all documents are on arrives as few
    rows.
@@ -223,11 +226,14 @@ DOC = "struct<doc_id:long,rkey:string,n:long,cls:binary>"
 #: Index rows have a key, a set number and its coded need, document rows the
 #: other two.
 INDEX = f"key long, set long, need int, doc {DOC}"
-#: Two sets and the keys they share; need 0: they are one family in any case,
-#: or, where a is negative, a long list and a set on it, n its coded need.
-SHARED = f"a long, b long, n int, need int, doc {DOC}"
+#: Two sets and the keys they share, and the keys that linked ones share; need
+#: 0: they are one family in any case, or, where a is negative, a long list and
+#: a set on it, n its coded need.
+SHARED = "a long, b long, n int, need int"
 #: Lists up to this length give the pairs of their sets.
 SHORT_LIST = 16
+#: How often sets that meet others on too few keys leave the lists.
+ROUNDS = 2
 
 _DOC_TYPE = pa.struct([("doc_id", pa.int64()), ("rkey", pa.string()), ("n", pa.int64()),
                        ("cls", pa.binary())])
@@ -321,22 +327,40 @@ def _index_rows(key, owner, need) -> pa.RecordBatch:
     return _rows(pa.array(key), pa.array(owner), pa.array(need, pa.int32()), pa.nulls(len(key), _DOC_TYPE))
 
 
+def _met_rows(batches):
+    """Index rows in key order -> those of lists that have other rows; document
+    rows pass through.  The last row of a batch waits for the next."""
+    last, met_before = None, False
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        is_doc = table.column("key").is_null()
+        yield from table.filter(is_doc).to_batches()
+        rows = table.filter(pc.invert(is_doc))
+        if not len(rows):
+            continue
+        now = [rows.column(c).to_numpy().astype(np.int64) for c in ("key", "set", "need")]
+        if last:
+            now = [np.concatenate(x) for x in zip(last, now)]
+        same = now[0][1:] == now[0][:-1]
+        met = np.append(met_before, same) | np.append(same, False)
+        yield _index_rows(*(x[:-1][met[:-1]] for x in now))
+        last, met_before = [x[-1:] for x in now], bool(met[-1])
+    if met_before:
+        yield _index_rows(*last)
+
+
 def _read_lists(batches):
     """Index rows in key order -> shared keys of pairs of sets, and the rows
-    of long lists; document rows pass through.  The rows of the last list of a
+    of long lists (``_families`` hands on none).  The rows of the last list of a
     batch wait for the next."""
-    names = ("a", "b", "n", "need", "doc")
+    names = ("a", "b", "n", "need")
 
     def shared(key, owner, need):
         size = np.diff(np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])))
-        length = np.repeat(size, size)
-        met = length > 1
-        key, owner, need, length = key[met], owner[met], need[met], length[met]
-        many = length > SHORT_LIST
+        many = np.repeat(size, size) > SHORT_LIST
         if many.any():
             yield _rows(pa.array(-(key[many] & np.int64(2**63 - 1)) - 1), pa.array(owner[many]),
-                        pa.array(need[many], pa.int32()), pa.array(np.zeros(int(many.sum()), np.int32)),
-                        pa.nulls(int(many.sum()), _DOC_TYPE), names=names)
+                        pa.array(need[many], pa.int32()), pa.array(np.zeros(int(many.sum()), np.int32)), names=names)
         key, owner, need = key[~many], owner[~many], need[~many]
         found = []
         for step in range(1, SHORT_LIST):
@@ -348,20 +372,13 @@ def _read_lists(batches):
             a, b, need = map(np.concatenate, zip(*found))
             a, b, count, need = _pair_counts(np.minimum(a, b), np.maximum(a, b), need)
             yield _rows(pa.array(a), pa.array(b), pa.array(count, pa.int32()), pa.array(need, pa.int32()),
-                        pa.nulls(len(a), _DOC_TYPE), names=names)
+                        names=names)
 
     waiting = None
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        is_doc = table.column("key").is_null()
-        docs = table.filter(is_doc)
-        for part in docs.to_batches():
-            none = pa.nulls(len(part), pa.int32())
-            yield _rows(part.column("key"), part.column("set"), none, none, part.column("doc"), names=names)
-        rows = table.filter(pc.invert(is_doc))
-        if not len(rows):
+        if not batch.num_rows:
             continue
-        now = [rows.column(c).to_numpy().astype(np.int64) for c in ("key", "set", "need")]
+        now = [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "set", "need")]
         if waiting:
             now = [np.concatenate(x) for x in zip(waiting, now)]
         last = int(np.searchsorted(now[0], now[0][-1]))
@@ -525,11 +542,10 @@ def _indexed(rows: DataFrame, n: int, percent: int, fine: int = 0) -> tuple[Data
     """The sets of the rows (v, doc_id, rkey, n, cls) and their families
     (v, root)."""
     index = rows.mapInArrow(lambda b: _index_batches(b, n, percent, fine), INDEX)
-    lists = (index.repartition(F.coalesce(F.col("key"), F.xxhash64("doc.rkey")))
-             .sortWithinPartitions("key", "set"))
-    read = staged(lists.mapInArrow(_read_lists, SHARED), "lists")
-    docs = read.where("doc is not null").select(F.col("b").alias("v"), "doc.*")
-    return docs, _families(read.where("doc is null").drop("doc"))
+    lists = index.repartition(F.coalesce(F.col("key"), F.xxhash64("doc.rkey"))).sortWithinPartitions("key")
+    met = staged(lists.mapInArrow(_met_rows, INDEX), "lists")
+    docs = met.where("doc is not null").select(F.col("set").alias("v"), "doc.*")
+    return docs, _families(met.where("doc is null").drop("doc"))
 
 
 def _dealt_again(rows: DataFrame, holders: DataFrame, large: DataFrame, n: int, percent: int) -> DataFrame:
@@ -543,42 +559,62 @@ def _dealt_again(rows: DataFrame, holders: DataFrame, large: DataFrame, n: int,
     return holders.join(large, "family", "left_anti").unionByName(cut.select(*holders.columns))
 
 
-def _families(pairs: DataFrame) -> DataFrame:
-    """(v, root): pairs that need nothing more are united first; between the
-    groups so found the shared keys are added up, and groups unite that share
-    as many as linked sets in them must.
+def _families(lists: DataFrame) -> DataFrame:
+    """(v, root) from the index rows (key, set, need): sets put under one
+    another are united first, and the groups so found take the places of their
+    sets on the lists.  Groups that may link nothing leave the lists; between
+    the others the shared keys are added up, and groups unite that share as
+    many as linked sets in them must.
 
     Long lists are not counted.  Of what linked sets share, each has at most
     those keys on long lists that its group has there, so the others must
     still be shared on short lists.  Groups that may share nothing else are
     united by the long lists; so are those with lighter keys than usual, for
     which heavier ones alone tell what must be shared."""
-    sure = pairs.where("a >= 0 and need = 0").select("a", "b")
-    roots = staged(connected_components(sure), "groups")
-
-    def grouped(df, end):
-        root = roots.select(F.col("v").alias(end), F.col("root").alias("_r"))
-        return df.join(root, end, "left").withColumn(end, F.coalesce("_r", end)).drop("_r")
-
-    index = (-(F.col("a") + 1)).bitwiseAND(F.lit(_INDEX))
-    on = pairs.where("a < 0").select("a", "b", "n").distinct()  # a head may come again
-    on = staged(grouped(on, "b").withColumn("index", index), "long")
-    held = staged(on.groupBy("b", "index").agg(F.count("*").alias("held")), "held")
-    weight = F.col("n").bitwiseAND(F.lit(_WEIGHT))
-    spent = on.join(held, ["b", "index"]).where(
-        (weight == 0) | (weight >= LOWERED) | (F.shiftright("n", WEIGHT_BITS) <= F.col("held"))).select("a", "b")
-    most = held.groupBy(F.col("b").alias("v")).agg(F.max("held").alias("held"))
-    counts = grouped(grouped(pairs.where("need > 0"), "a"), "b")
-    counts = (counts.where("a <> b")
-              .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-              .agg(F.sum("n").alias("n"), F.min("need").alias("need")))
+    sure = lists.where("need = 0").groupBy("key").agg(F.min("set").alias("a"), F.max("set").alias("b")).select("a", "b")
+    roots = staged(connected_components(sure), "groups").select(F.col("v").alias("set"), "root")
+    least, weight = F.shiftright("need", WEIGHT_BITS), F.col("need").bitwiseAND(F.lit(_WEIGHT))
+    on = (lists.where("need > 0").join(roots, "set", "left")
+          .groupBy("key", F.coalesce("root", "set").alias("set"))
+          .agg(F.min(least).alias("least"), F.min(weight).alias("weight"), F.max(weight).alias("_top")))
+    on = on.select("key", "set", "least", F.when(F.col("weight") == F.col("_top"), F.col("weight")).otherwise(0)
+                   .alias("weight"), F.col("key").bitwiseAND(F.lit(_INDEX)).alias("index"))
+    free = (F.col("weight") == 0) | (F.col("weight") >= LOWERED)
+    for _ in range(ROUNDS):
+        on = _lists_of_several(on)
+        linkable = on.groupBy("set", "index").agg(
+            F.count("*").alias("met"), F.min("least").alias("least"), F.max(free).alias("free"))
+        on = staged(on.join(linkable.where("free or least <= met").select("set", "index"), ["set", "index"], "left_semi")
+                    .drop("sets"), "linkable")
+    on = staged(_lists_of_several(on), "several")
+
+    long = on.where(F.col("sets") > SHORT_LIST)
+    held = staged(long.groupBy("set", "index").agg(F.count("*").alias("held")), "held")
+    spent = staged(long.join(held, ["set", "index"]).where(free | (F.col("least") <= F.col("held"))).select(
+        (-F.col("key").bitwiseAND(F.lit(2**63 - 1)) - 1).alias("a"), F.col("set").alias("b")), "spent")
+    united = connected_components(spent).select(F.col("v").alias("set"), "root")
+    short = on.where(F.col("sets") <= SHORT_LIST)
+    across = (short.join(united, "set", "left").withColumn("root", F.coalesce("root", "set"))
+              .groupBy("key").agg(F.min("root").alias("_low"), F.max("root").alias("_top"))
+              .where("_low <> _top").select("key"))
+    short = short.join(across, "key", "left_semi").select(
+        "key", "set", (F.shiftleft("least", WEIGHT_BITS) + F.col("weight")).alias("need"))
+    pairs = short.repartition("key").sortWithinPartitions("key", "set").mapInArrow(_read_lists, SHARED)
+    counts = pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("need").alias("need"))
+    most = held.groupBy("set").agg(F.max("held").alias("held"))
     for end in ("a", "b"):
-        counts = counts.join(most.select(F.col("v").alias(end), F.col("held").alias(f"_{end}")), end, "left")
+        counts = counts.join(most.select(F.col("set").alias(end), F.col("held").alias(f"_{end}")), end, "left")
     counts = counts.where(F.col("n") >= F.col("need") - F.least(
         F.coalesce("_a", F.lit(0)), F.coalesce("_b", F.lit(0))))
     return connected_components(sure.union(counts.select("a", "b")).union(spent)).where("v >= 0")
 
 
+def _lists_of_several(on: DataFrame) -> DataFrame:
+    """The rows of lists that several sets are on, with their number."""
+    sets = on.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
+    return on.join(sets, "key")
+
+
 def ngram_components(df: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest linked id) of every row."""
     rows = ngram_classes(df, n, percent)
