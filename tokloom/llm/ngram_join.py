@@ -574,13 +574,20 @@ def _families(lists: DataFrame) -> DataFrame:
     sure = lists.where("need = 0").groupBy("key").agg(F.min("set").alias("a"), F.max("set").alias("b")).select("a", "b")
     roots = staged(connected_components(sure), "groups").select(F.col("v").alias("set"), "root")
     least, weight = F.shiftright("need", WEIGHT_BITS), F.col("need").bitwiseAND(F.lit(_WEIGHT))
-    on = (lists.where("need > 0").join(roots, "set", "left")
-          .groupBy("key", F.coalesce("root", "set").alias("set"))
-          .agg(F.min(least).alias("least"), F.min(weight).alias("weight"), F.max(weight).alias("_top")))
-    on = on.select("key", "set", "least", F.when(F.col("weight") == F.col("_top"), F.col("weight")).otherwise(0)
-                   .alias("weight"), F.col("key").bitwiseAND(F.lit(_INDEX)).alias("index"))
     free = (F.col("weight") == 0) | (F.col("weight") >= LOWERED)
-    for _ in range(ROUNDS):
+    index = F.col("key").bitwiseAND(F.lit(_INDEX)).alias("index")
+    rows = lists.where("need > 0").select("key", "set", least.alias("least"), weight.alias("weight"), index)
+    # the first round adds up what the sets of a group meet, so only rows that stay are joined
+    met = (rows.groupBy("set", "index").agg(F.count("*").alias("met"), F.min("least").alias("least"), F.max(free).alias("free"))
+           .join(roots, "set", "left").withColumn("root", F.coalesce("root", "set")))
+    met = staged(met, "met")
+    enough = met.groupBy("root", "index").agg(
+        F.sum("met").alias("met"), F.min("least").alias("least"), F.max("free").alias("free")).where("free or least <= met")
+    stays = met.select("set", "index", "root").join(enough.select("root", "index"), ["root", "index"], "left_semi")
+    on = (rows.join(stays, ["set", "index"]).groupBy("key", "index", F.col("root").alias("set"))
+          .agg(F.min("least").alias("least"), F.min("weight").alias("weight"), F.max("weight").alias("_top")))
+    on = on.withColumn("weight", F.when(F.col("weight") == F.col("_top"), F.col("weight")).otherwise(0)).drop("_top")
+    for _ in range(ROUNDS - 1):
         on = _lists_of_several(on)
         linkable = on.groupBy("set", "index").agg(
             F.count("*").alias("met"), F.min("least").alias("least"), F.max(free).alias("free"))
