@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokloom.config import MIN_FREQ, PRETOKENIZE_RE, SPECIALS, VOCAB_SIZE
 from tokloom.functions.bytelevel import (ALPHABET, token_hex,
                                          utf8_byte_ids, utf8_byte_values)
-from tokloom.functions.text import py_strip
+from tokloom.operators.words import char_classes, slices, words_of
 from tokloom.session import remove_tree, scratch
 
 
@@ -54,14 +54,40 @@ def text_pieces(text, chars: int = PIECE_CHARS) -> "F.Column":
     return F.when(F.length(t) > chars, cut).otherwise(F.array(t))
 
 
+#: Distinct words that a task gathers before it hands them on.
+GATHERED_WORDS = 1_000_000
+
+
 def word_histogram(docs: DataFrame, text_col: str = "text", strip: bool = True,
                    piece_chars: int = PIECE_CHARS) -> DataFrame:
-    """A4: (word, n) over all documents (stripped, blanks dropped).  Long texts
-    are cut into pieces first, so no row holds the words of a whole one."""
-    t = py_strip(text_col) if strip else F.col(text_col)
-    return (docs.select(t.alias("_t")).select(F.explode(text_pieces("_t", piece_chars)).alias("_p"))
-            .select(F.explode(pretokenize("_p")).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    """A4: (word, n) over all documents (stripped, blanks dropped).  A task
+    counts the words of its texts a slice at a time; long texts are cut into
+    pieces first, so nothing holds the words of a whole one."""
+    classes = char_classes(docs.sparkSession)
+
+    def summed(counts):
+        return pa.Table.from_batches(counts).group_by("word", use_threads=False).aggregate([("n", "sum")]) \
+            .combine_chunks().rename_columns(["word", "n"])
+
+    def count(batches):
+        counts, rows, least = [], 0, 0
+        for batch in batches:
+            for _, _, data, _, edges in slices(batch.column(0), strip, piece=piece_chars):
+                for _, words in words_of(data, edges, classes):
+                    c = words.value_counts()
+                    counts.append(pa.RecordBatch.from_arrays([c.field("values"), c.field("counts")], names=["word", "n"]))
+                    rows += len(c)
+            if rows > least + GATHERED_WORDS:
+                counts = summed(counts).to_batches()
+                rows = least = sum(len(c) for c in counts)
+                if rows > GATHERED_WORDS:
+                    yield from counts
+                    counts, rows, least = [], 0, 0
+        if counts:
+            yield from summed(counts).to_batches()
+
+    return (docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(count, "word string, n long")
+            .groupBy("word").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
 
 
 def byte_histogram(words: DataFrame) -> DataFrame:

@@ -1,24 +1,27 @@
 """Encoding and decoding with a learned BPE model (T3, T3b, T3c, T3d, J2, J3).
 
 The model (bounded by the vocabulary size) is broadcast and every document
-is encoded in the task that holds it, a batch at a time: words come from the
-JVM pre-tokenizer, each is looked up in the task's word table, and only words
-the task has not met are merged.  Nothing is shuffled and ids stay with
-their row; decoding is the same in reverse.
+is encoded in the task that holds it, a slice at a time: its words are found and made
+distinct by array operations, distinct words are cut where no merge joins two
+bytes, and only pieces the task has not met are merged.  Nothing is shuffled
+and ids stay with their row; decoding is the same in reverse.
 """
 
 from __future__ import annotations
 
 import heapq
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokloom.functions.bytelevel import byte_ids
+from tokloom.functions.bytelevel import CHAR_TO_BYTE, byte_ids
 from tokloom.functions.text import py_strip
-from tokloom.operators.bpe import PIECE_CHARS, BpeModel, pretokenize, text_pieces
+from tokloom.operators.bpe import PIECE_CHARS, BpeModel, text_pieces
+from tokloom.operators.words import char_classes, slices, words_of
 
 
 def merge_word(ids: list[int], ranks: dict) -> list[int]:
@@ -62,7 +65,7 @@ def merge_word(ids: list[int], ranks: dict) -> list[int]:
     return [s for s, a in zip(syms, alive) if a]
 
 
-#: Words a task remembers before it starts afresh.
+#: Pieces of words a task remembers before it starts afresh.
 KNOWN_WORDS = 500_000
 
 
@@ -73,37 +76,95 @@ def _ranks(model: BpeModel) -> dict:
     return ranks
 
 
+def _joins(model: BpeModel) -> np.ndarray:
+    """Whether some merge joins a byte (256 times its value) and the next one:
+    words are cut between the others, and the pieces merge alone."""
+    joins = np.zeros(1 << 16, dtype=bool)
+    for a, b, _ in model.merges:
+        joins[CHAR_TO_BYTE[model.tokens[a][-1]] << 8 | CHAR_TO_BYTE[model.tokens[b][0]]] = True
+    return joins
+
+
+def _spread(flat: np.ndarray, edges: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the lists of ``flat`` between ``edges`` that ``at`` names, end to end;
+    their edges)."""
+    size = np.diff(edges)[at]
+    out = np.concatenate([[0], np.cumsum(size)])
+    return flat[np.repeat(edges[at] - out[:-1], size) + np.arange(out[-1])], out
+
+
+def _word_ids(words: pa.Array, table: np.ndarray, joins: np.ndarray, ranks: dict, known: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of the words end to end, edges of the words).  Distinct words are cut
+    into pieces and distinct pieces of two bytes or more are merged, unless the
+    task remembers them."""
+    coded = words.dictionary_encode()
+    distinct = coded.dictionary
+    off = np.frombuffer(distinct.buffers()[1], dtype=np.int32)[:len(distinct) + 1]
+    raw = np.frombuffer(distinct.buffers()[2], dtype=np.uint8)[:off[-1]]
+    joined = np.zeros(len(raw), dtype=bool)
+    joined[:-1] = joins[raw[:-1].astype(np.uint16) << 8 | raw[1:]]
+    joined[off[1:] - 1] = False
+    end = np.flatnonzero(~joined) + 1
+    start = np.concatenate([[0], end[:-1]])
+    long = np.flatnonzero(end - start > 1)
+    pieces = pa.Array.from_buffers(pa.binary(), len(end), [None, pa.py_buffer(np.concatenate([[0], end]).astype(np.int32)),
+                                                           pa.py_buffer(raw)]).take(pa.array(long)).dictionary_encode()
+    merged = []
+    for p in pieces.dictionary.to_pylist():
+        ids = known.get(p)
+        if ids is None:
+            if len(known) >= KNOWN_WORDS:
+                known.clear()
+            ids = known[p] = merge_word(table[np.frombuffer(p, dtype=np.uint8)].tolist(), ranks)
+        merged.append(ids)
+    size = np.fromiter(map(len, merged), dtype=np.int64, count=len(merged))
+    flat = np.fromiter(chain.from_iterable(merged), dtype=np.int32, count=int(size.sum()))
+    flat, edges = _spread(flat, np.concatenate([[0], np.cumsum(size)]), pieces.indices.to_numpy())
+    size = np.ones(len(end), dtype=np.int64)
+    size[long] = np.diff(edges)
+    upto = np.concatenate([[0], np.cumsum(size)])
+    ids = np.empty(upto[-1], dtype=np.int32)
+    ids[upto[:-1]] = table[raw[start]]
+    ids[np.repeat(upto[long] - edges[:-1], size[long]) + np.arange(edges[-1])] = flat
+    of_word = upto[np.concatenate([[0], np.searchsorted(end, off[1:]) + 1])]
+    return _spread(ids, of_word, coded.indices.to_numpy())
+
+
 def encode_docs(docs: DataFrame, model: BpeModel, key: str = "doc_id",
                 text_col: str = "text", strip: bool = True, keep: tuple = ()) -> DataFrame:
     """(key, *keep, ids) per document; no bos/eos.  Blank documents vanish."""
-    t = py_strip(text_col) if strip else F.col(text_col)
     cols = [key, *keep]
-    words = (docs.select(*cols, t.alias("_t")).where(F.length("_t") > 0)
-             .select(*cols, pretokenize(F.col("_t")).alias("_w")))
-    shared = docs.sparkSession.sparkContext.broadcast((byte_ids(model.n_special), _ranks(model)))
+    texts = docs.select(*cols, F.col(text_col).cast("string").alias("_t"))
+    spark = docs.sparkSession
+    classes = char_classes(spark)
+    shared = spark.sparkContext.broadcast((byte_ids(model.n_special), _ranks(model), _joins(model)))
 
     def encode(batches):
-        table, ranks = shared.value
+        table, ranks, joins = shared.value
+        table = np.array(table, dtype=np.int32)
         known: dict = {}
         for batch in batches:
-            out = []
-            for ws in batch.column("_w").to_pylist():
-                ids: list = []
-                for w in ws:
-                    code = known.get(w)
-                    if code is None:
-                        if len(known) >= KNOWN_WORDS:
-                            known.clear()
-                        code = known[w] = merge_word([table[b] for b in w.encode("utf-8")], ranks)
-                    ids += code
-                out.append(ids)
-            arrays = [batch.column(c) for c in cols]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(out, pa.list_(pa.int32()))],
-                                             names=[*cols, "ids"])
-
-    schema = T.StructType([*words.select(*cols).schema.fields,
+            for row, n, data, rows, edges in slices(batch.column("_t"), strip):
+                ids, upto, so_far = [np.zeros(0, np.int32)], np.zeros(n + 1, np.int64), 0
+                for low, words in words_of(data, edges, classes):
+                    if len(words):
+                        part, of_word = _word_ids(words, table, joins, ranks, known)
+                        begins = np.frombuffer(words.buffers()[1], dtype=np.int32)
+                        here = (rows > low) & (rows <= low + begins[-1])
+                        upto[here] = so_far + of_word[np.searchsorted(begins, rows[here] - low)]
+                        ids.append(part)
+                        so_far += len(part)
+                size = np.diff(np.maximum.accumulate(upto))
+                some = np.flatnonzero(size)
+                if len(some):
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size[some])]).astype(np.int32)),
+                                                     pa.array(np.concatenate(ids)))
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(some + row)) for c in cols), lists],
+                                                     names=[*cols, "ids"])
+
+    schema = T.StructType([*texts.select(*cols).schema.fields,
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return words.mapInArrow(encode, schema)
+    return texts.mapInArrow(encode, schema)
 
 
 def encode_pieces(docs: DataFrame, model: BpeModel, key: str = "doc_id", text_col: str = "text",
