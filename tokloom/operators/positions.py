@@ -51,9 +51,10 @@ def unpack_ids(packed: Column, width: int) -> Column:
 
 def write_packed_shards(split_stream: DataFrame, out: str, vocab_size: int, mode: str = "overwrite") -> None:
     """K2: one folder per split, files in stream order, packed ids."""
-    packed = split_stream.withColumn("n_tokens", F.size("ids").cast("long")) \
-        .withColumn("ids", pack_ids(F.col("ids"), id_bytes(vocab_size)))
-    (packed.repartitionByRange("split", "start_off").sortWithinPartitions("split", "start_off")
+    # rows are packed behind the exchange: its sampler runs a job of its own
+    ranged = split_stream.repartitionByRange("split", "start_off").sortWithinPartitions("split", "start_off")
+    (ranged.withColumn("n_tokens", F.size("ids").cast("long"))
+     .withColumn("ids", pack_ids(F.col("ids"), id_bytes(vocab_size)))
      .write.mode(mode).partitionBy("split").parquet(out))
 
 

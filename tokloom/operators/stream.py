@@ -9,15 +9,17 @@ number.  A window needs at most its own block and the ids ahead of it.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokloom.config import HASH_ID_BASE, HASH_ID_SPAN, HASH_WORD_RE
-from tokloom.functions.hashing import phash, uniform, word_hash_id
+from tokloom.functions.hashing import uniform, word_hash_id
 from tokloom.functions.text import py_strip
 from tokloom.operators.ordered import running_sums
 
@@ -216,6 +218,25 @@ def batch_count(n_windows: int, batch_size: int, drop_last: bool) -> int:
 ROUNDS, WALK = 4, 64
 
 
+def _hashes(key: str, r: int, values: np.ndarray, known: dict) -> np.ndarray:
+    """``phash(key, r, value)`` of every value; each distinct one is hashed once."""
+    distinct, at = np.unique(values, return_inverse=True)
+    of = known.setdefault((key, r), {})
+    out = np.empty(len(distinct), dtype=np.int64)
+    for i, v in enumerate(distinct.tolist()):
+        h = of.get(v)
+        if h is None:
+            if len(of) >= KNOWN_HASHES:
+                of.clear()
+            h = of[v] = int(hashlib.md5(f"{key}{r}|{v}".encode()).hexdigest()[:8], 16)
+        out[i] = h
+    return out[at]
+
+
+#: Hashes of a round that a task remembers.
+KNOWN_HASHES = 1 << 17
+
+
 def permuted(x: Column, n: int, *key) -> Column:
     """The place of x in a keyed order of 0 ... n - 1, a bijection.
 
@@ -224,21 +245,42 @@ def permuted(x: Column, n: int, *key) -> Column:
     of the column.  Each move can be undone, so no two cells meet.  A cell
     beyond n moves on until it falls inside (at most as often as there are
     cells beyond n, about one in sqrt(n) of all).  A place depends on x alone:
-    no sort, no exchange, no count of earlier rows."""
+    no sort, no exchange, no count of earlier rows.  There are as many hashes
+    as rows and columns, not as samples."""
     a = max(1, math.isqrt(max(0, n - 1)) + 1)
     b = max(1, -(-n // a))
+    steps = min(WALK, a * b - n + 1)
+    known: dict = {}
 
-    def move(cell):
-        col, row = F.floor(cell / F.lit(b)).cast("long"), cell % F.lit(b)
+    def move(cell, of):
+        col, row = cell // b, np.fmod(cell, b)
         for r in range(ROUNDS):
             if r % 2 == 0:
-                col = F.pmod(col + phash(*key, r, row), F.lit(a))
+                col = (col + _hashes(of, r, row, known)) % a
             else:
-                row = F.pmod(row + phash(*key, r, col), F.lit(b))
-        return col * F.lit(b) + row
-
-    steps = F.sequence(F.lit(1), F.lit(min(WALK, a * b - n + 1)))
-    return F.aggregate(steps, move(x.cast("long")), lambda at, i: F.when(at < n, at).otherwise(move(at)))
+                row = (row + _hashes(of, r, col, known)) % b
+        return col * b + row
+
+    def places(cells, of):
+        at = move(cells, of)
+        for _ in range(steps):
+            out = np.flatnonzero(at >= n)
+            if not len(out):
+                break
+            at[out] = move(at[out], of)
+        return at
+
+    @F.arrow_udf("long")
+    def place(xs: pa.Array, keys: pa.Array) -> pa.Array:
+        cells, coded = pc.fill_null(xs, 0).to_numpy(), keys.dictionary_encode()
+        at, which = np.zeros(len(cells), dtype=np.int64), coded.indices.to_numpy()
+        for i, of in enumerate(coded.dictionary.to_pylist()):
+            at[which == i] = places(cells[which == i], of)
+        return pa.array(at, mask=xs.is_null().to_numpy(zero_copy_only=False))
+
+    # evaluated once a row, wherever the place is used
+    parts = [(p if isinstance(p, Column) else F.lit(p)).cast("string") for p in key]
+    return place.asNondeterministic()(x.cast("long"), F.concat_ws("|", *parts, F.lit("")))
 
 
 def shuffled_batches(samples: DataFrame, batch_size: int, seed: int,
