@@ -55,7 +55,7 @@ def text_pieces(text, chars: int = PIECE_CHARS) -> "F.Column":
 
 
 #: Distinct words that a task gathers before it hands them on.
-GATHERED_WORDS = 1_000_000
+GATHERED_WORDS = 250_000
 
 
 def word_histogram(docs: DataFrame, text_col: str = "text", strip: bool = True,
@@ -85,6 +85,7 @@ def word_histogram(docs: DataFrame, text_col: str = "text", strip: bool = True,
                     counts, rows, least = [], 0, 0
         if counts:
             yield from summed(counts).to_batches()
+        pa.default_memory_pool().release_unused()  # the worker stays
 
     return (docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(count, "word string, n long")
             .groupBy("word").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))

@@ -161,6 +161,7 @@ def encode_docs(docs: DataFrame, model: BpeModel, key: str = "doc_id",
                                                      pa.array(np.concatenate(ids)))
                     yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(some + row)) for c in cols), lists],
                                                      names=[*cols, "ids"])
+        pa.default_memory_pool().release_unused()  # the worker stays
 
     schema = T.StructType([*texts.select(*cols).schema.fields,
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])

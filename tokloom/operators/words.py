@@ -137,21 +137,20 @@ def slices(texts: pa.Array, strip: bool, most: int = SLICE_BYTES, piece: int = S
     """(first row, rows, bytes, edges of the rows, edges of the texts' pieces) of
     consecutive rows of about ``most`` bytes, or one longer row; texts are
     stripped first if asked."""
-    texts = _whole(texts)
-    if strip:
-        texts = pc.utf8_trim(texts, characters=PY_SPACE)
-    if not len(texts):
-        return
-    off = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
-    row = 0
-    while row < len(texts):
-        upto = max(row + 1, int(np.searchsorted(off, off[row] + most, side="right")) - 1)
-        rows, base = off[row:upto + 1], off[row]
-        cuts = [c for i in np.flatnonzero(np.diff(rows) > piece) for c in _cut_long(data, int(rows[i]), int(rows[i + 1]), piece)]
-        edges = np.union1d(rows, np.array(cuts, dtype=np.int64)) - base
-        yield row, upto - row, data[base:off[upto]], rows - base, edges
-        row = upto
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    upto = np.concatenate([[0], np.cumsum(size)])
+    low = 0
+    while low < len(texts):
+        high = max(low + 1, int(np.searchsorted(upto, upto[low] + most, side="right")) - 1)
+        part = _whole(texts.slice(low, high - low))
+        if strip:
+            part = pc.utf8_trim(part, characters=PY_SPACE)
+        off = np.frombuffer(part.buffers()[1], dtype=np.int64)[part.offset:part.offset + len(part) + 1]
+        data = np.frombuffer(part.buffers()[2] or b"", dtype=np.uint8)
+        cuts = [c for i in np.flatnonzero(np.diff(off) > piece) for c in _cut_long(data, int(off[i]), int(off[i + 1]), piece)]
+        edges = np.union1d(off, np.array(cuts, dtype=np.int64)) - off[0]
+        yield low, high - low, data[off[0]:off[-1]], off - off[0], edges
+        low = high
 
 
 def words_of(b: np.ndarray, edges: np.ndarray, classes: bytes, most: int = SLICE_BYTES):
